@@ -137,3 +137,87 @@ UNION ALL SELECT 'type', anomaly_type, count(*) FROM deduped GROUP BY anomaly_ty
 UNION ALL SELECT 'day', CAST(CAST(timestamp AS DATE) AS VARCHAR), count(*) FROM deduped GROUP BY 2
 UNION ALL SELECT * FROM (SELECT 'top_users', username, count(*) AS n FROM deduped GROUP BY username ORDER BY n DESC, username LIMIT 10)""",
 )
+
+# --- sources ---------------------------------------------------------------------------------------------
+
+SYSLOG_RE = r"^(\w{3}\s+\d{1,2}\s+\d{2}:\d{2}:\d{2})\s+(\S+)\s+(\S+)\[\d+\]:\s+(.*)"
+APACHE_RE = r'^(\S+) \S+ (\S+) \[(.+?)\] ".+?" (\d{3}) \S+ "(.*?)" "(.*?)"'
+IP_RE = r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b"
+
+
+def syslog_cte(lines: str) -> str:
+    return f"""
+  SELECT event_id, 'syslog' AS detected_format, try_strptime('2024 ' || regexp_extract(line, '{SYSLOG_RE}', 1), '%Y %b %d %H:%M:%S') AS timestamp,
+    regexp_extract(line, '{SYSLOG_RE}', 2) AS hostname, regexp_extract(line, '{SYSLOG_RE}', 3) AS service,
+    CASE WHEN contains(m, 'Failed') OR contains(m, 'Invalid') THEN 'failed_login' WHEN contains(m, 'Accepted') THEN 'successful_login'
+      WHEN contains(m, 'Disconnected') OR contains(lower(m), 'session closed') THEN 'logout' ELSE 'unknown' END AS event_type,
+    nullif(regexp_extract(m, '(?:for|user)\\s+(\\w+)', 1), '') AS username, nullif(regexp_extract(m, '{IP_RE}', 0), '') AS ip_address, m AS message
+  FROM (SELECT *, regexp_extract(line, '{SYSLOG_RE}', 4) AS m FROM {lines} WHERE regexp_matches(line, '{SYSLOG_RE}'))"""
+
+
+def json_cte(lines: str) -> str:
+    return f"""
+  SELECT event_id, 'json' AS detected_format, try_strptime(json_extract_string(j, '$.timestamp'), '%Y-%m-%d %H:%M:%S') AS timestamp,
+    CAST(NULL AS VARCHAR) AS hostname, CAST(NULL AS VARCHAR) AS service, coalesce(json_extract_string(j, '$.event_type'), 'unknown') AS event_type,
+    json_extract_string(j, '$.username') AS username, json_extract_string(j, '$.ip_address') AS ip_address, CAST(NULL AS VARCHAR) AS message
+  FROM (SELECT event_id, CAST(line AS JSON) AS j FROM {lines} WHERE json_valid(line))"""
+
+
+def csv_cte(lines: str) -> str:
+    return f"""
+  SELECT event_id, 'csv' AS detected_format, try_strptime(f[1], '%Y-%m-%d %H:%M:%S') AS timestamp,
+    CAST(NULL AS VARCHAR) AS hostname, CAST(NULL AS VARCHAR) AS service, f[4] AS event_type, f[2] AS username, f[3] AS ip_address, f[5] AS message
+  FROM (SELECT event_id, string_split(line, ',') AS f FROM {lines})
+  WHERE len(f) >= 5 AND try_strptime(f[1], '%Y-%m-%d %H:%M:%S') IS NOT NULL"""
+
+
+def apache_cte(lines: str, name: str) -> str:
+    return f"""
+  SELECT event_id, '{name}' AS detected_format,
+    try_strptime(string_split(regexp_extract(line, '{APACHE_RE}', 3), ' ')[1], '%d/%b/%Y:%H:%M:%S') AS timestamp,
+    CAST(NULL AS VARCHAR) AS hostname, CAST(NULL AS VARCHAR) AS service,
+    CASE WHEN code[1] IN ('4', '5') THEN 'failed_access' WHEN code[1] = '2' THEN 'successful_access' ELSE 'access' END AS event_type,
+    nullif(regexp_extract(line, '{APACHE_RE}', 2), '-') AS username, regexp_extract(line, '{APACHE_RE}', 1) AS ip_address, 'Status: ' || code AS message
+  FROM (SELECT *, regexp_extract(line, '{APACHE_RE}', 4) AS code FROM {lines} WHERE regexp_matches(line, '{APACHE_RE}'))"""
+
+
+def all_formats(lines: str) -> dict[str, str]:
+    return {
+        "p_sys": syslog_cte(lines),
+        "p_json": json_cte(lines),
+        "p_csv": csv_cte(lines),
+        "p_apache": apache_cte(lines, "apache_common"),
+        "parsed": "SELECT * FROM p_sys UNION ALL SELECT * FROM p_json UNION ALL SELECT * FROM p_csv UNION ALL SELECT * FROM p_apache",
+    }
+
+
+ORACLES["parse_syslog"] = oracle(EV + ["syslog_lines"], {"p": syslog_cte("syslog_lines")}, "SELECT * FROM p")
+ORACLES["parse_json"] = oracle(EV + ["json_lines"], {"p": json_cte("json_lines")}, "SELECT * FROM p")
+ORACLES["parse_csv"] = oracle(EV + ["csv_lines"], {"p": csv_cte("csv_lines")}, "SELECT * FROM p")
+ORACLES["parse_apache"] = oracle(EV + ["apache_lines"], {"p": apache_cte("apache_lines", "apache_combined")}, "SELECT * FROM p")
+ORACLES["parse_auto"] = oracle(EV + LINES, all_formats("mixed_lines"), "SELECT * FROM parsed")
+ORACLES["quarantine"] = oracle(
+    EV + LINES,
+    all_formats("mixed_lines"),
+    "SELECT event_id, substr(line, 1, 100) AS line_head FROM mixed_lines WHERE event_id NOT IN (SELECT event_id FROM parsed)",
+)
+ORACLES["multi_source_union"] = oracle(
+    EV + LINES[:4],
+    {
+        "p_sys": syslog_cte("syslog_lines"),
+        "p_json": json_cte("json_lines"),
+        "p_csv": csv_cte("csv_lines"),
+        "p_apache": apache_cte("apache_lines", "apache_common"),
+    },
+    """SELECT * EXCLUDE (hostname, service, message) FROM (
+  SELECT * FROM p_sys UNION ALL SELECT * FROM p_json UNION ALL SELECT * FROM p_csv UNION ALL SELECT * FROM p_apache)""",
+)
+ORACLES["strict_ingest"] = oracle(
+    EV + ["syslog_lines"],
+    {"p": syslog_cte("syslog_lines")},
+    """SELECT * FROM (SELECT * EXCLUDE (detected_format) REPLACE (CASE WHEN contains(lower(message), 'invalid user') THEN 'invalid' ELSE username END AS username) FROM p)
+WHERE username IS NOT NULL AND ip_address IS NOT NULL""",
+)
+ORACLES["event_class_counts"] = oracle(
+    EV + ["syslog_lines"], {"p": syslog_cte("syslog_lines")}, "SELECT event_type, count(*) AS n FROM p GROUP BY event_type"
+)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from signwatch.operators import detectors
 from signwatch.operators import reports
 from signwatch.plans import fixtures as fx
+from signwatch.sources import logs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -114,3 +115,62 @@ def dedup_simple(spark, sf):
 @query
 def anomaly_report(spark, sf):
     return reports.anomaly_report(detectors.detect(fx.auth_events(spark, sf)))
+
+
+# --- sources ---------------------------------------------------------------------------------------------
+
+YEAR = 2024
+
+
+def parsed_columns(parsed: DataFrame) -> DataFrame:
+    columns = ["event_id", "detected_format", *logs.FIELDS]
+    return logs.accepted(parsed).select(*columns)
+
+
+@query
+def parse_syslog(spark, sf):
+    return parsed_columns(logs.parse(fx.log_lines(spark, sf, "syslog"), "syslog", YEAR))
+
+
+@query
+def parse_json(spark, sf):
+    return parsed_columns(logs.parse(fx.log_lines(spark, sf, "json"), "json"))
+
+
+@query
+def parse_csv(spark, sf):
+    return parsed_columns(logs.parse(fx.log_lines(spark, sf, "csv"), "csv"))
+
+
+@query
+def parse_apache(spark, sf):
+    return parsed_columns(logs.parse(fx.log_lines(spark, sf, "apache"), "apache_combined"))
+
+
+@query
+def parse_auto(spark, sf):
+    return parsed_columns(logs.parse(fx.mixed_lines(spark, sf), "auto", YEAR))
+
+
+@query
+def quarantine(spark, sf):
+    return logs.quarantine(logs.parse(fx.mixed_lines(spark, sf), "auto", YEAR))
+
+
+@query
+def multi_source_union(spark, sf):
+    """The same events arriving through four sources, told apart by the detected format."""
+    sources = [fx.log_lines(spark, sf, fmt) for fmt in ("syslog", "json", "csv", "apache")]
+    lines = sources[0].union(sources[1]).union(sources[2]).union(sources[3])
+    return parsed_columns(logs.parse(lines, "auto", YEAR)).drop("hostname", "service", "message")
+
+
+@query
+def strict_ingest(spark, sf):
+    return logs.strict(logs.parse(fx.log_lines(spark, sf, "syslog"), "auto", YEAR)).select("event_id", *logs.FIELDS)
+
+
+@query
+def event_class_counts(spark, sf):
+    events = parsed_columns(logs.parse(fx.log_lines(spark, sf, "syslog"), "syslog", YEAR))
+    return reports.count_by(events, "event_type", "event_type")
