@@ -221,3 +221,204 @@ WHERE username IS NOT NULL AND ip_address IS NOT NULL""",
 ORACLES["event_class_counts"] = oracle(
     EV + ["syslog_lines"], {"p": syslog_cte("syslog_lines")}, "SELECT event_type, count(*) AS n FROM p GROUP BY event_type"
 )
+
+# --- features --------------------------------------------------------------------------------------------
+
+
+def md5_bucket(x: str) -> str:
+    return f"('0x' || substr(md5({x}), 1, 8))::BIGINT % 10000"
+
+
+PRIVATE = "coalesce(starts_with(ip_address, '10.') OR starts_with(ip_address, '172.') OR starts_with(ip_address, '192.168.'), false)::INT::BIGINT"
+CODE = "CASE event_type WHEN 'successful_login' THEN 1 WHEN 'failed_login' THEN 0 WHEN 'logout' THEN 2 WHEN 'access' THEN 3 ELSE -1 END::BIGINT"
+CODE3 = "CASE event_type WHEN 'successful_login' THEN 1 WHEN 'failed_login' THEN 0 WHEN 'logout' THEN 2 ELSE -1 END::BIGINT"
+USER_CODE = "dense_rank() OVER (ORDER BY coalesce(username, 'None')) - 1"
+FEATURES = {
+    "feats": f"""
+  SELECT event_id, hour(timestamp) AS hour, isodow(timestamp) - 1 AS day_of_week, day(timestamp) AS day_of_month, month(timestamp) AS month,
+    {USER_CODE} AS username_encoded, coalesce({md5_bucket("ip_address")}, -1) AS ip_hash, {CODE} AS event_type_encoded,
+    hour(timestamp) * ({USER_CODE}) AS hour_username_interaction
+  FROM auth_events"""
+}
+ML = ["hour", "day_of_week", "day_of_month", "month", "username_encoded", "ip_hash", "event_type_encoded", "hour_username_interaction"]
+
+ORACLES["calendar_features"] = oracle(
+    EV,
+    {},
+    """SELECT event_id, hour(timestamp) AS hour, isodow(timestamp) - 1 AS day_of_week, day(timestamp) AS day_of_month, month(timestamp) AS month,
+  minute(timestamp) AS minute FROM auth_events""",
+)
+ORACLES["event_code"] = oracle(EV, {}, f"SELECT event_id, {CODE} AS event_code, {CODE3} AS event_code_client FROM auth_events")
+ORACLES["hash_bucket"] = oracle(
+    EV,
+    {},
+    f"""SELECT event_id, coalesce({md5_bucket("ip_address")}, -1) AS ip_hash, {md5_bucket("coalesce(username, 'None')")} AS username_hash FROM auth_events""",
+)
+ORACLES["private_ip"] = oracle(
+    EV,
+    {},
+    f"""SELECT event_id, {PRIVATE} AS is_private_ip,
+  coalesce(regexp_matches(ip_address, '^(10[.]|192[.]168[.]|172[.](1[6-9]|2[0-9]|3[01])[.])'), false)::INT::BIGINT AS is_rfc1918 FROM auth_events""",
+)
+ORACLES["label_encode"] = oracle(EV, {}, f"SELECT event_id, username, {USER_CODE} AS username_encoded FROM auth_events")
+ORACLES["interaction"] = oracle(EV, FEATURES, "SELECT event_id, hour_username_interaction FROM feats")
+ORACLES["ml_features"] = oracle(EV, FEATURES, "SELECT * FROM feats")
+ORACLES["ml_features_simple"] = oracle(
+    EV,
+    {},
+    """SELECT event_id, hour(timestamp) AS hour, isodow(timestamp) - 1 AS day_of_week, minute(timestamp) AS minute,
+  dense_rank() OVER (ORDER BY coalesce(username, 'unknown')) - 1 AS username_encoded,
+  dense_rank() OVER (ORDER BY coalesce(ip_address, '0.0.0.0')) - 1 AS ip_encoded,
+  dense_rank() OVER (ORDER BY coalesce(event_type, 'unknown')) - 1 AS event_encoded FROM auth_events""",
+)
+ORACLES["scaled_features"] = oracle(
+    EV,
+    FEATURES | {"stats": "SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in ML) + " FROM feats"},
+    "SELECT event_id, "
+    + ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 6) + 0.0 AS {c}" for c in ML)
+    + " FROM feats, stats",
+)
+ORACLES["fed_features"] = oracle(
+    EV + ["client_events"],
+    {},
+    f"""SELECT event_id, client_id, hour(timestamp) AS hour, isodow(timestamp) - 1 AS day_of_week, day(timestamp) AS day_of_month, month(timestamp) AS month,
+  {md5_bucket("coalesce(username, 'None')")} AS username_hash, {md5_bucket("coalesce(ip_address, 'None')")} AS ip_hash, {PRIVATE} AS is_private_ip,
+  {CODE3} AS event_type_encoded, hour(timestamp) * ({md5_bucket("coalesce(username, 'None')")}) AS hour_username_interaction FROM client_events""",
+)
+ORACLES["xai_features"] = oracle(
+    EV,
+    {"known": KNOWN, "peruser": "SELECT username, count(*) AS login_count, (max(us) - min(us)) / 86400000000.0 AS active_days FROM known GROUP BY username"},
+    f"""SELECT event_id, hour(timestamp) AS hour, isodow(timestamp) - 1 AS day_of_week, day(timestamp) AS day_of_month, month(timestamp) AS month,
+  minute(timestamp) AS minute,
+  round(CASE WHEN username IS NULL THEN 0 ELSE coalesce((epoch_us(timestamp) - lag(epoch_us(timestamp)) OVER (PARTITION BY username ORDER BY timestamp, event_id)) / 3600000000.0, 0) END, 6) AS hours_since_last,
+  {USER_CODE} AS username_encoded, dense_rank() OVER (ORDER BY coalesce(ip_address, 'None')) - 1 AS ip_encoded, {PRIVATE} AS is_private_ip,
+  {CODE} AS event_type_encoded, hour(timestamp) * ({USER_CODE}) AS hour_username_interaction, coalesce(login_count, 0) AS login_count,
+  round(coalesce(active_days, 0), 6) AS active_days
+FROM auth_events LEFT JOIN peruser USING (username)""",
+)
+
+# --- profiles --------------------------------------------------------------------------------------------
+
+HISTORY = "SELECT *, epoch_us(timestamp) AS us FROM auth_events WHERE username IS NOT NULL AND timestamp < TIMESTAMP '2024-01-16'"
+RECENT = "SELECT *, epoch_us(timestamp) AS us FROM auth_events WHERE username IS NOT NULL AND timestamp >= TIMESTAMP '2024-01-16'"
+
+
+def sessions_cte(rows: str) -> str:
+    return f"""
+  SELECT l.event_id, l.username, l.timestamp, (min(o.us) - l.us) / 3600000000.0 AS hours
+  FROM {rows} l JOIN {rows} o ON o.username = l.username AND o.us > l.us AND o.event_type = 'logout'
+  WHERE l.event_type = 'successful_login' GROUP BY l.event_id, l.username, l.timestamp, l.us"""
+
+
+def profile_cte(rows: str) -> str:
+    return f"""
+  SELECT username, count(*) AS n_events, round(avg(hour(timestamp)), 6) AS login_hour_avg,
+    string_agg(DISTINCT CAST(isodow(timestamp) - 1 AS VARCHAR), ',' ORDER BY CAST(isodow(timestamp) - 1 AS VARCHAR)) AS preferred_days,
+    count(DISTINCT ip_address) AS n_locations,
+    round(count(*) / CASE WHEN (max(us) - min(us)) // 86400000000 > 0 THEN (max(us) - min(us)) // 86400000000 ELSE 1 END, 6) AS login_frequency_per_day,
+    round(avg(CASE WHEN event_type = 'successful_login' THEN 1.0 ELSE 0 END), 6) AS success_rate
+  FROM {rows} GROUP BY username"""
+
+
+ORACLES["session_durations"] = oracle(
+    EV,
+    {"known": KNOWN, "sess": sessions_cte("known")},
+    "SELECT event_id, username, timestamp, round(hours, 6) AS session_hours FROM sess",
+)
+ORACLES["user_profiles"] = oracle(
+    EV,
+    {
+        "known": KNOWN,
+        "sess": sessions_cte("known"),
+        "prof": profile_cte("known"),
+        "mean_sess": "SELECT username, round(avg(hours), 6) AS session_hours_avg FROM sess GROUP BY username",
+    },
+    "SELECT prof.*, session_hours_avg FROM prof LEFT JOIN mean_sess USING (username)",
+)
+ORACLES["user_locations"] = oracle(
+    EV,
+    {"known": KNOWN},
+    "SELECT username, ip_address, count(*) AS n, min(timestamp) AS first_seen FROM known WHERE ip_address IS NOT NULL GROUP BY ALL",
+)
+ORACLES["profile_merge"] = oracle(
+    EV,
+    {
+        "known": KNOWN,
+        "old": HISTORY,
+        "new": RECENT,
+        "sess1": sessions_cte("old"),
+        "sess2": sessions_cte("new"),
+        "prof": profile_cte("known"),
+        "mean_sess": """
+  SELECT username, round(avg(hours), 6) AS session_hours_avg FROM (SELECT * FROM sess1 UNION ALL SELECT * FROM sess2) GROUP BY username""",
+    },
+    "SELECT prof.*, session_hours_avg FROM prof LEFT JOIN mean_sess USING (username)",
+)
+SIMPLE_PROFILE = """
+  SELECT username, count(*) AS n_events, avg(hour(timestamp)) AS login_hour_avg,
+    string_agg(DISTINCT CAST(isodow(timestamp) - 1 AS VARCHAR), ',' ORDER BY CAST(isodow(timestamp) - 1 AS VARCHAR)) AS preferred_days,
+    count(DISTINCT ip_address) AS n_locations, count(*) / ((max(us) - min(us)) // 86400000000 + 1) AS login_frequency_per_day,
+    avg(CASE WHEN event_type = 'successful_login' THEN 1.0 ELSE 0 END) AS success_rate,
+    count(*) FILTER (WHERE event_type = 'failed_login' AND timestamp > {as_of} - INTERVAL 24 HOUR) AS failed_attempts_recent
+  FROM {rows} GROUP BY username"""
+ORACLES["user_profiles_simple"] = oracle(
+    EV,
+    {"known": KNOWN, "prof": SIMPLE_PROFILE.format(rows="known", as_of="TIMESTAMP '2024-01-31'")},
+    """SELECT * REPLACE (round(login_hour_avg, 6) AS login_hour_avg, round(login_frequency_per_day, 6) AS login_frequency_per_day,
+  round(success_rate, 6) AS success_rate) FROM prof""",
+)
+ORACLES["failed_times"] = oracle(
+    EV, {"known": KNOWN}, "SELECT username, event_id, timestamp AS failed_at FROM known WHERE event_type = 'failed_login'"
+)
+LOC_KNOWN = "SELECT DISTINCT username, ip_address, true AS seen FROM old WHERE ip_address IS NOT NULL"
+ORACLES["similarity"] = oracle(
+    EV,
+    {
+        "old": HISTORY,
+        "new": RECENT,
+        "prof": """
+  SELECT username, avg(hour(timestamp)) AS h, list(DISTINCT isodow(timestamp)) AS days, count(DISTINCT ip_address) AS ips FROM old GROUP BY username""",
+        "loc": LOC_KNOWN,
+        "parts": """
+  SELECT event_id, username, h, greatest(0.0, 1 - abs(hour(timestamp) - h) / 12) AS p1, CASE WHEN ips > 0 THEN CASE WHEN seen THEN 1.0 ELSE 0.3 END END AS p2,
+    CASE WHEN list_contains(days, isodow(timestamp)) THEN 1.0 ELSE 0.5 END AS p3
+  FROM new LEFT JOIN prof USING (username) LEFT JOIN loc USING (username, ip_address)""",
+    },
+    """SELECT event_id, username, round(CASE WHEN h IS NULL THEN 0 ELSE (p1 + coalesce(p2, 0) + p3) / (CASE WHEN p2 IS NULL THEN 2 ELSE 3 END) END, 6) AS similarity FROM parts""",
+)
+ORACLES["behavior_change"] = oracle(
+    EV,
+    {
+        "known": KNOWN,
+        "stats": """
+  SELECT username, avg(hour(timestamp)) FILTER (WHERE timestamp < TIMESTAMP '2024-01-16') AS bm, stddev_pop(hour(timestamp)) FILTER (WHERE timestamp < TIMESTAMP '2024-01-16') AS s,
+    avg(hour(timestamp)) FILTER (WHERE timestamp >= TIMESTAMP '2024-01-16') AS rm, date_diff('day', min(timestamp)::DATE, DATE '2024-01-31') AS age
+  FROM known GROUP BY username""",
+        "zs": "SELECT *, CASE WHEN s > 0 THEN abs(rm - bm) / s END AS z FROM stats",
+    },
+    """SELECT username, age AS profile_age_days, round(bm, 6) AS baseline_mean, round(rm, 6) AS recent_mean, round(z, 6) AS z_score,
+  coalesce(z > 2, false)::INT::BIGINT AS behavior_changed FROM zs""",
+)
+ORACLES["login_check"] = oracle(
+    EV,
+    {
+        "old": HISTORY,
+        "new": RECENT,
+        "prof": SIMPLE_PROFILE.format(rows="old", as_of="TIMESTAMP '2024-01-16'"),
+        "loc": LOC_KNOWN,
+        "j": """
+  SELECT *, abs(hour(timestamp) - login_hour_avg) AS apart, isodow(timestamp) - 1 AS dow FROM
+    (SELECT event_id, username, timestamp, ip_address FROM new) LEFT JOIN prof USING (username) LEFT JOIN loc USING (username, ip_address)""",
+        "v": """
+  SELECT *, CASE WHEN login_hour_avg IS NULL THEN 1 WHEN apart > 4 THEN 2 WHEN NOT contains(preferred_days, CAST(dow AS VARCHAR)) THEN 3
+    WHEN n_locations > 0 AND seen IS NULL THEN 4 WHEN failed_attempts_recent > 5 THEN 5 ELSE 6 END AS rule FROM j""",
+    },
+    """SELECT event_id, username, (rule < 6)::INT::BIGINT AS is_anomalous,
+  CASE WHEN rule < 4 THEN 'medium' WHEN rule < 6 THEN 'high' ELSE 'normal' END AS severity,
+  CASE rule WHEN 1 THEN 'No profile found for user ' || username
+    WHEN 2 THEN 'Login at hour ' || hour(timestamp) || ' differs from typical hour ' || format('{:.1f}', login_hour_avg) || ' by ' || CAST(apart AS VARCHAR) || ' hours'
+    WHEN 3 THEN 'Login on day ' || dow || ' (' || (['Mon','Tue','Wed','Thu','Fri','Sat','Sun'])[dow + 1] || ') is unusual for this user'
+    WHEN 4 THEN 'Login from unusual location/IP: ' || coalesce(ip_address, 'None')
+    WHEN 5 THEN 'High number of recent failed attempts (' || failed_attempts_recent || ') before this login'
+    ELSE 'Login matches typical user behavior' END AS reason FROM v""",
+)

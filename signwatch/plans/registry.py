@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signwatch.operators import detectors
+from signwatch.functions import scalars
+from signwatch.operators import detectors, features, profiles
 from signwatch.operators import reports
 from signwatch.plans import fixtures as fx
 from signwatch.sources import logs
@@ -174,3 +175,148 @@ def strict_ingest(spark, sf):
 def event_class_counts(spark, sf):
     events = parsed_columns(logs.parse(fx.log_lines(spark, sf, "syslog"), "syslog", YEAR))
     return reports.count_by(events, "event_type", "event_type")
+
+
+# --- features --------------------------------------------------------------------------------------------
+
+
+@query
+def calendar_features(spark, sf):
+    return fx.auth_events(spark, sf).select("event_id", *[c.alias(n) for n, c in scalars.calendar().items()])
+
+
+@query
+def event_code(spark, sf):
+    return fx.auth_events(spark, sf).select(
+        "event_id",
+        scalars.event_code().alias("event_code"),
+        scalars.event_code(with_access=False).alias("event_code_client"),
+    )
+
+
+@query
+def hash_bucket(spark, sf):
+    return fx.auth_events(spark, sf).select(
+        "event_id",
+        scalars.hash_bucket("ip_address").alias("ip_hash"),
+        scalars.hash_bucket("username", "None").alias("username_hash"),
+    )
+
+
+@query
+def private_ip(spark, sf):
+    return fx.auth_events(spark, sf).select(
+        "event_id",
+        scalars.is_private_ip().alias("is_private_ip"),
+        scalars.is_private_ip(rfc1918=True).alias("is_rfc1918"),
+    )
+
+
+@query
+def label_encode(spark, sf):
+    rows = features.encode(fx.auth_events(spark, sf), "username", "username_encoded")
+    return rows.select("event_id", "username", "username_encoded")
+
+
+@query
+def interaction(spark, sf):
+    return features.ml_features(fx.auth_events(spark, sf)).select("event_id", "hour_username_interaction")
+
+
+@query
+def ml_features(spark, sf):
+    return features.ml_features(fx.auth_events(spark, sf))
+
+
+@query
+def ml_features_simple(spark, sf):
+    return features.ml_features_simple(fx.auth_events(spark, sf))
+
+
+@query
+def scaled_features(spark, sf):
+    rows = features.scaled(features.ml_features(fx.auth_events(spark, sf)), features.ML_COLUMNS)
+    return rounded(rows, *features.ML_COLUMNS)
+
+
+@query
+def fed_features(spark, sf):
+    return features.client_features(fx.client_events(spark, sf), "client_id")
+
+
+@query
+def xai_features(spark, sf):
+    return rounded(features.explanation_features(fx.auth_events(spark, sf)), "hours_since_last", "active_days")
+
+
+# --- profiles --------------------------------------------------------------------------------------------
+
+CUTOFF = "2024-01-16 00:00:00"
+
+
+def history(spark, sf):
+    return fx.auth_events(spark, sf).where(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp_ntz"))
+
+
+def recent(spark, sf):
+    return fx.auth_events(spark, sf).where(F.col("timestamp") >= F.lit(CUTOFF).cast("timestamp_ntz"))
+
+
+@query
+def session_durations(spark, sf):
+    return rounded(profiles.session_durations(fx.auth_events(spark, sf)), "session_hours")
+
+
+PROFILE_NUMBERS = ["login_hour_avg", "session_hours_avg", "login_frequency_per_day", "success_rate"]
+
+
+@query
+def user_profiles(spark, sf):
+    return rounded(profiles.user_profiles(fx.auth_events(spark, sf)), *PROFILE_NUMBERS)
+
+
+@query
+def user_locations(spark, sf):
+    rows = profiles.locations(fx.auth_events(spark, sf))
+    return rows.select("username", "ip_address", "n", F.timestamp_micros("first_us").alias("first_seen"))
+
+
+@query
+def profile_merge(spark, sf):
+    """Profiles of two half months, merged from their sums."""
+    old, new = history(spark, sf), recent(spark, sf)
+    state = profiles.merge_states(profiles.profile_state(old), profiles.profile_state(new))
+    known = profiles.merge_locations(profiles.locations(old), profiles.locations(new))
+    return rounded(profiles.summary(state, known), *PROFILE_NUMBERS)
+
+
+@query
+def user_profiles_simple(spark, sf):
+    rows = profiles.user_profiles_simple(fx.auth_events(spark, sf), fx.AS_OF).drop("day_mask")
+    return rounded(rows, "login_hour_avg", "login_frequency_per_day", "success_rate")
+
+
+@query
+def failed_times(spark, sf):
+    return profiles.failed_times(fx.auth_events(spark, sf))
+
+
+@query
+def similarity(spark, sf):
+    old = history(spark, sf)
+    rows = profiles.similarity(recent(spark, sf), profiles.profile_state(old), profiles.locations(old))
+    return rounded(rows, "similarity")
+
+
+@query
+def behavior_change(spark, sf):
+    rows = profiles.behavior_change(fx.auth_events(spark, sf), CUTOFF, fx.AS_OF)
+    return rounded(rows.drop("description"), "baseline_mean", "recent_mean", "z_score")
+
+
+@query
+def login_check(spark, sf):
+    old = history(spark, sf)
+    return profiles.login_check(
+        recent(spark, sf), profiles.user_profiles_simple(old, CUTOFF), profiles.locations(old)
+    )
