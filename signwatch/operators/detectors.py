@@ -99,7 +99,7 @@ def high_frequency(events: DataFrame, hours: int = 24, multiplier: float = 3.0,
         .select("username", (F.col("_mean") + multiplier * F.col("_std")).alias("_limit"))
     )
     flagged = (
-        salted_join(counts, limits, USER, spread=["_us"], max_rows=max_rows)
+        salted_join(counts, limits, USER, spread=["_us"], base=known_users(events), max_rows=max_rows)
         .where(F.col("recent") > F.col("_limit"))
         .dropDuplicates(["username", "_us"])
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from signwatch.functions.scalars import calendar, event_code, hash_bucket, is_private_ip, text
 from signwatch.lineage import cut
-from signwatch.operators.detectors import time_since_last
+from signwatch.operators.detectors import known_users, time_since_last
 from signwatch.schema import DAY_US
 from signwatch.skew import HOT_ROWS, micros, salted_join
 
@@ -62,12 +62,25 @@ def encode(
     name: str,
     codes: DataFrame | None = None,
     null_as: str = "None",
+    base: DataFrame | None = None,
     max_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add the label code of ``column``; a value missing from ``codes`` gets the number of known labels."""
-    codes = label_codes(df, column, null_as) if codes is None else codes
-    labelled = df.withColumn("label", text(column, null_as))
-    joined = salted_join(labelled, codes, ["label"], "left", spread=["event_id"], max_rows=max_rows)
+    """Add the label code of ``column``; a value missing from ``codes`` gets the number of known labels.
+
+    ``base`` is the event table behind ``df``, where ``df`` is already a long plan.
+    """
+    base = df if base is None else base
+    codes = label_codes(base, column, null_as) if codes is None else codes
+    label = text(column, null_as)
+    joined = salted_join(
+        df.withColumn("label", label),
+        codes,
+        ["label"],
+        "left",
+        spread=["event_id"],
+        base=base.select(label.alias("label")),
+        max_rows=max_rows,
+    )
     unseen = codes.agg(F.count(F.lit(1))).scalar()
     return joined.withColumn(name, F.coalesce("code", unseen)).drop("code", "label")
 
@@ -85,8 +98,8 @@ def ml_features(events: DataFrame, codes: DataFrame | None = None) -> DataFrame:
 
 def ml_features_simple(events: DataFrame) -> DataFrame:
     rows = encode(events, "username", "username_encoded", null_as="unknown")
-    rows = encode(rows, "ip_address", "ip_encoded", null_as="0.0.0.0")
-    rows = encode(rows, "event_type", "event_encoded", null_as="unknown")
+    rows = encode(rows, "ip_address", "ip_encoded", null_as="0.0.0.0", base=events)
+    rows = encode(rows, "event_type", "event_encoded", null_as="unknown", base=events)
     parts = calendar()
     return rows.withColumns({n: parts[n] for n in ("hour", "day_of_week", "minute")}).select(
         "event_id", *SIMPLE_COLUMNS
@@ -126,7 +139,8 @@ def explanation_features(events: DataFrame, max_rows: int = HOT_ROWS) -> DataFra
     """Calendar parts, gap to the previous event, codes, flags and the user's event count and active days."""
     nobody = events.where(F.col("username").isNull()).withColumn("hours_since_last", F.lit(0.0))
     rows = time_since_last(events, max_rows).unionByName(nobody)
-    rows = encode(encode(rows, "username", "username_encoded"), "ip_address", "ip_encoded")
+    rows = encode(rows, "username", "username_encoded", base=events)
+    rows = encode(rows, "ip_address", "ip_encoded", base=events)
     per_user = (
         events.where(F.col("username").isNotNull())
         .groupBy("username")
@@ -135,7 +149,9 @@ def explanation_features(events: DataFrame, max_rows: int = HOT_ROWS) -> DataFra
             ((F.max(micros("timestamp")) - F.min(micros("timestamp"))) / DAY_US).alias("active_days"),
         )
     )
-    rows = salted_join(rows, per_user, ["username"], "left", spread=["event_id"], max_rows=max_rows)
+    rows = salted_join(
+        rows, per_user, ["username"], "left", spread=["event_id"], base=known_users(events), max_rows=max_rows
+    )
     rows = rows.withColumns(
         calendar() | {"is_private_ip": is_private_ip(), "event_type_encoded": event_code()}
     ).withColumn("hour_username_interaction", F.col("hour") * F.col("username_encoded"))

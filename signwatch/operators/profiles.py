@@ -151,10 +151,14 @@ def failed_times(events: DataFrame) -> DataFrame:
     )
 
 
-def with_known_ip(rows: DataFrame, known: DataFrame, max_rows: int = HOT_ROWS) -> DataFrame:
+def with_known_ip(
+    rows: DataFrame, known: DataFrame, base: DataFrame | None = None, max_rows: int = HOT_ROWS
+) -> DataFrame:
     """Add ``known_ip``: whether the row's address is among the user's known ones."""
     seen = known.select("username", "ip_address", F.lit(True).alias("_seen"))
-    joined = salted_join(rows, seen, ["username", "ip_address"], "left", spread=["event_id"], max_rows=max_rows)
+    joined = salted_join(
+        rows, seen, ["username", "ip_address"], "left", spread=["event_id"], base=base, max_rows=max_rows
+    )
     return joined.withColumn("known_ip", F.coalesce("_seen", F.lit(False))).drop("_seen")
 
 
@@ -167,8 +171,15 @@ def similarity(rows: DataFrame, state: DataFrame, known: DataFrame, max_rows: in
     profile = state.select("username", (F.col("hour_sum") / F.col("n")).alias("_avg"), "day_mask").join(
         n_ips, "username", "left"
     )
+    base = known_users(rows)
     joined = salted_join(
-        with_known_ip(known_users(rows), known, max_rows), profile, USER, "left", spread=["event_id"], max_rows=max_rows
+        with_known_ip(base, known, max_rows=max_rows),
+        profile,
+        USER,
+        "left",
+        spread=["event_id"],
+        base=base,
+        max_rows=max_rows,
     )
     parts = F.array_compact(
         F.array(
@@ -227,12 +238,14 @@ def login_check(
     max_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rule cascade per login against ``user_profiles_simple`` of earlier history; the first rule that fits wins."""
+    base = known_users(rows)
     joined = salted_join(
-        with_known_ip(known_users(rows), known, max_rows),
+        with_known_ip(base, known, max_rows=max_rows),
         profiles.select("username", "login_hour_avg", "day_mask", "n_locations", "failed_attempts_recent"),
         USER,
         "left",
         spread=["event_id"],
+        base=base,
         max_rows=max_rows,
     ).withColumns({"_hour": hour(), "_day": day_of_week()})
     apart = F.abs(F.col("_hour") - F.col("login_hour_avg"))

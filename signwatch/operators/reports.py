@@ -38,3 +38,45 @@ def anomaly_report(anomalies: DataFrame, k: int = 10) -> DataFrame:
         .unionByName(users)
         .unionByName(section("day", "day"))
     )
+
+
+def alert_summary(alerts: DataFrame, since: Column, k: int = 10) -> DataFrame:
+    """Long form (section, key, n) of the alerts after ``since``: by severity, and the top users."""
+    rows = alerts.where(F.col("timestamp") > since)
+    severity = rows.groupBy(F.lit("severity").alias("section"), F.col("severity").alias("key")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    users = top(rows.where(F.col("username") != ""), "username", k)
+    return severity.unionByName(users.select(F.lit("top_users").alias("section"), F.col("username").alias("key"), "n"))
+
+
+def summary_cards(alerts: DataFrame) -> DataFrame:
+    """Total, high-severity count, distinct users and distinct anomaly types.
+
+    Grouped by user and type first, so that distinct counts never gather raw rows.
+    """
+    cells = alerts.groupBy("username", "anomaly_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("severity") == "high").alias("high")
+    )
+    return cells.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_alerts"),
+        F.coalesce(F.sum("high"), F.lit(0)).alias("high_severity"),
+        F.count_distinct("username").alias("users_affected"),
+        F.count_distinct("anomaly_type").alias("anomaly_types"),
+    )
+
+
+def alerts_per_day(alerts: DataFrame) -> DataFrame:
+    return count_by(alerts, F.to_date("timestamp").cast("string"), "day")
+
+
+def run_summary(events: DataFrame, anomalies: DataFrame) -> DataFrame:
+    """Long form (section, key, n): events, distinct users, anomalies by severity."""
+    users = events.groupBy("username").agg(F.count(F.lit(1)).alias("c"))
+    totals = users.agg(F.sum("c").alias("entries"), F.count("username").alias("users")).select(
+        F.expr("stack(2, 'entries', entries, 'users', users) AS (key, n)")
+    )
+    severity = anomalies.groupBy(F.lit("anomalies").alias("section"), F.col("severity").alias("key")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return totals.select(F.lit("events").alias("section"), "key", "n").unionByName(severity)

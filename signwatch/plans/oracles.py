@@ -422,3 +422,349 @@ ORACLES["login_check"] = oracle(
     WHEN 5 THEN 'High number of recent failed attempts (' || failed_attempts_recent || ') before this login'
     ELSE 'Login matches typical user behavior' END AS reason FROM v""",
 )
+
+# --- biometrics ------------------------------------------------------------------------------------------
+
+KEYS, MICE = ["keystrokes"], ["mouse_events"]
+
+
+def key_ctes(where: str, tag: str) -> dict[str, str]:
+    return {
+        f"k{tag}": f"SELECT *, epoch_us(timestamp) AS us FROM keystrokes WHERE {where}",
+        f"hold{tag}": f"""
+  SELECT d.event_id, d.username, d.session_id, (min(u.us) - d.us) / 1e6 AS hold FROM k{tag} d JOIN k{tag} u
+    ON u.username = d.username AND u.session_id = d.session_id AND u.key = d.key AND u.keystroke_type = 'up' AND u.us > d.us
+  WHERE d.keystroke_type = 'down' GROUP BY d.event_id, d.username, d.session_id, d.us""",
+        f"fl{tag}": f"""
+  SELECT event_id, username, session_id, CASE keystroke_type WHEN 'up' THEN 'flight' ELSE 'latency' END AS metric, (nus - us) / 1e6 AS seconds
+  FROM (SELECT *, lead(keystroke_type) OVER w AS nt, lead(us) OVER w AS nus FROM k{tag} WINDOW w AS (PARTITION BY username, session_id ORDER BY us, event_id))
+  WHERE nt = 'down'""",
+        f"sp{tag}": f"""
+  SELECT username, session_id, count(*) / ((max(us) - min(us)) / 60e6) AS speed FROM k{tag} GROUP BY username, session_id HAVING max(us) > min(us)""",
+        f"ks{tag}": f"""
+  SELECT username, session_id, 'hold' AS metric, hold AS value FROM hold{tag} UNION ALL SELECT username, session_id, metric, seconds FROM fl{tag}
+  UNION ALL SELECT username, session_id, 'speed', speed FROM sp{tag}""",
+    }
+
+
+def profile_sql(samples: str, metrics: list[str], counted: str) -> str:
+    columns = []
+    for m in metrics:
+        columns.append(f"coalesce(avg(value) FILTER (WHERE metric = '{m}'), 0) AS {m}_mean")
+        if m not in ("turn", "efficiency"):
+            columns.append(f"coalesce(stddev_samp(value) FILTER (WHERE metric = '{m}'), 0) AS {m}_std")
+    return f"SELECT username, {', '.join(columns)}, count(*) FILTER (WHERE metric IN ({counted})) AS samples FROM {samples} GROUP BY username"
+
+
+def rounded_profile(name: str, metrics: list[str]) -> str:
+    places = {m: 3 if m in ("hold", "flight", "latency", "click") else 6 for m in metrics}
+    columns = [f"round({m}_mean, {places[m]}) AS {m}_mean" for m in metrics]
+    columns += [f"round({m}_std, {places[m]}) AS {m}_std" for m in metrics if m not in ("turn", "efficiency")]
+    return f"SELECT username, {', '.join(columns)}, samples FROM {name}"
+
+
+def means_sql(samples: str, metrics: list[str]) -> str:
+    columns = ", ".join(f"avg(value) FILTER (WHERE metric = '{m}') AS now_{m}" for m in metrics)
+    return f"SELECT username, session_id, {columns} FROM {samples} GROUP BY username, session_id"
+
+
+def z_sql(m: str) -> str:
+    return f"CASE WHEN {m}_std > 0 THEN abs(now_{m} - {m}_mean) / {m}_std END"
+
+
+def score_sql(measures: str, checks: list[tuple[float, float, str]], normal: str, missing: str, confidence: float) -> str:
+    """checks: (limit, weight, label) over the columns m0, m1, m2 of the table ``measures``."""
+    score = " + ".join(f"CASE WHEN m{i} > {limit} THEN m{i} * {w} ELSE 0 END" for i, (limit, w, _) in enumerate(checks))
+    notes = ", ".join(f"CASE WHEN m{i} > {limit} THEN '{label}' || format('{{:.2f}}', m{i}) END" for i, (limit, _, label) in enumerate(checks))
+    return f"""
+  SELECT username, session_id, CASE WHEN known THEN score > 1.0 ELSE true END AS is_anomaly,
+    CASE WHEN known THEN least(score, 1.0) ELSE {confidence} END AS confidence, CASE WHEN known THEN score END AS anomaly_score,
+    CASE WHEN NOT known THEN '{missing}' WHEN notes = '' THEN '{normal}' ELSE notes END AS details
+  FROM (SELECT username, session_id, known, CAST({score} AS DOUBLE) AS score, concat_ws('; ', {notes}) AS notes FROM {measures})"""
+
+
+KEY_METRICS = ["hold", "flight", "latency", "speed"]
+MOUSE_METRICS = ["speed", "acceleration", "turn", "click", "efficiency"]
+
+
+def mouse_ctes(where: str, tag: str) -> dict[str, str]:
+    part = "PARTITION BY username, session_id ORDER BY us, event_id"
+    return {
+        f"m{tag}": f"SELECT *, epoch_us(timestamp) AS us FROM mouse_events WHERE {where}",
+        f"st{tag}": f"""
+  SELECT *, x - lag(x) OVER w AS dx, y - lag(y) OVER w AS dy, (us - lag(us) OVER w) / 1e6 AS dt,
+    lag(x) OVER w - lag(x, 2) OVER w AS px, lag(y) OVER w - lag(y, 2) OVER w AS py, (lag(us) OVER w - lag(us, 2) OVER w) / 1e6 AS pdt,
+    lead(x) OVER w - x AS nx, lead(y) OVER w - y AS ny
+  FROM m{tag} WHERE event_type = 'move' WINDOW w AS ({part})""",
+        f"mv{tag}": f"""
+  SELECT event_id, username, session_id, us, x, y, sqrt(dx * dx + dy * dy) AS step, CASE WHEN dt > 0 THEN sqrt(dx * dx + dy * dy) / dt END AS speed,
+    CASE WHEN dt > 0 AND pdt > 0 THEN (sqrt(dx * dx + dy * dy) / dt - sqrt(px * px + py * py) / pdt) / dt END AS acceleration,
+    CASE WHEN sqrt(dx * dx + dy * dy) * sqrt(nx * nx + ny * ny) > 0 THEN
+      acos(greatest(-1.0, least(1.0, (dx * nx + dy * ny) / (sqrt(dx * dx + dy * dy) * sqrt(nx * nx + ny * ny))))) END AS angle
+  FROM st{tag}""",
+        f"cl{tag}": f"""
+  SELECT * FROM (SELECT event_id, username, session_id, (us - lag(us) OVER ({part})) / 1e6 AS gap FROM m{tag} WHERE event_type = 'click') WHERE gap IS NOT NULL""",
+        f"pe{tag}": f"""
+  SELECT username, session_id, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) / path AS efficiency FROM (
+    SELECT username, session_id, first(x ORDER BY us, event_id) AS x1, first(y ORDER BY us, event_id) AS y1, last(x ORDER BY us, event_id) AS x2,
+      last(y ORDER BY us, event_id) AS y2, sum(step) AS path FROM mv{tag} GROUP BY username, session_id) WHERE path > 0""",
+        f"ms{tag}": f"""
+  SELECT username, session_id, 'speed' AS metric, speed AS value FROM mv{tag} WHERE speed IS NOT NULL
+  UNION ALL SELECT username, session_id, 'acceleration', acceleration FROM mv{tag} WHERE acceleration IS NOT NULL
+  UNION ALL SELECT username, session_id, 'turn', angle FROM mv{tag} WHERE angle > pi() / 4
+  UNION ALL SELECT username, session_id, 'click', gap FROM cl{tag} UNION ALL SELECT username, session_id, 'efficiency', efficiency FROM pe{tag}""",
+    }
+
+
+KEY_SCORE = (
+    key_ctes("day(timestamp) < 20", "0")
+    | key_ctes("day(timestamp) >= 20", "1")
+    | {
+        "kprof": profile_sql("ks0", KEY_METRICS, "'hold', 'flight', 'latency'"),
+        "kmeasures": f"""
+  SELECT s.username, s.session_id, p.username IS NOT NULL AS known, {z_sql("hold")} AS m0, {z_sql("flight")} AS m1, {z_sql("speed")} AS m2
+  FROM ({means_sql("ks1", KEY_METRICS)}) s LEFT JOIN kprof p USING (username)""",
+        "kscore": score_sql(
+            "kmeasures",
+            [
+                (2, 0.3, "Hold time deviation: z-score "),
+                (2, 0.3, "Flight time deviation: z-score "),
+                (2, 0.4, "Typing speed deviation: z-score "),
+            ],
+            "Normal keystroke pattern",
+            "No keystroke profile for user",
+            0.9,
+        ),
+    }
+)
+MOUSE_SCORE = (
+    mouse_ctes("day(timestamp) < 20", "0")
+    | mouse_ctes("day(timestamp) >= 20", "1")
+    | {
+        "mprof": profile_sql("ms0", MOUSE_METRICS, "'speed', 'click'"),
+        "mmeasures": f"""
+  SELECT s.username, s.session_id, p.username IS NOT NULL AS known, {z_sql("speed")} AS m0, {z_sql("click")} AS m1,
+    CASE WHEN efficiency_mean > 0 THEN abs(now_efficiency - efficiency_mean) / efficiency_mean END AS m2
+  FROM ({means_sql("ms1", MOUSE_METRICS)}) s LEFT JOIN mprof p USING (username)""",
+        "mscore": score_sql(
+            "mmeasures",
+            [
+                (2, 0.4, "Mouse speed deviation: z-score "),
+                (2, 0.3, "Click interval deviation: z-score "),
+                (0.5, 0.3, "Path efficiency deviation: ratio "),
+            ],
+            "Normal mouse pattern",
+            "No mouse profile for user",
+            0.8,
+        ),
+    }
+)
+SCORE_COLUMNS = """SELECT username, session_id, is_anomaly::INT::BIGINT AS is_anomaly, round(confidence, 6) AS confidence,
+  round(anomaly_score, 6) AS anomaly_score, details FROM """
+
+ORACLES["key_hold_times"] = oracle(KEYS, key_ctes("true", ""), "SELECT * REPLACE (round(hold, 6) AS hold) FROM hold")
+ORACLES["key_flight_latency"] = oracle(KEYS, key_ctes("true", ""), "SELECT * REPLACE (round(seconds, 6) AS seconds) FROM fl")
+ORACLES["typing_speed"] = oracle(KEYS, key_ctes("true", ""), "SELECT * REPLACE (round(speed, 6) AS speed) FROM sp")
+ORACLES["keystroke_profile"] = oracle(
+    KEYS,
+    key_ctes("true", "") | {"prof": profile_sql("ks", KEY_METRICS, "'hold', 'flight', 'latency'")},
+    rounded_profile("prof", KEY_METRICS),
+)
+ORACLES["keystroke_anomaly"] = oracle(KEYS, KEY_SCORE, SCORE_COLUMNS + "kscore")
+ORACLES["mouse_speed"] = oracle(
+    MICE,
+    mouse_ctes("true", ""),
+    "SELECT event_id, username, session_id, round(speed, 6) AS speed, round(acceleration, 6) AS acceleration FROM mv WHERE speed IS NOT NULL",
+)
+ORACLES["mouse_turns"] = oracle(
+    MICE, mouse_ctes("true", ""), "SELECT event_id, username, session_id, round(angle, 6) AS turn FROM mv WHERE angle > pi() / 4"
+)
+ORACLES["click_intervals"] = oracle(
+    MICE, mouse_ctes("true", ""), "SELECT event_id, username, session_id, round(gap, 6) AS interval FROM cl"
+)
+ORACLES["path_efficiency"] = oracle(
+    MICE, mouse_ctes("true", ""), "SELECT username, session_id, round(efficiency, 6) AS efficiency FROM pe"
+)
+ORACLES["mouse_profile"] = oracle(
+    MICE,
+    mouse_ctes("true", "") | {"prof": profile_sql("ms", MOUSE_METRICS, "'speed', 'click'")},
+    rounded_profile("prof", MOUSE_METRICS),
+)
+ORACLES["mouse_anomaly"] = oracle(MICE, MOUSE_SCORE, SCORE_COLUMNS + "mscore")
+ORACLES["biometric_session"] = oracle(
+    KEYS + MICE,
+    KEY_SCORE | MOUSE_SCORE,
+    """SELECT username, session_id, (coalesce(k.is_anomaly, false) OR coalesce(m.is_anomaly, false))::INT::BIGINT AS overall_anomaly,
+  round(greatest(CASE WHEN k.is_anomaly THEN k.confidence ELSE 0 END, CASE WHEN m.is_anomaly THEN m.confidence ELSE 0 END), 6) AS confidence,
+  concat_ws('; ', 'Keystroke: ' || k.details, 'Mouse: ' || m.details) AS details
+FROM kscore k FULL JOIN mscore m USING (username, session_id)""",
+)
+
+# --- explanations ----------------------------------------------------------------------------------------
+
+
+def rules_sql(rows: str) -> str:
+    return f"""
+  SELECT r.*, concat_ws(' | ', CASE WHEN hour(timestamp) < 6 OR hour(timestamp) > 22 THEN 'Login at unusual time (' || hour(timestamp) || ':00)' END,
+    CASE WHEN isodow(timestamp) >= 6 THEN 'Login on weekend' END,
+    CASE WHEN p.username IS NOT NULL AND l.seen IS NULL THEN 'Login from new IP address: ' || coalesce(r.ip_address, 'None') END,
+    CASE WHEN p.username IS NOT NULL THEN 'Activity pattern differs from baseline' END) AS rule_based
+  FROM {rows} r LEFT JOIN (SELECT DISTINCT username FROM old) p ON p.username = r.username
+  LEFT JOIN ({LOC_KNOWN}) l ON l.username = r.username AND l.ip_address = r.ip_address"""
+
+
+SHARES = {
+    "total": "SELECT count(*) AS total FROM auth_events",
+    "hs": "SELECT hour(timestamp) AS v, count(*) AS n, count(*) / (SELECT total FROM total) AS share FROM auth_events GROUP BY 1",
+    "ips": "SELECT ip_address AS v, count(*) AS n, count(*) / (SELECT total FROM total) AS share FROM auth_events WHERE ip_address IS NOT NULL GROUP BY 1",
+    "us": "SELECT username AS v, count(*) AS n, count(*) / (SELECT total FROM total) AS share FROM auth_events WHERE username IS NOT NULL GROUP BY 1",
+}
+
+
+def rarity_sql(rows: str) -> str:
+    return f"""
+  SELECT r.*, concat_ws(' | ',
+    CASE WHEN hs.share < 0.05 THEN 'Login at rare hour (' || hour(timestamp) || ':00, only ' || format('{{:.1f}}', hs.share * 100) || '% of logins occur at this time)' END,
+    CASE WHEN coalesce(ips.share, 0) < 0.05 THEN 'Login from rare IP (' || coalesce(ip_address, 'None') || ', only ' || format('{{:.1f}}', coalesce(ips.share, 0.0) * 100)
+      || '% of logins from this IP)' END,
+    CASE WHEN coalesce(us.share, 0) < 0.01 THEN 'Rare user account (only ' || format('{{:.1f}}', coalesce(us.share, 0.0) * 100) || '% of all logins)' END) AS rarity
+  FROM {rows} r LEFT JOIN hs ON hs.v = hour(timestamp) LEFT JOIN ips ON ips.v = ip_address LEFT JOIN us ON us.v = username"""
+
+
+MATCH = DETECT | {
+    "records": "SELECT timestamp, username, ip_address, min(event_id) AS record_id FROM auth_events GROUP BY ALL",
+    "matched": "SELECT d.*, record_id FROM deduped d JOIN records USING (timestamp, username, ip_address)",
+}
+REPORT = MATCH | {"old": HISTORY} | SHARES | {"ruled": rules_sql("matched"), "report": rarity_sql("ruled")}
+
+ORACLES["explain_match"] = oracle(EV, MATCH, "SELECT * EXCLUDE (priority) FROM matched")
+ORACLES["explain_rules"] = oracle(
+    EV, {"old": HISTORY, "new": "SELECT * FROM auth_events WHERE timestamp >= TIMESTAMP '2024-01-16'", "ruled": rules_sql("new")},
+    "SELECT event_id, username, rule_based FROM ruled",
+)
+ORACLES["value_rarity"] = oracle(
+    EV,
+    SHARES,
+    """SELECT 'hour' AS kind, CAST(v AS VARCHAR) AS value, n, round(share, 6) AS share FROM hs UNION ALL SELECT 'ip', v, n, round(share, 6) FROM ips
+UNION ALL SELECT 'user', v, n, round(share, 6) FROM us""",
+)
+ORACLES["explain_rarity"] = oracle(EV, SHARES | {"r": rarity_sql("auth_events")}, "SELECT event_id, rarity FROM r")
+ORACLES["explained_report"] = oracle(
+    EV, REPORT, "SELECT event_id, record_id, anomaly_type, severity, rule_based, rarity FROM report"
+)
+ORACLES["explanation_summary"] = oracle(
+    EV,
+    REPORT | {"texts": "SELECT unnest(string_split(rule_based, ' | ')) AS key FROM report WHERE rule_based <> ''"},
+    """SELECT 'total' AS section, 'all' AS key, count(*) AS n FROM report UNION ALL SELECT 'severity', severity, count(*) FROM report GROUP BY severity
+UNION ALL SELECT * FROM (SELECT 'pattern', key, count(*) AS n FROM texts GROUP BY key ORDER BY n DESC, key LIMIT 5)""",
+)
+
+# --- alerts ----------------------------------------------------------------------------------------------
+
+AL = ["auth_events", "alerts_input"]
+MESSAGE = """CASE severity WHEN 'high' THEN 'HIGH SEVERITY ALERT: Suspicious activity detected for user ' || coalesce(username, 'Unknown')
+  WHEN 'medium' THEN 'MEDIUM SEVERITY: Unusual activity detected for user ' || coalesce(username, 'Unknown')
+  WHEN 'low' THEN 'LOW SEVERITY: Minor anomaly detected for user ' || coalesce(username, 'Unknown') ELSE 'ANOMALY DETECTED: ' || details END"""
+STAMP = """CASE WHEN epoch_us(timestamp) % 1000000 = 0 THEN strftime(timestamp, '%Y-%m-%d %H:%M:%S') ELSE strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f') END"""
+SUBJECT = "'[' || upper(severity) || '] Security Alert: ' || coalesce(username, 'Unknown User')"
+BODY = f"""'Security Alert' || chr(10) || chr(10) || 'Timestamp: ' || {STAMP} || chr(10) || 'User: ' || coalesce(username, 'Unknown') || chr(10)
+  || 'IP Address: ' || coalesce(ip_address, 'Unknown') || chr(10) || 'Severity: ' || upper(severity) || chr(10) || 'Type: ' || anomaly_type || chr(10)
+  || 'Details: ' || details"""
+FIRED = {
+    "ranked": """
+  SELECT *, timestamp > TIMESTAMP '2024-01-31' - INTERVAL 30 DAY AS inside,
+    sum(CASE WHEN timestamp > TIMESTAMP '2024-01-31' - INTERVAL 30 DAY THEN 1 ELSE 0 END) OVER (PARTITION BY severity ORDER BY alert_id) AS r FROM alerts_input""",
+    "fired": """
+  SELECT * FROM ranked WHERE CASE severity WHEN 'high' THEN inside AND r % 3 = 0 WHEN 'medium' THEN inside AND r % 5 = 0 ELSE true END""",
+    "flagged": """
+  SELECT a.*, coalesce(alert_id <= last, false) AS notified FROM alerts_input a
+  LEFT JOIN (SELECT severity, max(alert_id) AS last FROM fired GROUP BY severity) USING (severity)""",
+}
+ORACLES["alerts"] = oracle(
+    EV,
+    DETECT,
+    """SELECT event_id AS alert_id, timestamp, username, coalesce(ip_address, '') AS ip_address, severity, anomaly_type, details,
+  CAST(0 AS BIGINT) AS notified, 'active' AS status FROM deduped""",
+)
+ORACLES["alert_message"] = oracle(AL, {}, f"SELECT alert_id, {MESSAGE} AS message FROM alerts_input")
+ORACLES["alert_lines"] = oracle(
+    AL,
+    {},
+    f"""SELECT alert_id, 'Alert triggered: ' || {MESSAGE} AS log_line, 'Alert triggered: ' || upper(severity) || ' SEVERITY: ' || details AS short_line,
+  'ALERT: User ' || coalesce(username, 'None') || ' login from ' || coalesce(ip_address, 'None') || ' at ' || {STAMP} || ' — Risk: ' || upper(severity)
+  || chr(10) || '       Reason: ' || details AS analyst_line FROM alerts_input""",
+)
+ORACLES["notification_text"] = oracle(AL, {}, f"SELECT alert_id, {SUBJECT} AS subject, {BODY} AS body FROM alerts_input")
+ORACLES["notifications"] = oracle(AL, FIRED, "SELECT alert_id, severity, timestamp FROM fired")
+ORACLES["notified_flags"] = oracle(AL, FIRED, "SELECT alert_id, severity, notified::INT::BIGINT AS notified FROM flagged")
+ORACLES["recent_unnotified"] = oracle(
+    AL,
+    FIRED,
+    """SELECT alert_id, timestamp, username, severity FROM flagged WHERE NOT notified AND timestamp > TIMESTAMP '2024-01-31' - INTERVAL 30 DAY
+ORDER BY timestamp DESC""",
+)
+ORACLES["outbox"] = oracle(
+    AL,
+    FIRED,
+    f"""SELECT alert_id, 'email' AS channel, {SUBJECT} AS subject, {BODY} AS body FROM fired
+UNION ALL SELECT alert_id, 'log', NULL, 'Security Alert: ' || {MESSAGE} FROM fired""",
+)
+ORACLES["alert_status"] = oracle(AL, {}, "SELECT alert_id, severity, status FROM alerts_input")
+ORACLES["alerts_by_severity"] = oracle(
+    AL, {}, "SELECT * EXCLUDE (status) FROM alerts_input WHERE status = 'active' AND severity = 'high'"
+)
+ORACLES["alerts_by_user"] = oracle(
+    AL, {}, "SELECT * EXCLUDE (status) FROM alerts_input WHERE status = 'active' AND username = 'user_7'"
+)
+ORACLES["active_alerts"] = oracle(AL, {}, "SELECT * FROM alerts_input WHERE status = 'active'")
+ORACLES["alert_history"] = oracle(AL, {}, "SELECT * FROM alerts_input ORDER BY timestamp DESC, alert_id DESC LIMIT 100")
+ORACLES["recent_alerts"] = oracle(
+    AL,
+    {},
+    """SELECT alert_id, timestamp, username, ip_address, upper(severity) AS severity,
+  CASE WHEN length(details) > 50 THEN substr(details, 1, 50) || '...' ELSE details END AS details
+FROM alerts_input WHERE status = 'active' ORDER BY timestamp DESC, alert_id DESC LIMIT 10""",
+)
+ORACLES["alert_summary"] = oracle(
+    AL,
+    {"recent": "SELECT * FROM alerts_input WHERE timestamp > TIMESTAMP '2024-01-24'"},
+    """SELECT 'severity' AS section, severity AS key, count(*) AS n FROM recent GROUP BY severity
+UNION ALL SELECT * FROM (SELECT 'top_users', username, count(*) AS n FROM recent WHERE username <> '' GROUP BY username ORDER BY n DESC, username LIMIT 10)""",
+)
+ACTIVE = "FROM alerts_input WHERE status = 'active'"
+ORACLES["summary_cards"] = oracle(
+    AL,
+    {},
+    f"""SELECT count(*) AS total_alerts, count(*) FILTER (WHERE severity = 'high') AS high_severity, count(DISTINCT username) AS users_affected,
+  count(DISTINCT anomaly_type) AS anomaly_types {ACTIVE}""",
+)
+ORACLES["alerts_per_day"] = oracle(AL, {}, f"SELECT CAST(CAST(timestamp AS DATE) AS VARCHAR) AS day, count(*) AS n {ACTIVE} GROUP BY 1")
+ORACLES["severity_distribution"] = oracle(AL, {}, f"SELECT severity, count(*) AS n {ACTIVE} GROUP BY 1")
+ORACLES["type_distribution"] = oracle(AL, {}, f"SELECT anomaly_type, count(*) AS n {ACTIVE} GROUP BY 1")
+ORACLES["top_users"] = oracle(
+    AL, {}, f"SELECT username, count(*) AS n {ACTIVE} AND username IS NOT NULL GROUP BY 1 ORDER BY n DESC, username LIMIT 10"
+)
+ORACLES["top3_ips_hours"] = oracle(
+    EV,
+    {
+        "known": KNOWN,
+        "vals": """
+  SELECT username, 'ip' AS kind, ip_address AS value, count(*) AS n, 0 AS h FROM known WHERE ip_address IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT username, 'hour', CAST(hour(timestamp) AS VARCHAR), count(*), hour(timestamp) FROM known GROUP BY username, hour(timestamp)""",
+    },
+    """SELECT username, kind, value, n, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY username, kind ORDER BY n DESC, h, value) AS rank FROM vals) WHERE rank <= 3""",
+)
+ORACLES["first_anomalies"] = oracle(
+    EV, DETECT, "SELECT event_id, username, anomaly_type, severity, details FROM deduped ORDER BY priority, event_id LIMIT 5"
+)
+ORACLES["run_summary"] = oracle(
+    EV,
+    DETECT,
+    """SELECT 'events' AS section, 'entries' AS key, count(*) AS n FROM auth_events UNION ALL SELECT 'events', 'users', count(DISTINCT username) FROM auth_events
+UNION ALL SELECT 'anomalies', severity, count(*) FROM deduped GROUP BY severity""",
+)
+ORACLES["severity_bands"] = """SELECT event_id, CASE WHEN -value / 100 < -0.5 THEN 'high' ELSE 'medium' END AS severity,
+  CASE WHEN -value / 100 < -0.5 THEN 'high' WHEN -value / 100 < -0.2 THEN 'medium' ELSE 'low' END AS severity_three FROM events"""
+ORACLES["risk_band"] = """SELECT event_id, CASE WHEN value / 100 > 0.7 THEN 'red' WHEN value / 100 > 0.4 THEN 'orange' ELSE 'green' END AS band,
+  CASE WHEN value / 100 < 0.05 THEN 'red' WHEN value / 100 < 0.2 THEN 'orange' ELSE 'green' END AS colour FROM events"""

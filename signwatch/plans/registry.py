@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signwatch.functions import scalars
-from signwatch.operators import detectors, features, profiles
+from signwatch.operators import alerts as alerting
+from signwatch.operators import biometrics, detectors, explain, features, profiles
 from signwatch.operators import reports
 from signwatch.plans import fixtures as fx
 from signwatch.sources import logs
@@ -26,9 +27,9 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
-def rounded(df: DataFrame, *names: str) -> DataFrame:
+def rounded(df: DataFrame, *names: str, places: int = 6) -> DataFrame:
     """Doubles to 6 places, so that both engines print them alike."""
-    return df.withColumns({n: F.round(F.col(n).cast("double"), 6) + F.lit(0.0) for n in names})
+    return df.withColumns({n: F.round(F.col(n).cast("double"), places) + F.lit(0.0) for n in names})
 
 
 # --- detectors -------------------------------------------------------------------------------------------
@@ -320,3 +321,317 @@ def login_check(spark, sf):
     return profiles.login_check(
         recent(spark, sf), profiles.user_profiles_simple(old, CUTOFF), profiles.locations(old)
     )
+
+
+# --- biometrics ------------------------------------------------------------------------------------------
+
+
+def whole(df: DataFrame, *names: str) -> DataFrame:
+    """Booleans as 0 / 1."""
+    return df.withColumns({n: F.col(n).cast("bigint") for n in names})
+
+
+def before_day_20(df: DataFrame) -> DataFrame:
+    return df.where(F.dayofmonth("timestamp") < 20)
+
+
+def from_day_20(df: DataFrame) -> DataFrame:
+    return df.where(F.dayofmonth("timestamp") >= 20)
+
+
+@query
+def key_hold_times(spark, sf):
+    return rounded(biometrics.hold_times(fx.keystrokes(spark, sf)), "hold")
+
+
+@query
+def key_flight_latency(spark, sf):
+    return rounded(biometrics.flight_latency(fx.keystrokes(spark, sf)), "seconds")
+
+
+@query
+def typing_speed(spark, sf):
+    return rounded(biometrics.typing_speed(fx.keystrokes(spark, sf)), "speed")
+
+
+def rounded_profile(rows: DataFrame) -> DataFrame:
+    """Means of whole microseconds are often exact ties at 6 places, so times are rounded to 3."""
+    times = [c for c in rows.columns if c.startswith(("hold_", "flight_", "latency_", "click_"))]
+    rest = [c for c in rows.columns if c.endswith(("_mean", "_std")) and c not in times]
+    return rounded(rounded(rows, *times, places=3), *rest)
+
+
+@query
+def keystroke_profile(spark, sf):
+    return rounded_profile(biometrics.keystroke_profile(biometrics.keystroke_samples(fx.keystrokes(spark, sf))))
+
+
+def keystroke_scores(spark, sf):
+    keys = fx.keystrokes(spark, sf)
+    profile = biometrics.keystroke_profile(biometrics.keystroke_samples(before_day_20(keys)))
+    return biometrics.keystroke_anomaly(biometrics.keystroke_samples(from_day_20(keys)), profile)
+
+
+@query
+def keystroke_anomaly(spark, sf):
+    return whole(rounded(keystroke_scores(spark, sf), "confidence", "anomaly_score"), "is_anomaly")
+
+
+@query
+def mouse_speed(spark, sf):
+    rows = biometrics.mouse_moves(fx.mouse_events(spark, sf)).where(F.col("speed").isNotNull())
+    return rounded(rows.select("event_id", "username", "session_id", "speed", "acceleration"), "speed", "acceleration")
+
+
+@query
+def mouse_turns(spark, sf):
+    rows = biometrics.mouse_moves(fx.mouse_events(spark, sf)).where(F.col("turn").isNotNull())
+    return rounded(rows.select("event_id", "username", "session_id", "turn"), "turn")
+
+
+@query
+def click_intervals(spark, sf):
+    return rounded(biometrics.click_intervals(fx.mouse_events(spark, sf)), "interval")
+
+
+@query
+def path_efficiency(spark, sf):
+    return rounded(biometrics.path_efficiency(biometrics.mouse_moves(fx.mouse_events(spark, sf))), "efficiency")
+
+
+@query
+def mouse_profile(spark, sf):
+    return rounded_profile(biometrics.mouse_profile(biometrics.mouse_samples(fx.mouse_events(spark, sf))))
+
+
+def mouse_scores(spark, sf):
+    mouse = fx.mouse_events(spark, sf)
+    profile = biometrics.mouse_profile(biometrics.mouse_samples(before_day_20(mouse)))
+    return biometrics.mouse_anomaly(biometrics.mouse_samples(from_day_20(mouse)), profile)
+
+
+@query
+def mouse_anomaly(spark, sf):
+    return whole(rounded(mouse_scores(spark, sf), "confidence", "anomaly_score"), "is_anomaly")
+
+
+@query
+def biometric_session(spark, sf):
+    rows = biometrics.session_verdict(keystroke_scores(spark, sf), mouse_scores(spark, sf))
+    return whole(rounded(rows, "confidence"), "overall_anomaly")
+
+
+# --- explanations ----------------------------------------------------------------------------------------
+
+
+def joined_texts(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.array_join(n, " | ") for n in names})
+
+
+@query
+def explain_match(spark, sf):
+    events = fx.auth_events(spark, sf)
+    return explain.match_records(detectors.detect(events), events).drop("priority")
+
+
+@query
+def explain_rules(spark, sf):
+    old = history(spark, sf)
+    rows = explain.rules(recent(spark, sf), profiles.profile_state(old), profiles.locations(old))
+    return joined_texts(rows.select("event_id", "username", "rule_based"), "rule_based")
+
+
+@query
+def value_rarity(spark, sf):
+    return rounded(explain.value_rarity(fx.auth_events(spark, sf)), "share")
+
+
+@query
+def explain_rarity(spark, sf):
+    events = fx.auth_events(spark, sf)
+    return joined_texts(explain.rarity(events, events).select("event_id", "rarity"), "rarity")
+
+
+def report(spark, sf):
+    events, old = fx.auth_events(spark, sf), history(spark, sf)
+    return explain.explained_report(
+        detectors.detect(events), events, profiles.profile_state(old), profiles.locations(old)
+    )
+
+
+@query
+def explained_report(spark, sf):
+    columns = ["event_id", "record_id", "anomaly_type", "severity", "rule_based", "rarity"]
+    return joined_texts(report(spark, sf).select(*columns), "rule_based", "rarity")
+
+
+@query
+def explanation_summary(spark, sf):
+    return explain.explanation_summary(report(spark, sf))
+
+
+# --- alerts ----------------------------------------------------------------------------------------------
+
+MONTH_MINUTES = 30 * 24 * 60
+
+
+@query
+def alerts(spark, sf):
+    return whole(alerting.from_anomalies(detectors.detect(fx.auth_events(spark, sf))), "notified")
+
+
+@query
+def alert_message(spark, sf):
+    return fx.alerts_input(spark, sf).select("alert_id", alerting.message().alias("message"))
+
+
+@query
+def alert_lines(spark, sf):
+    return fx.alerts_input(spark, sf).select(
+        "alert_id",
+        alerting.log_line().alias("log_line"),
+        alerting.log_line_simple().alias("short_line"),
+        alerting.analyst_line().alias("analyst_line"),
+    )
+
+
+@query
+def notification_text(spark, sf):
+    return fx.alerts_input(spark, sf).select(
+        "alert_id", alerting.subject().alias("subject"), alerting.body().alias("body")
+    )
+
+
+@query
+def notifications(spark, sf):
+    rows = alerting.notifications(fx.alerts_input(spark, sf), fx.AS_OF, MONTH_MINUTES)
+    return rows.select("alert_id", "severity", "timestamp")
+
+
+@query
+def notified_flags(spark, sf):
+    rows = alerting.notified_flags(fx.alerts_input(spark, sf), fx.AS_OF, MONTH_MINUTES)
+    return whole(rows.select("alert_id", "severity", "notified"), "notified")
+
+
+@query
+def recent_unnotified(spark, sf):
+    flagged = alerting.notified_flags(fx.alerts_input(spark, sf), fx.AS_OF, MONTH_MINUTES)
+    rows = alerting.recent_unnotified(flagged, fx.AS_OF, MONTH_MINUTES)
+    return rows.select("alert_id", "timestamp", "username", "severity")
+
+
+@query
+def outbox(spark, sf):
+    return alerting.outbox(alerting.notifications(fx.alerts_input(spark, sf), fx.AS_OF, MONTH_MINUTES))
+
+
+@query
+def alert_status(spark, sf):
+    """Alerts acknowledged an hour and cleared two hours after they were raised."""
+    rows = fx.alerts_input(spark, sf)
+    touched, gone = rows.where("status <> 'active'"), rows.where("status = 'cleared'")
+    changes = alerting.change_status(touched, "acknowledged", F.expr("timestamp + INTERVAL 1 HOUR")).unionByName(
+        alerting.change_status(gone, "cleared", F.expr("timestamp + INTERVAL 2 HOURS"))
+    )
+    current = alerting.current_status(rows, changes)
+    return current.select("alert_id", "severity", "status")
+
+
+@query
+def alerts_by_severity(spark, sf):
+    return alerting.active(fx.alerts_input(spark, sf)).where("severity = 'high'").drop("status")
+
+
+@query
+def alerts_by_user(spark, sf):
+    return alerting.active(fx.alerts_input(spark, sf)).where("username = 'user_7'").drop("status")
+
+
+@query
+def active_alerts(spark, sf):
+    return alerting.active(fx.alerts_input(spark, sf))
+
+
+@query
+def alert_history(spark, sf):
+    return alerting.newest(fx.alerts_input(spark, sf), 100)
+
+
+@query
+def recent_alerts(spark, sf):
+    return alerting.recent_table(fx.alerts_input(spark, sf))
+
+
+@query
+def alert_summary(spark, sf):
+    since = F.expr(f"TIMESTAMP_NTZ'{fx.AS_OF}' - INTERVAL 7 DAYS")
+    return reports.alert_summary(fx.alerts_input(spark, sf), since)
+
+
+@query
+def summary_cards(spark, sf):
+    return reports.summary_cards(alerting.active(fx.alerts_input(spark, sf)))
+
+
+@query
+def alerts_per_day(spark, sf):
+    return reports.alerts_per_day(alerting.active(fx.alerts_input(spark, sf)))
+
+
+@query
+def severity_distribution(spark, sf):
+    return reports.count_by(alerting.active(fx.alerts_input(spark, sf)), "severity", "severity")
+
+
+@query
+def type_distribution(spark, sf):
+    return reports.count_by(alerting.active(fx.alerts_input(spark, sf)), "anomaly_type", "anomaly_type")
+
+
+@query
+def top_users(spark, sf):
+    return reports.top(alerting.active(fx.alerts_input(spark, sf)).where("username IS NOT NULL"), "username")
+
+
+@query
+def top3_ips_hours(spark, sf):
+    """The three most frequent addresses and hours of each user."""
+    events = fx.auth_events(spark, sf).where("username IS NOT NULL").withColumn("hour", scalars.hour())
+    ips = detectors.top_values(events, ["username"], "ip_address", 3).withColumnRenamed("ip_address", "value")
+    hours = detectors.top_values(events, ["username"], "hour", 3).withColumn("hour", F.col("hour").cast("string"))
+    both = ips.withColumn("kind", F.lit("ip")).unionByName(
+        hours.withColumnRenamed("hour", "value").withColumn("kind", F.lit("hour"))
+    )
+    return both.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query
+def first_anomalies(spark, sf):
+    rows = detectors.detect(fx.auth_events(spark, sf)).orderBy("priority", "event_id").limit(5)
+    return rows.select("event_id", "username", "anomaly_type", "severity", "details")
+
+
+@query
+def run_summary(spark, sf):
+    events = fx.auth_events(spark, sf)
+    return reports.run_summary(events, detectors.detect(events))
+
+
+@query
+def severity_bands(spark, sf):
+    """Bands of a score taken from the event value, falling from 0."""
+    rows = fx.load(spark, sf, "events").select("event_id", (-F.col("value") / 100).alias("score"))
+    return rows.select(
+        "event_id",
+        scalars.score_severity("score").alias("severity"),
+        scalars.score_severity_three("score").alias("severity_three"),
+    )
+
+
+@query
+def risk_band(spark, sf):
+    rows = fx.load(spark, sf, "events").select("event_id", (F.col("value") / 100).alias("risk"))
+    return rows.withColumn("severity", scalars.score_severity_three("risk", 0.05, 0.2)).select(
+        "event_id", scalars.risk_band("risk").alias("band"), scalars.severity_colour().alias("colour")
+    )

@@ -12,6 +12,8 @@ is the bound that makes broadcasting it safe at any input size.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,25 +146,27 @@ def salted_join(
     keys: list[str],
     how: str = "inner",
     spread: list[str] | None = None,
-    hot: DataFrame | None = None,
+    base: DataFrame | None = None,
     max_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join a big table with a table of few rows per key; rows of a hot key are spread over several tasks.
 
     Only the hot keys' rows of ``small`` are repeated. ``spread`` names columns of ``big`` whose hash picks
-    the salt (a row identity).
+    the salt (a row identity). ``base`` is the table to count keys in, when ``big`` is the outcome of a long plan:
+    its rows are a subset or equal in number per key, and counting the source does not run that plan twice.
     """
-    if hot is None:
-        hot = hot_keys(big, keys, None, max_rows)
+    hot = hot_keys(big if base is None else base, keys, None, max_rows)
     salts = F.broadcast(hot.select(*keys, "_salts"))
     spread = spread or [c for c in big.columns if c not in keys]
+    # rows with a missing key match nothing, so an outer join may scatter them freely
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     left = (
         big.join(salts, keys, "left")
         .withColumn(
             "_salt",
-            F.when(F.col("_salts").isNull(), F.lit(0).cast("bigint")).otherwise(
-                F.pmod(F.xxhash64(*spread), F.col("_salts").cast("bigint"))
-            ),
+            F.when(missing, F.xxhash64(*spread))
+            .when(F.col("_salts").isNull(), F.lit(0).cast("bigint"))
+            .otherwise(F.pmod(F.xxhash64(*spread), F.col("_salts").cast("bigint"))),
         )
         .drop("_salts")
     )
