@@ -768,3 +768,61 @@ ORACLES["severity_bands"] = """SELECT event_id, CASE WHEN -value / 100 < -0.5 TH
   CASE WHEN -value / 100 < -0.5 THEN 'high' WHEN -value / 100 < -0.2 THEN 'medium' ELSE 'low' END AS severity_three FROM events"""
 ORACLES["risk_band"] = """SELECT event_id, CASE WHEN value / 100 > 0.7 THEN 'red' WHEN value / 100 > 0.4 THEN 'orange' ELSE 'green' END AS band,
   CASE WHEN value / 100 < 0.05 THEN 'red' WHEN value / 100 < 0.2 THEN 'orange' ELSE 'green' END AS colour FROM events"""
+
+# --- graph -----------------------------------------------------------------------------------------------
+
+GRAPH = {
+    "RECURSIVE": "",
+    "e": """
+  SELECT DISTINCT 'u:' || username AS a, 'i:' || ip_address AS b FROM auth_events WHERE username IS NOT NULL AND ip_address IS NOT NULL
+  UNION SELECT DISTINCT 'i:' || ip_address, 'u:' || username FROM auth_events WHERE username IS NOT NULL AND ip_address IS NOT NULL""",
+    # walks of up to 8 steps; those of the shortest length between two nodes are the shortest paths
+    "walks": """
+  SELECT DISTINCT a AS s, a AS v, 0 AS d, CAST(1 AS DOUBLE) AS w FROM e
+  UNION ALL SELECT s, b, d + 1, sum(w) FROM walks JOIN e ON v = a WHERE d < 8 GROUP BY s, b, d + 1""",
+    "sp": "SELECT s, v, d, w FROM (SELECT *, min(d) OVER (PARTITION BY s, v) AS m FROM walks) WHERE d = m",
+    "size": "SELECT count(DISTINCT a) AS n FROM e",
+    "clo": """
+  SELECT s AS node, ((count(*) - 1) / sum(d)) * ((count(*) - 1) / ((SELECT n FROM size) - 1)) AS closeness FROM sp GROUP BY s""",
+    "through": """
+  SELECT x.v AS node, sum(x.w * y.w / z.w) AS total FROM sp x JOIN sp y ON y.s = x.v JOIN sp z ON z.s = x.s AND z.v = y.v
+  WHERE x.d + y.d = z.d AND x.d > 0 AND y.d > 0 GROUP BY x.v""",
+    "bet": """
+  SELECT node, coalesce(total, 0) / (((SELECT n FROM size) - 1) * ((SELECT n FROM size) - 2)) AS betweenness
+  FROM (SELECT DISTINCT a AS node FROM e) LEFT JOIN through USING (node)""",
+}
+ORACLES["user_ip_edges"] = oracle(
+    EV, {}, "SELECT username, ip_address, count(*) AS weight FROM auth_events WHERE username IS NOT NULL AND ip_address IS NOT NULL GROUP BY ALL"
+)
+ORACLES["node_degree"] = oracle(EV, {"e": GRAPH["e"]}, "SELECT a AS node, count(*) AS degree FROM e GROUP BY a")
+ORACLES["closeness"] = oracle(EV, GRAPH, "SELECT node, round(closeness, 6) AS closeness FROM clo")
+ORACLES["betweenness"] = oracle(EV, GRAPH, "SELECT node, round(betweenness, 6) AS betweenness FROM bet")
+ORACLES["graph_anomalies"] = oracle(
+    EV,
+    GRAPH
+    | {
+        "vals": "SELECT node, closeness, betweenness FROM clo JOIN bet USING (node)",
+        "st": """
+  SELECT avg(betweenness) AS mb, stddev_pop(betweenness) AS sb, avg(closeness) AS mc, stddev_pop(closeness) AS sc FROM vals""",
+        "zs": """
+  SELECT substr(node, 3) AS name, CASE WHEN node LIKE 'u:%' THEN 'user' ELSE 'ip' END AS kind,
+    CASE WHEN sb > 0 THEN (betweenness - mb) / sb ELSE 0 END AS bz, CASE WHEN sc > 0 THEN (closeness - mc) / sc ELSE 0 END AS cz FROM vals, st""",
+    },
+    """SELECT name AS node, kind AS node_type, round(bz, 6) AS betweenness_z, round(cz, 6) AS closeness_z, 'graph_structure' AS anomaly_type,
+  CASE WHEN abs(bz) > 3 OR abs(cz) > 3 THEN 'high' ELSE 'medium' END AS severity,
+  kind || ' "' || name || '" has unusual centrality (bet_z: ' || format('{:.2f}', bz) || ', clo_z: ' || format('{:.2f}', cz) || ')' AS details
+FROM zs WHERE abs(bz) > 2 OR abs(cz) > 2""",
+)
+ORACLES["clustering"] = oracle(
+    EV,
+    {
+        "seen": """
+  SELECT username, lag(username) OVER (PARTITION BY ip_address ORDER BY timestamp, event_id) AS prev FROM auth_events
+  WHERE username IS NOT NULL AND ip_address IS NOT NULL""",
+        "half": "SELECT DISTINCT least(prev, username) AS a, greatest(prev, username) AS b FROM seen WHERE prev <> username",
+        "e": "SELECT a, b FROM half UNION ALL SELECT b, a FROM half",
+        "deg": "SELECT a, count(*) AS d FROM e GROUP BY a",
+        "tri": "SELECT x.a, count(*) AS t FROM e x JOIN e y ON x.a = y.a AND x.b < y.b JOIN e z ON z.a = x.b AND z.b = y.b GROUP BY x.a",
+    },
+    """SELECT a AS node, round(CASE WHEN d > 1 THEN 2 * coalesce(t, 0) / (d * (d - 1)) ELSE 0 END, 6) AS clustering FROM deg LEFT JOIN tri USING (a)""",
+)

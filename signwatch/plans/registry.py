@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from signwatch.functions import scalars
 from signwatch.operators import alerts as alerting
-from signwatch.operators import biometrics, detectors, explain, features, profiles
+from signwatch.operators import biometrics, detectors, explain, features, forest, graph, profiles
 from signwatch.operators import reports
 from signwatch.plans import fixtures as fx
 from signwatch.sources import logs
@@ -635,3 +635,65 @@ def risk_band(spark, sf):
     return rows.withColumn("severity", scalars.score_severity_three("risk", 0.05, 0.2)).select(
         "event_id", scalars.risk_band("risk").alias("band"), scalars.severity_colour().alias("colour")
     )
+
+
+# --- forest ----------------------------------------------------------------------------------------------
+
+
+@query
+def iforest_fit(spark, sf):
+    rows = features.ml_features(fx.auth_events(spark, sf))
+    return forest.fit_nodes(forest.sample_per_tree(rows, features.ML_COLUMNS))
+
+
+@query
+def ml_detected(spark, sf):
+    return forest.detect(fx.auth_events(spark, sf))
+
+
+@query
+def ml_detected_simple(spark, sf):
+    return forest.detect_simple(fx.auth_events(spark, sf))
+
+
+# --- graph -----------------------------------------------------------------------------------------------
+
+
+def directed(spark, sf):
+    return graph.links(graph.user_ip_edges(fx.auth_events(spark, sf)))
+
+
+@query
+def user_ip_edges(spark, sf):
+    return graph.user_ip_edges(fx.auth_events(spark, sf))
+
+
+@query
+def node_degree(spark, sf):
+    return graph.degree(directed(spark, sf))
+
+
+@query
+def closeness(spark, sf):
+    return rounded(graph.centrality(directed(spark, sf)).select("node", "closeness"), "closeness")
+
+
+@query
+def betweenness(spark, sf):
+    return rounded(graph.centrality(directed(spark, sf)).select("node", "betweenness"), "betweenness")
+
+
+@query
+def clustering(spark, sf):
+    return rounded(graph.clustering(graph.followers(fx.auth_events(spark, sf))), "clustering")
+
+
+@query
+def graph_anomalies(spark, sf):
+    rows = graph.graph_anomalies(graph.centrality(directed(spark, sf)))
+    return rounded(rows, "betweenness_z", "closeness_z")
+
+
+@query
+def advanced_anomalies(spark, sf):
+    return graph.advanced_anomalies(fx.auth_events(spark, sf))
