@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder path next to the checkpoints, for tables and stream state of one run."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from the files."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -12,12 +12,28 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _with_k(events: DataFrame) -> DataFrame:
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return _with_k(load(spark, sf_dir, "events"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table as a stream of files."""
+    schema = load(spark, sf_dir, "events").schema
+    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # a watermark needs a zoned timestamp
+    return as_auth_events(files).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
 
 def auth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).selectExpr(
+    return as_auth_events(load(spark, sf_dir, "events"))
+
+
+def as_auth_events(events: DataFrame) -> DataFrame:
+    return _with_k(events).selectExpr(
         "event_id",
         "ts AS timestamp",
         "'host1' AS hostname",

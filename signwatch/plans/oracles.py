@@ -826,3 +826,148 @@ ORACLES["clustering"] = oracle(
     },
     """SELECT a AS node, round(CASE WHEN d > 1 THEN 2 * coalesce(t, 0) / (d * (d - 1)) ELSE 0 END, 6) AS clustering FROM deg LEFT JOIN tri USING (a)""",
 )
+
+# --- federated -------------------------------------------------------------------------------------------
+
+CE = ["auth_events", "client_events"]
+FED = ["hour", "day_of_week", "day_of_month", "month", "username_hash", "ip_hash", "is_private_ip", "event_type_encoded", "hour_username_interaction"]
+FED_ROWS = {
+    "feats": f"""
+  SELECT event_id, client_id, label, hour(timestamp) AS hour, isodow(timestamp) - 1 AS day_of_week, day(timestamp) AS day_of_month, month(timestamp) AS month,
+    {md5_bucket("coalesce(username, 'None')")} AS username_hash, {md5_bucket("coalesce(ip_address, 'None')")} AS ip_hash, {PRIVATE} AS is_private_ip,
+    {CODE3} AS event_type_encoded, hour(timestamp) * ({md5_bucket("coalesce(username, 'None')")}) AS hour_username_interaction FROM client_events""",
+    "cstats": "SELECT client_id, count(*) AS n, " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FED) + " FROM feats GROUP BY client_id",
+    "x": "SELECT event_id, client_id, n, label, "
+    + ", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END AS {c}" for c in FED)
+    + " FROM feats JOIN cstats USING (client_id)",
+}
+
+
+def gradient_sql(weights: list[float]) -> dict[str, str]:
+    z = " + ".join(f"({weights[i]!r}) * {c}" for i, c in enumerate(FED)) + f" + ({weights[-1]!r})"
+    sums = ", ".join(f"sum(miss * {c}) AS {c}" for c in FED)
+    return {
+        "misses": f"SELECT *, 1 / (1 + exp(-({z}))) - label AS miss FROM x",
+        "gsum": f"SELECT client_id, n, {sums}, sum(miss) AS intercept FROM misses GROUP BY client_id, n",
+        "grads": f"SELECT client_id, n, param, grad FROM (UNPIVOT gsum ON {', '.join(FED)}, intercept INTO NAME param VALUE grad)",
+    }
+
+
+STEP = FED_ROWS | gradient_sql([0.0] * 10) | {
+    "params": "SELECT client_id, n, param, -0.5 * grad / n AS value FROM grads",
+    "model": "SELECT param, sum(n * value) / sum(n) AS value FROM params GROUP BY param",
+}
+CLIENT_N = "SELECT client_id, count(*) AS n FROM client_events GROUP BY client_id"
+DRAWN = """
+  SELECT round, client_id, n FROM (SELECT round, client_id, n, row_number() OVER (PARTITION BY round ORDER BY md5('42-' || round || '-' || client_id), client_id) AS r
+    FROM sizes, (SELECT unnest(range(1, 6)) AS round)) WHERE r <= 2"""
+
+ORACLES["fed_weighted_mean"] = oracle(
+    ["client_vectors"], {}, "SELECT idx, round(sum(weight * grad) / sum(weight), 6) AS grad FROM client_vectors GROUP BY idx"
+)
+ORACLES["fed_gradient"] = oracle(
+    CE, FED_ROWS | gradient_sql([0.1 * (i - 4) for i in range(10)]), "SELECT client_id, n, param, round(grad, 4) AS grad FROM grads"
+)
+ORACLES["fed_average"] = oracle(CE, STEP, "SELECT param, round(value, 6) AS value FROM model")
+ORACLES["param_encryption"] = oracle(CE, STEP, "SELECT client_id, param, round(value, 6) AS value FROM params")
+ORACLES["fed_forest_params"] = oracle(
+    CE,
+    {
+        "configs": """
+  SELECT client_id, avg(CASE WHEN event_type = 'failed_login' THEN 1.0 ELSE 0 END) AS contamination, 100 + count(*) % 7 AS n_estimators,
+    least(256, count(*)) AS max_samples, count(username) % 100 AS random_state FROM client_events GROUP BY client_id"""
+    },
+    """SELECT round(avg(contamination), 6) AS contamination, CAST(floor(avg(n_estimators)) AS BIGINT) AS n_estimators,
+  arg_min(max_samples, client_id) AS max_samples, arg_min(random_state, client_id) AS random_state FROM configs""",
+)
+ORACLES["fed_status"] = oracle(
+    CE,
+    {"sizes": CLIENT_N, "drawn": DRAWN},
+    """SELECT 'total_clients' AS section, 'all' AS key, CAST(count(*) AS DOUBLE) AS value FROM sizes
+UNION ALL SELECT 'average_data_size', 'all', round(avg(n), 6) FROM sizes UNION ALL SELECT 'completed_rounds', 'all', count(DISTINCT round) FROM drawn
+UNION ALL SELECT 'participants', CAST(round AS VARCHAR), count(*) FROM drawn GROUP BY round
+UNION ALL SELECT 'participation', s.client_id, count(d.round) FROM sizes s LEFT JOIN drawn d USING (client_id) GROUP BY s.client_id""",
+)
+ORACLES["fed_metrics"] = oracle(
+    CE,
+    STEP
+    | {
+        "flat": "SELECT " + ", ".join(f"max(value) FILTER (WHERE param = '{c}') AS w_{c}" for c in [*FED, "intercept"]) + " FROM model",
+        "guess": "SELECT label, CASE WHEN " + " + ".join(f"w_{c} * {c}" for c in FED) + " + w_intercept > 0 THEN 1 ELSE 0 END AS p FROM x, flat",
+        "per": """
+  SELECT c, (SELECT count(*) FROM guess WHERE label = c) AS support, (SELECT count(*) FROM guess WHERE p = c) AS guessed,
+    (SELECT count(*) FROM guess WHERE p = c AND label = c) AS hits, (SELECT count(*) FROM guess) AS total FROM (SELECT DISTINCT label AS c FROM guess)""",
+    },
+    """SELECT round(sum(hits) / max(total), 6) AS accuracy, round(sum(support * CASE WHEN guessed > 0 THEN hits / guessed ELSE 0 END / total), 6) AS precision,
+  round(sum(hits / total), 6) AS recall FROM per""",
+)
+
+# --- windows ---------------------------------------------------------------------------------------------
+
+
+def windows_cte(days: bool = False) -> str:
+    """Each event once per window it falls into: 5 minutes every minute, or 3 days every day."""
+    unit, n = ("day", 3) if days else ("minute", 5)
+    return f"""
+  SELECT *, date_trunc('{unit}', timestamp)::TIMESTAMP - k * INTERVAL 1 {unit} AS window_start FROM auth_events, (SELECT unnest(range(0, {n})) AS k)"""
+
+
+METRICS = {
+    "win": windows_cte(),
+    "metrics": """
+  SELECT window_start, count(*) AS total_events, count(DISTINCT username) AS unique_users, count(DISTINCT ip_address) AS unique_ips,
+    count(*) FILTER (WHERE event_type = 'successful_login') AS successful_logins, count(*) FILTER (WHERE event_type = 'failed_login') AS failed_logins,
+    count(*) / 5.0 AS login_rate_per_minute FROM win GROUP BY window_start""",
+}
+ORACLES["sliding_window_counts"] = oracle(EV, METRICS, "SELECT window_start, total_events FROM metrics")
+ORACLES["window_metrics"] = oracle(
+    EV, METRICS, "SELECT * REPLACE (CAST(login_rate_per_minute AS DOUBLE) AS login_rate_per_minute) FROM metrics"
+)
+ORACLES["window_user_metrics"] = oracle(
+    EV,
+    {"win": windows_cte()},
+    """SELECT window_start, username, count(*) AS login_count, round(avg(CASE WHEN event_type = 'successful_login' THEN 1.0 ELSE 0 END), 6) AS success_rate,
+  count(DISTINCT ip_address) AS unique_ips, round(avg(hour(timestamp)), 6) AS avg_hour FROM win WHERE username IS NOT NULL GROUP BY window_start, username""",
+)
+HABITS = {
+    "first": "SELECT * FROM (SELECT * FROM auth_events ORDER BY timestamp, event_id LIMIT 1000) WHERE username IS NOT NULL",
+    "freq": "SELECT username, count(*) / 5000 AS avg_login_frequency FROM first GROUP BY username",
+    "fips": """
+  SELECT username, string_agg(ip_address, ' | ' ORDER BY r) AS common_ips, count(*) AS n FROM (
+    SELECT *, row_number() OVER (PARTITION BY username ORDER BY n DESC, ip_address) AS r FROM (
+      SELECT username, ip_address, count(*) AS n FROM first WHERE ip_address IS NOT NULL GROUP BY ALL)) WHERE r <= 3 GROUP BY username""",
+    "fhours": """
+  SELECT username, string_agg(h, ' | ' ORDER BY r) AS preferred_times FROM (
+    SELECT *, row_number() OVER (PARTITION BY username ORDER BY n DESC, h) AS r FROM (
+      SELECT username, hour(timestamp) AS h, count(*) AS n FROM first GROUP BY ALL)) WHERE r <= 3 GROUP BY username""",
+}
+ORACLES["stream_baseline"] = oracle(
+    EV,
+    HABITS,
+    """SELECT username, round(avg_login_frequency, 6) AS avg_login_frequency, coalesce(common_ips, '') AS common_ips, preferred_times
+FROM freq LEFT JOIN fips USING (username) LEFT JOIN fhours USING (username)""",
+)
+ORACLES["volume_spike"] = oracle(
+    EV,
+    METRICS | {"base": "SELECT count(*) / ((max(epoch_us(timestamp)) - min(epoch_us(timestamp))) / 60e6) AS rate FROM auth_events"},
+    """SELECT window_start, 'volume_spike' AS anomaly_type, 'high' AS severity, CAST(login_rate_per_minute AS DOUBLE) AS metric_value, round(rate, 6) AS baseline_value,
+  'Login rate spike: ' || format('{:.2f}', CAST(login_rate_per_minute AS DOUBLE)) || ' vs baseline ' || format('{:.2f}', rate) || ' per minute' AS details
+FROM metrics, base WHERE login_rate_per_minute > 3 * rate""",
+)
+ORACLES["stream_unusual_ip"] = oracle(
+    EV,
+    HABITS
+    | {
+        "win": windows_cte(days=True),
+        "um": "SELECT window_start, username, count(DISTINCT ip_address) AS unique_ips FROM win WHERE username IS NOT NULL GROUP BY ALL",
+        "hab": "SELECT username, coalesce(n, 0) AS k FROM freq LEFT JOIN fips USING (username)",
+    },
+    """SELECT window_start, username, unique_ips, (unique_ips > 2 * k)::INT::BIGINT AS is_unusual,
+  'User ' || username || ' logging in from ' || unique_ips || ' IPs vs baseline of ' || k AS details FROM um JOIN hab USING (username)""",
+)
+ORACLES["streamed_windows"] = oracle(
+    EV,
+    METRICS,
+    """SELECT window_start, total_events, successful_logins, failed_logins FROM metrics
+WHERE window_start + INTERVAL 5 MINUTE <= date_trunc('millisecond', (SELECT max(timestamp) FROM auth_events))::TIMESTAMP - INTERVAL 1 MINUTE""",
+)

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signwatch.functions import scalars
+from signwatch.lineage import scratch
 from signwatch.operators import alerts as alerting
-from signwatch.operators import biometrics, detectors, explain, features, forest, graph, profiles
+from signwatch.operators import biometrics, detectors, explain, features, federated, forest, graph, profiles
 from signwatch.operators import reports
 from signwatch.plans import fixtures as fx
+from signwatch.plans import runs
 from signwatch.sources import logs
+from signwatch.streaming import windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -697,3 +700,155 @@ def graph_anomalies(spark, sf):
 @query
 def advanced_anomalies(spark, sf):
     return graph.advanced_anomalies(fx.auth_events(spark, sf))
+
+
+# --- federated -------------------------------------------------------------------------------------------
+
+RATE, ROUNDS, PER_ROUND = 0.5, 5, 2
+
+
+def client_rows(spark, sf):
+    return features.client_features(fx.client_events(spark, sf), "client_id", "label")
+
+
+def client_sizes(spark, sf):
+    return fx.client_events(spark, sf).groupBy("client_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def first_step(spark, sf):
+    """Client parameters after one gradient step from zero weights."""
+    zero = [0.0] * (len(features.CLIENT_COLUMNS) + 1)
+    rows = federated.scaled_by_client(client_rows(spark, sf))
+    return federated.step(federated.gradient(rows, zero), RATE)
+
+
+@query
+def fed_weighted_mean(spark, sf):
+    return rounded(federated.weighted_mean(fx.client_vectors(spark, sf), ["idx"], "grad", "weight"), "grad")
+
+
+@query
+def fed_gradient(spark, sf):
+    weights = [0.1 * (i - 4) for i in range(len(features.CLIENT_COLUMNS) + 1)]
+    grads = federated.gradient(federated.scaled_by_client(client_rows(spark, sf)), weights)
+    return rounded(grads, "grad", places=4)
+
+
+@query
+def fed_average(spark, sf):
+    return rounded(federated.average(first_step(spark, sf)), "value")
+
+
+@query
+def fed_local_fit(spark, sf):
+    return federated.local_fit(client_rows(spark, sf))
+
+
+@query
+def fed_rounds(spark, sf):
+    taking_part = federated.participants(client_sizes(spark, sf), ROUNDS, PER_ROUND)
+    return federated.rounds(federated.local_fit(client_rows(spark, sf)), taking_part)
+
+
+@query
+def fed_status(spark, sf):
+    sizes = client_sizes(spark, sf)
+    return rounded(federated.status(sizes, federated.participants(sizes, ROUNDS, PER_ROUND)), "value")
+
+
+@query
+def fed_forest_params(spark, sf):
+    """Client settings taken from each client's data: share of failed logins, and size-dependent counts."""
+    configs = fx.client_events(spark, sf).groupBy("client_id").agg(
+        F.avg((F.col("event_type") == "failed_login").cast("double")).alias("contamination"),
+        (100 + F.count(F.lit(1)) % 7).alias("n_estimators"),
+        F.least(F.lit(256), F.count(F.lit(1))).alias("max_samples"),
+        (F.count("username") % 100).alias("random_state"),
+    )
+    return rounded(federated.forest_params(configs), "contamination")
+
+
+@query
+def fed_metrics(spark, sf):
+    model = federated.average(first_step(spark, sf))
+    return rounded(
+        federated.evaluate(federated.predict(client_rows(spark, sf), model)), "accuracy", "precision", "recall"
+    )
+
+
+@query
+def fed_detected(spark, sf):
+    rows = client_rows(spark, sf)
+    return federated.detect(fx.auth_events(spark, sf), rows, federated.fit_forest(rows))
+
+
+@query
+def param_encryption(spark, sf):
+    """Parameters after a round trip through encryption; the key is a demonstration value."""
+    key = F.lit("0123456789abcdef").cast("binary")
+    payloads = federated.encrypt_params(first_step(spark, sf), key)
+    return rounded(federated.decrypt_params(payloads, key), "value")
+
+
+# --- windows ---------------------------------------------------------------------------------------------
+
+BASELINE_EVENTS = 1000
+
+
+@query
+def sliding_window_counts(spark, sf):
+    return windows.window_counts(fx.auth_events(spark, sf))
+
+
+@query
+def window_metrics(spark, sf):
+    return rounded(windows.window_metrics(fx.auth_events(spark, sf)), "login_rate_per_minute")
+
+
+@query
+def window_user_metrics(spark, sf):
+    return rounded(windows.window_user_metrics(fx.auth_events(spark, sf)), "success_rate", "avg_hour")
+
+
+@query
+def stream_baseline(spark, sf):
+    rows = windows.baseline(fx.auth_events(spark, sf), BASELINE_EVENTS)
+    return joined_texts(rounded(rows, "avg_login_frequency"), "common_ips", "preferred_times")
+
+
+@query
+def volume_spike(spark, sf):
+    events = fx.auth_events(spark, sf)
+    rows = windows.volume_spikes(windows.window_metrics(events), windows.average_rate(events).scalar())
+    return rounded(rows, "metric_value", "baseline_value")
+
+
+@query
+def stream_unusual_ip(spark, sf):
+    events = fx.auth_events(spark, sf)
+    users = windows.window_user_metrics(events, "3 days", "1 day")
+    return whole(windows.unusual_ips(users, windows.baseline(events, BASELINE_EVENTS)), "is_unusual")
+
+
+@query
+def stream_behavior(spark, sf):
+    users = windows.window_user_metrics(fx.auth_events(spark, sf), "3 days", "1 day")
+    return windows.unusual_behaviour(users, windows.fit_behaviour(users))
+
+
+@query
+def streamed_windows(spark, sf):
+    """Window totals from a real stream over the event files: the windows the watermark has closed."""
+    out, state = scratch(spark, "windows"), scratch(spark, "windows-state")
+    stream = windows.stream_metrics(fx.event_stream(spark, sf), "1 minute")
+    windows.start(stream, out, state, available_now=True).awaitTermination()
+    return spark.read.parquet(out).select("window_start", "total_events", "successful_logins", "failed_logins")
+
+
+# --- whole runs ------------------------------------------------------------------------------------------
+
+
+@query
+def end_to_end(spark, sf):
+    """All detectors with explanations, as one table of explained anomalies."""
+    return joined_texts(runs.explained_run(fx.auth_events(spark, sf)), "rule_based", "rarity")
