@@ -96,7 +96,8 @@ def mouse_moves(mouse: DataFrame, max_rows: int = HOT_ROWS) -> DataFrame:
     previous = F.when(F.col("_pdt") > 0, length("_px", "_py") / F.col("_pdt"))
     norms = length("_dx", "_dy") * length("_nx", "_ny")
     cosine = (F.col("_dx") * F.col("_nx") + F.col("_dy") * F.col("_ny")) / F.nullif(norms, F.lit(0.0))
-    rows = line.finish(rows.withColumn("step", length("_dx", "_dy")).withColumn("speed", speed)).withColumns(
+    rows = rows.withColumns({"step": length("_dx", "_dy"), "speed": speed, "us": F.col("_us")})
+    rows = line.finish(rows).withColumns(
         {
             "acceleration": (F.col("speed") - previous) / F.col("_dt"),
             "_angle": F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))),
@@ -104,7 +105,7 @@ def mouse_moves(mouse: DataFrame, max_rows: int = HOT_ROWS) -> DataFrame:
     )
     # acos of a missing cosine would clamp to a number, so guard on it
     angle = F.when(cosine.isNotNull() & (F.col("_angle") > F.acos(F.lit(-1.0)) / 4), F.col("_angle"))
-    return rows.select("event_id", *SESSION, "timestamp", "x", "y", "step", "speed", "acceleration", angle.alias("turn"))
+    return rows.select("event_id", *SESSION, "us", "x", "y", "step", "speed", "acceleration", angle.alias("turn"))
 
 
 def click_intervals(mouse: DataFrame, max_rows: int = HOT_ROWS) -> DataFrame:
@@ -118,7 +119,7 @@ def click_intervals(mouse: DataFrame, max_rows: int = HOT_ROWS) -> DataFrame:
 
 def path_efficiency(moves: DataFrame) -> DataFrame:
     """(username, session_id, efficiency): straight line over travelled path, from the rows of ``mouse_moves``."""
-    at = F.struct(micros("timestamp").alias("us"), F.col("event_id"))
+    at = F.struct("us", "event_id")
     ends = moves.groupBy(*SESSION).agg(
         F.min(F.struct(at.alias("at"), "x", "y")).alias("_a"),
         F.max(F.struct(at.alias("at"), "x", "y")).alias("_b"),

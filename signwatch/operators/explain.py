@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from signwatch.functions.scalars import hour, percent, text
 from signwatch.operators.detectors import USER
 from signwatch.operators.profiles import with_known_ip
+from signwatch.operators.reports import count_sections, with_total
 from signwatch.skew import HOT_ROWS, salted_join
 
 
@@ -109,15 +110,5 @@ def explained_report(
 
 def explanation_summary(report: DataFrame, k: int = 5) -> DataFrame:
     """Long form (section, key, n): total, by severity, the ``k`` most common rule texts."""
-    total = report.agg(F.count(F.lit(1)).alias("n")).select(F.lit("total").alias("section"), F.lit("all").alias("key"), "n")
-    severity = report.groupBy(F.lit("severity").alias("section"), F.col("severity").alias("key")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    patterns = (
-        report.select(F.explode("rule_based").alias("key"))
-        .groupBy(F.lit("pattern").alias("section"), "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), F.asc("key"))
-        .limit(k)
-    )
-    return total.unionByName(severity).unionByName(patterns)
+    counts = count_sections(report, {"severity": F.array("severity"), "pattern": F.col("rule_based")})
+    return with_total(counts, "severity", "pattern", k)

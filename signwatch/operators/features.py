@@ -85,24 +85,24 @@ def encode(
     return joined.withColumn(name, F.coalesce("code", unseen)).drop("code", "label")
 
 
-def ml_features(events: DataFrame, codes: DataFrame | None = None) -> DataFrame:
-    """event_id and the columns of ``ML_COLUMNS``; missing values are 0."""
+def ml_features(events: DataFrame, codes: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """event_id, the columns to keep and those of ``ML_COLUMNS``; missing values are 0."""
     parts = calendar()
     rows = encode(events, "username", "username_encoded", codes).withColumns(
         {name: parts[name] for name in ML_COLUMNS if name in parts}
         | {"ip_hash": hash_bucket("ip_address"), "event_type_encoded": event_code()}
     )
     rows = rows.withColumn("hour_username_interaction", F.col("hour") * F.col("username_encoded"))
-    return rows.select("event_id", *ML_COLUMNS).fillna(0, ML_COLUMNS)
+    return rows.select("event_id", *keep, *ML_COLUMNS).fillna(0, ML_COLUMNS)
 
 
-def ml_features_simple(events: DataFrame) -> DataFrame:
+def ml_features_simple(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     rows = encode(events, "username", "username_encoded", null_as="unknown")
     rows = encode(rows, "ip_address", "ip_encoded", null_as="0.0.0.0", base=events)
     rows = encode(rows, "event_type", "event_encoded", null_as="unknown", base=events)
     parts = calendar()
     return rows.withColumns({n: parts[n] for n in ("hour", "day_of_week", "minute")}).select(
-        "event_id", *SIMPLE_COLUMNS
+        "event_id", *keep, *SIMPLE_COLUMNS
     )
 
 

@@ -12,7 +12,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signwatch.functions.scalars import score_severity
 from signwatch.lineage import cut
 from signwatch.operators import forest as iforest
 from signwatch.operators.features import CLIENT_COLUMNS
@@ -189,7 +188,8 @@ def predict(rows: DataFrame, params: DataFrame, columns: list[str] = CLIENT_COLU
 
 def evaluate(predicted: DataFrame) -> DataFrame:
     """One row: accuracy and support-weighted precision and recall, from the confusion counts."""
-    cells = predicted.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("c"))
+    # one row per pair of classes, read several times below
+    cells = cut(predicted.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("c")))
     total = cells.agg(F.sum("c")).scalar()
     hits = F.when(F.col("label") == F.col("prediction"), F.col("c")).otherwise(0)
     by_label = cells.groupBy(F.col("label").alias("class")).agg(F.sum("c").alias("support"), F.sum(hits).alias("hits"))
@@ -221,9 +221,9 @@ def fit_forest(rows: DataFrame, trees: int = 100, contamination: float = 0.1, se
     return model and iforest.set_offset(model, rows, contamination)
 
 
-def detect(events: DataFrame, rows: DataFrame, model) -> DataFrame:
-    scored = iforest.score(rows, model)
-    return iforest.anomalies(events, scored, "federated_ml_detected", "Federated ML", score_severity("anomaly_score"))
+def detect(rows: DataFrame, model: iforest.Forest) -> DataFrame:
+    """Anomalies among client rows that carry the event columns."""
+    return iforest.anomalies(iforest.score(rows, model), "federated_ml_detected", "Federated ML")
 
 
 def encrypt_params(params: DataFrame, key: Column) -> DataFrame:

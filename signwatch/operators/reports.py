@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signwatch.lineage import cut
+
 
 def count_by(df: DataFrame, key: str | Column, name: str) -> DataFrame:
     key = F.col(key) if isinstance(key, str) else key
@@ -17,26 +19,42 @@ def top(df: DataFrame, key: str, k: int = 10) -> DataFrame:
 
 
 def anomaly_report(anomalies: DataFrame, k: int = 10) -> DataFrame:
-    """Long form (section, key, n): total, by severity, by type, top users, by day.
+    """Long form (section, key, n): total, by severity, by type, top users, by day."""
+    counts = count_sections(
+        anomalies,
+        {
+            "severity": F.array("severity"),
+            "type": F.array("anomaly_type"),
+            "top_users": F.array("username"),
+            "day": F.array(F.to_date("timestamp").cast("string")),
+        },
+    )
+    return with_total(counts, "severity", "top_users", k)
+
+
+def count_sections(df: DataFrame, sections: dict[str, Column]) -> DataFrame:
+    """(section, key, n): counts of the texts in several array columns, in a single pass over ``df``.
 
-    One pass groups by the four keys together; the sections are rolled up from that much smaller table.
+    Counts are combined before the shuffle; the outcome, one row per distinct text, is written out, since the
+    reports read it more than once.
     """
-    cube = anomalies.groupBy(
-        "severity", "anomaly_type", "username", F.to_date("timestamp").cast("string").alias("day")
-    ).agg(F.count(F.lit(1)).alias("c"))
 
-    def section(name: str, key: str) -> DataFrame:
-        return cube.groupBy(F.lit(name).alias("section"), F.col(key).alias("key")).agg(F.sum("c").alias("n"))
+    def named(name: str, texts: Column) -> Column:
+        return F.transform(texts, lambda t: F.struct(F.lit(name).alias("section"), t.alias("key")))
 
-    total = cube.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n")).select(
-        F.lit("total").alias("section"), F.lit("all").alias("key"), "n"
-    )
-    users = section("top_users", "username").orderBy(F.desc("n"), F.asc("key")).limit(k)
+    pairs = [named(name, texts) for name, texts in sections.items()]
+    rows = df.select(F.explode(F.concat(*pairs)).alias("p")).groupBy("p.section", "p.key")
+    return cut(rows.agg(F.count(F.lit(1)).alias("n")))
+
+
+def with_total(counts: DataFrame, counted: str, shortened: str, k: int) -> DataFrame:
+    """The sections, the total over section ``counted``, and only the top ``k`` of section ``shortened``."""
+    total = counts.where(F.col("section") == counted).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    leaders = counts.where(F.col("section") == shortened).orderBy(F.desc("n"), F.asc("key")).limit(k)
     return (
-        total.unionByName(section("severity", "severity"))
-        .unionByName(section("type", "anomaly_type"))
-        .unionByName(users)
-        .unionByName(section("day", "day"))
+        total.select(F.lit("total").alias("section"), F.lit("all").alias("key"), "n")
+        .unionByName(counts.where(F.col("section") != shortened))
+        .unionByName(leaders)
     )
 
 

@@ -32,7 +32,7 @@ def auth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_auth_events(load(spark, sf_dir, "events"))
 
 
-def as_auth_events(events: DataFrame) -> DataFrame:
+def as_auth_events(events: DataFrame, *more: str) -> DataFrame:
     return _with_k(events).selectExpr(
         "event_id",
         "ts AS timestamp",
@@ -45,6 +45,7 @@ def as_auth_events(events: DataFrame) -> DataFrame:
            WHEN k < 10 THEN concat('203.0.113.', CAST(k % 4 AS STRING))
            ELSE concat('10.0.0.', CAST(k % 8 AS STRING)) END AS ip_address""",
         "concat('event ', CAST(event_id AS STRING)) AS message",
+        *more,
     )
 
 
@@ -106,12 +107,11 @@ def mouse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def client_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = load(spark, sf_dir, "events").selectExpr(
-        "event_id",
+    return as_auth_events(
+        load(spark, sf_dir, "events"),
         "concat('client_', CAST(user_id % 3 AS STRING)) AS client_id",
         "CAST(CASE WHEN value > 50 THEN 1 ELSE 0 END AS BIGINT) AS label",
     )
-    return auth_events(spark, sf_dir).join(labels, "event_id")
 
 
 def client_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -778,8 +778,8 @@ def fed_metrics(spark, sf):
 
 @query
 def fed_detected(spark, sf):
-    rows = client_rows(spark, sf)
-    return federated.detect(fx.auth_events(spark, sf), rows, federated.fit_forest(rows))
+    rows = features.client_features(fx.client_events(spark, sf), "client_id", *forest.BASE)
+    return federated.detect(rows, federated.fit_forest(rows))
 
 
 @query

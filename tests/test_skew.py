@@ -68,3 +68,21 @@ def test_running_total_over_stretches(spark):
     df = spark.range(1000).withColumn("g", F.col("id") % 2)
     got = running_total(df, ["g"], "id", F.lit(1), "r", slot_width=37).orderBy("id").collect()
     assert [r.r for r in got] == [i // 2 + 1 for i in range(1000)]
+
+
+def test_sessions_and_biometrics_with_slots(spark, sf_dir, one_hot_user):
+    from signwatch.operators import biometrics, graph, profiles
+
+    keys = fx.keystrokes(spark, sf_dir).withColumn("session_id", F.lit("one"))
+    mouse = fx.mouse_events(spark, sf_dir).withColumn("session_id", F.lit("one")).withColumn("username", F.lit("one"))
+    cases = [
+        (profiles.session_durations, one_hot_user),
+        (biometrics.hold_times, keys),
+        (biometrics.flight_latency, keys),
+        (biometrics.mouse_moves, mouse),
+        (biometrics.click_intervals, mouse),
+        (graph.followers, one_hot_user),
+    ]
+    for operator, rows in cases:
+        whole = bag(operator(rows))
+        assert whole and bag(operator(rows, max_rows=9)) == whole, operator.__name__
