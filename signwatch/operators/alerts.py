@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signwatch.functions.scalars import text
+from signwatch.schema import MINUTE_US
 from signwatch.skew import micros, running_total
 
 # Message templates and notification thresholds by severity.
@@ -16,7 +17,6 @@ TEMPLATES = {
 }
 THRESHOLDS = {"high": 3, "medium": 5}
 CHANNELS = ["email", "log"]
-MINUTE_US = 60_000_000
 
 
 def from_anomalies(anomalies: DataFrame) -> DataFrame:

@@ -184,7 +184,11 @@ def _deviation(metric: str) -> Column:
 def _score(
     sessions: DataFrame, profile: DataFrame, checks: list, normal: str, missing: str, missing_confidence: float
 ) -> DataFrame:
-    """``checks`` holds (measure, limit, weight, text); a measure above its limit adds measure * weight."""
+    """``checks`` holds (measure, limit, weight, text); a measure above its limit adds measure * weight.
+
+    Both sides are aggregates, one row per session and one per user, and nothing but a projection follows, so a user
+    with very many sessions is left to the adaptive skew join.
+    """
     rows = sessions.join(profile.withColumn("_known", F.lit(True)), "username", "left")
     rows = rows.withColumns({f"_m{i}": check[0] for i, check in enumerate(checks)})
     score, notes = F.lit(0.0), []

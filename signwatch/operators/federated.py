@@ -216,7 +216,7 @@ def fit_forest(rows: DataFrame, trees: int = 100, contamination: float = 0.1, se
     sample = iforest.sample_per_tree(rows, CLIENT_COLUMNS, CLIENT, trees=trees, seed=seed)
     nodes = cut(iforest.fit_nodes(sample, CLIENT, seed))
     # the i-th tree of every client before the next tree of any; the global model has as many trees as a client's
-    chosen = nodes.where("node = 0").orderBy("tree", "client_id").limit(trees).select("client_id", "tree")
+    chosen = nodes.where("node = 0").orderBy("tree", F.xxhash64(F.lit(seed), "client_id")).limit(trees).select("client_id", "tree")
     model = iforest.assemble(nodes.join(chosen, ["client_id", "tree"]), CLIENT_COLUMNS, ["client_id", "tree"])
     return model and iforest.set_offset(model, rows, contamination)
 

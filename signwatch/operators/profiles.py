@@ -54,7 +54,6 @@ def profile_state(events: DataFrame, max_rows: int = HOT_ROWS) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(hour()).alias("hour_sum"),
-            F.sum(hour() * hour()).alias("hour_sq"),
             F.expr("bit_or(shiftleft(1, weekday(timestamp)))").alias("day_mask"),
             F.min(us).alias("first_us"),
             F.max(us).alias("last_us"),
@@ -73,7 +72,7 @@ def merge_states(*states: DataFrame) -> DataFrame:
     rows = states[0]
     for state in states[1:]:
         rows = rows.unionByName(state)
-    sums = ["n", "hour_sum", "hour_sq", "n_success", "n_sessions", "session_hours"]
+    sums = ["n", "hour_sum", "n_success", "n_sessions", "session_hours"]
     return rows.groupBy("username").agg(
         *[F.sum(c).alias(c) for c in sums],
         F.bit_or("day_mask").alias("day_mask"),

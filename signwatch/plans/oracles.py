@@ -813,6 +813,24 @@ ORACLES["graph_anomalies"] = oracle(
   kind || ' "' || name || '" has unusual centrality (bet_z: ' || format('{:.2f}', bz) || ', clo_z: ' || format('{:.2f}', cz) || ')' AS details
 FROM zs WHERE abs(bz) > 2 OR abs(cz) > 2""",
 )
+ORACLES["advanced_anomalies"] = oracle(
+    EV,
+    GRAPH
+    | {
+        "vals": "SELECT node, closeness, betweenness FROM clo JOIN bet USING (node)",
+        "st": "SELECT avg(betweenness) AS mb, stddev_pop(betweenness) AS sb, avg(closeness) AS mc, stddev_pop(closeness) AS sc FROM vals",
+        "zs": """
+  SELECT substr(node, 3) AS username, CASE WHEN sb > 0 THEN (betweenness - mb) / sb ELSE 0 END AS bz,
+    CASE WHEN sc > 0 THEN (closeness - mc) / sc ELSE 0 END AS cz FROM vals, st WHERE node LIKE 'u:%'""",
+    }
+    | SEQUENCE
+    | {"firsts": "SELECT username, arg_min(event_id, us) AS event_id, min(timestamp) AS timestamp FROM known GROUP BY username"},
+    """SELECT event_id, timestamp, username, 'Unknown' AS ip_address, NULL AS event_type, 'graph_structure' AS anomaly_type,
+  CASE WHEN abs(bz) > 3 OR abs(cz) > 3 THEN 'high' ELSE 'medium' END AS severity,
+  'user "' || username || '" has unusual centrality (bet_z: ' || format('{:.2f}', bz) || ', clo_z: ' || format('{:.2f}', cz) || ')' AS details,
+  'graph_based' AS method FROM zs JOIN firsts USING (username) WHERE abs(bz) > 2 OR abs(cz) > 2
+UNION ALL SELECT *, 'sequential_pattern' FROM seq""",
+)
 ORACLES["clustering"] = oracle(
     EV,
     {

@@ -42,5 +42,6 @@ ALERT = T.StructType(
     ]
 )
 
-HOUR_US = 3_600_000_000
+MINUTE_US = 60_000_000
+HOUR_US = 60 * MINUTE_US
 DAY_US = 24 * HOUR_US

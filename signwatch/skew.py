@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signwatch.schema import HOUR_US
+from signwatch.schema import MINUTE_US
 
 HOT_ROWS = 5_000_000
 
@@ -35,29 +35,29 @@ def hot_keys(
 ) -> DataFrame:
     """One row per key with more than ``max_rows`` rows: its salt count and, given a time, its slot width.
 
-    The slot width comes from the densest hour of the key, so a burst is cut as finely as it needs.
+    Keys are counted first, which shuffles one row per key and task; only the rows of heavy keys, often none, are
+    then counted per minute. The slot width follows the densest minute, so a burst is cut as finely as it needs.
     """
+    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
     if time is None:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         width = F.lit(None).cast("bigint")
     else:
-        hourly = df.groupBy(*keys, F.floor(micros(time) / HOUR_US).alias("_hour")).agg(
+        rows = df.join(F.broadcast(heavy.select(*keys)), keys, "left_semi")
+        per_minute = rows.groupBy(*keys, F.floor(micros(time) / MINUTE_US).alias("_minute")).agg(
             F.count(F.lit(1)).alias("_n")
         )
-        counts = hourly.groupBy(*keys).agg(
+        heavy = per_minute.groupBy(*keys).agg(
             F.sum("_n").alias("_n"),
             F.max("_n").alias("_peak"),
-            F.min("_hour").alias("_first"),
-            F.max("_hour").alias("_last"),
+            F.min("_minute").alias("_first"),
+            F.max("_minute").alias("_last"),
         )
-        even = (F.col("_last") - F.col("_first") + 1) * HOUR_US * max_rows / F.col("_n")
-        burst = F.lit(HOUR_US) * max_rows / F.col("_peak")
+        # in doubles: a month in microseconds times millions of rows is beyond 64 bits
+        room = F.lit(float(MINUTE_US)) * F.lit(float(max_rows))
+        even = (F.col("_last") - F.col("_first") + 1) * room / F.col("_n")
+        burst = room / F.col("_peak")
         width = F.greatest(F.least(F.ceil(even), F.ceil(burst)), F.lit(1)).cast("bigint")
-    return counts.where(F.col("_n") > max_rows).select(
-        *keys,
-        F.ceil(F.col("_n") / max_rows).cast("int").alias("_salts"),
-        width.alias("_slot_us"),
-    )
+    return heavy.select(*keys, F.ceil(F.col("_n") / max_rows).cast("int").alias("_salts"), width.alias("_slot_us"))
 
 
 def add_slots(df: DataFrame, keys: list[str], hot: DataFrame, us: str = "_us") -> DataFrame:

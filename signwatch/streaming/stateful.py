@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from signwatch.operators.alerts import MINUTE_US, THRESHOLDS
-from signwatch.schema import DAY_US, HOUR_US
+from signwatch.operators.alerts import THRESHOLDS
+from signwatch.schema import DAY_US, HOUR_US, MINUTE_US
 from signwatch.skew import micros
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

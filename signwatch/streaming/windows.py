@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from signwatch.functions.scalars import fixed, hour
 from signwatch.operators import forest
 from signwatch.operators.detectors import top_values
+from signwatch.schema import MINUTE_US
 from signwatch.skew import micros
 
 SIZE, SLIDE = "5 minutes", "1 minute"
@@ -115,7 +116,7 @@ def baseline(events: DataFrame, first: int = 10, slide_minutes: int = 5, k: int
 def average_rate(events: DataFrame) -> DataFrame:
     """One row: events per minute over the whole span."""
     us = micros("timestamp")
-    return events.agg((F.count(F.lit(1)) / ((F.max(us) - F.min(us)) / 60_000_000)).alias("rate"))
+    return events.agg((F.count(F.lit(1)) / ((F.max(us) - F.min(us)) / MINUTE_US)).alias("rate"))
 
 
 def volume_spikes(metrics: DataFrame, historical: Column | float = 1.0, factor: float = 3.0) -> DataFrame:

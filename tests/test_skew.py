@@ -86,3 +86,21 @@ def test_sessions_and_biometrics_with_slots(spark, sf_dir, one_hot_user):
     for operator, rows in cases:
         whole = bag(operator(rows))
         assert whole and bag(operator(rows, max_rows=9)) == whole, operator.__name__
+
+
+def test_slot_width_of_a_long_busy_key(spark):
+    """30 days, 12,000 rows, half of them within one minute."""
+    even = spark.range(6000).select((F.col("id") * 432_000_000).alias("us"))
+    burst = spark.range(6000).select((F.col("id") * 10_000).alias("us"))
+    df = even.union(burst).select(F.lit("a").alias("username"), F.timestamp_micros("us").alias("timestamp"))
+    row = hot_keys(df, ["username"], "timestamp", max_rows=1000).first()
+    assert row._salts == 12
+    # about 6,000 rows in the first minute: a sixth of a minute holds 1,000
+    assert 9_000_000 < row._slot_us <= 10_000_000
+
+
+def test_slot_width_over_decades(spark):
+    rows = [("a", i * 10**14) for i in range(20)]
+    df = spark.createDataFrame(rows, "username string, us long").select("username", F.timestamp_micros("us").alias("timestamp"))
+    # never more than one row a minute, so five minutes are sure to hold at most five
+    assert hot_keys(df, ["username"], "timestamp", max_rows=5).first()._slot_us == 300_000_000
