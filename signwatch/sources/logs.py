@@ -204,7 +204,7 @@ def strict(parsed: DataFrame) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, *paths: str, glob: str = "*.{log,txt}") -> DataFrame:
-    """(line, file) of the files, or of all matching files in the folders; ``line_hash`` names the line."""
+    """(line, file, event_id) of the files, or of all matching files in the folders; the id is a hash of file and line."""
     text = spark.read.option("pathGlobFilter", glob).text(list(paths))
     return text.select(
         F.col("value").alias("line"),

@@ -126,3 +126,17 @@ def test_stages_hand_over_tables(spark, sf_dir, tmp_path):
     assert spark.read.parquet(f"{out}/profile_state/snapshot=2024-01-31").count()
     # a line of the user, one of the reason
     assert spark.read.text(f"{out}/alert_log").count() == 2 * spark.read.parquet(f"{out}/alerts").count()
+
+
+def test_alert_tables_from_a_stream(spark, sf_dir, tmp_path):
+    from signwatch.streaming import alerts as alert_stream
+
+    rows = fx.alerts_input(spark, sf_dir).withColumnRenamed("alert_id", "event_id").drop("status")
+    stream = replay(spark, rows, tmp_path / "in", 2)
+    alert_stream.start(stream, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True).awaitTermination(120)
+    n = rows.count()
+    history = spark.read.parquet(str(tmp_path / "out" / "history"))
+    assert history.count() == n and {r.batch for r in history.select("batch").distinct().collect()} == {0, 1}
+    assert spark.read.text(str(tmp_path / "out" / "log")).count() == n
+    for channel in ("email", "log"):
+        assert spark.read.parquet(str(tmp_path / "out" / "outbox" / channel)).count() == n
