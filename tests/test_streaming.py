@@ -26,11 +26,11 @@ def replay(spark, df, folder, parts):
     """The rows as a stream of ``parts`` files in time order, one file per micro-batch."""
     ordered = df.withColumn("timestamp", F.col("timestamp").cast("timestamp")).orderBy("timestamp").toPandas()
     size = -(-len(ordered) // parts)
-    schema = spark.createDataFrame(ordered.head(1)).schema if len(ordered) else df.schema
+    schema = df.withColumn("timestamp", F.col("timestamp").cast("timestamp")).schema
     for i in range(parts):
-        part = spark.createDataFrame(ordered.iloc[i * size : (i + 1) * size], df.withColumn("timestamp", F.col("timestamp").cast("timestamp")).schema)
+        part = spark.createDataFrame(ordered.iloc[i * size : (i + 1) * size], schema)
         part.coalesce(1).write.mode("append").parquet(str(folder / f"p{i:02}"))
-    return spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(str(folder / "p*"))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder / "p*"))
 
 
 def finish(stream, tmp_path, spark):
