@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signwatch.llm import contamination
+from signwatch.llm import contamination, dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
+
+
 def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.size("hit_words").cast("long")
@@ -31,6 +41,7 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_repeats": op7_repeats,
     "op10_contamination": op10_contamination,
 }
 
