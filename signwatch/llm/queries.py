@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signwatch.llm import contamination, dedup
+from signwatch.llm import contamination, dedup, shingle_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shingle_join.join(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(
@@ -41,6 +46,7 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_shingle_join": op2_shingle_join,
     "op7_repeats": op7_repeats,
     "op10_contamination": op10_contamination,
 }
