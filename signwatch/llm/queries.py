@@ -4,16 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signwatch.llm import contamination, dedup, shingle_join
+from signwatch.llm import contamination, dedup, shingle_join, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(parts: int, column: str = "doc_id") -> Column:
+    return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(parts))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(_fold(4) != 2)
+    found = toxicity.score(docs, toxicity.fit(docs, labels))
+    return found.select(
+        "doc_id", (_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = shingle_join.join(table(spark, sf_dir, "documents"), words=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id")
@@ -46,6 +59,7 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_shingle_join": op2_shingle_join,
     "op7_repeats": op7_repeats,
     "op10_contamination": op10_contamination,

@@ -76,6 +76,7 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
+    sums: np.ndarray | None = None
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -89,12 +90,17 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        if not len(self.starts):
+        return self.parts(self.starts, self.ends)
+
+    def parts(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of the bytes between each start and end."""
+        if not len(starts):
             return np.zeros(0, dtype=np.uint64)
         up, down = _powers(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum(_byte_values()[self.data] * up[: len(self.data)], out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        if self.sums is None:
+            self.sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
+            np.cumsum(_byte_values()[self.data] * up[: len(self.data)], out=self.sums[1:])
+        return mix((self.sums[ends] - self.sums[starts]) * down[starts])
 
     def windows(self, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts (word numbers) of the windows of ``length`` words within one document, and their hashes."""
