@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signwatch.llm import contamination, dedup, shingle_join, toxicity
+from signwatch.llm import contamination, dedup, language, shingle_join, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,12 @@ def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, docs.filter(_fold(3) != 1))
+    return language.predict(docs, model).select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(
@@ -61,6 +67,7 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_shingle_join": op2_shingle_join,
+    "op3_language": op3_language,
     "op7_repeats": op7_repeats,
     "op10_contamination": op10_contamination,
 }
