@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signwatch.llm import contamination, dedup, language, shingle_join, toxicity
+from signwatch.llm import contamination, dedup, language, licenses, shingle_join, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,24 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    joined = lambda labels: F.concat_ws(",", F.array_sort(F.array_distinct(labels)))
+    base = F.col("places.label")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.word").cast("long").alias("first_word"),
+        F.array_max("places.word").cast("long").alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, F.col("notices.label"))).alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max("notices.similarity"), F.lit(0.0))).alias("score"),
+        F.size("notices").cast("long").alias("n_notices"),
+        F.to_json("notices").alias("notices"),
+    )
+
+
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(
@@ -68,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_shingle_join": op2_shingle_join,
     "op3_language": op3_language,
+    "op5_licenses": op5_licenses,
     "op7_repeats": op7_repeats,
     "op10_contamination": op10_contamination,
 }
