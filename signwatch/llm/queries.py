@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signwatch.llm import contamination, dedup, language, licenses, shingle_join, toxicity
+from signwatch.llm import contamination, dedup, language, licenses, secrets, shingle_join, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,21 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _listed(spans: Column) -> Column:
+    """Spans as kind:start:end, comma-joined."""
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(docs))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *(number(k) for k in secrets.KINDS), F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans")
+    )
+
+
 def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.size("hit_words").cast("long")
@@ -88,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op5_licenses": op5_licenses,
     "op7_repeats": op7_repeats,
+    "op9_secrets": op9_secrets,
     "op10_contamination": op10_contamination,
 }
 
