@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signwatch.llm import contamination, dedup, language, licenses, secrets, shingle_join, toxicity
+from signwatch.llm import contamination, dedup, language, licenses, pii, secrets, shingle_join, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,21 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.scan(docs, pii.fit(docs))
+    number = lambda kind: F.size(F.filter("fixed", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    order = F.array(*map(F.lit, pii.KINDS))
+    every = F.concat("fixed", "added")
+    by_kind = F.transform(
+        F.array_sort(F.transform(every, lambda s: F.struct(F.array_position(order, s["kind"]).alias("n"), s["begin"].alias("begin"), s["end"].alias("end"), s["kind"].alias("kind")))),
+        lambda s: s,
+    )
+    return found.select(
+        "doc_id", *(number(k) for k in pii.KINDS), F.sha2(_listed(F.col("fixed")), 256).alias("base_sha256"), _listed(by_kind).alias("spans")
+    )
+
+
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(
@@ -102,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_shingle_join": op2_shingle_join,
     "op3_language": op3_language,
     "op5_licenses": op5_licenses,
+    "op6_pii": op6_pii,
     "op7_repeats": op7_repeats,
     "op9_secrets": op9_secrets,
     "op10_contamination": op10_contamination,
