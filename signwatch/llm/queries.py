@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signwatch.llm import contamination, dedup, language, licenses, pii, secrets, shingle_join, toxicity
+from signwatch.llm import contamination, dedup, language, licenses, pieces, pii, secrets, shingle_join, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,13 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.vocabulary_of(spark)
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), vocabulary)
+    again = pieces.decode(encoded, vocabulary)
+    return again.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def _listed(spans: Column) -> Column:
     """Spans as kind:start:end, comma-joined."""
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])))
@@ -119,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_licenses": op5_licenses,
     "op6_pii": op6_pii,
     "op7_repeats": op7_repeats,
+    "op8_pieces": op8_pieces,
     "op9_secrets": op9_secrets,
     "op10_contamination": op10_contamination,
 }
