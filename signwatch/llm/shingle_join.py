@@ -36,7 +36,7 @@ from signwatch.llm.components import components
 SKETCH = 512
 SKETCHES = [f"s{k}" for k in range(SKETCH // 64)]
 #: More rounds with one centre per key while a key holds on average more pairs in different components than this.
-PAIRS_A_ROW = 64
+PAIRS_A_ROW = 1024
 ROUNDS = 6
 
 
