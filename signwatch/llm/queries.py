@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signwatch.llm import contamination, dedup, language, licenses, pieces, pii, secrets, shingle_join, toxicity
+from signwatch.llm import contamination, dedup, language, licenses, pieces, pii, secrets, shingle_join, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     joined = lambda labels: F.concat_ws(",", F.array_sort(F.array_distinct(labels)))
@@ -123,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_shingle_join": op2_shingle_join,
     "op3_language": op3_language,
+    "op4_topk": op4_topk,
     "op5_licenses": op5_licenses,
     "op6_pii": op6_pii,
     "op7_repeats": op7_repeats,
@@ -131,4 +136,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_contamination": op10_contamination,
 }
 
-ORACLES: dict[str, str] = {}
+#: Components as integers; vectors with a null or a component that is not finite are left out.
+OP4_SQL = """
+WITH parts AS (
+  SELECT vec_id, embedding, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    coalesce(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]), 0) AS score
+  FROM parts q JOIN parts c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10
+"""
+
+OP7_SQL = """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i+12], chr(1)) AS passage
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) AS i FROM words)
+), first AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY passage) AS earliest FROM windows
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM first WHERE earliest < doc_id
+), places AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words
+), kept AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.i) AS kept, count(*) AS n
+  FROM places p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id
+)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_topk": OP4_SQL,
+    "op7_repeats": OP7_SQL,
+}
