@@ -117,9 +117,6 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.sort_array("items")), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
-        F.col("longest.length").alias("longest_match"),
-        F.col("longest.item_id").alias("longest_item"),
-        F.col("longest.doc_word").alias("longest_at"),
     )
 
 
@@ -174,7 +171,62 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(k
 FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
 """
 
+#: Only A-Z are lower-cased.
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, unnest(list_distinct([array_to_string(w[i:i+2], chr(1)) FOR i IN range(1, greatest(len(w) - 1, 2))])) AS s
+  FROM words WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared x JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * x.n >= 90 * (p.n + q.n - x.n)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reached r JOIN both_ways l ON r.b = l.a
+), least_reached AS (
+  SELECT a, min(b) AS b FROM reached GROUP BY a
+)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(r.b, w.doc_id)) AS component_id
+FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id LEFT JOIN least_reached r ON r.a = w.doc_id
+"""
+
+OP10_SQL = f"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), words AS (
+  SELECT doc_id, regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i+n-1], ' ') AS passage
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), lengths AS (
+  SELECT DISTINCT n FROM item_windows
+), windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i+n-1], ' ') AS passage
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, lengths)
+), found AS (
+  SELECT doc_id, i, x.n AS n, item_id FROM windows x JOIN item_windows y ON x.n = y.n AND x.passage = y.passage
+), hits AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hits h ON h.doc_id = w.doc_id LEFT JOIN listed l ON l.doc_id = w.doc_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_shingle_join": OP2_SQL,
     "op4_topk": OP4_SQL,
     "op7_repeats": OP7_SQL,
+    "op10_contamination": OP10_SQL,
 }
