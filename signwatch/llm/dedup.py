@@ -71,11 +71,10 @@ class Slice:
     def candidates(self, lengths: list[int], found: list[np.ndarray]) -> np.ndarray:
         """Windows of length ``lengths[len(found)]`` whose anchors at all shorter lengths were found elsewhere too."""
         here = _valid(self.words, lengths[min(1, len(lengths) - 1)])
-        for k, places in enumerate(found):
+        for k, hashes in enumerate(found):
             values, least, _ = self.anchors(lengths[k], lengths[k + 1], here)
             width = lengths[k + 1] - lengths[k] + 1
-            seen = np.zeros(len(values), dtype=np.uint64)
-            seen[places] = values[places]
+            seen = np.where(_among(values, hashes), values, np.uint64(0))
             here = here & (least > 0) & (_sliding(seen, width, np.maximum) >= least)
             if k + 2 < len(lengths):
                 here = _valid(self.words, lengths[k + 2]) & _sliding(here, lengths[k + 2] - lengths[k + 1] + 1, np.logical_and)
@@ -93,33 +92,36 @@ class Slice:
         return at, text.window_hashes(self.hashes, lengths[k])[at]
 
 
-def _rows(ids: np.ndarray, places: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-    """One row per distinct hash: smallest and largest document, a place, and any more documents and places."""
+def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which values are among ``some``, which are sorted."""
+    if not len(some):
+        return np.zeros(len(values), dtype=bool)
+    return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
+
+
+def _rows(ids: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
+    """One row per distinct hash: its smallest document, and any more documents, in order."""
     by = np.lexsort((ids, hashes))
-    ids, places, hashes = ids[by], places[by], hashes[by]
+    ids, hashes = ids[by], hashes[by]
     new = np.ones(len(by), dtype=bool)
     new[1:] = hashes[1:] != hashes[:-1]
+    once = new.copy()
+    once[1:] |= ids[1:] != ids[:-1]
+    ids, hashes, new = ids[once], hashes[once], new[once]
     firsts = np.flatnonzero(new)
-    size = np.diff([*firsts, len(by)])
+    size = np.diff([*firsts, len(ids)])
     offsets = pa.array(np.concatenate([[0], np.cumsum(size - 1)]).astype(np.int32), mask=np.append(size == 1, False))
-    rest = pa.StructArray.from_arrays([pa.array(ids[~new]), pa.array(places[~new].astype(np.int32))], ["doc_id", "at"])
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(text.signed(hashes[firsts])),
-            pa.array(ids[firsts]),
-            pa.array(ids[firsts + size - 1]),
-            pa.array(places[firsts].astype(np.int32)),
-            pa.ListArray.from_arrays(offsets, rest),
-        ],
-        names=["window", "doc_id", "last", "at", "more"],
+        [pa.array(text.signed(hashes[firsts])), pa.array(ids[firsts]), pa.ListArray.from_arrays(offsets, pa.array(ids[~new]))],
+        names=["window", "doc_id", "more"],
     )
 
 
-ROWS = "window long, doc_id long, last long, at int, more array<struct<doc_id: long, at: int>>"
+ROWS = "window long, doc_id long, more array<long>"
 
 
 def _level(lengths: list[int], level: int):
-    """Windows to compare at this level; ``found`` has, for each earlier level, the places found elsewhere too."""
+    """Windows to compare at this level; ``found_k`` has the windows of each earlier level found elsewhere too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,18 +130,11 @@ def _level(lengths: list[int], level: int):
             for begin, end, words in text.word_slices(batch.column("text"), text.SPACES, lower=False):
                 if not len(words.starts):
                     continue
-                places = []
-                for column in found:
-                    column = column.slice(begin, end - begin)
-                    lists = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                    size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                    at = np.repeat(words.first[:-1], size) + lists
-                    # Rows that share an id share the places found; a shorter text may end before them.
-                    places.append(at[at < np.repeat(words.first[1:], size)])
-                at, hashes = Slice(words).shuffled(lengths, places)
+                # What one document has in common with others, the others here have in common too.
+                lists = [np.unique(c.slice(begin, end - begin).flatten().to_numpy(zero_copy_only=False).view(np.uint64)) for c in found]
+                at, hashes = Slice(words).shuffled(lengths, lists)
                 if len(at):
-                    of = np.repeat(np.arange(end - begin), words.counts())[at]
-                    yield _rows(ids[begin:end][of], at - words.first[of], hashes)
+                    yield _rows(np.repeat(ids[begin:end], words.counts())[at], hashes)
 
     return run
 
@@ -155,14 +150,10 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = raw.to_pybytes().split() if raw is not None else []
             n_words.append(len(words))
             gone = np.zeros(0, dtype=np.int32)
-            if words and (pairs := windows[k].values) is not None and len(pairs):
-                at = pairs.field("at").to_numpy().astype(np.int64)
-                check = pairs.field("check").to_numpy()
+            if words and windows[k].values is not None and len(windows[k].values):
                 own = text.find_words(*text.texts_bytes(texts.slice(k, 1)), text.SPACES).hashes()
-                hashes = text.window_hashes(own, length)
-                fits = at + length <= len(words)
-                at, check = at[fits], check[fits]
-                at = at[text.signed(hashes[at]).astype(np.int32) == check]
+                hashes = text.window_hashes(own, length)[: max(0, len(own) - length + 1)]
+                at = np.flatnonzero(_among(hashes, np.sort(windows[k].values.to_numpy().view(np.uint64))))
                 cover = np.zeros(len(words) + 1, dtype=np.int64)
                 np.add.at(cover, at, 1)
                 np.add.at(cover, at + length, -1)
@@ -182,33 +173,32 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _two_columns(docs: DataFrame, id: str, texts: str) -> DataFrame:
+    """``doc_id`` and ``text``; plain columns where they are that already, as an alias would hide equal exchanges."""
+    if (id, texts, docs.schema[id].dataType.simpleString()) == ("doc_id", "text", "bigint"):
+        return docs.select(id, texts)
+    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(texts).alias("text"))
+
+
 def remove_repeats(docs: DataFrame, words: int = WORDS, id: str = "doc_id", texts: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_words, removed`` (numbers of the words removed) and ``kept_text``."""
-    docs = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(texts).alias("text"))
+    docs = _two_columns(docs, id, texts)
     lengths = levels(words)
     own = Window.partitionBy("window")
-    state = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    # The same rows are dealt by id for each level and at the end, so Spark deals them once.
+    named = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    state = named
     for level in range(len(lengths)):
         rows = state.mapInArrow(_level(lengths, level), ROWS)
-        both = F.concat(F.array(F.struct("doc_id", "at")), F.coalesce("more", F.array()))
-        seen = rows.select(
-            "window",
-            "doc_id",
-            "at",
-            "more",
-            F.min("doc_id").over(own).alias("lowest"),
-            F.max("last").over(own).alias("highest"),
-        ).filter("lowest < highest")
-        seen = seen.select("window", "lowest", F.explode(both).alias("place")).select("window", "lowest", "place.*")
+        last = F.coalesce(F.element_at("more", -1), "doc_id")
+        seen = rows.withColumns({"lowest": F.min("doc_id").over(own), "highest": F.max(last).over(own)}).filter("lowest < highest")
+        every = F.explode(F.concat(F.array("doc_id"), F.coalesce("more", F.array().cast("array<long>"))))
+        seen = seen.select("window", "lowest", every.alias("doc_id"))
         if level + 1 < len(lengths):
-            found = seen.groupBy("doc_id").agg(F.collect_list("at").alias(f"found_{level}"))
+            found = seen.groupBy("doc_id").agg(F.collect_list("window").alias(f"found_{level}"))
             state = state.join(found, "doc_id")
-    windows = (
-        seen.filter("lowest < doc_id")
-        .select("doc_id", F.struct("at", F.expr("cast(window << 32 >> 32 as int)").alias("check")).alias("window"))
-        .groupBy("doc_id")
-        .agg(F.collect_list("window").alias("windows"))
-    )
-    return docs.join(windows, "doc_id", "left").withColumn("length", F.lit(words)).mapInArrow(
-        _kept, "doc_id long, n_words long, removed array<int>, kept_text string"
-    )
+    windows = seen.filter("lowest < doc_id").groupBy("doc_id").agg(F.collect_list("window").alias("windows"))
+    others = docs.filter("doc_id IS NULL OR text IS NULL").withColumn("windows", F.lit(None).cast("array<long>"))
+    every = named.join(windows, "doc_id", "left").select("doc_id", "text", "windows").union(others)
+    schema = "doc_id long, n_words long, removed array<int>, kept_text string"
+    return every.withColumn("length", F.lit(words)).mapInArrow(_kept, schema)
