@@ -19,14 +19,22 @@ THRESHOLDS = {"high": 3, "medium": 5}
 CHANNELS = ["email", "log"]
 
 
-def from_anomalies(anomalies: DataFrame) -> DataFrame:
-    """Alert rows, active and not yet notified; missing text becomes ''."""
+def finding_id(*parts: str) -> Column:
+    """An id for each finding: a hash of the event's id and of what was found, as an event may have several findings."""
+    return F.xxhash64(*[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts])
+
+
+def from_anomalies(anomalies: DataFrame, alert_id: Column | None = None) -> DataFrame:
+    """Alert rows, active and not yet notified; missing text becomes ''.
+
+    The event's id is the alert's unless another is given (``finding_id``): one finding per event is assumed.
+    """
 
     def filled(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit("")).alias(name)
 
     return anomalies.select(
-        F.col("event_id").alias("alert_id"),
+        (F.col("event_id") if alert_id is None else alert_id).alias("alert_id"),
         "timestamp",
         filled("username"),
         filled("ip_address"),
@@ -116,15 +124,25 @@ def in_window(as_of: str, minutes: int, ts: str = "timestamp") -> Column:
     return micros(ts) > micros(F.lit(as_of).cast("timestamp")) - minutes * MINUTE_US
 
 
-def notifications(alerts: DataFrame, as_of: str, minutes: int = 60, slot_width: int = 1_000_000) -> DataFrame:
-    """Alerts that fire a notification, in arrival order (``alert_id``).
+def arrival(slot_minutes: int) -> Column:
+    """Stretches of arrival time."""
+    return F.floor(micros("timestamp") / (slot_minutes * MINUTE_US))
+
+
+def notifications(alerts: DataFrame, as_of: str, minutes: int = 60, slot_minutes: int = 60) -> DataFrame:
+    """Alerts that fire a notification, in order of arrival (``timestamp``, then ``alert_id``).
 
     A severity with a threshold k fires at every k-th alert inside the window, because firing marks all earlier
     ones as notified; other severities fire at every alert.
     """
     inside = in_window(as_of, minutes)
     ranked = running_total(
-        alerts.withColumn("_inside", inside), ["severity"], "alert_id", F.col("_inside").cast("bigint"), "_rank", slot_width
+        alerts.withColumn("_inside", inside),
+        ["severity"],
+        ["timestamp", "alert_id"],
+        F.col("_inside").cast("bigint"),
+        "_rank",
+        arrival(slot_minutes),
     )
     fires = F.lit(True)
     for severity, k in THRESHOLDS.items():
@@ -132,13 +150,14 @@ def notifications(alerts: DataFrame, as_of: str, minutes: int = 60, slot_width:
     return ranked.where(fires).drop("_inside", "_rank")
 
 
-def notified_flags(alerts: DataFrame, as_of: str, minutes: int = 60, slot_width: int = 1_000_000) -> DataFrame:
+def notified_flags(alerts: DataFrame, as_of: str, minutes: int = 60, slot_minutes: int = 60) -> DataFrame:
     """Alerts with ``notified``: true up to the last one of its severity that fired."""
-    fired = notifications(alerts, as_of, minutes, slot_width)
-    # one row per severity, a closed vocabulary of a few words
-    last = F.broadcast(fired.groupBy("severity").agg(F.max("alert_id").alias("_last")))
+    fired = notifications(alerts, as_of, minutes, slot_minutes)
+    # one row per severity
+    place = F.struct("timestamp", "alert_id")
+    last = fired.groupBy("severity").agg(F.max(place).alias("_last"))
     joined = alerts.drop("notified").join(last, "severity", "left")
-    return joined.withColumn("notified", F.coalesce(F.col("alert_id") <= F.col("_last"), F.lit(False))).drop("_last")
+    return joined.withColumn("notified", F.coalesce(place <= F.col("_last"), F.lit(False))).drop("_last")
 
 
 def recent_unnotified(flagged: DataFrame, as_of: str, minutes: int = 60) -> DataFrame:

@@ -7,6 +7,8 @@ of parameters per client.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -103,6 +105,8 @@ def local_fit(
             out.append((list(now - move), float(np.abs(move).max())))
         return pd.DataFrame(out, columns=["w", "moved"])
 
+    if weights.isEmpty():
+        max_steps = 0
     for _ in range(max_steps):
         joined = salted_join(base, weights.select(*CLIENT, "n", "w"), CLIENT, spread=["event_id"], base=rows)
         p = sigmoid(linear(columns, lambda i: F.col("w")[i]))
@@ -122,6 +126,10 @@ def local_fit(
         weights = cut(sums.select(*CLIENT, "n", "s.w", "s.moved"))
         if weights.agg(F.max("moved")).first()[0] <= tol:
             break
+    else:
+        if max_steps:
+            far = weights.where(F.col("moved") > tol).count()
+            warnings.warn(f"{far} clients still moved by more than {tol} after {max_steps} steps", stacklevel=2)
     return unpivot(
         weights.select(*CLIENT, "n", *[F.col("w")[i].alias(name) for i, name in enumerate(names)]), names, "value"
     )
@@ -212,12 +220,15 @@ def forest_counts(scored: DataFrame) -> DataFrame:
 
 
 def fit_forest(rows: DataFrame, trees: int = 100, contamination: float = 0.1, seed: int = 42):
-    """One forest of ``trees`` trees taken evenly from the clients' own forests; None without data."""
-    sample = iforest.sample_per_tree(rows, CLIENT_COLUMNS, CLIENT, trees=trees, seed=seed)
+    """One forest of at least ``trees`` trees, as many from each client's own forest; None without data.
+
+    Every client has at least one tree, so with more clients than ``trees`` the model has a tree per client.
+    """
+    clients = rows.select(*CLIENT).distinct().count()
+    each = max(1, -(-trees // max(clients, 1)))
+    sample = iforest.sample_per_tree(rows, CLIENT_COLUMNS, CLIENT, trees=each, seed=seed)
     nodes = cut(iforest.fit_nodes(sample, CLIENT, seed))
-    # the i-th tree of every client before the next tree of any; the global model has as many trees as a client's
-    chosen = nodes.where("node = 0").orderBy("tree", F.xxhash64(F.lit(seed), "client_id")).limit(trees).select("client_id", "tree")
-    model = iforest.assemble(nodes.join(chosen, ["client_id", "tree"]), CLIENT_COLUMNS, ["client_id", "tree"])
+    model = iforest.assemble(nodes, CLIENT_COLUMNS, ["client_id", "tree"])
     return model and iforest.set_offset(model, rows, contamination)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signwatch.functions.scalars import fixed, score_severity, score_severity_three
+from signwatch.lineage import cut
 from signwatch.operators import features as feats
 from signwatch.schema import ANOMALY_COLUMNS
 from signwatch.skew import salted_join
@@ -37,28 +38,22 @@ def sample_per_tree(
 ) -> DataFrame:
     """(groups, tree, row id, features): at most ``tree_rows`` distinct rows per tree.
 
-    Small inputs: every tree draws from all rows. Beyond twice the total sample size, a row is first kept with the
-    matching probability and goes to one tree, so only the sample leaves the scan. ``base`` is the table to count
-    rows in, where ``rows`` is the outcome of a longer plan over it.
+    One rule for every size: a row is a candidate of a tree where the hash of seed, tree and row falls under the share
+    that gives the tree twice the rows it needs, and the candidates with the smallest ranks are taken. Only candidates
+    leave the scan. ``base`` is the table to count rows in, where ``rows`` is the outcome of a longer plan over it.
     """
     groups = groups or []
     base = rows if base is None else base
-    pool = 2 * trees * tree_rows
     ids = rows.select(*groups, row_id, F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
     if groups:
         sizes = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
         ids = salted_join(ids, sizes, groups, spread=[row_id], base=base)
     else:
         ids = ids.withColumn("_n", base.agg(F.count(F.lit(1))).scalar())
-    chance = F.pmod(F.xxhash64(F.lit(seed), F.col(row_id)), F.lit(1 << 30)) / (1 << 30)
-    one_tree = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(row_id)), F.lit(trees)).cast("int")
-    kept = ids.where((F.col("_n") >= min_rows) & (chance * F.col("_n") < pool))
-    spread = kept.withColumn(
-        "tree",
-        F.explode(
-            F.when(F.col("_n") <= pool, F.sequence(F.lit(0), F.lit(trees - 1))).otherwise(F.array(one_tree))
-        ),
-    )
+    every_tree = F.sequence(F.lit(0), F.lit(trees - 1))
+    draw = lambda t: F.pmod(F.xxhash64(F.lit(seed), t, F.col(row_id)), F.lit(1 << 30)) / (1 << 30)
+    drawn = F.filter(every_tree, lambda t: draw(t) * F.col("_n") < 2 * tree_rows)
+    spread = ids.where(F.col("_n") >= min_rows).withColumn("tree", F.explode(drawn))
     order = Window.partitionBy(*groups, "tree").orderBy(F.xxhash64(F.lit(seed + 2), "tree", row_id), row_id)
     return (
         spread.withColumn("_rank", F.row_number().over(order))
@@ -189,11 +184,53 @@ def score(rows: DataFrame, forest: Forest) -> DataFrame:
 
 def set_offset(forest: Forest, rows: DataFrame, contamination: float) -> Forest:
     """Put the zero of the score so that the given share of ``rows`` falls below it."""
-    cut = score(rows, forest).agg(F.percentile_approx("anomaly_score", contamination, 100_000).alias("cut")).first()
-    forest.offset += float(cut["cut"])
+    forest.offset += exact_quantile(score(rows, forest).select("anomaly_score"), "anomaly_score", contamination)
     return forest
 
 
+def exact_quantile(rows: DataFrame, column: str, share: float, most: int = 100_000) -> float:
+    """The interpolated quantile of all values, as a sort would give it.
+
+    An estimate brackets the place, a count says how many values lie below, and only the values inside, at most
+    ``most`` of them, are collected; a bracket with more is bracketed again.
+    """
+    values = cut(rows.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v")))
+    n = values.count()
+    if not n:
+        return 0.0
+    place = share * (n - 1)
+    low, high, below, inside = float("-inf"), float("inf"), 0, n
+
+    def value(k: int) -> float:
+        nonlocal low, high, below, inside
+        part = values.where(F.col("v").between(low, high))
+        while inside > most and low < high:
+            middle = (k - below) / inside
+            ends = [max(0.0, middle - 0.01), min(1.0, middle + 0.01)]
+            a, b = part.agg(F.percentile_approx("v", F.array(*map(F.lit, ends)), 1_000)).first()[0]
+            under, here = values.agg(F.count_if(F.col("v") < a), F.count_if(F.col("v").between(a, b))).first()
+            if not under <= k < under + here or here == inside:
+                # the estimate missed: halve around the middle value instead
+                a = b = part.agg(F.percentile_approx("v", 0.5, 1_000)).first()[0]
+                under, here = values.agg(F.count_if(F.col("v") < a), F.count_if(F.col("v") == a)).first()
+                if k < under:
+                    a, b = low, float(np.nextafter(a, -np.inf))
+                elif k >= under + here:
+                    a, b = float(np.nextafter(a, np.inf)), high
+                under, here = values.agg(F.count_if(F.col("v") < a), F.count_if(F.col("v").between(a, b))).first()
+            low, high, below, inside = a, b, under, here
+            part = values.where(F.col("v").between(low, high))
+        if low == high:
+            return low
+        return sorted(r[0] for r in part.collect())[k - below]
+
+    first = value(int(place))
+    if place == int(place):
+        return first
+    low, high, below, inside = float("-inf"), float("inf"), 0, n
+    return first + (place - int(place)) * (value(int(place) + 1) - first)
+
+
 def fit(
     rows: DataFrame,
     columns: list[str],

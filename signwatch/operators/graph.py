@@ -106,6 +106,8 @@ def closeness(sizes: DataFrame, found: list[DataFrame]) -> DataFrame:
     n = sizes.agg(F.sum("members")).scalar()
     members = sizes.select(F.col("class").alias("node"), "members")
     parts = [level.select("source", "node", F.lit(d).alias("d")) for d, level in enumerate(found)][1:]
+    if not parts:  # no node reaches another one
+        return sizes.select("class", F.lit(0.0).alias("closeness")).where(F.lit(False))
     far = parts[0]
     for part in parts[1:]:
         far = far.unionByName(part)
@@ -150,6 +152,8 @@ def betweenness(sizes: DataFrame, between: DataFrame, found: list[DataFrame]) ->
                 .groupBy("source", F.col("before").alias("node"))
                 .agg(F.sum(F.col("_paths") * F.col("_per_path")).alias("share"))
             )
+    if total is None:
+        return sizes.select("class", F.lit(0.0).alias("betweenness")).where(F.lit(False))
     weight = sizes.select(F.col("class").alias("source"), "members")
     sums = (
         total.join(weight, "source")

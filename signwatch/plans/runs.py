@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signwatch.lineage import cut
@@ -33,7 +33,7 @@ def batch(events: DataFrame, use_ml: bool = True, advanced: bool = False) -> Res
         events,
         profiles.user_profiles(events),
         found,
-        alerts.from_anomalies(found),
+        alerts.from_anomalies(found, alerts.finding_id("event_id", "anomaly_type", *["method"] * ("method" in found.columns))),
         reports.run_summary(events, found),
     )
 
@@ -50,9 +50,16 @@ def explained_run(events: DataFrame) -> DataFrame:
 
 
 def run_files(
-    spark: SparkSession, paths: list[str], out: str, year: int, fmt: str = "auto", use_ml: bool = True, advanced: bool = False
+    spark: SparkSession,
+    paths: list[str],
+    out: str,
+    year: int,
+    fmt: str = "auto",
+    use_ml: bool = True,
+    advanced: bool = False,
+    as_of: str | None = None,
 ) -> Result:
-    """Read log files and write events, rejected lines, profiles, anomalies, alerts and the alert log under ``out``."""
+    """Read log files and write events, rejected lines, profiles, anomalies, alerts, their log and notifications."""
     parsed = logs.parse(logs.read_lines(spark, *paths), fmt, year)
     stage_parse(parsed, out)
     events = spark.read.parquet(f"{out}/events")
@@ -60,17 +67,35 @@ def run_files(
     result.profiles.write.mode("overwrite").parquet(f"{out}/profiles")
     result.anomalies.write.mode("overwrite").parquet(f"{out}/anomalies")
     result.summary.write.mode("overwrite").parquet(f"{out}/summary")
-    tables.append_alerts(result.alerts, f"{out}/alerts")
-    tables.write_alert_log(result.alerts.select(alerts.log_line().alias("line")), f"{out}/alert_log")
+    write_alerts(result.alerts, out, alerts.log_line(), as_of)
     return result
 
 
+def write_alerts(rows: DataFrame, out: str, line: Column, as_of: str | None = None, minutes: int = 60) -> None:
+    """History, log, fired notifications and an outbox per channel; a rerun replaces what the run has written.
+
+    ``as_of`` is the time the thresholds look back from, the newest alert's if it is not given.
+    """
+    tables.write_alerts(rows, f"{out}/alerts")
+    tables.write_alert_log(rows.select(line.alias("line")), f"{out}/alert_log")
+    if as_of is None:
+        newest = rows.agg(F.max("timestamp")).first()[0]
+        as_of = str(newest) if newest else "1970-01-01 00:00:00"
+    fired = cut(alerts.notifications(rows, as_of, minutes))
+    fired.write.mode("overwrite").parquet(f"{out}/notifications")
+    for channel in alerts.CHANNELS:
+        alerts.outbox(fired, [channel]).write.mode("overwrite").parquet(f"{out}/outbox/{channel}")
+
+
 # --- stages, handing over tables -------------------------------------------------------------------------
 
 
 def stage_parse(parsed: DataFrame, out: str) -> None:
+    """Parse once, into one table; events and whole rejected lines are read from there."""
+    parsed.write.mode("overwrite").parquet(f"{out}/parsed")
+    parsed = parsed.sparkSession.read.parquet(f"{out}/parsed")
     logs.accepted(parsed).select("event_id", *logs.FIELDS).write.mode("overwrite").parquet(f"{out}/events")
-    logs.quarantine(parsed).write.mode("overwrite").parquet(f"{out}/quarantine")
+    logs.rejected(parsed).write.mode("overwrite").parquet(f"{out}/quarantine")
 
 
 def stage_profiles(spark: SparkSession, out: str, snapshot: str) -> None:
@@ -85,7 +110,7 @@ def stage_detect(spark: SparkSession, out: str, use_ml: bool = True) -> None:
     found.write.mode("overwrite").parquet(f"{out}/anomalies")
 
 
-def stage_alerts(spark: SparkSession, out: str) -> None:
-    rows = alerts.from_anomalies(spark.read.parquet(f"{out}/anomalies"))
-    tables.append_alerts(rows, f"{out}/alerts")
-    tables.write_alert_log(rows.select(alerts.analyst_line().alias("line")), f"{out}/alert_log")
+def stage_alerts(spark: SparkSession, out: str, as_of: str | None = None) -> None:
+    found = spark.read.parquet(f"{out}/anomalies")
+    rows = alerts.from_anomalies(found, alerts.finding_id("event_id", "anomaly_type"))
+    write_alerts(rows, out, alerts.analyst_line(), as_of)

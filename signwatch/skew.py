@@ -182,21 +182,21 @@ def salted_join(
 def running_total(
     df: DataFrame,
     keys: list[str],
-    order: str,
+    order: list[str],
     value: Column,
     name: str,
-    slot_width: int = 1_000_000,
+    slot: Column,
 ) -> DataFrame:
-    """Inclusive running total of ``value`` by a numeric order column within few, large groups.
+    """Inclusive running total of ``value`` in the given order within few, large groups.
 
-    Each stretch of ``slot_width`` order values is summed on its own; prefix sums over the stretches supply the
+    ``slot`` cuts the order into stretches; each is summed on its own, and prefix sums over the stretches supply the
     starting offset, so no task ever orders a whole group.
     """
-    slotted = df.withColumn("_slot", F.floor(F.col(order) / slot_width)).withColumn("_v", value)
+    slotted = df.withColumn("_slot", slot).withColumn("_v", value)
     sums = slotted.groupBy(*keys, "_slot").agg(F.sum("_v").alias("_sum"))
     before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*keys, "_slot", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    local = Window.partitionBy(*keys, "_slot").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    local = Window.partitionBy(*keys, "_slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         slotted.join(offsets, [*keys, "_slot"])
         .withColumn(name, F.col("_offset") + F.sum("_v").over(local))

@@ -185,12 +185,16 @@ def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("detected_format").isNotNull())
 
 
+def rejected(parsed: DataFrame) -> DataFrame:
+    """Rejected lines, whole, so that they can be parsed again."""
+    keep = [c for c in parsed.columns if c not in (*FIELDS, "detected_format")]
+    return parsed.where(F.col("detected_format").isNull()).select(*keep)
+
+
 def quarantine(parsed: DataFrame, line: str = "line", head: int = 100) -> DataFrame:
     """Rejected lines, cut to ``head`` characters for the report."""
-    keep = [c for c in parsed.columns if c not in (*FIELDS, "detected_format", line)]
-    return parsed.where(F.col("detected_format").isNull()).select(
-        *keep, F.substring(line, 1, head).alias("line_head")
-    )
+    lines = rejected(parsed)
+    return lines.select(*[c for c in lines.columns if c != line], F.substring(line, 1, head).alias("line_head"))
 
 
 def strict(parsed: DataFrame) -> DataFrame:
@@ -204,12 +208,17 @@ def strict(parsed: DataFrame) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, *paths: str, glob: str = "*.{log,txt}") -> DataFrame:
-    """(line, file, event_id) of the files, or of all matching files in the folders; the id is a hash of file and line."""
+    """(line, file, event_id) of the files, or of all matching files in the folders.
+
+    The id is a hash of the file, the block of the file that is read and the line's row in its task, so equal lines
+    have different ids and a rerun over the same files with the same split settings has the same ids.
+    """
     text = spark.read.option("pathGlobFilter", glob).text(list(paths))
+    place = ["_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()]
     return text.select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file"),
-        F.xxhash64("_metadata.file_path", "value").alias("event_id"),
+        F.xxhash64(*place).alias("event_id"),
     )
 
 

@@ -28,9 +28,9 @@ def read_snapshot(spark: SparkSession, path: str, snapshot: str) -> DataFrame:
     return spark.read.parquet(f"{path}/snapshot={snapshot}")
 
 
-def append_alerts(alerts: DataFrame, path: str) -> None:
-    """Add alerts to the history, one folder per day."""
-    alerts.select(*ALERT.fieldNames()).withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy(
+def write_alerts(alerts: DataFrame, path: str) -> None:
+    """The alert history of a run, one folder per day; a rerun replaces it."""
+    alerts.select(*ALERT.fieldNames()).withColumn("day", F.to_date("timestamp")).write.mode("overwrite").partitionBy(
         "day"
     ).parquet(path)
 
@@ -40,4 +40,4 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_alert_log(lines: DataFrame, path: str, column: str = "line") -> None:
-    lines.select(F.col(column).alias("value")).write.mode("append").text(path)
+    lines.select(F.col(column).alias("value")).write.mode("overwrite").text(path)

@@ -204,6 +204,42 @@ def test_global_forest_takes_trees_from_every_client(spark, sf_dir):
     assert counts.anomaly_count / rows.count() == pytest.approx(0.1, abs=0.01)
 
 
+def test_global_forest_with_more_clients_than_trees(spark):
+    # sizes 20 to 2,000
+    rows = spark.range(30 * 2000).selectExpr(
+        "id AS event_id", "concat('c', id % 30) AS client_id", "cast(id div 30 AS long) AS nth", *[f"rand({i}) AS {c}" for i, c in enumerate(federated.CLIENT_COLUMNS)]
+    ).where("nth < 20 * (1 + (cast(substring(client_id, 2) AS int) % 100) * 3)")
+    sample = forest.sample_per_tree(rows, federated.CLIENT_COLUMNS, ["client_id"], trees=1)
+    assert sample.select("client_id").distinct().count() == 30
+    assert sample.groupBy("client_id", "tree").count().agg(F.max("count")).first()[0] <= 256
+    model = federated.fit_forest(rows, trees=10)
+    assert len(model.roots) == 30
+
+
+def test_the_forest_draws_alike_at_every_size(spark):
+    for n in (300, 1281, 20_000):
+        rows = spark.range(n).selectExpr("id AS event_id", "rand(1) AS a")
+        sample = forest.sample_per_tree(rows, ["a"], trees=10, tree_rows=64)
+        per_tree = [r["count"] for r in sample.groupBy("tree").count().collect()]
+        assert per_tree == [64] * 10
+        assert sample.groupBy("row_id", "tree").count().where("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("most", [10, 1000])
+def test_exact_quantile(spark, most):
+    rng = np.random.default_rng(1)
+    values = np.concatenate([rng.normal(size=400), np.full(200, 0.25)])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    for share in (0.0, 0.1, 0.37, 0.6, 1.0):
+        assert forest.exact_quantile(df, "v", share, most) == pytest.approx(np.quantile(values, share))
+
+
+def test_no_rows(spark, sf_dir):
+    assert graph.advanced_anomalies(fx.auth_events(spark, sf_dir).limit(0)).count() == 0
+    rows = features.client_features(fx.client_events(spark, sf_dir), "client_id", "label").limit(0)
+    assert federated.local_fit(rows, federated.CLIENT_COLUMNS).count() == 0 and federated.fit_forest(rows) is None
+
+
 def test_evaluation(spark):
     cells = [(0, 0, 5), (0, 1, 1), (1, 0, 2), (1, 1, 2)]
     rows = [(a, b) for a, b, n in cells for _ in range(n)]

@@ -312,12 +312,20 @@ def replay(rows, as_of, minutes):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_notifications_equal_the_replayed_loop(spark, seed):
     rng = np.random.default_rng(seed)
-    rows = [(i, int(rng.integers(0, 7200)), str(rng.choice(["high", "medium", "low"]))) for i in range(120)]
+    seconds = sorted(int(x) for x in rng.choice(7200, 120, replace=False))
+    # ids as hashes are: not in order of arrival
+    ids = [int(x) for x in rng.integers(-(2**62), 2**62, 120)]
+    rows = [(i, x, str(rng.choice(["high", "medium", "low"]))) for i, x in zip(ids, seconds, strict=True)]
     as_of = T0 + timedelta(hours=2)
     data = [(i, T0 + timedelta(seconds=s), severity) for i, s, severity in rows]
     df = spark.createDataFrame(data, "alert_id long, timestamp timestamp, severity string")
-    fired = alerts.notifications(df, str(as_of), 60, slot_width=10)
-    assert sorted(r.alert_id for r in fired.collect()) == replay(rows, as_of, 60)
+    fired = alerts.notifications(df, str(as_of), 60, slot_minutes=7)
+    expected = replay(rows, as_of, 60)
+    assert sorted(r.alert_id for r in fired.collect()) == sorted(expected)
+    place, kind = {i: n for n, (i, _, _) in enumerate(rows)}, {i: s for i, _, s in rows}
+    last = {kind[i]: place[i] for i in expected}
+    flags = {r.alert_id: r.notified for r in alerts.notified_flags(df, str(as_of), 60, 7).collect()}
+    assert flags == {i: place[i] <= last.get(kind[i], -1) for i in ids}
 
 
 def test_explanations(spark):

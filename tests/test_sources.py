@@ -149,13 +149,26 @@ def test_profile_snapshot_round_trip(spark, sf_dir, tmp_path):
     assert back.exceptAll(state).count() == 0 and back.count() == state.count()
 
 
-def test_alert_history_appends(spark, sf_dir, tmp_path):
+def test_alert_history_is_replaced_by_a_rerun(spark, sf_dir, tmp_path):
     rows = alerts.from_anomalies(fx.alerts_input(spark, sf_dir).withColumnRenamed("alert_id", "event_id"))
     path = str(tmp_path / "alerts")
-    tables.append_alerts(rows, path)
-    tables.append_alerts(rows, path)
+    tables.write_alerts(rows, path)
+    tables.write_alerts(rows, path)
     history = tables.read_alerts(spark, path)
-    assert history.count() == 2 * rows.count()
+    assert history.count() == rows.count()
     assert history.where("status <> 'active' or notified").count() == 0
     tables.write_alert_log(rows.select(alerts.log_line().alias("line")), str(tmp_path / "log"))
     assert spark.read.text(str(tmp_path / "log")).count() == rows.count()
+
+
+def test_equal_lines_have_different_ids_that_a_rerun_repeats(spark, tmp_path):
+    (tmp_path / "a.log").write_text("same\nsame\nsame\nother\n")
+    (tmp_path / "b.log").write_text("same\n")
+    ids = [sorted(r.event_id for r in logs.read_lines(spark, str(tmp_path)).collect()) for _ in range(2)]
+    assert ids[0] == ids[1] and len(set(ids[0])) == 5
+
+
+def test_rejected_lines_are_kept_whole(spark):
+    line = "garbage " * 40 + "end"
+    parsed = logs.parse(spark.createDataFrame([(1, line)], "event_id long, line string"), year=2024)
+    assert logs.rejected(parsed).first().line == line and len(logs.quarantine(parsed).first().line_head) == 100

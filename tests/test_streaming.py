@@ -112,6 +112,10 @@ def test_run_over_log_files(spark, sf_dir, tmp_path):
     assert spark.read.parquet(f"{out}/quarantine").count() == 200
     alerts = spark.read.parquet(f"{out}/alerts")
     assert alerts.count() == spark.read.parquet(f"{out}/anomalies").count() > 0
+    assert alerts.select("alert_id").distinct().count() == alerts.count()
+    fired = spark.read.parquet(f"{out}/notifications")
+    for channel in ("email", "log"):
+        assert spark.read.parquet(f"{out}/outbox/{channel}").count() == fired.count() > 0
     assert {r.section for r in spark.read.parquet(f"{out}/summary").collect()} == {"events", "anomalies"}
 
 
@@ -135,8 +139,31 @@ def test_alert_tables_from_a_stream(spark, sf_dir, tmp_path):
     stream = replay(spark, rows, tmp_path / "in", 2)
     alert_stream.start(stream, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True).awaitTermination(120)
     n = rows.count()
+    fired = spark.read.parquet(str(tmp_path / "out" / "notifications"))
+    assert 0 < fired.count() < n
     history = spark.read.parquet(str(tmp_path / "out" / "history"))
     assert history.count() == n and {r.batch for r in history.select("batch").distinct().collect()} == {0, 1}
     assert spark.read.text(str(tmp_path / "out" / "log")).count() == n
     for channel in ("email", "log"):
-        assert spark.read.parquet(str(tmp_path / "out" / "outbox" / channel)).count() == n
+        assert spark.read.parquet(str(tmp_path / "out" / "outbox" / channel)).count() == fired.count()
+
+
+def test_thresholds_on_a_stream_equal_those_on_a_table(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from signwatch.operators import alerts
+    from signwatch.streaming import alerts as alert_stream
+
+    at = datetime(2024, 1, 1)
+    rows = [
+        (i, at + timedelta(seconds=20 * i), f"u{i}", "1.1.1.1", ["high", "medium", "low"][i % 3], "kind", "text") for i in range(90)
+    ]
+    table = spark.createDataFrame(
+        rows, "event_id long, timestamp timestamp, username string, ip_address string, severity string, anomaly_type string, details string"
+    )
+    stream = replay(spark, table, tmp_path / "in", 5)
+    alert_stream.start(stream, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True).awaitTermination(180)
+    whole = alerts.from_anomalies(table, alerts.finding_id("event_id", "anomaly_type"))
+    expected = alerts.notifications(whole, str(rows[-1][1]), 60)
+    got = spark.read.parquet(str(tmp_path / "out" / "notifications"))
+    assert {r.alert_id for r in got.collect()} == {r.alert_id for r in expected.collect()} and got.count() == expected.count()
