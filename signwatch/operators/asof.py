@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signwatch.skew import HOT_ROWS, add_slots, hot_keys, micros, only_hot
+from signwatch.skew import HOT_ROWS, add_slots, busy_keys, micros, only_hot
 
 
 def next_target(
@@ -21,8 +21,11 @@ def next_target(
     frame would be quadratic. A hot key's slot takes over the earliest target of all later slots.
     """
     rows = df.withColumn("_us", micros(time)).withColumn("_target", is_target)
-    hot = hot_keys(df, keys, time, max_rows)
+    hot = busy_keys(df, keys, time, max_rows)
     target_us = F.when(F.col("_target"), F.col("_us"))
+    if hot is None:
+        w = Window.partitionBy(*keys).orderBy(-F.col("_us")).rangeBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn("_next_us", F.min(target_us).over(w)).drop("_target")
     heads = (
         add_slots(only_hot(rows, keys, hot), keys, hot).groupBy(*keys, "_slot").agg(F.min(target_us).alias("_head"))
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from signwatch.functions.scalars import elapsed, fixed, hour, text
 from signwatch.schema import ANOMALY_COLUMNS, HOUR_US
-from signwatch.skew import HOT_ROWS, Timeline, add_slots, hot_keys, micros, only_hot, salted_join
+from signwatch.skew import HOT_ROWS, Timeline, add_slots, busy_keys, micros, only_hot, salted_join
 
 USER = ["username"]
 TIE = ["event_id"]
@@ -42,13 +42,16 @@ def trailing_counts(events: DataFrame, hours: int = 24, max_rows: int = HOT_ROWS
     """
     span = hours * HOUR_US
     times = known_users(events).select("username", micros("timestamp").alias("_us"))
-    hot = hot_keys(times, USER, F.timestamp_micros("_us"), max_rows)
+    hot = busy_keys(known_users(events).select("username", "timestamp"), USER, "timestamp", max_rows)
     steps = times.withColumn("_step", F.explode(F.array(F.lit(1), F.lit(-1)))).select(
         "username",
         F.when(F.col("_step") == 1, F.col("_us")).otherwise(F.col("_us") + span + 1).alias("_us"),
         F.col("_step").cast("bigint").alias("_step"),
         (F.col("_step") == 1).alias("_event"),
     )
+    if hot is None:
+        whole = Window.partitionBy("username").orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        return steps.withColumn("recent", F.sum("_step").over(whole)).where("_event").select("username", "_us", "recent")
     slotted = add_slots(steps, USER, hot)
     net = (
         add_slots(only_hot(steps, USER, hot), USER, hot)

@@ -517,8 +517,8 @@ def mouse_ctes(where: str, tag: str) -> dict[str, str]:
 
 
 KEY_SCORE = (
-    key_ctes("day(timestamp) < 20", "0")
-    | key_ctes("day(timestamp) >= 20", "1")
+    key_ctes("timestamp < TIMESTAMP '2024-01-20'", "0")
+    | key_ctes("timestamp >= TIMESTAMP '2024-01-20'", "1")
     | {
         "kprof": profile_sql("ks0", KEY_METRICS, "'hold', 'flight', 'latency'"),
         "kmeasures": f"""
@@ -538,8 +538,8 @@ KEY_SCORE = (
     }
 )
 MOUSE_SCORE = (
-    mouse_ctes("day(timestamp) < 20", "0")
-    | mouse_ctes("day(timestamp) >= 20", "1")
+    mouse_ctes("timestamp < TIMESTAMP '2024-01-20'", "0")
+    | mouse_ctes("timestamp >= TIMESTAMP '2024-01-20'", "1")
     | {
         "mprof": profile_sql("ms0", MOUSE_METRICS, "'speed', 'click'"),
         "mmeasures": f"""
@@ -686,6 +686,12 @@ ORACLES["alerts"] = oracle(
     """SELECT event_id AS alert_id, timestamp, username, coalesce(ip_address, '') AS ip_address, severity, anomaly_type, details,
   CAST(0 AS BIGINT) AS notified, 'active' AS status FROM deduped""",
 )
+ORACLES["alerts_simple"] = oracle(
+    EV,
+    DETECT,
+    """SELECT event_id AS alert_id, timestamp, username, coalesce(ip_address, 'Unknown') AS ip_address, severity, anomaly_type, details,
+  CAST(0 AS BIGINT) AS notified, 'active' AS status FROM deduped""",
+)
 ORACLES["alert_message"] = oracle(AL, {}, f"SELECT alert_id, {MESSAGE} AS message FROM alerts_input")
 ORACLES["alert_lines"] = oracle(
     AL,

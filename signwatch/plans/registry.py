@@ -334,12 +334,16 @@ def whole(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("bigint") for n in names})
 
 
-def before_day_20(df: DataFrame) -> DataFrame:
-    return df.where(F.dayofmonth("timestamp") < 20)
+# habits are learned before this day, sessions are scored from it on
+HABITS_UNTIL = "2024-01-20"
 
 
-def from_day_20(df: DataFrame) -> DataFrame:
-    return df.where(F.dayofmonth("timestamp") >= 20)
+def before_cutoff(df: DataFrame) -> DataFrame:
+    return df.where(F.col("timestamp") < F.lit(HABITS_UNTIL).cast("timestamp_ntz"))
+
+
+def from_cutoff(df: DataFrame) -> DataFrame:
+    return df.where(F.col("timestamp") >= F.lit(HABITS_UNTIL).cast("timestamp_ntz"))
 
 
 @query
@@ -371,8 +375,8 @@ def keystroke_profile(spark, sf):
 
 def keystroke_scores(spark, sf):
     keys = fx.keystrokes(spark, sf)
-    profile = biometrics.keystroke_profile(biometrics.keystroke_samples(before_day_20(keys)))
-    return biometrics.keystroke_anomaly(biometrics.keystroke_samples(from_day_20(keys)), profile)
+    profile = biometrics.keystroke_profile(biometrics.keystroke_samples(before_cutoff(keys)))
+    return biometrics.keystroke_anomaly(biometrics.keystroke_samples(from_cutoff(keys)), profile)
 
 
 @query
@@ -409,8 +413,8 @@ def mouse_profile(spark, sf):
 
 def mouse_scores(spark, sf):
     mouse = fx.mouse_events(spark, sf)
-    profile = biometrics.mouse_profile(biometrics.mouse_samples(before_day_20(mouse)))
-    return biometrics.mouse_anomaly(biometrics.mouse_samples(from_day_20(mouse)), profile)
+    profile = biometrics.mouse_profile(biometrics.mouse_samples(before_cutoff(mouse)))
+    return biometrics.mouse_anomaly(biometrics.mouse_samples(from_cutoff(mouse)), profile)
 
 
 @query
@@ -483,6 +487,11 @@ def alerts(spark, sf):
     return whole(alerting.from_anomalies(detectors.detect(fx.auth_events(spark, sf))), "notified")
 
 
+@query
+def alerts_simple(spark, sf):
+    return whole(alerting.from_anomalies_simple(detectors.detect(fx.auth_events(spark, sf))), "notified")
+
+
 @query
 def alert_message(spark, sf):
     return fx.alerts_input(spark, sf).select("alert_id", alerting.message().alias("message"))

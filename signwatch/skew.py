@@ -60,6 +60,33 @@ def hot_keys(
     return heavy.select(*keys, F.ceil(F.col("_n") / max_rows).cast("int").alias("_salts"), width.alias("_slot_us"))
 
 
+#: Busy keys already looked for, by table and keys.
+_FOUND: dict[tuple, list[tuple[DataFrame, DataFrame | None]]] = {}
+
+
+def busy_keys(
+    df: DataFrame, keys: list[str], time: str | Column | None = None, max_rows: int = HOT_ROWS
+) -> DataFrame | None:
+    """``hot_keys``, looked for once per table and written; None where no key is busy, so plans need no slots or salts.
+
+    Plans over the same table ask for the same keys again and again; they share the answer. It only picks the plan: an
+    answer from before rows were added gives the same results. Streams can't be counted first and get the open plan.
+    """
+    if df.isStreaming:
+        return hot_keys(df, keys, time, max_rows)
+    place = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(keys), str(time), max_rows)
+    known = _FOUND.setdefault(place, [])
+    for table, hot in known:
+        if table.sameSemantics(df):
+            return hot
+    hot = hot_keys(df, keys, time, max_rows)
+    # at most rows / max_rows rows, mostly none
+    rows = hot.collect()
+    found = df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    known.append((df, found))
+    return found
+
+
 def add_slots(df: DataFrame, keys: list[str], hot: DataFrame, us: str = "_us") -> DataFrame:
     """Add ``_slot``: the time slice of a hot key, 0 for every other key."""
     widths = F.broadcast(hot.select(*keys, "_slot_us"))
@@ -98,7 +125,10 @@ class Timeline:
     ):
         self.keys, self.tie = keys, tie
         timed = df.withColumn("_us", micros(time))
-        hot = hot_keys(timed, keys, time, max_rows)
+        hot = busy_keys(df, keys, time, max_rows)
+        if hot is None:
+            self.rows = timed.withColumns({"_slot": F.lit(0).cast("bigint"), "_carry": F.lit(False)})
+            return
         slotted = add_slots(timed, keys, hot)
         parts = [slotted.withColumn("_carry", F.lit(False))]
         hot_rows = add_slots(only_hot(timed, keys, hot), keys, hot)
@@ -155,7 +185,11 @@ def salted_join(
     the salt (a row identity). ``base`` is the table to count keys in, when ``big`` is the outcome of a long plan:
     its rows are a subset or equal in number per key, and counting the source does not run that plan twice.
     """
-    hot = hot_keys(big if base is None else base, keys, None, max_rows)
+    hot = busy_keys(big if base is None else base, keys, None, max_rows)
+    if hot is None and how in ("inner", "left", "left_semi", "left_anti"):
+        return big.join(small, keys, how)
+    if hot is None:
+        hot = hot_keys(big if base is None else base, keys, None, max_rows)
     salts = F.broadcast(hot.select(*keys, "_salts"))
     spread = spread or [c for c in big.columns if c not in keys]
     # rows with a missing key match nothing, so an outer join may scatter them freely
