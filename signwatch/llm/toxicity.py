@@ -7,8 +7,8 @@ the same beginnings over *all* documents. What neither class uses often says not
 models then answer with the shared counts.
 
 The difference of the two log-likelihoods, divided by the number of words, is taken for the whole text and for its
-passages of ``PASSAGES`` words; the highest passage counts, so one abusive sentence shows in a long text too. A logistic
-calibration on labelled rows kept apart from the counts turns these into a score.
+passages of ``PASSAGES`` words, and for its ``TOP`` most telling words; the highest passage counts, so one abusive
+sentence shows in a long text too. A logistic calibration on labelled rows kept apart from the counts turns these into a score.
 
 Class counts come from ``label_rows`` labelled rows at most, half of each class, those with the smallest hash of the
 id; that also bounds the table of beginnings that tasks are given. The shared counts cover every document: each task
@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,9 @@ DEPTH = 14
 #: Taken off each count of a class; beginnings that are as rare in both classes have no entry.
 DISCOUNT = 2
 PASSAGES = (1, 4, 16, 64)
-FEATURES = ["whole", "length", *(f"passage_{n}" for n in PASSAGES)]
+#: The highest values among a text's different words, however far apart.
+TOP = 8
+FEATURES = ["whole", "length", "top", *(f"passage_{n}" for n in PASSAGES)]
 
 
 def labelled_rows(labels: DataFrame, label_rows: int, label: str = "toxic") -> tuple[DataFrame, float]:
@@ -54,6 +57,11 @@ def labelled_rows(labels: DataFrame, label_rows: int, label: str = "toxic") -> t
     return ordered[0].union(ordered[1]).withColumn("fold", fold), share
 
 
+def _words(column: pa.Array) -> Iterator[tuple[int, int, text.Words]]:
+    """Words in lower case, in any script."""
+    return text.word_slices(pc.utf8_lower(column), text.SIGNS)
+
+
 def _distinct(words: text.Words) -> tuple[np.ndarray, np.ndarray]:
     """One place of each different word, and for each word which of those it is."""
     _, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
@@ -64,7 +72,7 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """For each beginning in this task's labelled texts the words of each class that have it."""
     for batch in batches:
         label = batch.column("label").to_numpy()
-        for begin, end, words in text.word_slices(batch.column("text"), text.SIGNS):
+        for begin, end, words in _words(batch.column("text")):
             if not len(words.starts):
                 continue
             first, which = _distinct(words)
@@ -164,7 +172,7 @@ class Model:
         """How many words of this task's documents stop at each node."""
         counts = np.zeros(len(self.nodes) + 1, dtype=np.int64)
         for batch in batches:
-            for _, _, words in text.word_slices(batch.column("text"), text.SIGNS):
+            for _, _, words in _words(batch.column("text")):
                 if len(words.starts):
                     first, which = _distinct(words)
                     np.add.at(counts, self.deepest(words, first), np.bincount(which))
@@ -173,12 +181,12 @@ class Model:
 
     def features(self, column: pa.Array) -> np.ndarray:
         out = []
-        for _, _, words in text.word_slices(column, text.SIGNS):
+        for _, _, words in _words(column):
             first, which = _distinct(words)
             node = self.deepest(words, first)
             longer = words.ends[first] - words.starts[first] > np.append(self.length, 0)[node]
             value = self.value[node] + np.where(longer, self.tail[node], 0)
-            out.append(_features(value[which], words))
+            out.append(_features(value[which], which, words))
         return np.concatenate([*out, np.zeros((0, len(FEATURES)))])
 
     def scores(self, features: np.ndarray) -> np.ndarray:
@@ -189,7 +197,8 @@ class Model:
         """Logistic regression by Newton steps, lightly penalised; the sample's odds are then set right."""
         x = np.concatenate([np.ones((len(features), 1)), features], axis=1)
         w = np.zeros(x.shape[1])
-        ridge = np.full(len(w), 1e-2)
+        ridge = np.full(len(w), 0.1)
+        ridge[0] = 1e-3
         for _ in range(100):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
             gradient = x.T @ (p - label) + ridge * w
@@ -202,11 +211,20 @@ class Model:
         self.weights = w
 
 
-def _features(value: np.ndarray, words: text.Words) -> np.ndarray:
-    """The mean of the whole text, the logarithm of its length, and the best mean of each passage length."""
+def _features(value: np.ndarray, which: np.ndarray, words: text.Words) -> np.ndarray:
+    """The mean of the whole text, the logarithm of its length, the mean of the highest values of different words (as
+    far as they are positive), and the best mean of each passage length."""
     count = words.counts()
     sums = np.concatenate([[0.0], np.cumsum(value)])
     out = [(sums[words.first[1:]] - sums[words.first[:-1]]) / np.maximum(count, 1), np.log1p(count)]
+    high = np.flatnonzero(value > 0)
+    of = np.repeat(np.arange(len(count)), count)[high]
+    _, first = np.unique(of * (which.max(initial=0) + 1) + which[high], return_index=True)
+    high, of = high[first], of[first]
+    by = np.lexsort((-value[high], of))
+    high, of = high[by], of[by]
+    top = np.arange(len(of)) - np.searchsorted(of, of) < TOP
+    out.append(np.bincount(of[top], weights=value[high[top]], minlength=len(count)) / TOP)
     used = count > 0
     for length in PASSAGES:
         # A passage ends with its document; one that is cut short is still divided by the full length.
