@@ -37,10 +37,13 @@ def _entry(ok: Column, **fields: Column) -> Column:
 
 
 def _groups(line: Column, pattern: str, n: int) -> Column:
-    """The pattern's groups as an array from one regex pass; null where the line does not match."""
+    """The pattern's groups as an array from one regex pass; null where the line does not match.
+
+    The separator can't be in the line: there it becomes the replacement character. So it shows that the pattern matched.
+    """
     sep = "\x01"
-    joined = F.regexp_replace(line, pattern, sep.join(f"${i}" for i in range(1, n + 1)))
-    return F.when(line.rlike(pattern), F.split(joined, sep, n))
+    joined = F.regexp_replace(F.translate(line, sep, "\ufffd"), pattern, sep.join(f"${i}" for i in range(1, n + 1)))
+    return F.when(joined.contains(sep), F.split(joined, sep, n))
 
 
 def classify(message: Column) -> Column:

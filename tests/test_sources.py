@@ -172,3 +172,10 @@ def test_rejected_lines_are_kept_whole(spark):
     line = "garbage " * 40 + "end"
     parsed = logs.parse(spark.createDataFrame([(1, line)], "event_id long, line string"), year=2024)
     assert logs.rejected(parsed).first().line == line and len(logs.quarantine(parsed).first().line_head) == 100
+
+
+def test_a_control_character_shifts_no_field(spark):
+    line = "Jan 02 03:04:05 ho\x01st sshd[1]: Failed password for a\x01b from 10.0.0.1 port 22 ssh2"
+    row = logs.parse(spark.createDataFrame([(1, line)], "event_id long, line string"), "syslog", 2024).first()
+    assert (row.hostname, row.service, row.ip_address) == ("ho\ufffdst", "sshd", "10.0.0.1")
+    assert row.username.startswith("a") and str(row.timestamp) == "2024-01-02 03:04:05"
