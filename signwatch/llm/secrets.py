@@ -77,7 +77,8 @@ class Model:
 
     def score(self, value: Column) -> Column:
         """Mean log-likelihood ratio per character; the start of the string counts as a zero character."""
-        table = F.lit(self.ratios)
+        # One text that the optimizer turns into an array, instead of thousands of literals in the plan.
+        table = F.split(F.lit(",".join(map(repr, self.ratios))), ",").cast("array<double>")
         codes = F.concat(F.array(F.lit(0)), F.transform(F.split(value, ""), F.ascii))
 
         def mean(c: Column) -> Column:
