@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 import zstandard
@@ -34,7 +35,12 @@ from signwatch.llm import text
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Bytes of text in a block, and never more documents than an Arrow batch.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
+#: Bytes whose words are found at once, and words that are put in place at once.
+SLICE = 1 << 20
+PLACED = 1 << 18
+#: Documents that are decoded at once.
+DECODED = 1_000
 
 
 @dataclass
@@ -74,6 +80,15 @@ class Vocabulary:
         longest = max((len(p) for p, _, _ in pieces), default=1)
         return cls(pieces, bytes_of, byte_ids, min((s for _, _, s in pieces), default=0.0) - 10, longest, classes, linked)
 
+    def reach(self) -> list[int]:
+        """For each two ASCII characters the length of the longest piece that begins with them; 1 at least."""
+        out = [1] * (128 * 128)
+        for p, _, _ in self.pieces:
+            if len(p) > 1 and p[0] < "\x80" and p[1] < "\x80":
+                at = ord(p[0]) * 128 + ord(p[1])
+                out[at] = max(out[at], len(p))
+        return out
+
     @classmethod
     def load(cls, path: str = MODEL) -> Vocabulary:
         return cls.of(sentencepiece.SentencePieceProcessor(model_file=path))
@@ -96,39 +111,80 @@ class Vocabulary:
         return text.Words(data, place[at], np.append(place[at[1:]], len(data)) if len(at) else place[:0], first)
 
 
+def _grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different values, a place of each, for each place which of them it has, and how often each occurs."""
+    by = np.argsort(values)
+    ordered = values[by]
+    new = np.ones(len(by), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(by), dtype=np.int32)
+    which[by] = np.cumsum(new, dtype=np.int32) - 1
+    return ordered[new], by[new], which, np.diff(np.append(np.flatnonzero(new), len(by)))
+
+
+def _gathered(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Stretches of ``data`` one after another."""
+    ends = np.cumsum(size)
+    return data[np.repeat(starts - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 @dataclass
 class Block:
     """A batch of documents as its different words, and for each document their numbers."""
 
     key: int
-    words: list[bytes]
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
     numbers: np.ndarray
     counts: np.ndarray
 
     @classmethod
     def of(cls, column: pa.Array, vocabulary: Vocabulary) -> Block:
-        hashes, counts, kept = [], [], {}
+        data, sizes, hashes, often, places, counts = [], [], [], [], [], []
         digest = xxhash.xxh64()
-        for begin, end in text.slices(column):
+        # Each slice keeps its different words only.
+        for begin, end in text.slices(column, SLICE):
             texts = [" " + x.replace(SPACE, " ") if x else "" for x in column.slice(begin, end - begin).to_pylist()]
             words = vocabulary.words(texts)
-            own = words.hashes()
-            found, first = np.unique(own, return_index=True)
-            for h, k in zip(found.tolist(), first.tolist(), strict=True):
-                if h not in kept:
-                    kept[h] = words.word(k)
-            hashes.append(own)
-            counts.append(words.counts())
+            counts.append(words.counts().astype(np.uint32))
             digest.update(words.data.tobytes())
-            digest.update(words.counts().tobytes())
-        both = np.concatenate([*hashes, np.zeros(0, dtype=np.uint64)])
-        found, which, often = np.unique(both, return_inverse=True, return_counts=True)
+            digest.update(counts[-1].tobytes())
+            found, first, which, n = _grouped(words.hashes())
+            hashes.append(found)
+            often.append(n)
+            places.append(which)
+            sizes.append(words.ends[first] - words.starts[first])
+            data.append(_gathered(words.data, words.starts[first], sizes[-1]))
+        none = np.zeros(0, dtype=np.int64)
+        _, first, which, _ = _grouped(np.concatenate([*hashes, none.astype(np.uint64)]))
+        total = np.bincount(which, weights=np.concatenate([*often, none]), minlength=len(first))
         # Frequent words have small numbers, which pack well.
-        by = np.argsort(-often, kind="stable")
-        number = np.empty(len(found), dtype=np.uint32)
-        number[by] = np.arange(len(found), dtype=np.uint32)
+        order = np.argsort(-total, kind="stable")
+        number = np.empty(len(first), dtype=np.uint32)
+        number[order] = np.arange(len(first), dtype=np.uint32)
+        number = number[which]
+        base = np.cumsum([0, *map(len, hashes)])
+        numbers = [number[x : x + len(h)][p] for h, p, x in zip(hashes, places, base, strict=False)]
+        size = np.concatenate([*sizes, none])
+        ends = np.cumsum(size)
+        chosen = first[order]
         key = int(text.signed(np.array([digest.intdigest()], dtype=np.uint64))[0])
-        return cls(key, [kept[h] for h in found[by].tolist()], number[which], np.concatenate([*counts, np.zeros(0, dtype=np.int64)]))
+        return cls(
+            key,
+            np.concatenate([*data, none.astype(np.uint8)]),
+            (ends - size)[chosen],
+            ends[chosen],
+            np.concatenate([*numbers, none.astype(np.uint32)]),
+            np.concatenate([*counts, none.astype(np.uint32)]),
+        )
+
+    def words(self) -> pa.Array:
+        """The different words, by number."""
+        size = self.ends - self.starts
+        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        data = _gathered(self.data, self.starts, size)
+        return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(data))
 
     def packed(self) -> bytes:
         planes = self.numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.copy()
@@ -147,6 +203,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin, end in text.slices(batch.column("text"), BLOCK_BYTES):
             yield batch.slice(begin, end - begin)
+            pa.default_memory_pool().release_unused()
 
 
 def _words(vocabulary: Vocabulary):
@@ -155,12 +212,12 @@ def _words(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _blocks(batches):
             block = Block.of(batch.column("text"), vocabulary)
-            n = len(block.words)
+            n = len(block.starts)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(n, block.key, dtype=np.int64)),
                     pa.array(np.arange(n, dtype=np.int32)),
-                    pa.array(block.words, pa.binary()).cast(pa.string()),
+                    block.words(),
                 ],
                 names=["block", "number", "word"],
             )
@@ -182,30 +239,43 @@ def _packed(vocabulary: Vocabulary):
     return run
 
 
-def _assemble(kind: pa.DataType):
-    """Put the encodings of a block's words in place of their numbers."""
+def _assemble(kind: pa.DataType, width: int, vocabulary: Vocabulary | None):
+    """Put the encodings of a block's words, ids of ``width`` bytes one after another, in place of their numbers.
+
+    Given a vocabulary, the pieces are decoded again as well.
+    """
+    decoded = None if vocabulary is None else _decoded(vocabulary, "pieces")
+
+    def schema(decoded) -> pa.Schema:
+        fields = [("doc_id", kind), ("pieces", pa.list_(pa.int32())), ("text", pa.string())]
+        return pa.schema(fields[:2] if decoded is None else fields)
 
     def run(blocks: pa.Table, words: pa.Table) -> pa.Table:
         by = np.argsort(words["number"].to_numpy(), kind="stable")
-        lists = words["pieces"].combine_chunks()
+        packed = words["pieces"].combine_chunks()
         number = words["number"].to_numpy()[by]
         # A block that occurs twice has each word twice.
         by = by[np.concatenate([[True], number[1:] != number[:-1]])] if len(by) else by
-        size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        values = lists.flatten().to_numpy(zero_copy_only=False)
+        size = pc.binary_length(packed).to_numpy(zero_copy_only=False).astype(np.int64) // width
+        values = np.frombuffer(b"".join(packed.to_pylist()), dtype=f">u{width}").astype(np.int32)
         start = (np.cumsum(size) - size)[by]
         size = size[by]
         out = []
         for k in range(blocks.num_rows):
             ids = blocks["ids"][k].values
             counts, numbers = Block.unpacked(blocks["packed"][k].as_py(), len(ids))
-            own = size[numbers]
-            ends = np.cumsum(own)
-            flat = values[np.repeat(start[numbers] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
-            offsets = np.concatenate([[0], np.concatenate([[0], ends])[np.cumsum(counts)]])
-            pieces = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.astype(np.int32)))
-            out.append(pa.table({"doc_id": ids.cast(kind), "pieces": pieces}))
-        return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], kind), "pieces": pa.array([], pa.list_(pa.int32()))})
+            flat = []
+            for a in range(0, len(numbers), PLACED):
+                own = size[numbers[a : a + PLACED]]
+                ends = np.cumsum(own)
+                flat.append(values[np.repeat(start[numbers[a : a + PLACED]] - (ends - own), own) + np.arange(ends[-1])])
+            ends = np.concatenate([[0], np.cumsum(size[numbers])])
+            offsets = ends[np.concatenate([[0], np.cumsum(counts)])]
+            flat = np.concatenate([*flat, np.zeros(0, dtype=np.int32)]).astype(np.int32, copy=False)
+            pieces = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+            table = pa.table({"doc_id": ids.cast(kind), "pieces": pieces})
+            out.append(table if decoded is None else pa.Table.from_batches(decoded(iter(table.to_batches())), schema(decoded)))
+        return pa.concat_tables(out) if out else schema(decoded).empty_table()
 
     return run
 
@@ -243,23 +313,31 @@ transform(array(best), path ->
 def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``word, pieces`` for each of the different words in ``words``."""
     spark = words.sparkSession
-    table = spark.createDataFrame(vocabulary.pieces, "piece string, id int, score double")
+    # Numbers are looked up faster than strings; the strings are compared as well.
+    table = spark.createDataFrame(vocabulary.pieces, "piece string, id int, score double").withColumn("key", F.xxhash64("piece"))
     begins = words.select("word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("begin"))
+    # No piece that begins with these two characters is longer; only ASCII is looked up.
+    two = F.substring("word", F.col("begin") + 1, F.lit(2))
+    first, second = F.ascii(two), F.ascii(F.substring(two, 2, 1))
+    reach = F.split(F.lit(",".join(map(str, vocabulary.reach()))), ",").cast("array<int>")
+    most = F.when((first < 128) & (second < 128), F.element_at(reach, first * 128 + second + 1)).otherwise(vocabulary.longest)
     ends = begins.select(
         "word",
         "begin",
-        F.explode(F.sequence(F.col("begin") + 1, F.least(F.col("begin") + vocabulary.longest, F.length("word")))).alias("end"),
+        F.explode(F.sequence(F.col("begin") + 1, F.least(F.col("begin") + most, F.length("word")))).alias("end"),
     )
-    parts = ends.withColumn("piece", F.substring("word", F.col("begin") + 1, F.col("end") - F.col("begin")))
-    edges = parts.join(F.broadcast(table), "piece", "left").filter("id IS NOT NULL OR end = begin + 1")
+    parts = ends.withColumn("part", F.substring("word", F.col("begin") + 1, F.col("end") - F.col("begin")))
+    parts = parts.withColumn("part_key", F.xxhash64("part"))
+    same = (F.col("part_key") == F.col("key")) & (F.col("part") == F.col("piece"))
+    edges = parts.join(F.broadcast(table), same, "left").filter("id IS NOT NULL OR end = begin + 1")
     edge = F.struct(
         "end", "begin", F.coalesce("score", F.lit(vocabulary.unknown)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id")
     )
     # Rows are sorted by a number first, which is faster than by words.
     grouped = edges.withColumn("by", F.xxhash64("word")).groupBy("by", "word").agg(F.collect_list(edge).alias("edges"))
-    best = grouped.select("word", F.array_sort("edges").alias("edges")).select("word", F.expr(BEST).alias("best"))
+    best = grouped.select("word", F.sort_array("edges").alias("edges")).select("word", F.expr(BEST).alias("best"))
     steps = best.select("word", F.expr(BACK).alias("steps"))
-    byte_ids = F.lit(vocabulary.byte_ids)
+    byte_ids = F.split(F.lit(",".join(map(str, vocabulary.byte_ids))), ",").cast("array<int>")
 
     def pieces(step):
         raw = F.hex(F.encode(F.substring("word", step["begin"] + 1, F.lit(1)), "utf-8"))
@@ -270,17 +348,24 @@ def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return steps.select("word", F.flatten(F.transform("steps", pieces)).alias("pieces"))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", texts: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, pieces`` (the ids)."""
+def encode(docs: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", texts: str = "text", again: bool = False) -> DataFrame:
+    """One row per document: ``doc_id, pieces`` (the ids); with ``again`` also the ``text`` that they decode to."""
     docs = docs.select(F.col(id).alias("doc_id"), F.col(texts).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     # Dealt once by word: for the lattice, and to be given their encodings.
     used = docs.mapInArrow(_words(vocabulary), "block long, number int, word string").repartition("word")
-    encoded = used.join(lattice(used.select("word").distinct(), vocabulary), "word").select("block", "number", "pieces")
+    # All columns are kept, or Spark would deal the words out a second time without them.
+    once = used.groupBy("word").agg(F.min("block").alias("block"), F.min("number").alias("number"))
+    once = once.filter("block IS NOT NULL AND number IS NOT NULL").select("word")
+    encoded = used.join(lattice(once, vocabulary), "word")
+    width = 2 if len(vocabulary.bytes_of) <= 1 << 16 else 4
+    packed = F.unhex(F.array_join(F.transform("pieces", lambda i: F.lpad(F.hex(i), 2 * width, "0")), ""))
+    encoded = encoded.select("block", "number", packed.alias("pieces"))
     blocks = docs.mapInArrow(_packed(vocabulary), f"block long, ids array<{kind}>, packed binary")
     arrow = docs.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
     both = blocks.groupBy("block").cogroup(encoded.groupBy("block"))
-    return both.applyInArrow(_assemble(arrow), f"doc_id {kind}, pieces array<int>")
+    schema = f"doc_id {kind}, pieces array<int>" + ", text string" * again
+    return both.applyInArrow(_assemble(arrow, width, vocabulary if again else None), schema)
 
 
 def _decoded(vocabulary: Vocabulary, column: str):
@@ -289,20 +374,21 @@ def _decoded(vocabulary: Vocabulary, column: str):
     table = np.frombuffer(b"".join(vocabulary.bytes_of), dtype=np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(column)
-            out = []
-            for k in range(len(batch)):
-                ids = lists[k].values
-                if ids is None:
-                    out.append(None)
-                    continue
-                ids = ids.to_numpy(zero_copy_only=False)
-                own = size[ids]
-                ends = np.cumsum(own)
-                data = table[np.repeat(begin[ids] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
-                out.append(data.tobytes().decode("utf-8", "replace").removeprefix(" "))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "text"])
+        for whole in batches:
+            for at in range(0, len(whole), DECODED):
+                batch = whole.slice(at, DECODED)
+                lists, out = batch.column(column), []
+                for k in range(len(batch)):
+                    ids = lists[k].values
+                    if ids is None:
+                        out.append(None)
+                        continue
+                    ids = ids.to_numpy(zero_copy_only=False)
+                    own = size[ids]
+                    ends = np.cumsum(own)
+                    data = table[np.repeat(begin[ids] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
+                    out.append(data.tobytes().decode("utf-8", "replace").removeprefix(" "))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "text"])
 
     return run
 

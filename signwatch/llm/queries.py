@@ -86,10 +86,8 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = pieces.vocabulary_of(spark)
-    encoded = pieces.encode(table(spark, sf_dir, "documents"), vocabulary)
-    again = pieces.decode(encoded, vocabulary)
-    return again.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", F.sha2("text", 256).alias("decoded_sha256"))
+    found = pieces.encode(table(spark, sf_dir, "documents"), pieces.vocabulary_of(spark), again=True)
+    return found.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def _listed(spans: Column) -> Column:

@@ -55,12 +55,13 @@ def _byte_values() -> np.ndarray:
 
 
 _POWERS: list[np.ndarray] = []
+_STEP = 1 << 18
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of the multiplier and of its inverse; kept for the slices of a usual size."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = -(-n // _STEP) * _STEP
         powers = [np.cumprod(np.full(size, x, dtype=np.uint64)) for x in (_ODD, _INVERSE)]
         if n > 4 * SLICE_BYTES:
             return powers[0], powers[1]
