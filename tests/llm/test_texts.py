@@ -148,6 +148,18 @@ def test_personal_data(spark, sf_dir, docs_of, odd_rows):
     assert pii.scan(docs_of([]), pii.fit(docs_of([]))).count() == 0
 
 
+def test_other_forms_of_personal_data_are_added(spark, sf_dir, docs_of):
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.1')}/documents.parquet").select("doc_id", "text")
+    model = pii.fit(docs)
+    planted = [("email", "john.miller (at) example (dot) com"), ("email", "ann.52[at]mail.example[dot]org"), ("phone", "(888) 555-6841"), ("phone", "0664 5551234")]
+    ordinary = ["2021-03-04", "1998-2004", "3.1415926", "ann (at) noon. The", "4670349892180624"]
+    lines = [f"the line onwh of {v} stands here" for v in [*(v for _, v in planted), *ordinary]]
+    rows = {r["doc_id"]: r for r in pii.scan(docs_of(list(enumerate(lines))), model).collect()}
+    assert all(r["fixed"] == [] for r in rows.values())
+    added = [[(s["kind"], lines[k][s["begin"] : s["end"]]) for s in rows[k]["added"]] for k in range(len(lines))]
+    assert added == [[x] for x in planted] + [[]] * len(ordinary)
+
+
 def test_trees_learn():
     import numpy as np
 
