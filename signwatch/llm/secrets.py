@@ -6,8 +6,11 @@ ordinary identifiers, give every long token a log-likelihood ratio per character
 kind ``random``. Rows keep their place, so nothing but the small training counts is shuffled.
 
 Training counts come from the labelled strings of ``SAMPLE_DOCS`` documents, those with the smallest hash of the id:
-values that the fixed patterns find, and digests of the ids in hexadecimal, base 64 and capitals, are random; other tokens
-are ordinary. The threshold is the score that one in ``1 / ALARM`` ordinary tokens of the sample reaches, ``LEAST`` at least.
+values that the fixed patterns find, and digests of the ids in hexadecimal, base 64 and capitals, are random; shorter tokens
+than the models judge, and long identifiers put together from the sample's words, are ordinary. Long tokens outside the
+fixed patterns may be secrets or not, so they are in neither class. A quarter of the strings is kept apart from the
+counts: the threshold is the fixed log-odds ``LEAST``, or, if that is higher, the first score at which no larger a share of
+its ordinary strings is flagged than of its random ones is missed. So it doesn't depend on how many secrets there are.
 
 Null texts are empty and have no spans. A token that touches a span of a fixed pattern adds none. Repeated rows are
 judged alike. Documents without an id are scanned as well, but aren't trained on.
@@ -26,7 +29,9 @@ from pyspark.sql import functions as F
 SAMPLE_DOCS = 2_000
 #: Length of a token that the models judge.
 TOKEN = 20
-ALARM, LEAST = 0.0005, 0.25
+LEAST = 0.25
+#: Identifiers that are put together from a document's words, the words of each, and steps of the score to one.
+MADE, WORDS, STEPS = 16, 4, 100
 KINDS = ("assign", "access", "hex", "random")
 
 #: The patterns, which group must be how long, and at least how long.
@@ -104,8 +109,22 @@ def samples(docs: DataFrame) -> DataFrame:
     plain = F.col("text")
     for pattern, _ in PATTERNS.values():
         plain = F.regexp_replace(plain, pattern, " ")
+    plain = F.regexp_replace(plain, TOKENS, " ")
     tokens = F.regexp_extract_all(plain, F.lit(r"([A-Za-z0-9+/_=-]{8,})"), F.lit(1))
-    ordinary = chosen.select(F.explode(tokens).alias("value"), F.lit(False).alias("random"))
+    words = F.regexp_extract_all(plain, F.lit(r"(?<![A-Za-z0-9+/_=-])([A-Za-z]{3,})(?![A-Za-z0-9+/_=-])"), F.lit(1))
+
+    def identifier(some: Column, i: Column) -> Column:
+        parts = F.slice(some, i * WORDS + 1, WORDS)
+        form = F.array_join(F.transform(parts, F.initcap), "")
+        for k, mark in enumerate(("_", "-", "/", "")):
+            form = F.when(i % 5 == k, F.array_join(parts, mark)).otherwise(form)
+        return form
+
+    joined = _let(words, lambda w: F.transform(F.sequence(F.lit(0), F.lit(MADE - 1)), lambda i: identifier(w, i)))
+    long = F.filter(joined, lambda x: F.length(x) >= TOKEN)
+    # Of many lengths, so that each character's are on both sides of the calibration.
+    rulers = F.array(*(F.repeat(F.lit(c), F.lit(TOKEN) + F.length("text") % TOKEN) for c in "-=_+/"))
+    ordinary = chosen.select(F.explode(F.concat(tokens, long, rulers)).alias("value"), F.lit(False).alias("random"))
     digest = F.sha2(F.col("doc_id").cast("string"), 256)
     made = ids.select(F.explode(F.array(F.base64(F.unhex(digest)), digest, F.upper(F.substring(F.translate(F.base64(F.unhex(digest)), "+/=", "357"), 1, 20)))).alias("value"), F.lit(True).alias("random"))
     return found.union(ordinary).union(made)
@@ -113,15 +132,32 @@ def samples(docs: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame) -> Model:
     """Train on a sample of ``docs`` (``doc_id, text``)."""
-    strings = samples(docs)
+    strings = samples(docs).withColumn("apart", F.pmod(F.xxhash64("value"), F.lit(4)) == 0)
     codes = F.concat(F.array(F.lit(0)), F.transform(F.split("value", ""), F.ascii))
-    pairs = strings.select("random", codes.alias("c")).select("random", F.explode(F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: F.element_at("c", i) * 128 + F.element_at("c", i + 1))).alias("pair"))
+    counted = strings.filter(~F.col("apart")).select("random", codes.alias("c"))
+    pairs = counted.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: F.element_at("c", i) * 128 + F.element_at("c", i + 1))).alias("pair"))
     # At most two rows for each pair of characters.
     counts = {(r["random"], r["pair"]): r["count"] for r in pairs.groupBy("random", "pair").count().collect()}
     model = Model(_ratios(counts))
-    ordinary = strings.filter((~F.col("random")) & (F.length("value") >= TOKEN)).select(model.score(F.col("value")).alias("score"))
-    high = ordinary.agg(F.percentile("score", F.lit(1 - ALARM))).first()[0]
-    return Model(model.ratios, max(LEAST, high if high is not None else LEAST))
+    held = strings.filter(F.col("apart") & (F.length("value") >= TOKEN))
+    held = held.select("random", F.floor(model.score(F.col("value")) * STEPS).cast("int").alias("step"))
+    # Scores are means of logarithms of bounded ratios: a few thousand steps at most.
+    steps = [(r["random"], r["step"], r["count"]) for r in held.groupBy("random", "step").count().collect()]
+    return Model(model.ratios, max(LEAST, crossing(steps) / STEPS))
+
+
+def crossing(steps: list[tuple[bool, int, int]]) -> int:
+    """The first step from which on no larger a share of the ordinary strings lies than of the random ones lies below."""
+    total = {c: sum(n for random, _, n in steps if random == c) for c in (False, True)}
+    if not all(total.values()):
+        return 0
+
+    def difference(at: int) -> float:
+        flagged = sum(n for random, step, n in steps if not random and step >= at) / total[False]
+        missed = sum(n for random, step, n in steps if random and step < at) / total[True]
+        return flagged - missed
+
+    return next(at for at in range(min(s for _, s, _ in steps), max(s for _, s, _ in steps) + 2) if difference(at) <= 0)
 
 
 def _ratios(counts: dict[tuple[bool, int], int]) -> list[float]:

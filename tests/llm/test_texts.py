@@ -202,6 +202,20 @@ def test_random_strings(docs_of, secret_model):
     assert out == {1: "use [SECRET] here", 2: rows[1][1], 3: "[SECRET]"}
 
 
+def test_frequent_secrets_are_all_found(spark):
+    rnd = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = "the quick reader finds another interesting chapter about weather stations near northern harbours every summer".split()
+    plain = [" ".join(rnd.choice(words) for _ in range(60)) for _ in range(400)]
+    tokens = [("ghp_" if k % 2 else "") + "".join(rnd.choice(letters) for _ in range(36)) for k in range(400)]
+    names = ["weather_stations_near_northern_harbours", "interestingChapterAboutWeather", "another/chapter/about-every-summer", "-" * 30]
+    rows = [(k, f"{a} {b} {names[k % 4]} {a}") for k, (a, b) in enumerate(zip(plain, tokens, strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [[s["value"] for s in r["spans"] if s["kind"] == "random"] for r in secrets.scan(docs, secrets.fit(docs)).orderBy("doc_id").collect()]
+    assert sum(t in f for t, f in zip(tokens, found, strict=True)) >= 0.99 * len(tokens)
+    assert not any(n in f for f in found for n in names)
+
+
 def test_redaction(spark, odd_rows, secret_model):
     rows = [(i, t, 0 if t is None else len(t), "z") for i, t in odd_rows] + [(50, "é password=abcdef0123456789abcdef01234567 x AKIA" + "B" * 16, 0, "z")]
     table = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, begin string")
