@@ -2,7 +2,8 @@
 
 A notice with at most ``k`` edits has at least one of ``k + 1`` pieces of it untouched (pigeonhole). The pieces of all
 notices are the seeds of one automaton, which passes over each text once; around every seed the regex library then
-looks for the whole notice with at most ``k`` errors. Texts are compared as lower-case words joined by single spaces, so
+looks for the whole notice with at most ``k`` errors, each seed on its own. The best match is kept; where it takes a
+part of another seed's surroundings, what is left of those is searched again, until nothing is found. Texts are compared as lower-case words joined by single spaces, so
 punctuation and line breaks don't count as edits. Work is per document; nothing is shuffled.
 
 Null or empty texts have no words and no labels. Repeated rows are judged alike.
@@ -10,7 +11,8 @@ Null or empty texts have no words and no labels. Repeated rows are judged alike.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+import heapq
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 from functools import cache
 
@@ -88,31 +90,40 @@ def normal(raw: str) -> str:
 
 def notices_in(words: str, notices: tuple = NOTICES) -> list[dict]:
     """Matches of notices with their edits, first and last characters and similarity; the best of those that overlap."""
-    near: dict[int, list[tuple[int, int]]] = {}
+    windows = set()
     for end, (size, uses) in _automaton(notices).iter(words):
         for number, at in uses:
             slack = edits(notices[number][0])
             begin = end - size + 1 - at
-            window = max(0, begin - slack), begin + len(notices[number][0]) + slack
-            windows = near.setdefault(number, [])
-            # Windows of one notice come in order of their ends, nearly; those that touch become one.
-            if windows and windows[-1][0] <= window[1] and window[0] <= windows[-1][1]:
-                windows[-1] = min(windows[-1][0], window[0]), max(windows[-1][1], window[1])
-            else:
-                windows.append(window)
-    found = []
-    for number, windows in near.items():
+            windows.add((number, max(0, begin - slack), min(len(words), begin + len(notices[number][0]) + slack)))
+    found: list[tuple] = []
+
+    def look(number: int, begin: int, end: int) -> None:
         notice, label = notices[number]
-        for begin, end in windows:
-            for match in _pattern(notice).finditer(words, begin, min(len(words), end)):
-                count = sum(match.fuzzy_counts)
-                found.append({"label": label, "begin": match.start(), "end": match.end(), "edits": count, "similarity": 1 - count / len(notice)})
-    found.sort(key=lambda x: (-x["similarity"], x["begin"] - x["end"], x["begin"], x["label"]))
-    kept: list[dict] = []
-    for x in found:
-        if all(x["end"] <= y["begin"] or y["end"] <= x["begin"] for y in kept):
-            kept.append(x)
-    return sorted(kept, key=lambda x: x["begin"])
+        if end - begin >= len(notice) - edits(notice) and (match := _pattern(notice).search(words, begin, end)):
+            count = sum(match.fuzzy_counts)
+            a, b = match.span()
+            heapq.heappush(found, (count / len(notice), a - b, a, label, count, number, begin, end))
+
+    for window in windows:
+        look(*window)
+    kept: list[tuple[int, int, str, int, float]] = []
+    while found:
+        share, size, a, label, count, number, begin, end = heapq.heappop(found)
+        b = a - size
+        # Kept matches don't overlap, so their ends have the order of their begins.
+        first = bisect_right(kept, a, key=lambda y: y[1])
+        last = bisect_right(kept, b - 1, key=lambda y: y[0])
+        if first >= last:
+            insort(kept, (a, b, label, count, 1 - share))
+        # What no kept match takes of the window.
+        first = bisect_right(kept, begin, key=lambda y: y[1])
+        last = bisect_right(kept, end - 1, key=lambda y: y[0])
+        for y in kept[first:last]:
+            look(number, begin, y[0])
+            begin = max(begin, y[1])
+        look(number, begin, end)
+    return [{"label": label, "begin": a, "end": b, "edits": count, "similarity": similarity} for a, b, label, count, similarity in kept]
 
 
 def phrases_in(words: list[str], phrases: dict[str, str] = PHRASES) -> list[tuple[int, str]]:

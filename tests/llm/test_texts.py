@@ -94,6 +94,16 @@ def test_fuzzy_notices():
     assert licenses.notices_in("nothing of the kind") == [] == licenses.notices_in("")
 
 
+def test_adjacent_notices_are_all_found():
+    exact, near, far = "released under the mit license", "relesed under the mit license", "relesed undr the mit licens"
+    for lines in ([near, exact], [exact, near], [far, near, exact], [far, exact, far, exact, near] * 40):
+        found = licenses.notices_in(" ".join(lines))
+        assert [x["label"] for x in found] == ["mit"] * len(lines)
+        assert [x["edits"] for x in found] == [{exact: 0, near: 1, far: 3}[x] for x in lines]
+    both = licenses.notices_in(f"{near} gnu lesser general public license all rights reservd")
+    assert [(x["label"], x["edits"]) for x in both] == [("mit", 1), ("lgpl", 0), ("proprietary", 1)]
+
+
 def test_licenses(docs_of, odd_rows):
     rows = [
         (20, "Under the MIT License, or the Apache-License; MIT\nlicense."),
