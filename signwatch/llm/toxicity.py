@@ -4,7 +4,8 @@ One model is trained on texts labelled toxic, one on texts labelled ordinary. Ea
 what the word has begun with, so it knows abusive stems with any ending as well as whole words. Absolute discounting
 takes a fixed amount off every count; that mass goes to a backoff distribution that both models share: the counts of
 the same beginnings over *all* documents. What neither class uses often says nothing about the class, since both
-models then answer with the shared counts.
+models then answer with the shared counts. Words end at any script's marks and blanks. In words longer than ``DEPTH`` bytes, and in scripts
+without spaces, each later character begins a unit that is judged like a word, so every byte is scored.
 
 The difference of the two log-likelihoods, divided by the number of words, is taken for the whole text and for its
 passages of ``PASSAGES`` words, and for its ``TOP`` most telling words; the highest passage counts, so one abusive
@@ -21,8 +22,10 @@ every score is the share of toxic labels.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,9 +60,48 @@ def labelled_rows(labels: DataFrame, label_rows: int, label: str = "toxic") -> t
     return ordered[0].union(ordered[1]).withColumn("fold", fold), share
 
 
+@cache
+def _marks() -> str:
+    """A class of the punctuation, symbols, blanks and control characters beyond ASCII."""
+    points = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c))[0] in "PSZ" or unicodedata.category(chr(c)) == "Cc" or c in (0x200B, 0xFEFF)]
+    cuts = [0, *(k for k in range(1, len(points)) if points[k] != points[k - 1] + 1), len(points)]
+    return "[" + "".join(f"\\x{{{points[i]:X}}}-\\x{{{points[j - 1]:X}}}" for i, j in zip(cuts[:-1], cuts[1:], strict=True)) + "]"
+
+
+def _spaceless(data: np.ndarray) -> np.ndarray:
+    """Where characters of scripts without spaces begin: Thai, Lao, Burmese, Khmer, kana, Han."""
+    at = np.flatnonzero(data >= 0xE0)
+    at = at[at + 1 < len(data)]
+    a, b = data[at], data[at + 1]
+    found = (a == 0xE0) & (b >= 0xB8) & (b <= 0xBB) | (a == 0xE1) & ((b <= 0x82) | (b >= 0x9E) & (b <= 0x9F))
+    found |= (a == 0xE3) & (b >= 0x81) | (a >= 0xE4) & (a <= 0xE9) | (a == 0xEF) & (b >= 0xBD) & (b <= 0xBE) | (a == 0xF0) & (b >= 0xA0) & (b <= 0xAF)
+    return at[found]
+
+
+def _units(words: text.Words) -> text.Words:
+    """Words, and what follows from each later character of a word that is longer than ``DEPTH`` bytes or in a script
+    without spaces, so that each byte is scored. What no model looks at is cut off."""
+    starts, ends = words.starts, words.ends
+    more = _spaceless(words.data)
+    long = np.flatnonzero(ends - starts > DEPTH)
+    if len(long):
+        size = ends[long] - starts[long]
+        within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts[long], size)
+        more = np.concatenate([more, within[(words.data[within] & 0xC0) != 0x80]])
+    if not len(more):
+        return words
+    every = np.union1d(starts, more)
+    # The data are in lower case, so each character of these scripts is inside a word.
+    last = ends[np.searchsorted(starts, every, side="right") - 1]
+    first = np.searchsorted(every, np.append(starts, len(words.data))[words.first])
+    return text.Words(words.data, every, np.minimum(last, every + DEPTH + 1), first, words.sums)
+
+
 def _words(column: pa.Array) -> Iterator[tuple[int, int, text.Words]]:
-    """Words in lower case, in any script."""
-    return text.word_slices(pc.utf8_lower(column), text.SIGNS)
+    """Words in lower case, in any script, between ASCII and other marks."""
+    column = pc.utf8_lower(pc.replace_substring_regex(column, _marks(), " "))
+    for begin, end, words in text.word_slices(column, text.SIGNS):
+        yield begin, end, _units(words)
 
 
 def _distinct(words: text.Words) -> tuple[np.ndarray, np.ndarray]:

@@ -66,6 +66,27 @@ def test_toxicity(spark, docs_of, odd_rows):
     assert toxicity.score(docs_of([]), toxicity.fit(docs_of([]), labels)).count() == 0
 
 
+def test_toxicity_beyond_marks_spaces_and_depth(spark, docs_of):
+    rnd = random.Random(12)
+    han = [chr(0x4E00 + k) for k in range(300)]
+    rows = toxic_rows()
+    for i in range(400, 800):
+        letters = [rnd.choice(han) for _ in range(rnd.randint(40, 120))]
+        if i % 5 == 0:
+            for _ in range(4):
+                letters.insert(rnd.randrange(10, len(letters)), "白痴")
+        rows.append((i, "".join(letters), int(i % 5 == 0)))
+    docs = docs_of([(i, t) for i, t, _ in rows])
+    model = toxicity.fit(docs, spark.createDataFrame([(i, y) for i, _, y in rows if i % 4], "doc_id long, toxic int"))
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    held = [(i, y) for i, _, y in rows if i % 4 == 0 and i >= 400]
+    assert sum((scores[i] >= 0.3) == bool(y) for i, y in held) >= 0.95 * len(held)
+    plain, *marked = model.features(pa.array(["lorem (scoundrel) sit", "lorem «scoundrel» sit", "lorem\u00a0“scoundrel”\u2014sit", None]))
+    assert marked[0] == pytest.approx(plain) and marked[1] == pytest.approx(plain)
+    late, none = model.features(pa.array(["x" * 20 + "scoundrel", "x" * 20 + "zzzzzzzzz"]))
+    assert late[toxicity.FEATURES.index("top")] > none[toxicity.FEATURES.index("top")]
+
+
 def test_language(spark, sf_dir, odd_rows):
     docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang")
     model = language.fit(docs, docs.filter("doc_id % 3 <> 1"))
