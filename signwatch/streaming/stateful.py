@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from signwatch.operators.alerts import THRESHOLDS
-from signwatch.schema import DAY_US, HOUR_US, MINUTE_US
+from signwatch.schema import HOUR_US, MINUTE_US
 from signwatch.skew import micros
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -27,10 +27,10 @@ def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 
 class Sessions(StatefulProcessor):
-    """Open logins of a user; a logout closes all of them that are earlier. Logins left open for ``ttl_us`` of the
-    user's own time are dropped."""
+    """Open logins of a user, kept until a logout closes all of them that are earlier. Only with a ``ttl_us`` logins left
+    open for so much of the user's own time are dropped."""
 
-    def __init__(self, ttl_us: int):
+    def __init__(self, ttl_us: int | None):
         self.ttl_us = ttl_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -45,7 +45,7 @@ class Sessions(StatefulProcessor):
                 continue
             done += [(key[0], i, (us - start) / HOUR_US) for start, i in waiting if start < us]
             waiting = [(start, i) for start, i in waiting if start >= us]
-        if waiting:
+        if waiting and self.ttl_us is not None:
             newest = max(start for start, _ in waiting)
             waiting = [(start, i) for start, i in waiting if start >= newest - self.ttl_us]
         self.open.clear()
@@ -57,7 +57,7 @@ class Sessions(StatefulProcessor):
         pass
 
 
-def session_durations(stream: DataFrame, ttl_us: int = 30 * DAY_US) -> DataFrame:
+def session_durations(stream: DataFrame, ttl_us: int | None = None) -> DataFrame:
     """(username, event_id, session_hours), emitted when the logout arrives."""
     rows = stream.where(
         F.col("username").isNotNull() & F.col("event_type").isin("successful_login", "logout")

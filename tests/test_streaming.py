@@ -46,6 +46,14 @@ def test_streamed_sessions_equal_the_batch(spark, sf_dir, tmp_path):
     assert rounded(got) == rounded(want)
 
 
+def test_streamed_sessions_wait_for_their_logout(spark, tmp_path):
+    days = [(0, 0, "successful_login"), (1, 40, "successful_login"), (2, 41, "logout")]
+    rows = [(i, "ann", kind, T0 + timedelta(days=day)) for i, day, kind in days]
+    events = spark.createDataFrame(rows, "event_id long, username string, event_type string, timestamp timestamp")
+    got = finish(stateful.session_durations(replay(spark, events, tmp_path / "in", 3)), tmp_path, spark)
+    assert sorted((r.event_id, r.session_hours) for r in got.collect()) == [(0, 41 * 24.0), (1, 24.0)]
+
+
 def test_streamed_baselines(spark, sf_dir, tmp_path):
     events = fx.auth_events(spark, sf_dir).where("username is not null")
     got = finish(stateful.user_baselines(replay(spark, events, tmp_path / "in", 3), first=20), tmp_path, spark).collect()
