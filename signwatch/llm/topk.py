@@ -63,8 +63,9 @@ class Index:
         #: Squared length of each vector's components below each level.
         self.open = [(vectors * vectors * (level < k)).sum(axis=1) for k in range(STEPS - 1, -1, -1)]
 
-    def possible(self, queries: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (vector, query) that may be in the query's top ``k``; ``floor`` is a score that k others have."""
+    def possible(self, queries: np.ndarray, k: int, floor: np.ndarray, own: tuple = ([], [])) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (vector, query) that may be in the query's top ``k``; ``floor`` is a score that k others have, ``own`` are
+        the pairs that don't count."""
         n, m = len(self.vectors), len(queries)
         scores, seen = np.zeros((n, m)), np.zeros((n, m))
         squares = queries * queries
@@ -81,11 +82,17 @@ class Index:
             bound = np.sqrt(np.maximum(total - seen, 0) * rest[:, None]) * (1 + 1e-9) + 1e-9 * np.abs(scores)
             least = floor
             if n > k:
-                least = np.maximum(floor, np.partition(scores - bound, n - k - 1, axis=0)[n - k - 1])
+                sure = scores - bound
+                sure[own] = -np.inf
+                least = np.maximum(floor, np.partition(sure, n - k - 1, axis=0)[n - k - 1])
             may = scores + bound >= least
+            may[own] = False
             if may.mean() <= RESCORED or not rest.any():
                 break
-        return np.nonzero(may) if self.vectors.size else np.nonzero(np.ones((n, m)))
+        if not self.vectors.size:
+            may = np.ones((n, m), dtype=bool)
+            may[own] = False
+        return np.nonzero(may)
 
 
 class Best:
@@ -99,10 +106,10 @@ class Best:
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         """Take a block of vectors into account."""
-        # One row more than k, as one may be the query's own.
-        at, query = Index(vectors).possible(self.queries, self.k + 1, self.floor)
-        other = ids[at] != self.ids[query]
-        at, query = at[other], query[other]
+        # However often a query's own rows are repeated, they take no place of the k.
+        rows = np.flatnonzero(np.isin(ids, self.ids))
+        at, query = np.nonzero(ids[rows][:, None] == self.ids)
+        at, query = Index(vectors).possible(self.queries, self.k, self.floor, (rows[at], query))
         whole, wanted = vectors.astype(np.int64), self.queries.astype(np.int64)
         score = np.concatenate(
             [np.einsum("ij,ij->i", whole[at[a : a + 65536]], wanted[query[a : a + 65536]]) for a in range(0, len(at), 65536)]

@@ -235,6 +235,18 @@ def test_topk(spark):
     assert topk.search(table.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_repeated_queries_take_no_place():
+    rnd = np.random.default_rng(1)
+    vectors = np.floor(1024 * rnd.normal(size=(200, 16)) / 4)
+    ids = np.concatenate([np.arange(200), *[np.arange(20)] * 19])
+    every = vectors[ids]
+    best = topk.Best(np.arange(20), vectors[:20], 10)
+    best.add(ids, every)
+    for q in range(20):
+        expected = sorted((-s, i) for i, s in zip(ids, every @ vectors[q], strict=True) if i != q)[:10]
+        assert [(-s, i) for of, i, s in zip(*best.rows, strict=True) if of == q] == expected
+
+
 def test_topk_stops_early():
     rnd = np.random.default_rng(1)
     vectors = np.floor(1024 * rnd.normal(size=(4096, 64)) / 8)
