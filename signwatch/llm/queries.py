@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signwatch.llm import contamination, dedup, language, licenses, pieces, pii, secrets, shingle_join, topk, toxicity
+from signwatch.llm import (
+    audit,
+    contamination,
+    dedup,
+    exact_dedup,
+    language,
+    licenses,
+    pieces,
+    pii,
+    secrets,
+    shingle_join,
+    topk,
+    toxicity,
+    whitening,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,6 +132,33 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = whitening.integers(table(spark, sf_dir, "embeddings"))
+    model = whitening.fit(x)
+    found = whitening.transform(x, model).select("id", "deviation", F.posexplode("whitened"))
+    shares = F.array(*(F.lit(float(e)) for e in (model.explained if model else []))).cast("array<double>")
+    return found.select(
+        F.col("id").alias("vec_id"),
+        (F.col("pos") + 1).alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        "deviation",
+        F.col("col").alias("whitened"),
+        F.get(shares, F.col("pos")).alias("explained"),
+        F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.copies(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_shingle_join": op2_shingle_join,
@@ -129,6 +170,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pieces": op8_pieces,
     "op9_secrets": op9_secrets,
     "op10_contamination": op10_contamination,
+    "op11_whitening": op11_whitening,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: Components as integers; vectors with a null or a component that is not finite are left out.
@@ -222,9 +266,62 @@ SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM words w LEFT JOIN hits h ON h.doc_id = w.doc_id LEFT JOIN listed l ON l.doc_id = w.doc_id
 """
 
+OP12_SQL = f"""
+WITH texts AS (SELECT doc_id, sha256({LOWERED}) AS h FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  row_number() OVER (PARTITION BY h ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, h AS text_sha256
+FROM texts WINDOW w AS (PARTITION BY h)
+"""
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), labelled AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+      len(w) < 200,
+      100 * len(list_distinct(w)) < 50 * len(w),
+      100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t),
+      regexp_matches(t, '[#$%&*|]'),
+      coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)
+    ] AS f
+  FROM words LEFT JOIN labelled USING (doc_id)
+), cases AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failing GROUP BY part, f
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 3, 4, 5]) AS i
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS o
+  FROM letters a JOIN letters b ON b.i <> a.i JOIN letters c ON c.i NOT IN (a.i, b.i)
+    JOIN letters d ON d.i NOT IN (a.i, b.i, c.i) JOIN letters e ON e.i NOT IN (a.i, b.i, c.i, d.i)
+), steps AS (
+  SELECT filter_order, o, unnest([1, 2, 3, 4, 5]) AS step FROM orders
+), removals AS (
+  SELECT part, filter_order, o, f, n, good, toxic, list_position([f[i] FOR i IN o], true) AS gone FROM cases, orders
+), counted AS (
+  SELECT r.part, filter_order, step, s.o[step] AS own,
+    sum(CASE WHEN gone IS NULL OR gone = 0 OR gone > step THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN gone = step THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN f[s.o[step]] AND gone < step THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN f[s.o[step]] AND len([x FOR x IN f IF x]) = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN gone = step THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN gone = step THEN toxic ELSE 0 END) AS toxic_lost
+  FROM steps s JOIN removals r USING (filter_order) GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
+
 ORACLES: dict[str, str] = {
     "op2_shingle_join": OP2_SQL,
     "op4_topk": OP4_SQL,
     "op7_repeats": OP7_SQL,
     "op10_contamination": OP10_SQL,
+    "op12_exact_dedup": OP12_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
