@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signwatch.functions.scalars import text
+from signwatch.lineage import cut
 from signwatch.schema import MINUTE_US
 from signwatch.skew import micros, running_total
 
@@ -150,6 +153,88 @@ def notifications(alerts: DataFrame, as_of: str, minutes: int = 60, slot_minutes
     return ranked.where(fires).drop("_inside", "_rank")
 
 
+def replay(times: np.ndarray, carried: int, needed: int, window_us: int, waiting: int) -> tuple[list[int], int]:
+    """Places of the alerts that fire among ``times[carried:]``, and how many alerts wait at the end.
+
+    An alert fires when it and the waiting ones inside the window are enough; nothing waits after that. Those that wait
+    are always the newest alerts, so at the start they are the last ``waiting`` of the ``carried`` times.
+    """
+    first, fired = carried - waiting, []
+    for i in range(carried, len(times)):
+        first = max(first, int(np.searchsorted(times, times[i] - window_us, side="right")))
+        if i + 1 - first >= needed:
+            fired.append(i)
+            first = i + 1
+    return fired, len(times) - first
+
+
+def moving_notifications(
+    alerts: DataFrame, minutes: int = 60, thresholds: dict[str, int] = THRESHOLDS, windows: int = 24
+) -> DataFrame:
+    """Alerts that fire, with ``n``, where the window moves along with the alerts' own times; ``waiting`` alerts have ``n`` null.
+
+    A severity with a threshold k fires at the alert that makes k since the one that fired before, all inside ``minutes``;
+    other severities fire at every alert. Alerts that have not fired and that the window at the newest alert of their
+    severity still holds are returned as waiting: united with later alerts they go on as if all had come together.
+
+    Nothing but the number of waiting alerts, under k, passes from one stretch of ``windows`` windows to the next. Each stretch
+    of a severity is a task of its own, given the last alerts of the one before, and is replayed for every such number; the
+    numbers are then followed through the stretches, a few integers each, and each stretch reports for the right one.
+    """
+    window_us = minutes * MINUTE_US
+    needed = F.lit(1)
+    for severity, k in thresholds.items():
+        needed = F.when(F.col("severity") == severity, F.lit(k)).otherwise(needed)
+    rows = alerts.select(
+        F.coalesce("severity", F.lit("")).alias("severity"), "alert_id", micros("timestamp").alias("us"), needed.alias("needed")
+    )
+    rows = rows.where("us IS NOT NULL").withColumn("slot", F.floor(F.col("us") / (window_us * windows))).withColumn("carried", F.lit(False))
+    newest = Window.partitionBy("severity", "slot").orderBy(F.desc("us"), F.desc("alert_id"))
+    carry = rows.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") < F.col("needed")).drop("_rank")
+    carry = carry.withColumn("slot", F.col("slot") + 1).withColumn("carried", F.lit(True))
+    taken = rows.select("severity", "slot").distinct()
+    rows = rows.unionByName(carry.join(taken, ["severity", "slot"], "left_semi"))
+
+    def ordered(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, int, int]:
+        pdf = pdf.sort_values(["us", "alert_id"], ignore_index=True)
+        return pdf, pdf["us"].to_numpy(), int(pdf["carried"].sum()), int(pdf["needed"].iloc[0])
+
+    def outcomes(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, us, carried, k = ordered(pdf)
+        left = [replay(us, carried, k, window_us, min(w, carried))[1] for w in range(k)]
+        return pd.DataFrame({"severity": [key[0]], "slot": [key[1]], "left": [left]})
+
+    def follow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("slot", ignore_index=True)
+        waiting, before, given = 0, None, []
+        for slot, left in zip(pdf["slot"], pdf["left"], strict=True):
+            waiting = waiting if before == slot - 1 else 0
+            given.append(waiting)
+            waiting, before = left[waiting], slot
+        last = pdf["slot"] == pdf["slot"].max()
+        return pd.DataFrame({"severity": key[0], "slot": pdf["slot"], "given": given, "last": last})
+
+    def report(key: tuple, pdf: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame({"alert_id": pd.Series(dtype="int64"), "n": pd.Series(dtype="Int64")})
+        if pdf.empty:
+            return out
+        pdf, us, carried, k = ordered(pdf)
+        fired, left = replay(us, carried, k, window_us, min(int(given["given"].iloc[0]), carried))
+        places, counts = list(fired), [k] * len(fired)
+        if given["last"].iloc[0]:
+            places += range(len(us) - left, len(us))
+            counts += [None] * left
+        return pd.DataFrame({"alert_id": pdf["alert_id"].to_numpy()[places], "n": pd.array(counts, dtype="Int64")})
+
+    rows = cut(rows)
+    by = rows.groupBy("severity", "slot")
+    slots = by.applyInPandas(outcomes, "severity string, slot bigint, left array<int>")
+    # one row per stretch of time that has alerts
+    slots = slots.groupBy("severity").applyInPandas(follow, "severity string, slot bigint, given int, last boolean")
+    told = by.cogroup(slots.groupBy("severity", "slot")).applyInPandas(report, "alert_id bigint, n bigint")
+    return alerts.drop("n").join(told, "alert_id")
+
+
 def notified_flags(alerts: DataFrame, as_of: str, minutes: int = 60, slot_minutes: int = 60) -> DataFrame:
     """Alerts with ``notified``: true up to the last one of its severity that fired."""
     fired = notifications(alerts, as_of, minutes, slot_minutes)

@@ -702,6 +702,28 @@ ORACLES["alert_lines"] = oracle(
 )
 ORACLES["notification_text"] = oracle(AL, {}, f"SELECT alert_id, {SUBJECT} AS subject, {BODY} AS body FROM alerts_input")
 ORACLES["notifications"] = oracle(AL, FIRED, "SELECT alert_id, severity, timestamp FROM fired")
+ORACLES["moving_notifications"] = oracle(
+    AL,
+    {
+        "RECURSIVE": "",
+        "ranked": """
+  SELECT alert_id, severity, epoch_us(timestamp) AS us, row_number() OVER (PARTITION BY severity ORDER BY timestamp, alert_id) AS rk,
+    CASE severity WHEN 'high' THEN 3 WHEN 'medium' THEN 5 ELSE 1 END AS k
+  FROM alerts_input""",
+        "steps": """
+  SELECT DISTINCT NULL::BIGINT AS alert_id, severity, 0::BIGINT AS rk, 0::BIGINT AS us, k, []::BIGINT[] AS seen FROM ranked
+  UNION ALL
+  SELECT r.alert_id, r.severity, r.rk, r.us, r.k,
+    list_append(list_filter(CASE WHEN len(s.seen) >= s.k THEN [] ELSE s.seen END, lambda x: x > r.us - 3600000000), r.us)
+  FROM steps s JOIN ranked r ON r.severity = s.severity AND r.rk = s.rk + 1""",
+        "ends": "SELECT severity, max(rk) AS rk FROM steps GROUP BY severity",
+        "waiting": """
+  SELECT r.alert_id, r.severity FROM ends JOIN steps USING (severity, rk) JOIN ranked r
+    ON r.severity = steps.severity AND r.rk > steps.rk - len(seen) AND len(seen) < steps.k""",
+    },
+    """SELECT alert_id, severity, k::BIGINT AS n FROM steps WHERE len(seen) >= k
+UNION ALL SELECT alert_id, severity, NULL FROM waiting""",
+)
 ORACLES["notified_flags"] = oracle(AL, FIRED, "SELECT alert_id, severity, notified::INT::BIGINT AS notified FROM flagged")
 ORACLES["recent_unnotified"] = oracle(
     AL,

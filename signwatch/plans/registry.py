@@ -520,6 +520,12 @@ def notifications(spark, sf):
     return rows.select("alert_id", "severity", "timestamp")
 
 
+@query
+def moving_notifications(spark, sf):
+    rows = alerting.moving_notifications(fx.alerts_input(spark, sf), 60)
+    return rows.select("alert_id", "severity", "n")
+
+
 @query
 def notified_flags(spark, sf):
     rows = alerting.notified_flags(fx.alerts_input(spark, sf), fx.AS_OF, MONTH_MINUTES)

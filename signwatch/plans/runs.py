@@ -74,14 +74,15 @@ def run_files(
 def write_alerts(rows: DataFrame, out: str, line: Column, as_of: str | None = None, minutes: int = 60) -> None:
     """History, log, fired notifications and an outbox per channel; a rerun replaces what the run has written.
 
-    ``as_of`` is the time the thresholds look back from, the newest alert's if it is not given.
+    Thresholds are counted along the alerts' own times, as a stream does; given ``as_of``, only the ``minutes`` before it.
     """
     tables.write_alerts(rows, f"{out}/alerts")
     tables.write_alert_log(rows.select(line.alias("line")), f"{out}/alert_log")
     if as_of is None:
-        newest = rows.agg(F.max("timestamp")).first()[0]
-        as_of = str(newest) if newest else "1970-01-01 00:00:00"
-    fired = cut(alerts.notifications(rows, as_of, minutes))
+        fired = alerts.moving_notifications(rows, minutes).where("n IS NOT NULL").drop("n")
+    else:
+        fired = alerts.notifications(rows, as_of, minutes)
+    fired = cut(fired)
     fired.write.mode("overwrite").parquet(f"{out}/notifications")
     for channel in alerts.CHANNELS:
         alerts.outbox(fired, [channel]).write.mode("overwrite").parquet(f"{out}/outbox/{channel}")

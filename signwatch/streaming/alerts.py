@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from signwatch.lineage import cut
 from signwatch.operators import alerts
 
 
@@ -14,9 +14,9 @@ def start(
 ) -> StreamingQuery:
     """Write each micro-batch to ``history``, ``log``, ``notifications`` and one ``outbox`` table per channel.
 
-    Thresholds count the batch's alerts together with ``pending`` ones, the recent alerts that earlier batches have not
-    notified; they look back from the newest of these. Output folders carry the batch number, so a batch repeated
-    after a failure replaces its own files.
+    Thresholds count the batch's alerts together with ``pending`` ones, which wait since earlier batches, along the alerts'
+    own times: batches in time order fire what one replay of all alerts fires. Output folders carry the batch number, so
+    a batch repeated after a failure replaces its own files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -30,14 +30,12 @@ def start(
         rows.select(alerts.log_line().alias("value")).write.mode("overwrite").text(f"{path}/log/{part}")
         if batch_id:
             rows = rows.unionByName(spark.read.parquet(f"{path}/pending/batch={batch_id - 1}"))
-        newest = rows.agg(F.max("timestamp")).first()[0]
-        as_of = str(newest) if newest else "1970-01-01 00:00:00"
-        alerts.notifications(rows, as_of, minutes).write.mode("overwrite").parquet(f"{path}/notifications/{part}")
+        told = cut(alerts.moving_notifications(rows, minutes))
+        told.where("n IS NOT NULL").select(*rows.columns).write.mode("overwrite").parquet(f"{path}/notifications/{part}")
         fired = spark.read.parquet(f"{path}/notifications/{part}")
         for channel in alerts.CHANNELS:
             alerts.outbox(fired, [channel]).write.mode("overwrite").parquet(f"{path}/outbox/{channel}/{part}")
-        left = alerts.notified_flags(rows, as_of, minutes).where(alerts.in_window(as_of, minutes) & ~F.col("notified"))
-        left.select(*rows.columns).write.mode("overwrite").parquet(f"{path}/pending/{part}")
+        told.where("n IS NULL").select(*rows.columns).write.mode("overwrite").parquet(f"{path}/pending/{part}")
 
     writer = anomalies.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

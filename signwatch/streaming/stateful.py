@@ -1,4 +1,4 @@
-"""Operators that keep state per key on a stream: user baselines, session lengths, alert notifications.
+"""Operators that keep state per key on a stream: user baselines, session lengths.
 
 They need the RocksDB state store:
 ``spark.sql.streaming.stateStore.providerClass =
@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from signwatch.operators.alerts import THRESHOLDS
-from signwatch.schema import HOUR_US, MINUTE_US
+from signwatch.schema import HOUR_US
 from signwatch.skew import micros
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -113,42 +112,3 @@ def user_baselines(stream: DataFrame, first: int = 10) -> DataFrame:
         "Append",
         "None",
     )
-
-
-class Notifications(StatefulProcessor):
-    """Times of the alerts of one severity not yet notified; fires when enough of them lie inside the window."""
-
-    def __init__(self, window_us: int, thresholds: dict[str, int]):
-        self.window_us, self.thresholds = window_us, thresholds
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.times = handle.getListState("times", "us bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        severity = key[0]
-        needed = self.thresholds.get(severity, 1)
-        times = [t[0] for t in self.times.get()]
-        fired = []
-        for us, alert_id in in_order(rows)[["us", "event_id"]].itertuples(index=False):
-            times = [t for t in times if t > us - self.window_us] + [int(us)]
-            if len(times) >= needed:
-                fired.append((severity, int(alert_id), len(times)))
-                times = []
-        self.times.clear()
-        if times:
-            self.times.put([(t,) for t in times])
-        yield pd.DataFrame(fired, columns=["severity", "alert_id", "n"])
-
-    def close(self) -> None:
-        pass
-
-
-def notifications(alerts: DataFrame, minutes: int = 60, thresholds: dict[str, int] = THRESHOLDS) -> DataFrame:
-    """(severity, alert_id, n) of each alert that completes a threshold inside the moving window.
-
-    State is at most one threshold of times per severity.
-    """
-    rows = alerts.select("severity", F.col("alert_id").alias("event_id"), micros("timestamp").alias("us"))
-    return rows.groupBy("severity").transformWithStateInPandas(
-        Notifications(minutes * MINUTE_US, thresholds), "severity string, alert_id bigint, n bigint", "Append", "None"
-    )

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from signwatch.operators import profiles
+from signwatch.operators import alerts, profiles
 from signwatch.plans import fixtures as fx
 from signwatch.plans import runs
+from signwatch.streaming import alerts as alert_stream
 from signwatch.streaming import stateful, windows
 
 T0 = datetime(2024, 1, 1)
@@ -63,14 +65,47 @@ def test_streamed_baselines(spark, sf_dir, tmp_path):
     assert {r.username: r.common_ips for r in got}["user_3"] == [r.ip_address for r in top.collect()]
 
 
-def test_streamed_notifications(spark, tmp_path):
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_streamed_notifications(spark, tmp_path, parts):
     # high fires at the third within the hour, and starts over; low fires always
     rows = [(0, 0, "high"), (1, 10, "high"), (2, 3620, "high"), (3, 3630, "low"), (4, 3640, "high"), (5, 3650, "high"), (6, 3660, "high")]
     df = spark.createDataFrame(
-        [(i, T0 + timedelta(seconds=s), v) for i, s, v in rows], "alert_id long, timestamp timestamp, severity string"
+        [(i, T0 + timedelta(seconds=s), "u", "1.1.1.1", v, "kind", "text") for i, s, v in rows],
+        "event_id long, timestamp timestamp, username string, ip_address string, severity string, anomaly_type string, details string",
     )
-    got = finish(stateful.notifications(replay(spark, df, tmp_path / "in", 3)), tmp_path, spark)
-    assert {(r.severity, r.alert_id, r.n) for r in got.collect()} == {("low", 3, 1), ("high", 5, 3)}
+    stream = replay(spark, df, tmp_path / "in", parts)
+    alert_stream.start(stream, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True).awaitTermination(180)
+    fired = spark.read.parquet(str(tmp_path / "out" / "notifications"))
+    at = lambda s: T0 + timedelta(seconds=s)
+    assert {(r.severity, r.timestamp) for r in fired.collect()} == {("low", at(3630)), ("high", at(3650))} and fired.count() == 2
+    waiting = spark.read.parquet(str(tmp_path / "out" / "pending" / f"batch={parts - 1}"))
+    assert [(r.severity, r.timestamp) for r in waiting.collect()] == [("high", at(3660))]
+
+
+def fired_one_by_one(rows, minutes):
+    """(id, seconds, severity) replayed in order: ids that fire, and those that wait."""
+    waiting, fired = {}, []
+    for i, s, severity in sorted(rows, key=lambda r: (r[1], r[0])):
+        held = [x for x in waiting.get(severity, []) if x[1] > s - 60 * minutes] + [(i, s)]
+        if len(held) >= alerts.THRESHOLDS.get(severity, 1):
+            fired.append(i)
+            held = []
+        waiting[severity] = held
+    return set(fired), {i for held in waiting.values() for i, _ in held}
+
+
+@pytest.mark.parametrize(("seed", "mean"), [(1, 60), (2, 900), (3, 1500), (4, 4000)])
+def test_moving_thresholds_equal_a_replay(spark, seed, mean):
+    rnd = random.Random(seed)
+    rows, s = [], 0
+    for i in range(200):
+        s += rnd.choice([0, int(rnd.expovariate(1 / mean)), 3600 * (rnd.random() < 0.02)])
+        rows.append((i, s, rnd.choice(["high", "high", "medium", "medium", "low"])))
+    table = spark.createDataFrame([(i, T0 + timedelta(seconds=s), v) for i, s, v in rows], "alert_id long, timestamp timestamp, severity string")
+    found = alerts.moving_notifications(table, 60, windows=1 if seed < 3 else 24).collect()
+    assert ({r.alert_id for r in found if r.n}, {r.alert_id for r in found if not r.n}) == fired_one_by_one(rows, 60)
+    assert len(found) == len({r.alert_id for r in found})
+    assert alerts.moving_notifications(table.limit(0), 60).collect() == []
 
 
 def test_late_rows_are_dropped(spark, tmp_path):
@@ -113,10 +148,13 @@ def test_live_detection_writes_both_kinds(spark, sf_dir, tmp_path):
 def test_run_over_log_files(spark, sf_dir, tmp_path):
     (tmp_path / "in").mkdir()
     lines = [r.line for r in fx.mixed_lines(spark, sf_dir).collect()]
+    # planted: an account that fails from another address every second, which raises alerts within the hour
+    planted = [f"2024-02-01 10:00:{k:02},mallory,198.51.100.{k},{'failed_login' if k % 2 else 'successful_login'},x" for k in range(40)]
+    lines += planted
     (tmp_path / "in" / "a.log").write_text("\n".join(lines))
     out = str(tmp_path / "out")
     result = runs.run_files(spark, [str(tmp_path / "in")], out, year=2024)
-    assert result.events.count() == 800
+    assert result.events.count() == 800 + len(planted)
     assert spark.read.parquet(f"{out}/quarantine").count() == 200
     alerts = spark.read.parquet(f"{out}/alerts")
     assert alerts.count() == spark.read.parquet(f"{out}/anomalies").count() > 0
@@ -141,8 +179,6 @@ def test_stages_hand_over_tables(spark, sf_dir, tmp_path):
 
 
 def test_alert_tables_from_a_stream(spark, sf_dir, tmp_path):
-    from signwatch.streaming import alerts as alert_stream
-
     rows = fx.alerts_input(spark, sf_dir).withColumnRenamed("alert_id", "event_id").drop("status")
     stream = replay(spark, rows, tmp_path / "in", 2)
     alert_stream.start(stream, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True).awaitTermination(120)
@@ -157,11 +193,6 @@ def test_alert_tables_from_a_stream(spark, sf_dir, tmp_path):
 
 
 def test_thresholds_on_a_stream_equal_those_on_a_table(spark, tmp_path):
-    from datetime import datetime, timedelta
-
-    from signwatch.operators import alerts
-    from signwatch.streaming import alerts as alert_stream
-
     at = datetime(2024, 1, 1)
     rows = [
         (i, at + timedelta(seconds=20 * i), f"u{i}", "1.1.1.1", ["high", "medium", "low"][i % 3], "kind", "text") for i in range(90)
@@ -172,6 +203,6 @@ def test_thresholds_on_a_stream_equal_those_on_a_table(spark, tmp_path):
     stream = replay(spark, table, tmp_path / "in", 5)
     alert_stream.start(stream, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True).awaitTermination(180)
     whole = alerts.from_anomalies(table, alerts.finding_id("event_id", "anomaly_type"))
-    expected = alerts.notifications(whole, str(rows[-1][1]), 60)
+    expected = alerts.moving_notifications(whole, 60).where("n IS NOT NULL")
     got = spark.read.parquet(str(tmp_path / "out" / "notifications"))
     assert {r.alert_id for r in got.collect()} == {r.alert_id for r in expected.collect()} and got.count() == expected.count()
