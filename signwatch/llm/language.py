@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signwatch.llm import text
@@ -151,6 +151,19 @@ class Model:
         return names, scores
 
 
+def _sample(labelled: DataFrame, sample_rows: int) -> DataFrame:
+    """At most ``sample_rows`` rows (one per language at least), each language with the same share, if it has so many."""
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not sizes:
+        return labelled
+    most = max(1, sample_rows // len(sizes))
+    # twice the rows needed are drawn by hash, so few are ranked
+    size = F.create_map(*(F.lit(x) for pair in sizes.items() for x in pair))[F.col("lang")]
+    drawn = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) * size < F.lit(float(1 << 31)) * most)
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    return drawn.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).drop("place")
+
+
 def fit(docs: DataFrame, labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Document frequencies from ``docs`` (``text``), languages from ``labelled`` (``doc_id, text, lang``)."""
     found = docs.filter("text IS NOT NULL").select("text").mapInArrow(_frequencies, "slot int, n long")
@@ -161,9 +174,7 @@ def fit(docs: DataFrame, labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     idf[slot[slot >= 0]] = np.log((1 + documents) / (1 + n[slot >= 0])) + 1
     labelled = labelled.filter("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
     labelled = labelled.select("doc_id", "text", "lang")
-    # At most sample_rows ids.
-    chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    sample = labelled.join(F.broadcast(chosen), "doc_id")
+    sample = _sample(labelled, sample_rows)
     kind = labelled.schema["doc_id"].dataType.simpleString()
     grams = sample.mapInArrow(_sample_grams, f"doc_id {kind}, lang string, slots array<int>, counts array<int>").toArrow()
     languages = sorted(set(grams["lang"].to_pylist()))

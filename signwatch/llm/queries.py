@@ -48,7 +48,8 @@ def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = language.fit(docs, docs.filter(_fold(3) != 1))
+    learned = docs.filter(_fold(3) != 1)
+    model = language.fit(learned, learned)
     return language.predict(docs, model).select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 

@@ -87,6 +87,27 @@ def test_toxicity_beyond_marks_spaces_and_depth(spark, docs_of):
     assert late[toxicity.FEATURES.index("top")] > none[toxicity.FEATURES.index("top")]
 
 
+def test_language_learns_nothing_from_held_out_rows(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    other = docs.withColumn("text", F.when(held_out, F.concat(F.lit("zzz qqq "), "text")).otherwise(F.col("text")))
+    for name, rows in (("a", docs), ("b", other)):
+        rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    found = [queries.op3_language(spark, f"{tmp_path}/{name}").filter("NOT held_out").collect() for name in "ab"]
+    assert sorted(found[0]) == sorted(found[1])
+
+
+def test_a_rare_language_is_learned(spark):
+    """One row in a thousand is of a language of its own."""
+    rnd = random.Random(2)
+    words = {"aa": ["krol", "zamek", "szczyt", "wrzos"], "bb": ["huone", "ikkuna", "saari", "kuu"]}
+    rows = [(i, " ".join(rnd.choice(words["bb" if i % 1000 == 7 else "aa"]) for _ in range(12)), "bb" if i % 1000 == 7 else "aa") for i in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, docs.filter("doc_id % 3 <> 0"))
+    found = language.predict(docs.filter("doc_id % 3 = 0"), model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r.lang == "bb" for r in found) >= 3 and all(r.lang == r.lang_pred for r in found)
+
+
 def test_language(spark, sf_dir, odd_rows):
     docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang")
     model = language.fit(docs, docs.filter("doc_id % 3 <> 1"))
