@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signwatch.lineage import scratch
+from signwatch.schema import DAY_US
+
 AS_OF = "2024-01-31 00:00:00"
 
 
@@ -28,6 +31,23 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_auth_events(files).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
 
+#: How late events come in ``shuffled_stream``, how long it gathers them, and the delay that drops none.
+LATE_DAYS, GATHERED_DAYS = 2, 5
+LATE_DELAY = f"{LATE_DAYS + GATHERED_DAYS} days"
+
+
+def shuffled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as a stream in order of arrival, each up to two days late; files hold five days of arrivals."""
+    timed = auth_events(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    late = F.pmod(F.xxhash64("event_id"), F.lit(LATE_DAYS * DAY_US))
+    timed = timed.withColumn("arrival", F.floor((F.unix_micros("timestamp") + late) / (GATHERED_DAYS * DAY_US)))
+    first, last = timed.agg(F.min("arrival"), F.max("arrival")).first()
+    folder = scratch(spark, "arrivals")
+    for i in range(first or 0, (last or 0) + 1):
+        timed.where(F.col("arrival") == i).drop("arrival").write.parquet(f"{folder}/p{i}")
+    return spark.readStream.schema(timed.drop("arrival").schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/p*")
+
+
 def auth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_auth_events(load(spark, sf_dir, "events"))
 

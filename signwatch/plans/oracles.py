@@ -1014,6 +1014,22 @@ ORACLES["stream_unusual_ip"] = oracle(
 ORACLES["streamed_windows"] = oracle(
     EV,
     METRICS,
-    """SELECT window_start, total_events, successful_logins, failed_logins FROM metrics
+    """SELECT * REPLACE (CAST(login_rate_per_minute AS DOUBLE) AS login_rate_per_minute) FROM metrics
 WHERE window_start + INTERVAL 5 MINUTE <= date_trunc('millisecond', (SELECT max(timestamp) FROM auth_events))::TIMESTAMP - INTERVAL 1 MINUTE""",
 )
+ORACLES["streamed_user_windows"] = oracle(
+    EV,
+    {"win": windows_cte(days=True)},
+    """SELECT window_start, username, count(*) AS login_count, round(avg(CASE WHEN event_type = 'successful_login' THEN 1.0 ELSE 0 END), 6) AS success_rate,
+  count(DISTINCT ip_address) AS unique_ips, round(avg(hour(timestamp)), 6) AS avg_hour FROM win WHERE username IS NOT NULL
+  AND window_start + INTERVAL 3 DAY <= date_trunc('millisecond', (SELECT max(timestamp) FROM auth_events WHERE username IS NOT NULL))::TIMESTAMP - INTERVAL 7 DAY
+GROUP BY window_start, username""",
+)
+# a session is told once the watermark has passed the day of its logout
+ORACLES["streamed_sessions"] = oracle(
+    EV,
+    {"known": KNOWN, "sess": sessions_cte("known")},
+    """SELECT event_id, username, round(hours, 6) AS session_hours FROM sess
+WHERE date_trunc('day', timestamp + to_microseconds(CAST(round(hours * 3600000000) AS BIGINT))) + INTERVAL 1 DAY <= (
+  SELECT date_trunc('millisecond', max(timestamp)) - INTERVAL 7 DAY FROM known WHERE event_type IN ('successful_login', 'logout'))""",
+)

@@ -15,7 +15,7 @@ from signwatch.operators import reports
 from signwatch.plans import fixtures as fx
 from signwatch.plans import runs
 from signwatch.sources import logs
-from signwatch.streaming import windows
+from signwatch.streaming import stateful, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -853,11 +853,31 @@ def stream_behavior(spark, sf):
 
 @query
 def streamed_windows(spark, sf):
-    """Window totals from a real stream over the event files: the windows the watermark has closed."""
+    """Window totals and distinct counts from a real stream over the event files: the windows the watermark has closed."""
     out, state = scratch(spark, "windows"), scratch(spark, "windows-state")
     stream = windows.stream_metrics(fx.event_stream(spark, sf), "1 minute")
     windows.start(stream, out, state, available_now=True).awaitTermination()
-    return spark.read.parquet(out).select("window_start", "total_events", "successful_logins", "failed_logins")
+    return rounded(spark.read.parquet(out), "login_rate_per_minute")
+
+
+@query
+def streamed_user_windows(spark, sf):
+    """Windows per user of events that arrive up to two days late, in several micro-batches."""
+    out, state = scratch(spark, "user-windows"), scratch(spark, "user-windows-state")
+    stream = windows.stream_user_metrics(fx.shuffled_stream(spark, sf), fx.LATE_DELAY, "3 days", "1 day")
+    windows.start(stream, out, state, available_now=True).awaitTermination()
+    return rounded(spark.read.parquet(out), "success_rate", "avg_hour")
+
+
+@query
+def streamed_sessions(spark, sf):
+    """Sessions of events that arrive up to two days late, in several micro-batches: those the watermark has closed."""
+    out, state = scratch(spark, "sessions"), scratch(spark, "sessions-state")
+    with stateful.state_store(spark):
+        sessions = stateful.session_durations(fx.shuffled_stream(spark, sf), fx.LATE_DELAY, slot_minutes=1440)
+        stateful.start_sessions(sessions, out, state, available_now=True).awaitTermination()
+    rows = spark.read.parquet(f"{out}/sessions").unionByName(spark.read.parquet(f"{out}/unpaired"))
+    return rounded(rows.select("event_id", "username", "session_hours"), "session_hours")
 
 
 # --- whole runs ------------------------------------------------------------------------------------------

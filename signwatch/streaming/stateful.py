@@ -8,62 +8,189 @@ org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from signwatch.schema import HOUR_US
+from signwatch.schema import HOUR_US, MINUTE_US
 from signwatch.skew import micros
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
 def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     parts = list(rows)
     return pd.concat(parts).sort_values(["us", "event_id"]) if parts else pd.DataFrame(columns=["us", "event_id"])
 
 
+class SlotPairs(StatefulProcessor):
+    """Logins and logouts of one user in one slot of event time, kept until the watermark has passed the slot's end.
+
+    Then nothing earlier can come any more: logins with a logout after them in the slot are done. The logins that are left
+    and the slot's first logout go on, to be paired with later and earlier slots.
+    """
+
+    def __init__(self, slot_us: int):
+        self.slot_us = slot_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", "us bigint, event_id bigint, logout boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for part in rows:
+            values = zip(part["us"].tolist(), part["event_id"].tolist(), part["logout"].tolist(), strict=True)
+            self.rows.appendList([(int(us), int(i), bool(out)) for us, i, out in values])
+        self.handle.registerTimer(self.end_ms(key))
+        return iter(())
+
+    def end_ms(self, key) -> int:
+        return (int(key[1]) + 1) * self.slot_us // 1000
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        rows = pd.DataFrame(list(self.rows.get()), columns=["us", "event_id", "logout"]).sort_values(["us", "event_id"])
+        self.rows.clear()
+        logouts = np.unique(rows.loc[rows["logout"].astype(bool), "us"].to_numpy(dtype="int64"))
+        logins = rows.loc[~rows["logout"].astype(bool), ["us", "event_id"]]
+        after = np.searchsorted(logouts, logins["us"].to_numpy(dtype="int64"), side="right")
+        ends = pd.array([int(logouts[k]) if k < len(logouts) else None for k in after], dtype="Int64")
+        out = pd.DataFrame({"us": logins["us"].astype("int64"), "event_id": logins["event_id"].astype("Int64"), "end_us": ends})
+        if len(logouts):
+            head = pd.DataFrame({"us": [int(logouts[0])], "event_id": pd.array([None], "Int64"), "end_us": pd.array([None], "Int64")})
+            out = pd.concat([out, head])
+        out.insert(0, "username", key[0])
+        out["closed_at"] = pd.Timestamp(self.end_ms(key), unit="ms")
+        yield out[PAIR_COLUMNS]
+
+    def close(self) -> None:
+        pass
+
+
+PAIR_COLUMNS = ["username", "us", "event_id", "end_us", "closed_at"]
+PAIR_SCHEMA = "username string, us bigint, event_id bigint, end_us bigint, closed_at timestamp"
+
+
 class Sessions(StatefulProcessor):
-    """Open logins of a user, kept until a logout closes all of them that are earlier. Only with a ``ttl_us`` logins left
-    open for so much of the user's own time are dropped."""
+    """Open logins of a user, kept until the first logout of a later slot closes all of them, or until they are too old.
+
+    Slots come closed and complete, so the rows of a batch, sorted, continue those of the batches before.
+    """
 
-    def __init__(self, ttl_us: int | None):
-        self.ttl_us = ttl_us
+    def __init__(self, longest_us: int):
+        self.longest_us = longest_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.open = handle.getListState("open", "us bigint, event_id bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        waiting = list(self.open.get())
-        done = []
-        for us, event_id, event_type in in_order(rows)[["us", "event_id", "event_type"]].itertuples(index=False):
-            if event_type == "successful_login":
-                waiting.append((int(us), int(event_id)))
-                continue
-            done += [(key[0], i, (us - start) / HOUR_US) for start, i in waiting if start < us]
-            waiting = [(start, i) for start, i in waiting if start >= us]
-        if waiting and self.ttl_us is not None:
-            newest = max(start for start, _ in waiting)
-            waiting = [(start, i) for start, i in waiting if start >= newest - self.ttl_us]
+        rows = in_order(rows)
+        whole = rows["end_us"].notna()
+        done = [(i, us, end) for us, i, end in rows.loc[whole, ["us", "event_id", "end_us"]].itertuples(index=False)]
+        rows = rows[~whole]
+        logouts = rows["event_id"].isna()
+        waiting = [(int(us), int(i)) for us, i in rows.loc[~logouts, ["us", "event_id"]].itertuples(index=False)]
+        if logouts.any():
+            ends = rows.loc[logouts, "us"].to_numpy(dtype="int64")
+            waiting = list(self.open.get()) + waiting
+            after = np.searchsorted(ends, [us for us, _ in waiting], side="right")
+            done += [(i, us, int(ends[k])) for (us, i), k in zip(waiting, after, strict=True) if k < len(ends)]
+            waiting = [w for w, k in zip(waiting, after, strict=True) if k == len(ends)]
+            self.open.clear()
+        if waiting:
+            self.open.appendList(waiting)
+            self.handle.registerTimer(self.late_ms(min(us for us, _ in waiting)))
+        yield self.told(key, done)
+
+    def late_ms(self, us: int) -> int:
+        return (us + self.longest_us) // 1000 + 1
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        limit = timerValues.getCurrentWatermarkInMs()
+        waiting = sorted(self.open.get())
+        late = [(i, us, None) for us, i in waiting if self.late_ms(us) <= limit]
         self.open.clear()
+        if late:
+            waiting = waiting[len(late) :]
         if waiting:
             self.open.put(waiting)
-        yield pd.DataFrame(done, columns=["username", "event_id", "session_hours"])
+            self.handle.registerTimer(self.late_ms(waiting[0][0]))
+        yield self.told(key, late)
+
+    @staticmethod
+    def told(key, done: list) -> pd.DataFrame:
+        hours = [None if end is None else (int(end) - int(us)) / HOUR_US for _, us, end in done]
+        return pd.DataFrame(
+            {
+                "username": pd.Series([key[0]] * len(done), dtype="object"),
+                "event_id": pd.Series([int(i) for i, _, _ in done], dtype="int64"),
+                "session_hours": pd.Series(hours, dtype="float64"),
+            }
+        )
 
     def close(self) -> None:
         pass
 
 
-def session_durations(stream: DataFrame, ttl_us: int | None = None) -> DataFrame:
-    """(username, event_id, session_hours), emitted when the logout arrives."""
-    rows = stream.where(
-        F.col("username").isNotNull() & F.col("event_type").isin("successful_login", "logout")
-    ).select("username", "event_id", "event_type", micros("timestamp").alias("us"))
-    return rows.groupBy("username").transformWithStateInPandas(
-        Sessions(ttl_us), "username string, event_id bigint, session_hours double", "Append", "None"
+def session_durations(stream: DataFrame, delay: str = "1 hour", slot_minutes: int = 60, longest_hours: float = 24 * 90) -> DataFrame:
+    """(username, event_id, session_hours): logins with the time to the user's next logout, whatever order they arrive in.
+
+    A row may come up to ``delay`` later than the newest login or logout of any user. A session is told when the watermark has passed the slot of event
+    time its logout lies in; slots of ``slot_minutes`` of a user are states of their own, so a busy user is many states.
+    A login without a logout for ``longest_hours`` is told with null hours, and forgotten; ``start_sessions`` writes it
+    to a table of its own. Rows later than the delay are dropped.
+    """
+    rows = stream.where(F.col("username").isNotNull() & F.col("event_type").isin("successful_login", "logout"))
+    rows = rows.withWatermark("timestamp", delay)
+    us = micros("timestamp")
+    rows = rows.select(
+        "username",
+        F.floor(us / (slot_minutes * MINUTE_US)).alias("slot"),
+        "timestamp",
+        us.alias("us"),
+        "event_id",
+        (F.col("event_type") == "logout").alias("logout"),
+    )
+    slots = rows.groupBy("username", "slot").transformWithStateInPandas(
+        SlotPairs(slot_minutes * MINUTE_US), PAIR_SCHEMA, "Append", "EventTime", eventTimeColumnName="closed_at"
     )
+    return slots.groupBy("username").transformWithStateInPandas(
+        Sessions(int(longest_hours * HOUR_US)), "username string, event_id bigint, session_hours double", "Append", "EventTime"
+    )
+
+
+def start_sessions(sessions: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Write sessions to ``sessions`` and logins that found no logout in time to ``unpaired``, a folder per micro-batch.
+
+    A batch repeated after a failure replaces its own files.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        for name, part in (("sessions", batch.where("session_hours IS NOT NULL")), ("unpaired", batch.where("session_hours IS NULL"))):
+            part.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        batch.unpersist()
+
+    writer = sessions.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
 
 
 class FirstEvents(StatefulProcessor):

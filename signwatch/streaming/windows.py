@@ -186,17 +186,29 @@ def unusual_behaviour(user_metrics: DataFrame, model: forest.Forest) -> DataFram
 
 
 def stream_metrics(stream: DataFrame, delay: str = "1 minute", size: str = SIZE, slide: str = SLIDE) -> DataFrame:
-    """Window metrics of a stream. Distinct counts are sketches, so that a window's state stays small."""
+    """Window metrics of a stream, as ``window_metrics`` has them over tables, once the watermark has passed a window's end.
+
+    Two stateful steps: first one row per window and different user or address with its counts, then their number and sums.
+    An event counts under its user and under its address; the users' rows carry the totals.
+    """
     success, failure = F.col("event_type") == "successful_login", F.col("event_type") == "failed_login"
-    return (
+    marks = F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("value")) for kind in ("username", "ip_address")))
+    per = (
         stream.withWatermark("timestamp", delay)
-        .groupBy(F.window("timestamp", size, slide).alias("w"))
+        .select("timestamp", "event_type", F.explode(marks).alias("mark"))
+        .groupBy(F.window("timestamp", size, slide).alias("w"), "mark.kind", "mark.value")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(success).alias("ok"), F.count_if(failure).alias("failed"))
+    )
+    user, ip = F.col("kind") == "username", F.col("kind") == "ip_address"
+    total = lambda name: F.sum(F.when(user, F.col(name)).otherwise(0))
+    return (
+        per.groupBy("w")
         .agg(
-            F.count(F.lit(1)).alias("total_events"),
-            F.approx_count_distinct("username").alias("unique_users"),
-            F.approx_count_distinct("ip_address").alias("unique_ips"),
-            F.count_if(success).alias("successful_logins"),
-            F.count_if(failure).alias("failed_logins"),
+            total("n").alias("total_events"),
+            F.count(F.when(user, F.col("value"))).alias("unique_users"),
+            F.count(F.when(ip, F.col("value"))).alias("unique_ips"),
+            total("ok").alias("successful_logins"),
+            total("failed").alias("failed_logins"),
         )
         .select(
             F.col("w.start").alias("window_start"),
@@ -211,15 +223,27 @@ def stream_metrics(stream: DataFrame, delay: str = "1 minute", size: str = SIZE,
 
 
 def stream_user_metrics(stream: DataFrame, delay: str = "1 minute", size: str = SIZE, slide: str = SLIDE) -> DataFrame:
-    return (
+    """Metrics per window and user of a stream, as ``window_user_metrics`` has them over tables.
+
+    First one row per window, user and address, so a user with many events or addresses is spread over many states.
+    """
+    per = (
         stream.where(F.col("username").isNotNull())
         .withWatermark("timestamp", delay)
-        .groupBy(F.window("timestamp", size, slide).alias("w"), "username")
+        .groupBy(F.window("timestamp", size, slide).alias("w"), "username", "ip_address")
         .agg(
-            F.count(F.lit(1)).alias("login_count"),
-            F.avg((F.col("event_type") == "successful_login").cast("double")).alias("success_rate"),
-            F.approx_count_distinct("ip_address").alias("unique_ips"),
-            F.avg(hour()).alias("avg_hour"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("event_type") == "successful_login").alias("ok"),
+            F.sum(hour()).alias("hours"),
+        )
+    )
+    return (
+        per.groupBy("w", "username")
+        .agg(
+            F.sum("n").alias("login_count"),
+            (F.sum("ok") / F.sum("n")).alias("success_rate"),
+            F.count("ip_address").alias("unique_ips"),
+            (F.sum("hours") / F.sum("n")).alias("avg_hour"),
         )
         .select(F.col("w.start").alias("window_start"), "username", "login_count", "success_rate", "unique_ips", "avg_hour")
     )

@@ -40,19 +40,78 @@ def finish(stream, tmp_path, spark):
     return spark.read.parquet(str(tmp_path / "out"))
 
 
-def test_streamed_sessions_equal_the_batch(spark, sf_dir, tmp_path):
-    events = fx.auth_events(spark, sf_dir).where("username is not null")
-    got = finish(stateful.session_durations(replay(spark, events, tmp_path / "in", 3)), tmp_path, spark)
-    want = profiles.session_durations(events)
-    rounded = lambda df: {(r.event_id, round(r.session_hours, 6)) for r in df.collect()}
-    assert rounded(got) == rounded(want)
+def shuffled(spark, events, folder, batches, delay_us):
+    """The rows as a stream in which each arrives up to ``delay_us`` late, so logouts come before their logins and apart from them."""
+    timed = events.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withColumn("_us", F.unix_micros("timestamp"))
+    span = timed.agg(F.min("_us"), F.max("_us")).first()
+    late = F.pmod(F.xxhash64("event_id"), F.lit(delay_us))
+    arrival = F.floor((F.col("_us") + late - span[0]) * batches / (span[1] - span[0] + delay_us))
+    for i in range(batches):
+        timed.where(arrival == i).drop("_us").orderBy(F.xxhash64("event_id")).coalesce(1).write.parquet(str(folder / f"p{i:02}"))
+    return spark.readStream.schema(timed.drop("_us").schema).option("maxFilesPerTrigger", 1).parquet(str(folder / "p*"))
+
+
+def told(df):
+    return {r.event_id: round(r.session_hours, 6) for r in df.collect()}
+
+
+@pytest.mark.parametrize("slot_minutes", [60, 7 * 1440])
+def test_streamed_sessions_equal_the_batch(spark, sf_dir, tmp_path, slot_minutes):
+    events = fx.auth_events(spark, sf_dir)
+    days = 86_400_000_000
+    stream = shuffled(spark, events, tmp_path / "in", 6, 4 * days)
+    got = stateful.session_durations(stream, "4 days", slot_minutes)
+    stateful.start_sessions(got, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True).awaitTermination(300)
+    found = spark.read.parquet(str(tmp_path / "out" / "sessions"))
+    want = profiles.session_durations(events).withColumn("_end", F.unix_micros(F.col("timestamp").cast("timestamp")) + F.col("session_hours") * 3.6e9)
+    known = events.where("username IS NOT NULL AND event_type IN ('successful_login', 'logout')")
+    closed = F.lit(known.agg(F.max(F.unix_micros(F.col("timestamp").cast("timestamp")))).first()[0] - 4 * days)
+    slot = slot_minutes * 60_000_000
+    want = told(want.where((F.floor((F.col("_end") + 0.5) / slot) + 1) * slot <= closed))
+    assert told(found) == want and found.count() == len(want) > 20
+    assert spark.read.parquet(str(tmp_path / "out" / "unpaired")).count() == 0
+
+
+def minutes_stream(spark, folder, *batches):
+    """Micro-batches of (event, user, minute, kind)."""
+    schema = "event_id long, username string, timestamp timestamp, event_type string"
+    for n, batch in enumerate(batches):
+        rows = [(i, user, T0 + timedelta(minutes=m), kind) for i, user, m, kind in batch]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(folder / f"p{n:02}"))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder / "p*"))
+
+
+def test_streamed_sessions_with_rows_out_of_order(spark, tmp_path):
+    """A login that arrives after a logout it precedes, two logouts in a row, equal times, a login nobody ends."""
+    stream = minutes_stream(
+        spark,
+        tmp_path / "in",
+        [(1, "ann", 10, "successful_login"), (2, "ann", 90, "logout"), (3, "ann", 200, "logout"), (4, "bob", 30, "successful_login")],
+        [(5, "ann", 80, "successful_login"), (6, "ann", 90, "successful_login"), (7, "ann", 100, "access"), (8, None, 20, "logout")],
+        [(9, "ann", 300, "successful_login"), (10, "zoe", 2000, "successful_login")],
+        [(11, "ann", 1990, "logout"), (12, "zoe", 4000, "successful_login")],
+        [(13, "ann", 85, "logout"), (14, "zoe", 4001, "successful_login")],  # too late: dropped
+        [(15, "zoe", 9000, "successful_login")],
+    )
+    got = stateful.session_durations(stream, "150 minutes", 60, longest_hours=80)
+    stateful.start_sessions(got, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True).awaitTermination(300)
+    hours = {1: 80 / 60, 5: 10 / 60, 6: 110 / 60, 9: 1690 / 60}
+    assert told(spark.read.parquet(str(tmp_path / "out" / "sessions"))) == {i: round(h, 6) for i, h in hours.items()}
+    unpaired = spark.read.parquet(str(tmp_path / "out" / "unpaired")).collect()
+    assert sorted((r.username, r.event_id) for r in unpaired) == [("bob", 4), ("zoe", 10), ("zoe", 12), ("zoe", 14)]
 
 
 def test_streamed_sessions_wait_for_their_logout(spark, tmp_path):
-    days = [(0, 0, "successful_login"), (1, 40, "successful_login"), (2, 41, "logout")]
-    rows = [(i, "ann", kind, T0 + timedelta(days=day)) for i, day, kind in days]
-    events = spark.createDataFrame(rows, "event_id long, username string, event_type string, timestamp timestamp")
-    got = finish(stateful.session_durations(replay(spark, events, tmp_path / "in", 3)), tmp_path, spark)
+    day = 1440
+    stream = minutes_stream(
+        spark,
+        tmp_path / "in",
+        [(0, "ann", 0, "successful_login")],
+        [(1, "ann", 40 * day, "successful_login")],
+        [(2, "ann", 41 * day, "logout")],
+        [(3, "zoe", 42 * day, "logout")],
+    )
+    got = finish(stateful.session_durations(stream), tmp_path, spark)
     assert sorted((r.event_id, r.session_hours) for r in got.collect()) == [(0, 41 * 24.0), (1, 24.0)]
 
 
