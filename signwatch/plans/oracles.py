@@ -825,6 +825,8 @@ ORACLES["user_ip_edges"] = oracle(
 ORACLES["node_degree"] = oracle(EV, {"e": GRAPH["e"]}, "SELECT a AS node, count(*) AS degree FROM e GROUP BY a")
 ORACLES["closeness"] = oracle(EV, GRAPH, "SELECT node, round(closeness, 6) AS closeness FROM clo")
 ORACLES["betweenness"] = oracle(EV, GRAPH, "SELECT node, round(betweenness, 6) AS betweenness FROM bet")
+# an estimate within its bound of the value, for every node
+ORACLES["betweenness_estimate"] = oracle(EV, GRAPH, "SELECT node, 1::BIGINT AS within FROM bet")
 ORACLES["graph_anomalies"] = oracle(
     EV,
     GRAPH

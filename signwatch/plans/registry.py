@@ -693,7 +693,7 @@ def node_degree(spark, sf):
 
 @query
 def closeness(spark, sf):
-    return rounded(graph.centrality(directed(spark, sf)).select("node", "closeness"), "closeness")
+    return rounded(graph.closeness(directed(spark, sf)), "closeness")
 
 
 @query
@@ -701,6 +701,15 @@ def betweenness(spark, sf):
     return rounded(graph.centrality(directed(spark, sf)).select("node", "betweenness"), "betweenness")
 
 
+@query
+def betweenness_estimate(spark, sf):
+    """Whether the estimate from 100 pivots is within its bound of the exact value, per node."""
+    links = directed(spark, sf)
+    exact = graph.centrality(links).select("node", F.col("betweenness").alias("exact"))
+    rows = graph.betweenness_estimate(links, 100, miss=1e-6).join(exact, "node")
+    return whole(rows.select("node", (F.abs(F.col("betweenness") - F.col("exact")) <= F.col("bound")).alias("within")), "within")
+
+
 @query
 def clustering(spark, sf):
     return rounded(graph.clustering(graph.followers(fx.auth_events(spark, sf))), "clustering")

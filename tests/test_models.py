@@ -73,6 +73,47 @@ def test_centrality_equals_brute_force(spark, name):
         assert r.betweenness == pytest.approx(between[r.node])
 
 
+@pytest.fixture(scope="module")
+def wide_graph():
+    """300 nodes: a ring of hubs with members of their own, some shared."""
+    rnd = np.random.default_rng(8)
+    pairs = {(f"h{a}", f"h{(a + 1) % 40}") for a in range(40)}
+    pairs |= {(f"h{a}", f"n{b}") for a, b in zip(rnd.integers(0, 40, 420), rnd.integers(0, 260, 420), strict=True)}
+    return sorted(pairs)
+
+
+@pytest.mark.parametrize("name", ["two parts", "twins on both sides", "random", "wide"])
+def test_closeness_from_bits_equals_brute_force(spark, wide_graph, name, monkeypatch):
+    """One word is 64 sources, so the wide graph takes several batches; a level is never more than a row per class."""
+    pairs = wide_graph if name == "wide" else GRAPHS[name]
+    written = []
+    monkeypatch.setattr(graph, "cut", lambda df, cut=graph.cut: written.append(cut(df)) or written[-1])
+    rows = graph.closeness(graph.both_ways(spark.createDataFrame(pairs, "src string, dst string")), words=1).collect()
+    assert {r.node: pytest.approx(r.closeness) for r in rows} == brute_force(pairs)[0]
+    levels = [df for df in written if "f0" in df.columns]
+    assert levels and max(df.count() for df in levels) <= len(rows)
+
+
+def test_centrality_in_batches_of_sources(spark, wide_graph, monkeypatch):
+    monkeypatch.setattr(graph, "LEAST_SOURCES", 100)
+    seen = []
+    monkeypatch.setattr(graph, "levels", lambda *a, levels=graph.levels: seen.append(a[2].count()) or levels(*a))
+    rows = graph.centrality(graph.both_ways(spark.createDataFrame(wide_graph, "src string, dst string")), level_rows=1).collect()
+    close, between = brute_force(wide_graph)
+    assert {r.node: (pytest.approx(r.closeness), pytest.approx(r.betweenness)) for r in rows} == {v: (close[v], between[v]) for v in close}
+    assert len(seen) > 1 and max(seen) <= 100
+
+
+@pytest.mark.parametrize("pivots", [80, 10_000])
+def test_betweenness_estimate_is_within_its_bound(spark, wide_graph, pivots):
+    directed = graph.both_ways(spark.createDataFrame(wide_graph, "src string, dst string"))
+    rows = graph.betweenness_estimate(directed, pivots, miss=1e-6).collect()
+    _, between = brute_force(wide_graph)
+    assert {r.node for r in rows} == set(between)
+    assert all(abs(r.betweenness - between[r.node]) <= r.bound + 1e-12 for r in rows)
+    assert {r.bound for r in rows} == {0.0} if pivots == 10_000 else all(0 < r.bound < 0.5 for r in rows)
+
+
 def test_nodes_with_equal_neighbours_share_a_class(spark):
     directed = graph.both_ways(spark.createDataFrame(GRAPHS["star"], "src string, dst string"))
     _, sizes, _ = graph.classes(directed)
