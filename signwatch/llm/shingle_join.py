@@ -7,11 +7,13 @@ with more than ``d`` parts at least one part's sketch is equal in both (pigeonho
 many parts there are depends on a size band, which both documents of a pair have in common. A part without shingles
 says nothing: there are some parts more than needed, and only documents with more empty parts than that use them.
 
-Documents with equal sets form one class, which stands for them from then on. Within a key, classes are first compared
-with one centre each, which joins most of a group of near copies in linear time; only pairs of classes that are still
-in different components are then compared, behind a filter on sizes and the Hamming distance of 512-bit sketches.
-Every pair left is verified on the full sets. No link between different components is left out, so components are
-exact (shingles and sets are compared by 64-bit hashes).
+Documents with equal sets form one class, which stands for them from then on. First each class is compared with one other,
+the smallest centre of its keys, which joins most of a group of near copies with one link per class. Then, round by
+round, a key's classes are compared with one of them, which leaves the key after that, as far as they are in different
+components; pairs that were compared are not compared again. Once few such pairs are left, no more than a
+constant times the rows of keys, all of them are looked at, and a few per class at a time are verified. Sizes and the
+Hamming distance of 512-bit sketches filter all pairs before they are verified on the full sets. No link between different components is left out, so
+components are exact (shingles and sets are compared by 64-bit hashes).
 
 Null texts and texts without words have an empty set and no links. Rows without an id are kept, without a component.
 Rows with the same id are one document for its component.
@@ -32,12 +34,13 @@ from pyspark.sql import functions as F
 from signwatch.lineage import cut
 from signwatch.llm import text
 from signwatch.llm.components import components
+from signwatch.llm.tables import spread_join
 
 SKETCH = 512
 SKETCHES = [f"s{k}" for k in range(SKETCH // 64)]
-#: More rounds with one centre per key while a key holds on average more pairs in different components than this.
-PAIRS_A_ROW = 1024
-ROUNDS = 6
+#: Rounds with one centre per key, and more of them until the pairs in different components that are left are at most so many
+#: per row of keys.
+ROUNDS, PAIRS_A_ROW = 1, 256
 
 
 @dataclass(frozen=True)
@@ -221,8 +224,6 @@ def verified(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> Da
     """Those of the pairs ``a, b, rep_a, rep_b`` that are similar enough. Texts follow their pair to the centre ``b``."""
     pairs = cut(pairs)
     texts = docs.filter("text IS NOT NULL").select("doc_id", "text")
-    wanted = pairs.select(F.explode(F.array("rep_a", "rep_b")).alias("doc_id")).distinct()
-    texts = cut(texts.join(wanted, "doc_id", "left_semi"))
     member = pairs.join(texts.select(F.col("doc_id").alias("rep_a"), F.col("text").alias("text_a")), "rep_a")
     both = member.join(texts.select(F.col("doc_id").alias("rep_b"), F.col("text").alias("text_b")), "rep_b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(length, percent), "a long, b long")
@@ -242,48 +243,74 @@ def classes_and_components(docs: DataFrame, length: int, percent: int) -> tuple[
     shared = rows.select("key", "class", F.min("class").over(key).alias("low"), F.max("class").over(key).alias("high"))
     shared = cut(shared.filter("low < high").select("key", "class").distinct())
     n_rows = shared.count()
-
-    links = None
-    linked = docs.sparkSession.createDataFrame([], "class long, component long")
-    for turn in range(ROUNDS + 1):
-        placed = shared.join(linked, "class", "left").select(
-            "key", "class", F.coalesce("component", "class").alias("component")
-        )
+    session = docs.sparkSession
+    links = session.createDataFrame([], "a long, b long")
+    linked = session.createDataFrame([], "class long, component long")
+    tried, turn = links, 0
+    while True:
+        placed = cut(shared.join(linked, "class", "left").select("key", "class", F.coalesce("component", "class").alias("component")))
         per = placed.groupBy("key", "component").count().groupBy("key").agg(
             F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("same")
         )
-        open_pairs = per.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
-        if not open_pairs:
+        per = cut(per.select("key", ((F.col("n") * F.col("n") - F.col("same")) / 2).alias("open")).filter("open > 0"))
+        open_pairs = per.agg(F.sum("open")).first()[0] or 0
+        # keys whose classes are all in one component have nothing to tell any more
+        open_rows = placed.join(per.select("key"), "key", "left_semi")
+        if turn >= ROUNDS and open_pairs <= PAIRS_A_ROW * n_rows or not open_pairs:
             break
-        last = turn == ROUNDS or (turn and open_pairs <= PAIRS_A_ROW * max(n_rows, 1 << 14))
-        if last:
-            full = cut(placed.join(_side(classes, "class").drop("rep_class"), "class"))
-            left, right = ((full.select("key", F.col("class").alias(x), F.col("component").alias(f"component_{x}"), F.col("n_class").alias(f"n_{x}"), *(F.col(f"{s}_class").alias(f"{s}_{x}") for s in SKETCHES))) for x in "ab")
-            pairs = left.join(
-                right,
-                (left["key"] == right["key"])
-                & (F.col("a") > F.col("b"))
-                & (F.col("component_a") != F.col("component_b"))
-                & _close(percent),
-            )
-            pairs = pairs.select("a", "b").distinct()
-            rep = classes.select("class", "rep")
-            pairs = pairs.join(rep.toDF("a", "rep_a"), "a").join(rep.toDF("b", "rep_b"), "b")
+        # Another centre each time, so that what hung on an unlucky one finds its neighbours.
+        by = F.struct(F.xxhash64("class", F.lit(turn)), "class") if turn else F.struct("class", "class")
+        centres = open_rows.groupBy("key").agg(F.min_by(F.struct("class", "component"), by).alias("centre"))
+        met = open_rows.join(centres, "key").filter("component <> centre.component")
+        if turn:
+            pairs = met.select(F.greatest("class", "centre.class").alias("a"), F.least("class", "centre.class").alias("b")).distinct()
+            # all classes of the key are compared with this one now: it is done there
+            done = centres.select("key", F.col("centre.class").alias("class"))
+            shared = cut(open_rows.select("key", "class").join(done, ["key", "class"], "left_anti"))
         else:
-            # Another centre each time, so that what hung on an unlucky one finds its neighbours.
-            by = F.struct(F.xxhash64("class", F.lit(turn)), "class") if turn else F.struct("class", "class")
-            centres = placed.groupBy("key").agg(F.min_by(F.struct("class", "component"), by).alias("centre"))
-            pairs = placed.join(centres, "key").filter("component <> centre.component")
-            pairs = pairs.select(F.col("class").alias("a"), F.col("centre.class").alias("b")).distinct()
-            pairs = pairs.join(_side(classes, "a"), "a").join(_side(classes, "b"), "b").filter(_close(percent))
-        more = verified(pairs.select("a", "b", "rep_a", "rep_b"), docs, length, percent)
-        links = cut(more if links is None else links.union(more))
-        linked = components(links).select(F.col("node").alias("class"), "component")
-        if last:
-            break
+            # one candidate per class, which near copies of one text have in common
+            pairs = met.groupBy(F.col("class").alias("a")).agg(F.min("centre.class").alias("b"))
+        pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = cut(pairs.join(_side(classes, "a"), "a").join(_side(classes, "b"), "b").filter(_close(percent)).select("a", "b"))
+        tried = pairs if turn == 0 else cut(tried.union(pairs))
+        links, linked = _linked(links, linked, pairs, classes, docs, length, percent)
+        turn += 1
+    if open_pairs:
+        full = cut(open_rows.join(_side(classes, "class").drop("rep_class"), "class"))
+        left, right = (
+            full.select("key", F.col("class").alias(x), F.col("component").alias(f"component_{x}"), F.col("n_class").alias(f"n_{x}"), *(F.col(f"{s}_class").alias(f"{s}_{x}") for s in SKETCHES))
+            for x in "ab"
+        )
+        apart = (left["key"] == right["key"]) & (F.col("a") > F.col("b")) & (F.col("component_a") != F.col("component_b"))
+        pairs = cut(left.join(right, apart & _close(percent)).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+        most = 1
+        while not pairs.isEmpty():
+            # few at first: most classes find their component with one link, and their other pairs need no look then
+            place = F.row_number().over(Window.partitionBy("a").orderBy("b"))
+            placed = cut(pairs.withColumn("place", place))
+            few = placed.filter(F.col("place") <= most).select("a", "b")
+            links, linked = _linked(links, linked, few, classes, docs, length, percent)
+            rest = placed.filter(F.col("place") > most).select("a", "b")
+            for x in "ab":
+                rest = rest.join(linked.toDF(x, f"component_{x}"), x, "left")
+            pairs = cut(rest.filter("coalesce(component_a, a) <> coalesce(component_b, b)").select("a", "b"))
+            most *= 4
     return facts.select("doc_id", "n_shingles", "class"), linked
 
 
+def _linked(
+    links: DataFrame, linked: DataFrame, pairs: DataFrame, classes: DataFrame, docs: DataFrame, length: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """All links with those of the pairs ``a, b`` that are similar enough, and the components they make."""
+    rep = classes.select("class", "rep")
+    pairs = pairs.join(rep.toDF("a", "rep_a"), "a").join(rep.toDF("b", "rep_b"), "b")
+    more = cut(verified(pairs, docs, length, percent))
+    if more.isEmpty():
+        return links, linked
+    links = links.union(more)
+    return links, components(links).select(F.col("node").alias("class"), "component")
+
+
 def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", texts: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, class, component_id``.
 
@@ -292,10 +319,12 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id",
     """
     docs = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(texts).alias("text"))
     facts, linked = classes_and_components(docs, words, percent)
-    placed = facts.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    least = placed.filter("class IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
-    placed = placed.join(least, "component", "left")
-    # Rows that share an id lie in one component, whatever their texts.
+    classes = cut(facts.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")))
+    least = linked.join(classes, "class").groupBy("component").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("classes"))
+    least = spread_join(linked, least, "component", "classes", linked.count()).select("class", "least")
+    classes = classes.join(least, "class", "left").select("class", "size", F.coalesce("least", "rep").alias("least"))
+    placed = spread_join(facts.filter("class IS NOT NULL"), classes, "class", "size", facts.count())
+    placed = placed.unionByName(facts.filter("class IS NULL").withColumn("least", F.lit(None).cast("long")))
     shared = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return placed.select("doc_id", "n_shingles", "class", shared.alias("component_id"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from signwatch.lineage import scratch
 
@@ -12,3 +13,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     at = scratch(df.sparkSession, name)
     df.write.parquet(at)
     return df.sparkSession.read.parquet(at)
+
+
+#: Groups with more than one row in so many are broadcast; there are fewer of them than this.
+SHARE = 10_000
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str, n: int) -> DataFrame:
+    """Each of the ``n`` rows with its group's columns, by ``key``; ``size`` says how many of the rows a group has.
+
+    Groups that hold many rows reach them by a broadcast of a bounded table, so no task gets all rows of a group.
+    """
+    large = F.broadcast(groups.filter(F.col(size) * SHARE > n))
+    others = rows.join(large.select(key), key, "left_anti")
+    return rows.join(large.drop(size), key).unionByName(others.join(groups.drop(size), key))
+
+
+def remove(path: str, df: DataFrame) -> None:
+    """Delete a table that nothing will read again."""
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

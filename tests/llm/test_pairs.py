@@ -73,12 +73,24 @@ def test_components(docs_of, seed, k, percent):
 
 def test_components_when_every_round_is_used(docs_of, monkeypatch):
     monkeypatch.setattr(shingle_join, "PAIRS_A_ROW", 0)
-    monkeypatch.setattr(shingle_join, "ROUNDS", 2)
+    monkeypatch.setattr(shingle_join, "ROUNDS", 0)
     rows = near_copies(4, groups=3, most=25)
     expected = components_of(shingle_sets(rows, 3), 85)
     assert {r["doc_id"]: r["component_id"] for r in shingle_join.join(docs_of(rows), 3, 85).collect()} == expected
 
 
+@pytest.mark.parametrize("n", [100, 400])
+def test_links_grow_with_the_classes_of_a_group(docs_of, monkeypatch, n):
+    """Near copies of one text need a few links each, not one for every other copy."""
+    rnd = random.Random(n)
+    base = [f"w{k}" for k in range(200)]
+    rows = [(i, " ".join(noisy(rnd, base, 2))) for i in range(n)]
+    seen = []
+    monkeypatch.setattr(shingle_join, "components", lambda links, run=shingle_join.components: seen.append(links.count()) or run(links))
+    found = shingle_join.join(docs_of(rows), 3, 90).collect()
+    assert {r["component_id"] for r in found} == {0} and max(seen) <= 5 * n
+
+
 @pytest.mark.parametrize("percent", [60, 80, 90, 95])
 def test_similar_sets_share_a_key(percent):
     rnd = np.random.default_rng(percent)
