@@ -40,7 +40,7 @@ SKETCH = 512
 SKETCHES = [f"s{k}" for k in range(SKETCH // 64)]
 #: Rounds with one centre per key, and more of them until the pairs in different components that are left are at most so many
 #: per row of keys.
-ROUNDS, PAIRS_A_ROW = 1, 256
+ROUNDS, PAIRS_A_ROW = 4, 256
 
 
 @dataclass(frozen=True)
