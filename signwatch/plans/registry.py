@@ -707,7 +707,7 @@ def betweenness_estimate(spark, sf):
     links = directed(spark, sf)
     exact = graph.centrality(links).select("node", F.col("betweenness").alias("exact"))
     rows = graph.betweenness_estimate(links, 100, miss=1e-6).join(exact, "node")
-    return whole(rows.select("node", (F.abs(F.col("betweenness") - F.col("exact")) <= F.col("bound")).alias("within")), "within")
+    return whole(rows.select("node", (F.abs(F.col("betweenness") - F.col("exact")) <= F.col("bound") + 1e-9).alias("within")), "within")
 
 
 @query
