@@ -9,11 +9,13 @@ says nothing: there are some parts more than needed, and only documents with mor
 
 Documents with equal sets form one class, which stands for them from then on. First each class is compared with one other,
 the smallest centre of its keys, which joins most of a group of near copies with one link per class. Then, round by
-round, a key's classes are compared with one of them, which leaves the key after that, as far as they are in different
-components; pairs that were compared are not compared again. Once few such pairs are left, no more than a
-constant times the rows of keys, all of them are looked at, and a few per class at a time are verified. Sizes and the
-Hamming distance of 512-bit sketches filter all pairs before they are verified on the full sets. No link between different components is left out, so
-components are exact (shingles and sets are compared by 64-bit hashes).
+round, a key's classes are compared with some of them, its centres, as far as they are in different components. Centres
+leave the key after that, and a key all of whose classes are in one component is done. There are one, one, eight, 64 and so
+on centres per key, so even keys of many classes that are not similar need few rounds, and most classes have found their
+component before many are compared. Sizes and the Hamming distance of 512-bit sketches filter all pairs before they are
+verified on the full sets; pairs that were compared are not compared again. The rounds end when no two classes of a key
+are in different components, so no link between different components is left out and components are exact (shingles and
+sets are compared by 64-bit hashes).
 
 Null texts and texts without words have an empty set and no links. Rows without an id are kept, without a component.
 Rows with the same id are one document for its component.
@@ -31,16 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signwatch.lineage import cut
 from signwatch.llm import text
 from signwatch.llm.components import components
-from signwatch.llm.tables import spread_join
+from signwatch.llm.tables import Steps, spread_join, written
 
 SKETCH = 512
 SKETCHES = [f"s{k}" for k in range(SKETCH // 64)]
-#: Rounds with one centre per key, and more of them until the pairs in different components that are left are at most so many
-#: per row of keys.
-ROUNDS, PAIRS_A_ROW = 4, 256
+#: Rounds with one centre per key; from then on each round has so many times more of them.
+SINGLE, FACTOR = 2, 8
 
 
 @dataclass(frozen=True)
@@ -222,7 +222,6 @@ def _side(classes: DataFrame, side: str) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
     """Those of the pairs ``a, b, rep_a, rep_b`` that are similar enough. Texts follow their pair to the centre ``b``."""
-    pairs = cut(pairs)
     texts = docs.filter("text IS NOT NULL").select("doc_id", "text")
     member = pairs.join(texts.select(F.col("doc_id").alias("rep_a"), F.col("text").alias("text_a")), "rep_a")
     both = member.join(texts.select(F.col("doc_id").alias("rep_b"), F.col("text").alias("text_b")), "rep_b")
@@ -231,84 +230,85 @@ def verified(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> Da
 
 def classes_and_components(docs: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Per document ``doc_id, n_shingles, class``; per linked class ``class, component``."""
-    facts = cut(docs.mapInArrow(_facts(length), "doc_id long, n_shingles long, class long, " + ", ".join(f"{s} long" for s in SKETCHES)))
+    session = docs.sparkSession
+    steps = Steps(session, "shingles")
+    facts = docs.mapInArrow(_facts(length), "doc_id long, n_shingles long, class long, " + ", ".join(f"{s} long" for s in SKETCHES))
+    facts = steps.keep(facts, "facts")
     classes = (
         facts.filter("class IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("class")
         .agg(F.min("doc_id").alias("rep"), *(F.min(c).alias(c) for c in ["n_shingles", *SKETCHES]))
     )
-    classes = cut(classes)
+    classes = steps.keep(classes, "classes")
     key = Window.partitionBy("key")
     rows = docs.filter("doc_id IS NOT NULL").mapInArrow(_keys(length, percent), "key long, class long")
     shared = rows.select("key", "class", F.min("class").over(key).alias("low"), F.max("class").over(key).alias("high"))
-    shared = cut(shared.filter("low < high").select("key", "class").distinct())
-    n_rows = shared.count()
-    session = docs.sparkSession
-    links = session.createDataFrame([], "a long, b long")
+    shared = steps.keep(shared.filter("low < high").select("key", "class").distinct(), "shared")
     linked = session.createDataFrame([], "class long, component long")
-    tried, turn = links, 0
+    tried = session.createDataFrame([], "a long, b long")
+    turn = 0
     while True:
-        placed = cut(shared.join(linked, "class", "left").select("key", "class", F.coalesce("component", "class").alias("component")))
-        per = placed.groupBy("key", "component").count().groupBy("key").agg(
-            F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("same")
-        )
-        per = cut(per.select("key", ((F.col("n") * F.col("n") - F.col("same")) / 2).alias("open")).filter("open > 0"))
-        open_pairs = per.agg(F.sum("open")).first()[0] or 0
-        # keys whose classes are all in one component have nothing to tell any more
-        open_rows = placed.join(per.select("key"), "key", "left_semi")
-        if turn >= ROUNDS and open_pairs <= PAIRS_A_ROW * n_rows or not open_pairs:
+        placed = shared.join(linked, "class", "left").select("key", "class", F.coalesce("component", "class").alias("component"))
+        # Keys whose classes are all in one component have nothing to tell any more.
+        ends = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        shared = steps.keep(placed.join(ends.filter("low < high").select("key"), "key", "left_semi"), "shared")
+        if shared.isEmpty():
             break
-        # Another centre each time, so that what hung on an unlucky one finds its neighbours.
-        by = F.struct(F.xxhash64("class", F.lit(turn)), "class") if turn else F.struct("class", "class")
-        centres = open_rows.groupBy("key").agg(F.min_by(F.struct("class", "component"), by).alias("centre"))
-        met = open_rows.join(centres, "key").filter("component <> centre.component")
-        if turn:
-            pairs = met.select(F.greatest("class", "centre.class").alias("a"), F.least("class", "centre.class").alias("b")).distinct()
-            # all classes of the key are compared with this one now: it is done there
-            done = centres.select("key", F.col("centre.class").alias("class"))
-            shared = cut(open_rows.select("key", "class").join(done, ["key", "class"], "left_anti"))
-        else:
-            # one candidate per class, which near copies of one text have in common
-            pairs = met.groupBy(F.col("class").alias("a")).agg(F.min("centre.class").alias("b"))
+        pairs, centres = _first(shared) if turn == 0 else _met(shared, classes, percent, turn)
         pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs.join(_side(classes, "a"), "a").join(_side(classes, "b"), "b").filter(_close(percent)).select("a", "b"))
-        tried = pairs if turn == 0 else cut(tried.union(pairs))
-        links, linked = _linked(links, linked, pairs, classes, docs, length, percent)
+        pairs = pairs.join(_side(classes, "a"), "a").join(_side(classes, "b"), "b").filter(_close(percent))
+        pairs = steps.keep(pairs.select("a", "b", "rep_a", "rep_b"), "pairs")
+        more = steps.keep(verified(pairs, docs, length, percent), "links")
+        if not more.isEmpty():
+            linked = steps.keep(_relabelled(linked, more), "linked")
+        tried = steps.keep(tried.union(pairs.select("a", "b")), "tried")
+        shared = shared.select("key", "class")
+        if turn:
+            # All classes of the key have been compared with its centres now.
+            shared = shared.join(centres, ["key", "class"], "left_anti")
         turn += 1
-    if open_pairs:
-        full = cut(open_rows.join(_side(classes, "class").drop("rep_class"), "class"))
-        left, right = (
-            full.select("key", F.col("class").alias(x), F.col("component").alias(f"component_{x}"), F.col("n_class").alias(f"n_{x}"), *(F.col(f"{s}_class").alias(f"{s}_{x}") for s in SKETCHES))
-            for x in "ab"
-        )
-        apart = (left["key"] == right["key"]) & (F.col("a") > F.col("b")) & (F.col("component_a") != F.col("component_b"))
-        pairs = cut(left.join(right, apart & _close(percent)).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
-        most = 1
-        while not pairs.isEmpty():
-            # few at first: most classes find their component with one link, and their other pairs need no look then
-            place = F.row_number().over(Window.partitionBy("a").orderBy("b"))
-            placed = cut(pairs.withColumn("place", place))
-            few = placed.filter(F.col("place") <= most).select("a", "b")
-            links, linked = _linked(links, linked, few, classes, docs, length, percent)
-            rest = placed.filter(F.col("place") > most).select("a", "b")
-            for x in "ab":
-                rest = rest.join(linked.toDF(x, f"component_{x}"), x, "left")
-            pairs = cut(rest.filter("coalesce(component_a, a) <> coalesce(component_b, b)").select("a", "b"))
-            most *= 4
+    steps.forget("classes", "shared", "pairs", "links", "tried")
     return facts.select("doc_id", "n_shingles", "class"), linked
 
 
-def _linked(
-    links: DataFrame, linked: DataFrame, pairs: DataFrame, classes: DataFrame, docs: DataFrame, length: int, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """All links with those of the pairs ``a, b`` that are similar enough, and the components they make."""
-    rep = classes.select("class", "rep")
-    pairs = pairs.join(rep.toDF("a", "rep_a"), "a").join(rep.toDF("b", "rep_b"), "b")
-    more = cut(verified(pairs, docs, length, percent))
-    if more.isEmpty():
-        return links, linked
-    links = links.union(more)
-    return links, components(links).select(F.col("node").alias("class"), "component")
+def _first(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One candidate for each class, the smallest centre of its keys, which near copies of one text have in common."""
+    centres = rows.groupBy("key").agg(F.min(F.struct("class", "component")).alias("centre"))
+    met = rows.join(centres, "key").filter("component <> centre.component")
+    return met.groupBy(F.col("class").alias("a")).agg(F.min("centre.class").alias("b")), centres
+
+
+def _met(rows: DataFrame, classes: DataFrame, percent: int, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Close pairs of a key's classes and its centres in different components, and the centres.
+
+    Other centres each time, so that what hung on an unlucky one finds its neighbours.
+    """
+    most = FACTOR ** max(0, turn - SINGLE + 1)
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("class", F.lit(turn)), "class"))
+    sides = rows.join(_side(classes, "class").drop("rep_class"), "class")
+    left, right = (
+        sides.select(F.col("key").alias(f"key_{x}"), F.col("class").alias(x), F.col("component").alias(f"component_{x}"), F.col("n_class").alias(f"n_{x}"), *(F.col(f"{s}_class").alias(f"{s}_{x}") for s in SKETCHES))
+        for x in "ab"
+    )
+    centres = rows.withColumn("place", place).filter(F.col("place") <= most).select("key", "class")
+    right = right.join(centres.toDF("key_b", "b"), ["key_b", "b"], "left_semi")
+    met = left.join(right, (F.col("key_a") == F.col("key_b")) & (F.col("component_a") != F.col("component_b")) & _close(percent))
+    pairs = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return pairs, centres
+
+
+def _relabelled(linked: DataFrame, links: DataFrame) -> DataFrame:
+    """Components ``class, component`` with the new links ``a, b``, of which only those between components count."""
+    ends = links.select(F.col("a").alias("class")).union(links.select("b")).distinct()
+    linked = linked.union(ends.join(linked, "class", "left_anti").select("class", F.col("class").alias("component")))
+    pairs = links
+    for x in "ab":
+        pairs = pairs.join(linked.toDF(x, f"component_{x}"), x)
+    pairs = pairs.select(F.col("component_a").alias("a"), F.col("component_b").alias("b")).distinct()
+    joined = components(pairs).toDF("component", "joined")
+    sizes = linked.groupBy("component").agg(F.count(F.lit(1)).alias("size")).join(joined, "component", "left")
+    sizes = sizes.select("component", "size", F.coalesce("joined", "component").alias("joined"))
+    return spread_join(linked, sizes, "component", "size", linked.count()).select("class", F.col("joined").alias("component"))
 
 
 def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", texts: str = "text") -> DataFrame:
@@ -319,7 +319,8 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id",
     """
     docs = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(texts).alias("text"))
     facts, linked = classes_and_components(docs, words, percent)
-    classes = cut(facts.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")))
+    classes = facts.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"))
+    classes = written(classes, "classes")
     least = linked.join(classes, "class").groupBy("component").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("classes"))
     least = spread_join(linked, least, "component", "classes", linked.count()).select("class", "least")
     classes = classes.join(least, "class", "left").select("class", "size", F.coalesce("least", "rep").alias("least"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signwatch.lineage import scratch
@@ -34,3 +36,27 @@ def remove(path: str, df: DataFrame) -> None:
     spark = df.sparkSession
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Steps:
+    """Named tables of an iterative job in one shared folder. A newer table takes the place of the older one of its name."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = scratch(spark, name)
+        self.at: dict[str, str] = {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written and read again; the table that had this name must not be needed any more."""
+        at = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(at)
+        out = self.spark.read.parquet(at)
+        if name in self.at:
+            remove(self.at[name], out)
+        self.at[name] = at
+        return out
+
+    def forget(self, *names: str) -> None:
+        for name in names:
+            if name in self.at:
+                remove(self.at.pop(name), self.spark.range(0))

@@ -71,9 +71,10 @@ def test_components(docs_of, seed, k, percent):
     assert kept == set(expected.values())
 
 
-def test_components_when_every_round_is_used(docs_of, monkeypatch):
-    monkeypatch.setattr(shingle_join, "PAIRS_A_ROW", 0)
-    monkeypatch.setattr(shingle_join, "ROUNDS", 0)
+@pytest.mark.parametrize(("single", "factor"), [(4, 2), (1, 3)])
+def test_components_however_many_centres(docs_of, monkeypatch, single, factor):
+    monkeypatch.setattr(shingle_join, "SINGLE", single)
+    monkeypatch.setattr(shingle_join, "FACTOR", factor)
     rows = near_copies(4, groups=3, most=25)
     expected = components_of(shingle_sets(rows, 3), 85)
     assert {r["doc_id"]: r["component_id"] for r in shingle_join.join(docs_of(rows), 3, 85).collect()} == expected
