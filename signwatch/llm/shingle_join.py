@@ -10,7 +10,7 @@ says nothing: there are some parts more than needed, and only documents with mor
 Documents with equal sets form one class, which stands for them from then on. First each class is compared with one other,
 the smallest centre of its keys, which joins most of a group of near copies with one link per class. Then, round by
 round, a key's classes are compared with some of them, its centres, as far as they are in different components. Centres
-leave the key after that, and a key all of whose classes are in one component is done. There are one, one, eight, 64 and so
+leave the key after that, and a key all of whose classes are in one component is done. There are one, one, 64, 4096 and so
 on centres per key, so even keys of many classes that are not similar need few rounds, and most classes have found their
 component before many are compared. Sizes and the Hamming distance of 512-bit sketches filter all pairs before they are
 verified on the full sets; pairs that were compared are not compared again. The rounds end when no two classes of a key
@@ -40,7 +40,7 @@ from signwatch.llm.tables import Steps, spread_join, written
 SKETCH = 512
 SKETCHES = [f"s{k}" for k in range(SKETCH // 64)]
 #: Rounds with one centre per key; from then on each round has so many times more of them.
-SINGLE, FACTOR = 2, 8
+SINGLE, FACTOR = 2, 64
 
 
 @dataclass(frozen=True)
