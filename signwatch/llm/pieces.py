@@ -12,12 +12,18 @@ piece table is as large as the vocabulary, which is why it may be broadcast.
 The best segmentation is the one with the highest sum of scores, of equal ones the one whose last piece is longest, as
 a unigram model has it. Spaces are ``U+2581`` in the table; one is put before every text that is not empty.
 
+A word of more than ``LONG`` bytes is named by its digest in the lattice and cut into overlapping parts, whose edges
+come together again; the folds keep what they have finished in runs, so a word takes time in proportion to its length.
+All edges of one word are in one group, some 300 bytes a character: a word of a million characters needs a large executor.
+
 Null and empty texts have no pieces. Repeated rows are encoded alike, each on its own. Long texts are encoded whole.
-Without a text and without documents there are no rows in the lattice.
+Of equally good segmentations the rule above decides. Without a text and without documents there are no rows in the
+lattice. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,12 +41,16 @@ from signwatch.llm import text
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Bytes of text in a block, and never more documents than an Arrow batch.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 6 << 20
 #: Bytes whose words are found at once, and words that are put in place at once.
 SLICE = 1 << 20
 PLACED = 1 << 18
 #: Documents that are decoded at once.
 DECODED = 1_000
+#: Bytes of a word that travels with its edges; longer ones are cut into parts of so many characters.
+LONG = 256
+#: Edges, and steps back, of a run of the folds.
+RUN = 256
 
 
 @dataclass
@@ -206,6 +216,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.default_memory_pool().release_unused()
 
 
+def _named(words: pa.Array, size: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Short words as they are; for long ones a digest that is too long for a short word, and the word itself."""
+    long = size > LONG
+    if not long.any():
+        return words, pa.nulls(len(words), pa.string())
+    every = words.to_pylist()
+    short = [hashlib.sha512(w.encode()).hexdigest() * 3 if x else w for w, x in zip(every, long, strict=True)]
+    return pa.array(short, pa.string()), pa.array([w if x else None for w, x in zip(every, long, strict=True)], pa.string())
+
+
 def _words(vocabulary: Vocabulary):
     """The different words of each block, with their numbers."""
 
@@ -213,13 +233,10 @@ def _words(vocabulary: Vocabulary):
         for batch in _blocks(batches):
             block = Block.of(batch.column("text"), vocabulary)
             n = len(block.starts)
+            word, whole = _named(block.words(), block.ends - block.starts)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, block.key, dtype=np.int64)),
-                    pa.array(np.arange(n, dtype=np.int32)),
-                    block.words(),
-                ],
-                names=["block", "number", "word"],
+                [pa.array(np.full(n, block.key, dtype=np.int64)), pa.array(np.arange(n, dtype=np.int32)), word, whole],
+                names=["block", "number", "word", "whole"],
             )
 
     return run
@@ -282,68 +299,89 @@ def _assemble(kind: pa.DataType, width: int, vocabulary: Vocabulary | None):
 
 EDGES = "array<struct<end: int, begin: int, score: double, id: int>>"
 
-#: Best score, begin of the last piece and its id for each end, from edges sorted by end and begin.
+#: Best score, begin of the last piece and its id for each end, from edges sorted by end and begin. A run of edges looks
+#: back at the last ``{longest}`` ends only; ``done`` begins with the end ``base``, earlier ones are in ``old``.
 BEST = """
-aggregate(edges,
-  named_struct('done', array(named_struct('score', 0D, 'begin', 0, 'id', -1)), 'end', 0,
-               'best', named_struct('score', 0D, 'begin', 0, 'id', -1)),
-  (s, e) -> if(e.end = s.end,
-    if(s.done[e.begin].score + e.score > s.best.score,
-       named_struct('done', s.done, 'end', s.end,
-                    'best', named_struct('score', s.done[e.begin].score + e.score, 'begin', e.begin, 'id', e.id)),
-       s),
-    -- The first edge of the next end; before the first end there is nothing to keep.
-    transform(array(if(s.end = 0, s.done, concat(s.done, array(s.best)))), done ->
-      named_struct('done', done, 'end', e.end,
-                   'best', named_struct('score', done[e.begin].score + e.score, 'begin', e.begin, 'id', e.id)))[0]),
-  s -> concat(s.done, array(s.best)))
+aggregate(sequence(0, size(edges) - 1, {run}),
+  named_struct('old', cast(array() as array<array<struct<score: double, begin: int, id: int>>>),
+               'now', named_struct('base', 0, 'done', array(named_struct('score', 0D, 'begin', 0, 'id', -1)), 'end', 0,
+                                   'best', named_struct('score', 0D, 'begin', 0, 'id', -1))),
+  (t, k) -> named_struct(
+    'old', concat(t.old, array(slice(t.now.done, 1, greatest(size(t.now.done) - {longest}, 0)))),
+    'now', aggregate(slice(edges, k + 1, {run}),
+      named_struct('base', t.now.base + greatest(size(t.now.done) - {longest}, 0),
+                   'done', slice(t.now.done, greatest(size(t.now.done) - {longest}, 0) + 1, {longest}),
+                   'end', t.now.end, 'best', t.now.best),
+      (s, e) -> if(e.end = s.end,
+        if(s.done[e.begin - s.base].score + e.score > s.best.score,
+           named_struct('base', s.base, 'done', s.done, 'end', s.end,
+                        'best', named_struct('score', s.done[e.begin - s.base].score + e.score, 'begin', e.begin, 'id', e.id)),
+           s),
+        -- The first edge of the next end; before the first end there is nothing to keep.
+        transform(array(if(s.end = 0, s.done, concat(s.done, array(s.best)))), done ->
+          named_struct('base', s.base, 'done', done, 'end', e.end,
+                       'best', named_struct('score', done[e.begin - s.base].score + e.score, 'begin', e.begin, 'id', e.id)))[0]))),
+  t -> concat(flatten(t.old), t.now.done, array(t.now.best)))
 """
 
-#: The pieces of the best path, from its end; -1 stands for a character without a piece.
+#: The ids on the best path, from its end; below zero stands a character without a piece.
 BACK = """
 transform(array(best), path ->
-  reverse(aggregate(path,
-    named_struct('at', size(path) - 1, 'steps', cast(array() as array<struct<begin: int, id: int>>)),
-    (s, x) -> if(s.at = 0, s, named_struct('at', path[s.at].begin,
-                'steps', concat(s.steps, array(named_struct('begin', path[s.at].begin, 'id', path[s.at].id))))),
-    s -> s.steps)))[0]
+  reverse(aggregate(sequence(0, size(path) - 1, {run}),
+    named_struct('old', cast(array() as array<array<int>>), 'now', named_struct('at', size(path) - 1, 'steps', cast(array() as array<int>))),
+    (t, k) -> named_struct(
+      'old', concat(t.old, array(t.now.steps)),
+      'now', aggregate(slice(path, 1, {run}), named_struct('at', t.now.at, 'steps', cast(array() as array<int>)),
+        (s, x) -> if(s.at = 0, s, named_struct('at', path[s.at].begin, 'steps', concat(s.steps, array(path[s.at].id)))))),
+    t -> concat(flatten(t.old), t.now.steps))))[0]
 """
 
 
 def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``word, pieces`` for each of the different words in ``words``."""
+    """``word, pieces`` for each of the different words: ``word``, which stands for ``whole`` where that isn't null."""
     spark = words.sparkSession
     # Numbers are looked up faster than strings; the strings are compared as well.
     table = spark.createDataFrame(vocabulary.pieces, "piece string, id int, score double").withColumn("key", F.xxhash64("piece"))
-    begins = words.select("word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("begin"))
+    string = F.coalesce("whole", "word")
+    cuts = F.sequence(F.lit(0), F.length(string) - 1, F.lit(LONG))
+    cut = F.transform(cuts, lambda k: F.struct(k.alias("offset"), F.substring(string, k + 1, F.lit(LONG + vocabulary.longest - 1)).alias("part")))
+    cut = F.when(F.col("whole").isNull(), F.array(F.struct(F.lit(0).alias("offset"), F.col("word").alias("part")))).otherwise(cut)
+    parts = words.select("word", F.inline(cut))
+    begins = parts.select("*", F.explode(F.sequence(F.lit(0), F.least(F.length("part"), F.lit(LONG)) - 1)).alias("begin"))
     # No piece that begins with these two characters is longer; only ASCII is looked up.
-    two = F.substring("word", F.col("begin") + 1, F.lit(2))
+    two = F.substring("part", F.col("begin") + 1, F.lit(2))
     first, second = F.ascii(two), F.ascii(F.substring(two, 2, 1))
     reach = F.split(F.lit(",".join(map(str, vocabulary.reach()))), ",").cast("array<int>")
     most = F.when((first < 128) & (second < 128), F.element_at(reach, first * 128 + second + 1)).otherwise(vocabulary.longest)
-    ends = begins.select(
+    ends = begins.select("*", F.explode(F.sequence(F.col("begin") + 1, F.least(F.col("begin") + most, F.length("part")))).alias("end"))
+    strings = ends.select(
         "word",
-        "begin",
-        F.explode(F.sequence(F.col("begin") + 1, F.least(F.col("begin") + most, F.length("word")))).alias("end"),
-    )
-    parts = ends.withColumn("part", F.substring("word", F.col("begin") + 1, F.col("end") - F.col("begin")))
-    parts = parts.withColumn("part_key", F.xxhash64("part"))
+        (F.col("offset") + F.col("begin")).alias("begin"),
+        (F.col("offset") + F.col("end")).alias("end"),
+        F.substring("part", F.col("begin") + 1, F.col("end") - F.col("begin")).alias("part"),
+    ).withColumn("part_key", F.xxhash64("part"))
     same = (F.col("part_key") == F.col("key")) & (F.col("part") == F.col("piece"))
-    edges = parts.join(F.broadcast(table), same, "left").filter("id IS NOT NULL OR end = begin + 1")
-    edge = F.struct(
-        "end", "begin", F.coalesce("score", F.lit(vocabulary.unknown)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id")
-    )
+    edges = strings.join(F.broadcast(table), same, "left").filter("id IS NOT NULL OR end = begin + 1")
+    # A character without a piece has its code point as an id below zero.
+    number = F.coalesce("id", -1 - F.ascii("part"))
+    edge = F.struct("end", "begin", F.coalesce("score", F.lit(vocabulary.unknown)).alias("score"), number.alias("id"))
     # Rows are sorted by a number first, which is faster than by words.
     grouped = edges.withColumn("by", F.xxhash64("word")).groupBy("by", "word").agg(F.collect_list(edge).alias("edges"))
-    best = grouped.select("word", F.sort_array("edges").alias("edges")).select("word", F.expr(BEST).alias("best"))
-    steps = best.select("word", F.expr(BACK).alias("steps"))
+    sizes = {"run": RUN, "longest": vocabulary.longest}
+    best = grouped.select("word", F.sort_array("edges").alias("edges")).select("word", F.expr(BEST.format(**sizes)).alias("best"))
+    steps = best.select("word", F.expr(BACK.format(**sizes)).alias("steps"))
     byte_ids = F.split(F.lit(",".join(map(str, vocabulary.byte_ids))), ",").cast("array<int>")
 
-    def pieces(step):
-        raw = F.hex(F.encode(F.substring("word", step["begin"] + 1, F.lit(1)), "utf-8"))
-        places = F.sequence(F.lit(1), F.length(raw) - 1, F.lit(2))
-        codes = F.transform(places, lambda k: F.element_at(byte_ids, F.conv(F.substring(raw, k, F.lit(2)), 16, 10).cast("int") + 1))
-        return F.when(step["id"] < 0, codes).otherwise(F.array(step["id"]))
+    def pieces(id):
+        code = -1 - id
+        low = lambda shift: F.shiftright(code, shift).bitwiseAND(63) + 128
+        raw = (
+            F.when(code < 0x80, F.array(code))
+            .when(code < 0x800, F.array(F.shiftright(code, 6) + 0xC0, low(0)))
+            .when(code < 0x10000, F.array(F.shiftright(code, 12) + 0xE0, low(6), low(0)))
+            .otherwise(F.array(F.shiftright(code, 18) + 0xF0, low(12), low(6), low(0)))
+        )
+        return F.when(id < 0, F.transform(raw, lambda b: F.element_at(byte_ids, b + 1))).otherwise(F.array(id))
 
     return steps.select("word", F.flatten(F.transform("steps", pieces)).alias("pieces"))
 
@@ -353,11 +391,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", texts: s
     docs = docs.select(F.col(id).alias("doc_id"), F.col(texts).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     # Dealt once by word: for the lattice, and to be given their encodings.
-    used = docs.mapInArrow(_words(vocabulary), "block long, number int, word string").repartition("word")
+    used = docs.mapInArrow(_words(vocabulary), "block long, number int, word string, whole string").repartition("word")
     # All columns are kept, or Spark would deal the words out a second time without them.
-    once = used.groupBy("word").agg(F.min("block").alias("block"), F.min("number").alias("number"))
-    once = once.filter("block IS NOT NULL AND number IS NOT NULL").select("word")
+    once = used.groupBy("word", "whole").agg(F.min("block").alias("block"), F.min("number").alias("number"))
+    once = once.filter("block IS NOT NULL AND number IS NOT NULL").select("word", "whole")
     encoded = used.join(lattice(once, vocabulary), "word")
+    encoded = encoded.withColumn("pieces", F.coalesce("pieces", F.array(F.length("whole"))))
     width = 2 if len(vocabulary.bytes_of) <= 1 << 16 else 4
     packed = F.unhex(F.array_join(F.transform("pieces", lambda i: F.lpad(F.hex(i), 2 * width, "0")), ""))
     encoded = encoded.select("block", "number", packed.alias("pieces"))

@@ -308,3 +308,15 @@ def test_piece_queries_round_trip(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in queries.table(spark, sf_dir, "documents").collect()}
     for r in queries.op8_pieces(spark, sf_dir).collect():
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest() and r["n_pieces"] == len(r["pieces"])
+
+
+def test_pieces_of_a_long_word(spark, docs_of, unigram):
+    rnd = random.Random(9)
+    vocabulary = pieces.vocabulary_of(spark)
+    for n in (pieces.LONG - 1, pieces.LONG, pieces.LONG + 1, 20_000):
+        texts = ["a" * n, "".join(rnd.choice("etaoinshrdlu") for _ in range(n)), "é" * n, "x" + "é\U0001f600" * (n // 2)]
+        found = pieces.decode(pieces.encode(docs_of(list(enumerate(texts + texts[:1]))), vocabulary), vocabulary).collect()
+        for r in found:
+            t = (texts + texts[:1])[r["doc_id"]]
+            assert r["pieces"] == unigram.encode(t) and r["text"] == t
+        assert len(found) == 5
