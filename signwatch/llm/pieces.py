@@ -6,7 +6,7 @@ grouped by word, and a fold over the edges (``aggregate``) keeps, for each end,
 begins (Viterbi). A second fold walks back. Characters that no piece covers become their UTF-8 bytes' pieces.
 
 The texts themselves travel as blocks: a task turns a batch of documents into the list of its different words and, for
-each document, numbers into that list, compressed. Words are spread by their text, encodings come back by block. The
+each document, numbers into that list, compressed. Words are spread by their text, encodings come back by block, those of a task for a block as one compressed row. The
 piece table is as large as the vocabulary, which is why it may be broadcast.
 
 The best segmentation is the one with the highest sum of scores, of equal ones the one whose last piece is longest, as
@@ -29,7 +29,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 import zstandard
@@ -41,10 +40,12 @@ from signwatch.llm import text
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Bytes of text in a block, and never more documents than an Arrow batch.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 12 << 20
 #: Bytes whose words are found at once, and words that are put in place at once.
 SLICE = 1 << 20
 PLACED = 1 << 18
+#: Encoded words that a task sends to their blocks at once.
+SENT = 1 << 18
 #: Documents that are decoded at once.
 DECODED = 1_000
 #: Bytes of a word that travels with its edges; longer ones are cut into parts of so many characters.
@@ -138,6 +139,15 @@ def _gathered(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndar
     return data[np.repeat(starts - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers under 2**32, first the lowest byte of all; zeros further up then compress to nothing."""
+    return numbers.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
 @dataclass
 class Block:
     """A batch of documents as its different words, and for each document their numbers."""
@@ -197,16 +207,13 @@ class Block:
         return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(data))
 
     def packed(self) -> bytes:
-        planes = self.numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.copy()
-        return zstandard.ZstdCompressor(level=3).compress(self.counts.astype("<u4").tobytes() + planes.tobytes())
+        return zstandard.ZstdCompressor(level=3).compress(self.counts.astype("<u4").tobytes() + _planes(self.numbers))
 
     @staticmethod
     def unpacked(packed: bytes, documents: int) -> tuple[np.ndarray, np.ndarray]:
         """Counts of words, and the words' numbers."""
         raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8)
-        counts = raw[: 4 * documents].view("<u4").astype(np.int64)
-        planes = raw[4 * documents :].reshape(4, -1)
-        return counts, np.ascontiguousarray(planes.T).view("<u4").ravel()
+        return raw[: 4 * documents].view("<u4").astype(np.int64), _numbers(raw[4 * documents :])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,8 +263,57 @@ def _packed(vocabulary: Vocabulary):
     return run
 
 
-def _assemble(kind: pa.DataType, width: int, vocabulary: Vocabulary | None):
-    """Put the encodings of a block's words, ids of ``width`` bytes one after another, in place of their numbers.
+def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Encoded words as one compressed row per block: their numbers, how many pieces each has, and the pieces."""
+
+    def rows(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        block, number = table["block"].to_numpy(), table["number"].to_numpy()
+        by = np.lexsort((number, block))
+        block, number = block[by], number[by]
+        lists = table["pieces"].combine_chunks().take(pa.array(by))
+        size = lists.value_lengths().to_numpy(zero_copy_only=False)
+        values = lists.flatten().to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        at = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+        packed = []
+        for x, y in zip(at[:-1], at[1:], strict=True):
+            # Numbers go up, so their steps are small.
+            raw = _planes(np.array([y - x])) + _planes(np.diff(number[x:y], prepend=0)) + _planes(size[x:y])
+            packed.append(zstandard.ZstdCompressor(level=3).compress(raw + _planes(values[ends[x] : ends[y]])))
+        return pa.RecordBatch.from_arrays([pa.array(block[at[:-1]]), pa.array(packed, pa.binary())], names=["block", "codes"])
+
+    held, n = [], 0
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            n += len(batch)
+        if n >= SENT:
+            yield rows(held)
+            held, n = [], 0
+    if held:
+        yield rows(held)
+
+
+def _codes(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each number of a word where its pieces begin and how many they are; and all pieces."""
+    numbers, sizes, values = [], [], [np.zeros(0, dtype=np.uint32)]
+    for row in packed:
+        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(row), dtype=np.uint8)
+        n = int(_numbers(raw[:4])[0])
+        numbers.append(np.cumsum(_numbers(raw[4 : 4 + 4 * n]), dtype=np.int64))
+        sizes.append(_numbers(raw[4 + 4 * n : 4 + 8 * n]).astype(np.int64))
+        values.append(_numbers(raw[4 + 8 * n :]))
+    number = np.concatenate([*numbers, np.zeros(0, dtype=np.int64)])
+    size = np.concatenate([*sizes, np.zeros(0, dtype=np.int64)])
+    # A block that occurs twice has each word twice, encoded alike.
+    begin, long = np.zeros((2, int(number.max(initial=-1)) + 1), dtype=np.int64)
+    begin[number], long[number] = np.cumsum(size) - size, size
+    return begin, long, np.concatenate(values).astype(np.int32)
+
+
+def _assemble(kind: pa.DataType, vocabulary: Vocabulary | None):
+    """Put the encodings of a block's words in place of their numbers.
 
     Given a vocabulary, the pieces are decoded again as well.
     """
@@ -267,28 +323,19 @@ def _assemble(kind: pa.DataType, width: int, vocabulary: Vocabulary | None):
         fields = [("doc_id", kind), ("pieces", pa.list_(pa.int32())), ("text", pa.string())]
         return pa.schema(fields[:2] if decoded is None else fields)
 
-    def run(blocks: pa.Table, words: pa.Table) -> pa.Table:
-        by = np.argsort(words["number"].to_numpy(), kind="stable")
-        packed = words["pieces"].combine_chunks()
-        number = words["number"].to_numpy()[by]
-        # A block that occurs twice has each word twice.
-        by = by[np.concatenate([[True], number[1:] != number[:-1]])] if len(by) else by
-        size = pc.binary_length(packed).to_numpy(zero_copy_only=False).astype(np.int64) // width
-        values = np.frombuffer(b"".join(packed.to_pylist()), dtype=f">u{width}").astype(np.int32)
-        start = (np.cumsum(size) - size)[by]
-        size = size[by]
+    def run(blocks: pa.Table, codes: pa.Table) -> pa.Table:
+        begin, size, values = _codes(codes["codes"].to_pylist())
         out = []
         for k in range(blocks.num_rows):
             ids = blocks["ids"][k].values
             counts, numbers = Block.unpacked(blocks["packed"][k].as_py(), len(ids))
-            flat = []
+            ends = np.zeros(len(numbers) + 1, dtype=np.int64)
+            np.cumsum(size[numbers], out=ends[1:])
+            flat = np.empty(ends[-1], dtype=np.int32)
             for a in range(0, len(numbers), PLACED):
-                own = size[numbers[a : a + PLACED]]
-                ends = np.cumsum(own)
-                flat.append(values[np.repeat(start[numbers[a : a + PLACED]] - (ends - own), own) + np.arange(ends[-1])])
-            ends = np.concatenate([[0], np.cumsum(size[numbers])])
+                own = numbers[a : a + PLACED]
+                flat[ends[a] : ends[a + len(own)]] = _gathered(values, begin[own], size[own])
             offsets = ends[np.concatenate([[0], np.cumsum(counts)])]
-            flat = np.concatenate([*flat, np.zeros(0, dtype=np.int32)]).astype(np.int32, copy=False)
             pieces = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
             table = pa.table({"doc_id": ids.cast(kind), "pieces": pieces})
             out.append(table if decoded is None else pa.Table.from_batches(decoded(iter(table.to_batches())), schema(decoded)))
@@ -297,8 +344,6 @@ def _assemble(kind: pa.DataType, width: int, vocabulary: Vocabulary | None):
     return run
 
 
-EDGES = "array<struct<end: int, begin: int, score: double, id: int>>"
-
 #: Best score, begin of the last piece and its id for each end, from edges sorted by end and begin. A run of edges looks
 #: back at the last ``{longest}`` ends only; ``done`` begins with the end ``base``, earlier ones are in ``old``.
 BEST = """
@@ -397,14 +442,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", texts: s
     once = once.filter("block IS NOT NULL AND number IS NOT NULL").select("word", "whole")
     encoded = used.join(lattice(once, vocabulary), "word")
     encoded = encoded.withColumn("pieces", F.coalesce("pieces", F.array(F.length("whole"))))
-    width = 2 if len(vocabulary.bytes_of) <= 1 << 16 else 4
-    packed = F.unhex(F.array_join(F.transform("pieces", lambda i: F.lpad(F.hex(i), 2 * width, "0")), ""))
-    encoded = encoded.select("block", "number", packed.alias("pieces"))
+    sent = encoded.select("block", "number", "pieces").mapInArrow(_sent, "block long, codes binary")
     blocks = docs.mapInArrow(_packed(vocabulary), f"block long, ids array<{kind}>, packed binary")
     arrow = docs.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
-    both = blocks.groupBy("block").cogroup(encoded.groupBy("block"))
+    both = blocks.groupBy("block").cogroup(sent.groupBy("block"))
     schema = f"doc_id {kind}, pieces array<int>" + ", text string" * again
-    return both.applyInArrow(_assemble(arrow, width, vocabulary if again else None), schema)
+    return both.applyInArrow(_assemble(arrow, vocabulary if again else None), schema)
 
 
 def _decoded(vocabulary: Vocabulary, column: str):
