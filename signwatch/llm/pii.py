@@ -11,17 +11,19 @@ values written in forms that no pattern accepts (``rewritten``: '(at)' for '@',
 they stand, and others that a cue word or check sum confirms. Not personal data are proposals that fail a check, cut a
 known one short or stand inside a longer word, and ordinary numbers and phrases in the place of a known one. Proposals
 of unknown truth are left out. The thresholds are set on the proposals that overlap no fixed span, as only such ones
-can be added; all forms of one value are on the same side of the calibration. At most ``SAMPLE`` proposals are used,
-those with the smallest hash; the spans that the fixed patterns find stay in any case.
+can be added; all forms of one value are on the same side of the calibration. The proposals of all documents are used:
+equal ones count once, those that no cut tells apart are one row with their number, and Spark adds up the gradients of
+each level of a tree by node, feature and cut, of which the driver gets the sums. The spans that the fixed patterns find
+stay in any case.
 
-Null texts are empty. Repeated rows are judged alike. Work is per document; nothing large is shuffled.
+Null texts are empty. Repeated rows are judged alike. Work is per document; proposals are shuffled, texts are not.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,9 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 20_000
+from signwatch.llm import tables
+
 PRECISION = 0.95
 ROUNDS, DEPTH, RATE, BINS = 60, 3, 0.2, 32
+#: Steps of a gradient to one, so that sums are exact in any order; and steps of the score, for the thresholds.
+EXACT, STEPS = 1 << 20, 1 << 14
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -166,55 +171,92 @@ class Trees:
 
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray) -> Trees:
-        """Logistic loss, histogram splits, Newton leaves."""
-        edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, BINS + 1)[1:-1])) for k in range(x.shape[1])]
-        binned = np.stack([np.searchsorted(e, x[:, k], side="left") for k, e in enumerate(edges)], axis=1)
-        share = np.clip(y.mean(), 1e-6, 1 - 1e-6)
+        """Trees of rows that are at hand."""
+        edges = [np.unique(np.quantile(x[:, k], LEVELS)) for k in range(x.shape[1])]
+        bins, n = binned(x, edges), np.ones(len(y))
+        return cls.grown(edges, float(y.mean()), lambda *tree: histogram(bins, y, n, *tree))
+
+    @classmethod
+    def grown(cls, edges: list[np.ndarray], share: float, sums: Callable[..., np.ndarray]) -> Trees:
+        """Logistic loss, histogram splits, Newton leaves.
+
+        ``sums`` gets the trees so far, features and cuts of the next one, and the level that they end before; it returns
+        what ``histogram`` does.
+        """
+        share = np.clip(share, 1e-6, 1 - 1e-6)
         model = cls(float(np.log(share / (1 - share))))
-        margin = np.full(len(y), model.start)
         for _ in range(ROUNDS):
-            p = 1 / (1 + np.exp(-margin))
-            g, h = y - p, p * (1 - p)
-            node = np.zeros(len(y), dtype=np.int64)
             features, cuts = np.zeros(2**DEPTH - 1, dtype=np.int64), np.full(2**DEPTH - 1, np.inf)
             for level in range(DEPTH):
                 first, width = 2**level - 1, 2**level
+                found = sums(model, features, cuts, level)
                 best = np.full(width, 1e-6)
+                # Gradients and curvatures left and right of the cut; without a cut all is left.
+                leaves = np.zeros((2, width, 2))
+                leaves[:, :, 0] = found[0].sum(axis=2).T
                 for k, e in enumerate(edges):
                     if not len(e):
                         continue
-                    key = (node - first) * (BINS + 1) + binned[:, k]
-                    sums = [np.bincount(key, weights=v, minlength=width * (BINS + 1)).reshape(width, -1) for v in (g, h)]
-                    left = [s.cumsum(axis=1)[:, : len(e)] for s in sums]
-                    total = [s.sum(axis=1, keepdims=True) for s in sums]
-                    gain = left[0] ** 2 / (left[1] + 1) + (total[0] - left[0]) ** 2 / (total[1] - left[1] + 1)
-                    gain = gain - total[0] ** 2 / (total[1] + 1)
+                    left = found[k].cumsum(axis=2)[:, :, : len(e)]
+                    right = found[k].sum(axis=2, keepdims=True) - left
+                    total = left + right
+                    gain = left[:, 0] ** 2 / (left[:, 1] + 1) + right[:, 0] ** 2 / (right[:, 1] + 1) - total[:, 0] ** 2 / (total[:, 1] + 1)
                     at = gain.argmax(axis=1)
-                    top = gain[np.arange(width), at]
-                    better = top > best
-                    best = np.where(better, top, best)
-                    where = np.arange(first, first + width)[better]
-                    features[where], cuts[where] = k, e[at[better]]
-                node = 2 * node + 1 + (x[np.arange(len(y)), features[node]] > cuts[node])
-            leaf = node - (2**DEPTH - 1)
-            total_g = np.bincount(leaf, weights=g, minlength=2**DEPTH)
-            total_h = np.bincount(leaf, weights=h, minlength=2**DEPTH)
-            values = RATE * total_g / (total_h + 1)
-            margin = margin + values[leaf]
+                    rows = np.arange(width)
+                    better = gain[rows, at] > best
+                    best = np.where(better, gain[rows, at], best)
+                    where = rows[better]
+                    features[first + where], cuts[first + where] = k, at[better]
+                    for side, part in enumerate((left, right)):
+                        leaves[:, where, side] = part[where, :, at[better]].T
+            g, h = leaves.reshape(2, -1)
             model.features.append(features)
             model.cuts.append(cuts)
-            model.leaves.append(values)
+            model.leaves.append(RATE * g / (h + 1))
+        # Cuts between bins become values.
+        model.cuts = [
+            np.array([edges[k][int(c)] if np.isfinite(c) else c for k, c in zip(features, cuts, strict=True)])
+            for features, cuts in zip(model.features, model.cuts, strict=True)
+        ]
         return model
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
+    def margins(self, x: np.ndarray) -> np.ndarray:
         margin = np.full(len(x), self.start)
-        rows = np.arange(len(x))
         for features, cuts, leaves in zip(self.features, self.cuts, self.leaves, strict=True):
-            node = np.zeros(len(x), dtype=np.int64)
-            for _ in range(DEPTH):
-                node = 2 * node + 1 + (x[rows, features[node]] > cuts[node])
-            margin += leaves[node - (2**DEPTH - 1)]
-        return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
+            margin += leaves[nodes(x, features, cuts, DEPTH) - (2**DEPTH - 1)]
+        return margin
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.margins(x), -40, 40)))
+
+
+#: Shares of the rows below the cuts that are tried.
+LEVELS = np.linspace(0, 1, BINS + 1)[1:-1]
+
+
+def binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    """For each value the number of its feature's cuts below it."""
+    return np.stack([np.searchsorted(e, x[:, k], side="left") for k, e in enumerate(edges)], axis=1).astype(np.uint8)
+
+
+def nodes(x: np.ndarray, features: np.ndarray, cuts: np.ndarray, level: int) -> np.ndarray:
+    """The node of each row before the level."""
+    node, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+    for _ in range(level):
+        node = 2 * node + 1 + (x[rows, features[node]] > cuts[node])
+    return node
+
+
+def histogram(bins: np.ndarray, y: np.ndarray, n: np.ndarray, model: Trees, features: np.ndarray, cuts: np.ndarray, level: int) -> np.ndarray:
+    """Gradient and curvature by feature, node of the level and bin, of rows that stand for ``n`` equal ones each."""
+    p = 1 / (1 + np.exp(-np.clip(model.margins(bins), -40, 40)))
+    node = nodes(bins, features, cuts, level) - (2**level - 1)
+    out = np.zeros((bins.shape[1], 2**level, 2, BINS))
+    for side, values in enumerate((y - p, p * (1 - p))):
+        exact = np.rint(n * values * EXACT)
+        for k in range(bins.shape[1]):
+            out[k, :, side] = np.bincount(node * BINS + bins[:, k], weights=exact, minlength=2**level * BINS).reshape(-1, BINS)
+    return out / EXACT
 
 
 @dataclass
@@ -345,31 +387,91 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Train on proposals in ``docs`` (``text``)."""
+def _binned(edges: list[np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                x = batch.column("features").flatten().to_numpy().reshape(len(batch), -1)
+                bins = pa.array([row.tobytes() for row in binned(x, edges)], pa.binary())
+                others = [batch.column(c) for c in ("label", "outside", "apart", "n")]
+                yield pa.RecordBatch.from_arrays([bins, pa.array(x[:, 0].astype(np.int32)), *others], names=["bins", "kind", "label", "outside", "apart", "n"])
+
+    return run
+
+
+def _unbinned(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("bins").to_pylist()), dtype=np.uint8).reshape(len(batch), -1)
+
+
+def _sums(model: Trees, features: np.ndarray, cuts: np.ndarray, level: int):
+    """One row a task: the sums of ``histogram``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = 0
+        for batch in batches:
+            if len(batch):
+                y, n = (batch.column(c).to_numpy().astype(np.float64) for c in ("label", "n"))
+                out = out + histogram(_unbinned(batch), y, n, model, features, cuts, level)
+        if not np.isscalar(out):
+            yield pa.RecordBatch.from_arrays([pa.array([out.ravel()], pa.list_(pa.float64()))], names=["sums"])
+
+    return run
+
+
+def _steps(model: Trees, edges: list[np.ndarray]):
+    """The step of each row's score."""
+    # A bin is above the cuts that its value is above.
+    own = Trees(model.start, model.features, [np.array([np.searchsorted(edges[k], c) if np.isfinite(c) else c for k, c in zip(f, v, strict=True)]) for f, v in zip(model.features, model.cuts, strict=True)], model.leaves)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                step = np.floor(own.scores(_unbinned(batch)) * STEPS).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column("kind"), pa.array(step), batch.column("label"), batch.column("n")], names=["kind", "step", "label", "n"])
+
+    return run
+
+
+def _threshold(steps: list[tuple[int, int, int]]) -> float:
+    """The least score from which on the precision is reached, of steps with their rows and right ones; one if there is none."""
+    total, right, least = 0, 0, 1.0
+    steps = sorted(steps, reverse=True)
+    for (_, n, good), (below, *_) in zip(steps, [*steps, (-1,)][1:], strict=True):
+        total, right = total + n, right + good
+        if right >= PRECISION * total:
+            least = max(0.5, (below + 1) / STEPS)
+    return least
+
+
+def fit(docs: DataFrame) -> Model:
+    """Train on all proposals in ``docs`` (``text``)."""
     schema = "features array<double>, label int, outside boolean, value string, apart boolean"
     rows = docs.filter("text IS NOT NULL").select("text").mapInArrow(_labelled, schema)
     # Copies of a text count once.
     rows = rows.groupBy("value", "label", "outside", "apart").agg(F.min("features").alias("features"))
-    # At most ``sample`` rows of a few numbers.
-    by = [F.xxhash64("value"), *map(F.col, ("value", "label", "outside", "apart"))]
-    rows = rows.orderBy(*by).limit(sample).select("features", "label", "outside", "apart").collect()
-    x = np.array([r[0] for r in rows], dtype=np.float64).reshape(-1, len(FEATURES))
-    y = np.array([r[1] for r in rows], dtype=np.float64)
-    apart = np.array([r[3] for r in rows], dtype=bool)
-    if len(y) < 20 or not 0 < y[~apart].sum() < (~apart).sum():
+    rows = tables.written(rows.groupBy("features", "label", "outside", "apart").agg(F.count("*").alias("n")), "pii-proposals")
+    learned = "CASE WHEN NOT apart THEN {} END".format
+    levels = f"array({', '.join(map(repr, LEVELS.tolist()))})"
+    values = [F.expr(f"percentile({learned(f'features[{k}]')}, {levels}, n)") for k in range(len(FEATURES))]
+    n, share, right, *values = rows.agg(F.sum("n"), F.expr(f"sum({learned('n')})"), F.expr(f"sum({learned('n * label')})"), *values).first()
+    if (n or 0) < 20 or not 0 < (right or 0) < share:
         return Model(Trees(), [1.0] * len(KINDS))
-    trees = Trees.fit(x[~apart], y[~apart])
+    edges = [np.unique(v) for v in values]
+    schema = "bins binary, kind int, label int, outside boolean, apart boolean, n long"
+    bins = rows.mapInArrow(_binned(edges), schema).groupBy("bins", "kind", "label", "outside", "apart").agg(F.sum("n").alias("n"))
+    bins = tables.written(bins, "pii-bins")
+    train = bins.filter("NOT apart").select("bins", "label", "n")
+
+    def sums(model: Trees, features: np.ndarray, cuts: np.ndarray, level: int) -> np.ndarray:
+        # A row a task of at most some 6,000 numbers.
+        found = train.mapInArrow(_sums(model, features, cuts, level), "sums array<double>").collect()
+        return np.sum([r["sums"] for r in found], axis=0).reshape(len(FEATURES), 2**level, 2, BINS)
+
+    trees = Trees.grown(edges, right / share, sums)
     # Only proposals outside the fixed spans can be added.
-    apart &= np.array([r[2] for r in rows], dtype=bool)
-    score, label, kind = trees.scores(x[apart]), y[apart], x[apart, 0]
-    thresholds = []
-    for k in range(len(KINDS)):
-        by = np.argsort(-score[kind == k], kind="stable")
-        s, right = score[kind == k][by], label[kind == k][by].cumsum()
-        good = np.flatnonzero(right >= PRECISION * np.arange(1, len(s) + 1))
-        thresholds.append(max(0.5, float(s[good[-1]])) if len(good) else 1.0)
-    return Model(trees, thresholds)
+    apart = bins.filter("apart AND outside").mapInArrow(_steps(trees, edges), "kind int, step int, label int, n long")
+    found = apart.groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("good")).collect()
+    return Model(trees, [_threshold([(r["step"], r["n"], r["good"]) for r in found if r["kind"] == k]) for k in range(len(KINDS))])
 
 
 SPAN = "array<struct<kind: string, begin: int, end: int, score: double>>"

@@ -222,6 +222,21 @@ def test_trees_learn():
     assert ((model.scores(x[1500:]) > 0.5) == y[1500:]).mean() > 0.95
 
 
+def test_personal_data_are_learned_from_all_documents(spark):
+    """On 27,000 proposals the trees are those of a fit on all of them at once."""
+    import numpy as np
+
+    rows = [(k, f"call +43 660 {k:07d} or write to ann.{k}@mail{k % 7}.org, not on 2021-03-{k % 28 + 1:02d}") for k in range(1_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kinds = "features array<double>, label int, outside boolean, value string, apart boolean"
+    found = {(r["value"], r["label"], r["outside"], r["apart"]): r["features"] for r in sorted(docs.select("text").mapInArrow(pii._labelled, kinds).collect(), key=lambda r: r["features"], reverse=True)}
+    assert len(found) > 20_000
+    x, y = np.array(list(found.values())), np.array([k[1] for k in found], dtype=np.float64)
+    apart = np.array([k[3] for k in found])
+    model, whole = pii.fit(docs), pii.Trees.fit(x[~apart], y[~apart])
+    assert np.abs(model.trees.scores(x) - whole.scores(x)).max() < 1e-4
+
+
 def secrets_by_hand(raw):
     found = []
     patterns = (re.compile(f"(?:{secrets.ASSIGN})"), re.compile(r"(AKIA[A-Z0-9]+)"), re.compile(r"([0-9a-f]+)"))
