@@ -5,15 +5,15 @@ points, as sums of lengths. Two first-order Markov models over ASCII characters,
 ordinary identifiers, give every long token a log-likelihood ratio per character; tokens above a threshold are spans of
 kind ``random``. Rows keep their place, so nothing but the small training counts is shuffled.
 
-Training counts come from the labelled strings of ``SAMPLE_DOCS`` documents, those with the smallest hash of the id:
-values that the fixed patterns find, and digests of the ids in hexadecimal, base 64 and capitals, are random; shorter tokens
-than the models judge, and long identifiers put together from the sample's words, are ordinary. Long tokens outside the
-fixed patterns may be secrets or not, so they are in neither class. A quarter of the strings is kept apart from the
-counts: the threshold is the fixed log-odds ``LEAST``, or, if that is higher, the first score at which no larger a share of
-its ordinary strings is flagged than of its random ones is missed. So it doesn't depend on how many secrets there are.
+Training counts come from the labelled strings of all documents: values that the fixed patterns find, and digests of the
+ids in hexadecimal, base 64 and capitals, are random; shorter tokens than the models judge, and long identifiers put
+together from a document's words, are ordinary. Long tokens outside the fixed patterns may be secrets or not, so they are
+in neither class. A quarter of the strings is kept apart from the counts: the threshold is the fixed log-odds ``LEAST``,
+or, if that is higher, the first score at which no larger a share of its ordinary strings is flagged than of its random
+ones is missed. So it doesn't depend on how many secrets there are.
 
 Null texts are empty and have no spans. A token that touches a span of a fixed pattern adds none. Repeated rows are
-judged alike. Documents without an id are scanned as well, but aren't trained on.
+judged alike, and each counts. Documents without an id are scanned and trained on as well, but have no digest.
 """
 
 from __future__ import annotations
@@ -26,12 +26,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_DOCS = 2_000
 #: Length of a token that the models judge.
 TOKEN = 20
 LEAST = 0.25
-#: Identifiers that are put together from a document's words, the words of each, and steps of the score to one.
-MADE, WORDS, STEPS = 16, 4, 100
+#: Words of an identifier that is put together from a document's words, the marks between them, and steps of the score to one.
+WORDS, MARKS, STEPS = 4, ("_", "-", "/", ""), 100
 KINDS = ("assign", "access", "hex", "random")
 
 #: The patterns, which group must be how long, and at least how long.
@@ -100,44 +99,43 @@ def base_spans(texts: Column) -> Column:
 
 
 def samples(docs: DataFrame) -> DataFrame:
-    """Labelled strings: ``value, random``."""
-    ids = docs.filter("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    # At most SAMPLE_DOCS ids.
-    chosen = docs.filter("text IS NOT NULL").join(F.broadcast(ids), "doc_id").select("text", base_spans(F.col("text")).alias("spans"))
-    found = chosen.select(F.explode("spans.value").alias("value"), F.lit(True).alias("random"))
+    """Labelled strings of all documents: ``value, random``."""
+    text = F.coalesce("text", F.lit(""))
+    found = [F.filter(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda v, n=least: F.length(v) >= n) for pattern, least in PATTERNS.values()]
     # Between the fixed patterns' matches stands ordinary text.
-    plain = F.col("text")
+    plain = text
     for pattern, _ in PATTERNS.values():
         plain = F.regexp_replace(plain, pattern, " ")
     plain = F.regexp_replace(plain, TOKENS, " ")
     tokens = F.regexp_extract_all(plain, F.lit(r"([A-Za-z0-9+/_=-]{8,})"), F.lit(1))
     words = F.regexp_extract_all(plain, F.lit(r"(?<![A-Za-z0-9+/_=-])([A-Za-z]{3,})(?![A-Za-z0-9+/_=-])"), F.lit(1))
-
-    def identifier(some: Column, i: Column) -> Column:
-        parts = F.slice(some, i * WORDS + 1, WORDS)
-        form = F.array_join(F.transform(parts, F.initcap), "")
-        for k, mark in enumerate(("_", "-", "/", "")):
-            form = F.when(i % 5 == k, F.array_join(parts, mark)).otherwise(form)
-        return form
-
-    joined = _let(words, lambda w: F.transform(F.sequence(F.lit(0), F.lit(MADE - 1)), lambda i: identifier(w, i)))
-    long = F.filter(joined, lambda x: F.length(x) >= TOKEN)
+    # All words of a document, some in each identifier, in one of five forms.
+    form = F.length(text) % (len(MARKS) + 1)
+    joined = F.concat(F.array_join(words, " "), F.lit(" "))
+    joined = F.when(form == len(MARKS), F.initcap(joined)).otherwise(joined)
+    groups = [mark.join(f"${k + 1}" for k in range(WORDS)) + " " for mark in (*MARKS, "")]
+    group = F.element_at(F.array(*map(F.lit, groups)), form + 1)
+    joined = F.regexp_replace(joined, F.lit("([A-Za-z]+) " * WORDS), group)
+    long = F.filter(F.split(joined, " "), lambda x: F.length(x) >= TOKEN)
     # Of many lengths, so that each character's are on both sides of the calibration.
-    rulers = F.array(*(F.repeat(F.lit(c), F.lit(TOKEN) + F.length("text") % TOKEN) for c in "-=_+/"))
-    ordinary = chosen.select(F.explode(F.concat(tokens, long, rulers)).alias("value"), F.lit(False).alias("random"))
+    rulers = F.array(*(F.repeat(F.lit(c), F.lit(TOKEN) + F.length(text) % TOKEN) for c in "-=_+/"))
     digest = F.sha2(F.col("doc_id").cast("string"), 256)
-    made = ids.select(F.explode(F.array(F.base64(F.unhex(digest)), digest, F.upper(F.substring(F.translate(F.base64(F.unhex(digest)), "+/=", "357"), 1, 20)))).alias("value"), F.lit(True).alias("random"))
-    return found.union(ordinary).union(made)
+    made = F.array(F.base64(F.unhex(digest)), digest, F.upper(F.substring(F.translate(F.base64(F.unhex(digest)), "+/=", "357"), 1, 20)))
+    made = F.when(F.col("doc_id").isNull(), F.array().cast("array<string>")).otherwise(made)
+    labelled = lambda values, random: F.transform(values, lambda v: F.struct(v.alias("value"), F.lit(random).alias("random")))
+    strings = F.concat(labelled(F.concat(*found, made), True), labelled(F.concat(tokens, long, rulers), False))
+    # There are always some; a generator that keeps rows without any doesn't make them a second time for a filter.
+    return docs.select(F.inline_outer(strings))
 
 
 def fit(docs: DataFrame) -> Model:
-    """Train on a sample of ``docs`` (``doc_id, text``)."""
+    """Train on ``docs`` (``doc_id, text``)."""
     strings = samples(docs).withColumn("apart", F.pmod(F.xxhash64("value"), F.lit(4)) == 0)
-    codes = F.concat(F.array(F.lit(0)), F.transform(F.split("value", ""), F.ascii))
-    counted = strings.filter(~F.col("apart")).select("random", codes.alias("c"))
-    pairs = counted.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: F.element_at("c", i) * 128 + F.element_at("c", i + 1))).alias("pair"))
+    # Each two characters side by side; before the first one stands a zero character.
+    twos = F.regexp_extract_all(F.concat(F.lit("\0"), F.col("value")), F.lit("(?=(..))"), F.lit(1))
+    pairs = strings.filter(~F.col("apart")).select("random", F.explode_outer(twos).alias("two"))
     # At most two rows for each pair of characters.
-    counts = {(r["random"], r["pair"]): r["count"] for r in pairs.groupBy("random", "pair").count().collect()}
+    counts = {(r["random"], ord(r["two"][0]) * 128 + ord(r["two"][1])): r["count"] for r in pairs.groupBy("random", "two").count().collect()}
     model = Model(_ratios(counts))
     held = strings.filter(F.col("apart") & (F.length("value") >= TOKEN))
     held = held.select("random", F.floor(model.score(F.col("value")) * STEPS).cast("int").alias("step"))

@@ -283,6 +283,15 @@ def test_frequent_secrets_are_all_found(spark):
     assert not any(n in f for f in found for n in names)
 
 
+def test_secret_models_learn_from_all_documents(spark):
+    names = [f"name{chr(97 + k // 26)}{chr(97 + k % 26)}s" for k in range(100)]
+    rows = [(k, f"password=value{k:05d}") for k in range(2_500)] + [(None, "password=without_id " + " ".join(names))]
+    strings = secrets.samples(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {f"value{k:05d}" for k in range(2_500)} | {"without_id"} <= {r["value"] for r in strings if r["random"]}
+    ordinary = " ".join(r["value"].lower() for r in strings if not r["random"])
+    assert all(n in ordinary for n in names)
+
+
 def test_redaction(spark, odd_rows, secret_model):
     rows = [(i, t, 0 if t is None else len(t), "z") for i, t in odd_rows] + [(50, "é password=abcdef0123456789abcdef01234567 x AKIA" + "B" * 16, 0, "z")]
     table = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, begin string")
