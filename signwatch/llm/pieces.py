@@ -79,7 +79,8 @@ class Vocabulary:
             else:
                 pieces.append((piece.replace(SPACE, " "), i, float(model.get_score(i))))
                 bytes_of.append(pieces[-1][0].encode())
-        alphabet = sorted({c for p, _, _ in pieces for c in p})
+        # Only characters that stand beside others in a piece; the table has a place for each two of them.
+        alphabet = sorted({c for p, _, _ in pieces if len(p) > 1 for c in p})
         classes = np.zeros(0x110000, dtype=np.int32)
         for k, c in enumerate(alphabet):
             classes[ord(c)] = k + 1

@@ -328,6 +328,17 @@ def test_pieces(spark, docs_of, odd_rows, unigram):
     assert got[1][0][0] == [] and found.count() == len(rows) and pieces.encode(docs_of([]), vocabulary).count() == 0
 
 
+def test_vocabulary_has_only_linked_characters_in_its_table(spark):
+    vocabulary = pieces.vocabulary_of(spark)
+    linked = {x for p, _, _ in vocabulary.pieces for x in zip(p, p[1:], strict=False)}
+    size = int(len(vocabulary.linked) ** 0.5 + 0.5)
+    table = vocabulary.linked.reshape(size, size)
+    kind = lambda c: vocabulary.classes[ord(c)]
+    # Each class but the one of all other characters has links, and they are those of the pieces.
+    assert (table.any(axis=0) | table.any(axis=1))[1:].all() and not table[0].any() and not table[:, 0].any()
+    assert table.sum() == len(linked) and all(table[kind(a), kind(b)] for a, b in linked)
+
+
 def test_piece_queries_round_trip(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in queries.table(spark, sf_dir, "documents").collect()}
     for r in queries.op8_pieces(spark, sf_dir).collect():
