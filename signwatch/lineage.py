@@ -27,6 +27,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that :func:`scratch` has named, on whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from the files."""
     ensure_checkpoint_dir(df.sparkSession)

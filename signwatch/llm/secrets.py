@@ -3,7 +3,8 @@
 Only DataFrame functions are used. A pattern's matches and what stands between them give their positions, in code
 points, as sums of lengths. Two first-order Markov models over ASCII characters, one of random strings and one of
 ordinary identifiers, give every long token a log-likelihood ratio per character; tokens above a threshold are spans of
-kind ``random``. Rows keep their place, so nothing but the small training counts is shuffled.
+kind ``random``. Rows keep their place, so nothing but the small training counts is shuffled; training strings are written
+once and removed after the fit.
 
 Training counts come from the labelled strings of all documents: values that the fixed patterns find, and digests of the
 ids in hexadecimal, base 64 and capitals, are random; shorter tokens than the models judge, and long identifiers put
@@ -26,6 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signwatch.lineage import remove, scratch
+
 #: Length of a token that the models judge.
 TOKEN = 20
 LEAST = 0.25
@@ -101,36 +104,56 @@ def base_spans(texts: Column) -> Column:
 def samples(docs: DataFrame) -> DataFrame:
     """Labelled strings of all documents: ``value, random``."""
     text = F.coalesce("text", F.lit(""))
-    found = [F.filter(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda v, n=least: F.length(v) >= n) for pattern, least in PATTERNS.values()]
-    # Between the fixed patterns' matches stands ordinary text.
-    plain = text
-    for pattern, _ in PATTERNS.values():
-        plain = F.regexp_replace(plain, pattern, " ")
-    plain = F.regexp_replace(plain, TOKENS, " ")
-    tokens = F.regexp_extract_all(plain, F.lit(r"([A-Za-z0-9+/_=-]{8,})"), F.lit(1))
-    words = F.regexp_extract_all(plain, F.lit(r"(?<![A-Za-z0-9+/_=-])([A-Za-z]{3,})(?![A-Za-z0-9+/_=-])"), F.lit(1))
-    # All words of a document, some in each identifier, in one of five forms.
-    form = F.length(text) % (len(MARKS) + 1)
-    joined = F.concat(F.array_join(words, " "), F.lit(" "))
-    joined = F.when(form == len(MARKS), F.initcap(joined)).otherwise(joined)
-    groups = [mark.join(f"${k + 1}" for k in range(WORDS)) + " " for mark in (*MARKS, "")]
-    group = F.element_at(F.array(*map(F.lit, groups)), form + 1)
-    joined = F.regexp_replace(joined, F.lit("([A-Za-z]+) " * WORDS), group)
-    long = F.filter(F.split(joined, " "), lambda x: F.length(x) >= TOKEN)
+    matches = F.struct(*(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)).alias(kind) for kind, (pattern, _) in PATTERNS.items()))
+
+    def ordinary(plain: Column) -> Column:
+        tokens = F.regexp_extract_all(plain, F.lit(r"([A-Za-z0-9+/_=-]{8,})"), F.lit(1))
+        words = F.regexp_extract_all(plain, F.lit(r"(?<![A-Za-z0-9+/_=-])([A-Za-z]{3,})(?![A-Za-z0-9+/_=-])"), F.lit(1))
+        # All words of a document, some in each identifier, in one of five forms.
+        form = F.length(text) % (len(MARKS) + 1)
+        joined = F.concat(F.array_join(words, " "), F.lit(" "))
+        joined = F.when(form == len(MARKS), F.initcap(joined)).otherwise(joined)
+        groups = [mark.join(f"${k + 1}" for k in range(WORDS)) + " " for mark in (*MARKS, "")]
+        group = F.element_at(F.array(*map(F.lit, groups)), form + 1)
+        joined = F.regexp_replace(joined, F.lit("([A-Za-z]+) " * WORDS), group)
+        return F.concat(tokens, F.filter(F.split(joined, " "), lambda x: F.length(x) >= TOKEN), rulers)
+
+    def strings(found: Column) -> Column:
+        # Between the fixed patterns' matches stands ordinary text. What is taken out joins nothing, so a pattern
+        # without a match in the text has none later.
+        plain = text
+        for kind, (pattern, _) in PATTERNS.items():
+            plain = F.when(F.size(found[kind]) > 0, F.regexp_replace(plain, pattern, " ")).otherwise(plain)
+        random = F.concat(*(F.filter(found[kind], lambda v, n=least: F.length(v) >= n) for kind, (_, least) in PATTERNS.items()), made)
+        return F.concat(labelled(random, True), labelled(_let(F.regexp_replace(plain, TOKENS, " "), ordinary), False))
+
     # Of many lengths, so that each character's are on both sides of the calibration.
     rulers = F.array(*(F.repeat(F.lit(c), F.lit(TOKEN) + F.length(text) % TOKEN) for c in "-=_+/"))
     digest = F.sha2(F.col("doc_id").cast("string"), 256)
     made = F.array(F.base64(F.unhex(digest)), digest, F.upper(F.substring(F.translate(F.base64(F.unhex(digest)), "+/=", "357"), 1, 20)))
     made = F.when(F.col("doc_id").isNull(), F.array().cast("array<string>")).otherwise(made)
     labelled = lambda values, random: F.transform(values, lambda v: F.struct(v.alias("value"), F.lit(random).alias("random")))
-    strings = F.concat(labelled(F.concat(*found, made), True), labelled(F.concat(tokens, long, rulers), False))
     # There are always some; a generator that keeps rows without any doesn't make them a second time for a filter.
-    return docs.select(F.inline_outer(strings))
+    return docs.select(F.inline_outer(_let(matches, strings)))
 
 
 def fit(docs: DataFrame) -> Model:
-    """Train on ``docs`` (``doc_id, text``)."""
-    strings = samples(docs).withColumn("apart", F.pmod(F.xxhash64("value"), F.lit(4)) == 0)
+    """Train on ``docs`` (``doc_id, text``).
+
+    The strings are written next to the checkpoints and read twice, so the patterns run over the texts once.
+    """
+    spark = docs.sparkSession
+    folder = scratch(spark, "secrets")
+    samples(docs).write.parquet(folder)
+    try:
+        return _fitted(spark.read.parquet(folder))
+    finally:
+        remove(spark, folder)
+
+
+def _fitted(strings: DataFrame) -> Model:
+    """Counts from three quarters of the labelled strings, the threshold from the others."""
+    strings = strings.withColumn("apart", F.pmod(F.xxhash64("value"), F.lit(4)) == 0)
     # Each two characters side by side; before the first one stands a zero character.
     twos = F.regexp_extract_all(F.concat(F.lit("\0"), F.col("value")), F.lit("(?=(..))"), F.lit(1))
     pairs = strings.filter(~F.col("apart")).select("random", F.explode_outer(twos).alias("two"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -13,6 +14,7 @@ from conftest import lower
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
+from signwatch.lineage import scratch
 from signwatch.llm import language, licenses, pieces, pii, queries, secrets, text, toxicity
 
 ODD = ["", " ", "\n", "a", "Ä é", "x" * 5000, "a b  c", "😀 z", "ab\tcd\r\nef"]
@@ -355,3 +357,20 @@ def test_pieces_of_a_long_word(spark, docs_of, unigram):
             t = (texts + texts[:1])[r["doc_id"]]
             assert r["pieces"] == unigram.encode(t) and r["text"] == t
         assert len(found) == 5
+
+
+def test_secrets_run_the_patterns_once(spark, docs_of, monkeypatch):
+    """Training strings are written and removed: the documents are read by a single job, and no folder stays."""
+    seen, folders = spark.sparkContext.accumulator(0), []
+    rows = [(i, f"token: abcdef{i} and some plain identifiers_{i} of ordinary words") for i in range(40)]
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(secrets, "scratch", lambda s, name: folders.append(scratch(s, name)) or folders[-1])
+    docs = docs_of(rows).select("doc_id", "text")
+    model = secrets.fit(docs.mapInArrow(counted, docs.schema))
+    assert seen.value == len(rows) and not any(Path(f.removeprefix("file:")).exists() for f in folders) and len(folders) == 1
+    assert model == secrets._fitted(secrets.samples(docs))
