@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer document is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: The two kinds of words that the queries speak of, as separators among the ASCII bytes.
 SPACES = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])

@@ -99,9 +99,11 @@ def _units(words: text.Words) -> text.Words:
 
 def _words(column: pa.Array) -> Iterator[tuple[int, int, text.Words]]:
     """Words in lower case, in any script, between ASCII and other marks."""
-    column = pc.utf8_lower(pc.replace_substring_regex(column, _marks(), " "))
-    for begin, end, words in text.word_slices(column, text.SIGNS):
-        yield begin, end, _units(words)
+    # Only a slice at a time is copied.
+    for begin, end in text.slices(column):
+        part = pc.utf8_lower(pc.replace_substring_regex(column.slice(begin, end - begin), _marks(), " "))
+        for first, last, words in text.word_slices(part, text.SIGNS):
+            yield begin + first, begin + last, _units(words)
 
 
 def _distinct(words: text.Words) -> tuple[np.ndarray, np.ndarray]:

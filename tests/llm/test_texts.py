@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from pathlib import Path
 
 import pyarrow as pa
@@ -374,3 +375,18 @@ def test_secrets_run_the_patterns_once(spark, docs_of, monkeypatch):
     model = secrets.fit(docs.mapInArrow(counted, docs.schema))
     assert seen.value == len(rows) and not any(Path(f.removeprefix("file:")).exists() for f in folders) and len(folders) == 1
     assert model == secrets._fitted(secrets.samples(docs))
+
+
+def test_texts_are_copied_a_slice_at_a_time():
+    """Twenty MB in one batch: numpy holds a slice's arrays, Arrow a slice's copies."""
+    column = pa.array(["Some Words of a text, again and again. " * 256] * 2_000)
+    before = pa.total_allocated_bytes()
+    most = 0
+    tracemalloc.start()
+    try:
+        for _, _, words in toxicity._words(column):
+            words.hashes()
+            most = max(most, pa.total_allocated_bytes() - before)
+        assert tracemalloc.get_traced_memory()[1] < 80 << 20 and most < 5 << 20
+    finally:
+        tracemalloc.stop()
