@@ -42,7 +42,7 @@ SPACE = "▁"
 #: Bytes of text in a block, and never more documents than an Arrow batch.
 BLOCK_BYTES = 12 << 20
 #: Bytes whose words are found at once, and words that are put in place at once.
-SLICE = 1 << 20
+SLICE = 1 << 18
 PLACED = 1 << 18
 #: Encoded words that a task sends to their blocks at once.
 SENT = 1 << 18
@@ -173,10 +173,12 @@ class Block:
             digest.update(counts[-1].tobytes())
             found, first, which, n = _grouped(words.hashes())
             hashes.append(found)
-            often.append(n)
+            often.append(n.astype(np.int32))
             places.append(which)
-            sizes.append(words.ends[first] - words.starts[first])
-            data.append(_gathered(words.data, words.starts[first], sizes[-1]))
+            size = words.ends[first] - words.starts[first]
+            sizes.append(size.astype(np.int32))
+            data.append(_gathered(words.data, words.starts[first], size))
+            del words
         none = np.zeros(0, dtype=np.int64)
         _, first, which, _ = _grouped(np.concatenate([*hashes, none.astype(np.uint64)]))
         total = np.bincount(which, weights=np.concatenate([*often, none]), minlength=len(first))
@@ -185,8 +187,13 @@ class Block:
         number = np.empty(len(first), dtype=np.uint32)
         number[order] = np.arange(len(first), dtype=np.uint32)
         number = number[which]
-        base = np.cumsum([0, *map(len, hashes)])
-        numbers = [number[x : x + len(h)][p] for h, p, x in zip(hashes, places, base, strict=False)]
+        numbers = np.empty(sum(map(len, places)), dtype=np.uint32)
+        at = base = 0
+        # Each slice's places go as soon as they are numbers.
+        for found in hashes:
+            own = places.pop(0)
+            numbers[at : at + len(own)] = number[base : base + len(found)][own]
+            at, base = at + len(own), base + len(found)
         size = np.concatenate([*sizes, none])
         ends = np.cumsum(size)
         chosen = first[order]
@@ -196,7 +203,7 @@ class Block:
             np.concatenate([*data, none.astype(np.uint8)]),
             (ends - size)[chosen],
             ends[chosen],
-            np.concatenate([*numbers, none.astype(np.uint32)]),
+            numbers,
             np.concatenate([*counts, none.astype(np.uint32)]),
         )
 
@@ -330,14 +337,21 @@ def _assemble(kind: pa.DataType, vocabulary: Vocabulary | None):
         for k in range(blocks.num_rows):
             ids = blocks["ids"][k].values
             counts, numbers = Block.unpacked(blocks["packed"][k].as_py(), len(ids))
-            ends = np.zeros(len(numbers) + 1, dtype=np.int64)
-            np.cumsum(size[numbers], out=ends[1:])
-            flat = np.empty(ends[-1], dtype=np.int32)
+            bounds = np.cumsum(counts)
+            offsets = np.zeros(len(bounds) + 1, dtype=np.int32)
+            flat, n, at = [], 0, 0
             for a in range(0, len(numbers), PLACED):
                 own = numbers[a : a + PLACED]
-                flat[ends[a] : ends[a + len(own)]] = _gathered(values, begin[own], size[own])
-            offsets = ends[np.concatenate([[0], np.cumsum(counts)])]
-            pieces = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+                flat.append(_gathered(values, begin[own], size[own]))
+                ends = np.concatenate([[0], np.cumsum(size[own])])
+                # The documents that end among these words.
+                end = int(np.searchsorted(bounds, a + len(own), side="right"))
+                offsets[at + 1 : end + 1] = n + ends[np.maximum(bounds[at:end] - a, 0)]
+                n, at = n + int(ends[-1]), end
+            del numbers
+            flat = np.concatenate([*flat, values[:0]])
+            offsets[at + 1 :] = n
+            pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             table = pa.table({"doc_id": ids.cast(kind), "pieces": pieces})
             out.append(table if decoded is None else pa.Table.from_batches(decoded(iter(table.to_batches())), schema(decoded)))
         return pa.concat_tables(out) if out else schema(decoded).empty_table()

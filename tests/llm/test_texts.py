@@ -390,3 +390,18 @@ def test_texts_are_copied_a_slice_at_a_time():
         assert tracemalloc.get_traced_memory()[1] < 80 << 20 and most < 5 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_a_block_holds_little_beside_its_numbers():
+    """Twelve MB of text with many different words."""
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30_000)]
+    column = pa.array([" ".join(rnd.choices(words, k=700)) for _ in range(2_400)])
+    vocabulary = pieces.Vocabulary.load()
+    tracemalloc.start()
+    try:
+        block = pieces.Block.of(column, vocabulary)
+        assert tracemalloc.get_traced_memory()[1] < 80 << 20
+    finally:
+        tracemalloc.stop()
+    assert len(block.numbers) == block.counts.sum() >= 700 * 2_400
