@@ -39,7 +39,7 @@ from signwatch.llm import text
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Bytes of text in a block, and never more documents than an Arrow batch.
+#: Bytes of text in a block; smaller Arrow batches share one.
 BLOCK_BYTES = 12 << 20
 #: Bytes whose words are found at once, and words that are put in place at once.
 SLICE = 1 << 18
@@ -161,12 +161,13 @@ class Block:
     counts: np.ndarray
 
     @classmethod
-    def of(cls, column: pa.Array, vocabulary: Vocabulary) -> Block:
+    def of(cls, column: pa.Array | pa.ChunkedArray, vocabulary: Vocabulary) -> Block:
         data, sizes, hashes, often, places, counts = [], [], [], [], [], []
         digest = xxhash.xxh64()
         # Each slice keeps its different words only.
-        for begin, end in text.slices(column, SLICE):
-            texts = [" " + x.replace(SPACE, " ") if x else "" for x in column.slice(begin, end - begin).to_pylist()]
+        chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+        for part in (c.slice(begin, end - begin) for c in chunks for begin, end in text.slices(c, SLICE)):
+            texts = [" " + x.replace(SPACE, " ") if x else "" for x in part.to_pylist()]
             words = vocabulary.words(texts)
             counts.append(words.counts().astype(np.uint32))
             digest.update(words.data.tobytes())
@@ -224,11 +225,31 @@ class Block:
         return raw[: 4 * documents].view("<u4").astype(np.int64), _numbers(raw[4 * documents :])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows with about ``BLOCK_BYTES`` of text. Small batches fill blocks together; those that hold a block or more are
+    cut on their own, so none of them has to wait for a later one."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        for begin, end in text.slices(batch.column("text"), BLOCK_BYTES):
-            yield batch.slice(begin, end - begin)
-            pa.default_memory_pool().release_unused()
+        offsets = text.texts_bytes(batch.column("text"))[1]
+        large = offsets[-1] >= BLOCK_BYTES
+        if large and held:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+        begin = 0
+        while begin < len(batch):
+            end = int(np.searchsorted(offsets, offsets[begin] + BLOCK_BYTES - size, side="right")) - 1
+            # A longer text is a block of its own.
+            end = max(end, begin + (not held))
+            held.append(batch.slice(begin, end - begin))
+            size += int(offsets[end] - offsets[begin])
+            begin = end
+            if large or begin < len(batch):
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+                pa.default_memory_pool().release_unused()
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _named(words: pa.Array, size: np.ndarray) -> tuple[pa.Array, pa.Array]:
@@ -263,7 +284,7 @@ def _packed(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _blocks(batches):
             block = Block.of(batch.column("text"), vocabulary)
-            ids = pa.ListArray.from_arrays(pa.array([0, len(batch)], pa.int32()), batch.column("doc_id"))
+            ids = pa.ListArray.from_arrays(pa.array([0, len(batch)], pa.int32()), batch.column("doc_id").combine_chunks())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block.key], pa.int64()), ids, pa.array([block.packed()], pa.binary())], names=["block", "ids", "packed"]
             )

@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from signwatch.llm import text
 
 LABEL_ROWS = 24_000
+#: Bytes whose words are found and scored at once.
+SLICE = 1 << 18
 #: Longest beginning of a word, in bytes.
 DEPTH = 14
 #: Taken off each count of a class; beginnings that are as rare in both classes have no entry.
@@ -100,9 +102,9 @@ def _units(words: text.Words) -> text.Words:
 def _words(column: pa.Array) -> Iterator[tuple[int, int, text.Words]]:
     """Words in lower case, in any script, between ASCII and other marks."""
     # Only a slice at a time is copied.
-    for begin, end in text.slices(column):
+    for begin, end in text.slices(column, SLICE):
         part = pc.utf8_lower(pc.replace_substring_regex(column.slice(begin, end - begin), _marks(), " "))
-        for first, last, words in text.word_slices(part, text.SIGNS):
+        for first, last, words in text.word_slices(part, text.SIGNS, most=SLICE):
             yield begin + first, begin + last, _units(words)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from conftest import lower
 from pyspark.sql import functions as F
@@ -80,3 +81,28 @@ def test_stages_take_odd_rows(spark, sf_dir, odd_rows):
     for _, stage in corpus_pipeline.STAGES:
         for rows in (table, table.limit(0)):
             assert stage(spark, rows, sf_dir).agg(F.count(F.lit(1))).first()[0] <= len(odd_rows)
+
+
+def test_workers_get_a_few_megabytes_at_a_time(spark, sf_dir):
+    """Rows of 2 KB: Spark's own limits would put all of a task's rows, 16 MB, into one batch."""
+    before = spark.conf.get(corpus_pipeline.BATCH, None)
+    rows = spark.range(0, 8_000, 1, 1).select("id", F.repeat(F.lit("words "), 350).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"size": [batch.nbytes]})
+
+    try:
+        spark.conf.unset(corpus_pipeline.BATCH)
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(corpus_pipeline.BATCH)
+            stage(spark, docs, sf_dir)
+            found = [r["size"] for r in rows.mapInArrow(sizes, "size long").collect()]
+            assert max(found) < 1.1 * corpus_pipeline.BATCH_BYTES
+        # A size that the user has set stays.
+        spark.conf.set(corpus_pipeline.BATCH, "1m")
+        corpus_pipeline.decontaminate(spark, docs, sf_dir)
+        assert spark.conf.get(corpus_pipeline.BATCH) == "1m"
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCH) if before is None else spark.conf.set(corpus_pipeline.BATCH, before)

@@ -405,3 +405,33 @@ def test_a_block_holds_little_beside_its_numbers():
     finally:
         tracemalloc.stop()
     assert len(block.numbers) == block.counts.sum() >= 700 * 2_400
+
+
+def test_small_batches_share_a_block():
+    """Blocks are filled whatever the size of Arrow batches; each row is in one of them, in its place."""
+    line = "word " * 200
+    sizes = [300, 1, 0, 700, 20_000, 5, 5_000, 30_000, 300]
+    rows = [[None if k % 50 == 0 else line[: 1 + k * 37 % 1000] for k in range(n)] for n in sizes]
+    batches, at = [], 0
+    for own in rows:
+        batches.append(pa.record_batch({"doc_id": pa.array(range(at, at + len(own)), pa.int64()), "text": pa.array(own, pa.string())}))
+        at += len(own)
+    blocks = list(pieces._blocks(iter(batches)))
+    assert [i for b in blocks for i in b["doc_id"].to_pylist()] == list(range(at))
+    assert [t for b in blocks for t in b["text"].to_pylist()] == [t for own in rows for t in own]
+    held = [sum(len(t or "") for t in b["text"].to_pylist()) for b in blocks]
+    assert max(held) <= pieces.BLOCK_BYTES
+    small = pa.record_batch({"doc_id": range(1_000), "text": [line] * 1_000})
+    assert [b.num_rows for b in pieces._blocks(iter([small] * 26))] == [12_582, 12_582, 836]
+    long = pa.record_batch({"doc_id": [1, 2, 3], "text": ["a", "b" * (pieces.BLOCK_BYTES + 1), "c"]})
+    assert [b["doc_id"].to_pylist() for b in pieces._blocks(iter([small.slice(0, 1), long]))] == [[0], [1], [2], [3]]
+    vocabulary = pieces.Vocabulary.load()
+    two = pa.chunked_array([["one two", None], ["", "two three"]])
+    assert pieces.Block.of(two, vocabulary).counts.tolist() == pieces.Block.of(two.combine_chunks(), vocabulary).counts.tolist()
+
+
+def test_toxicity_looks_at_a_little_text_at_a_time():
+    column = pa.array(["some words " * 100] * 3_000)
+    parts = list(toxicity._words(column))
+    assert max(len(words.data) for _, _, words in parts) <= 1 << 18
+    assert [k for begin, end, _ in parts for k in range(begin, end)] == list(range(len(column)))
