@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signwatch.llm.tables import spread_join, written
+from signwatch.llm.tables import spread_join, tidy, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -33,3 +33,4 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("node", "component")
         labels = spread_join(labels, jumped, "component", "nodes", n)
         labels = written(labels.select("node", F.col("ahead").alias("component"), "links"), "labels")
+        tidy(links.sparkSession)

@@ -422,7 +422,9 @@ def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``word, pieces`` for each of the different words: ``word``, which stands for ``whole`` where that isn't null."""
     spark = words.sparkSession
     # Numbers are looked up faster than strings; the strings are compared as well.
-    table = spark.createDataFrame(vocabulary.pieces, "piece string, id int, score double").withColumn("key", F.xxhash64("piece"))
+    kinds = {"piece": pa.string(), "id": pa.int32(), "score": pa.float64()}
+    table = pa.table({name: pa.array([p[k] for p in vocabulary.pieces], kind) for k, (name, kind) in enumerate(kinds.items())})
+    table = spark.createDataFrame(table).withColumn("key", F.xxhash64("piece"))
     string = F.coalesce("whole", "word")
     cuts = F.sequence(F.lit(0), F.length(string) - 1, F.lit(LONG))
     cut = F.transform(cuts, lambda k: F.struct(k.alias("offset"), F.substring(string, k + 1, F.lit(LONG + vocabulary.longest - 1)).alias("part")))

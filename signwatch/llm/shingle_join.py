@@ -12,8 +12,8 @@ the smallest centre of its keys, which joins most of a group of near copies with
 round, a key's classes are compared with some of them, its centres, as far as they are in different components. Centres
 leave the key after that, and a key all of whose classes are in one component is done. There are one, one, 64, 4096 and so
 on centres per key, so even keys of many classes that are not similar need few rounds, and most classes have found their
-component before many are compared. Sizes and the Hamming distance of 512-bit sketches filter all pairs before they are
-verified on the full sets; pairs that were compared are not compared again. The rounds end when no two classes of a key
+component before many are compared. Sizes and the Hamming distance of 512-bit sketches filter all pairs, and that of
+sketches with a bit or two for each shingle those of large sets, before they are verified on the full sets; pairs that were compared are not compared again. The rounds end when no two classes of a key
 are in different components, so no link between different components is left out and components are exact (shingles and
 sets are compared by 64-bit hashes).
 
@@ -30,15 +30,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signwatch.llm import text
 from signwatch.llm.components import components
-from signwatch.llm.tables import Steps, spread_join, written
+from signwatch.llm.tables import Steps, spread_join, tidy, written
 
 SKETCH = 512
 SKETCHES = [f"s{k}" for k in range(SKETCH // 64)]
+#: Ids of texts that are broadcast, so that other texts need not be shuffled.
+WANTED = 200_000
 #: Rounds with one centre per key; from then on each round has so many times more of them.
 SINGLE, FACTOR = 2, 64
 
@@ -103,10 +106,20 @@ def set_class(own: np.ndarray) -> int:
     return int(text.signed(text.mix(np.array([total], dtype=np.uint64)))[0])
 
 
+def _parity(own: np.ndarray, bits: int) -> np.ndarray:
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
 def sketch(own: np.ndarray) -> np.ndarray:
     """Parity of the shingles on each of 512 bits."""
-    odd = np.bincount((own & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return _parity(own, SKETCH).view(np.int64)
+
+
+def wide_sketch(own: np.ndarray) -> bytes | None:
+    """Parity on the next power of two of bits, for sets that are too large for 512; its halves, one upon the other, are
+    the sketch of half as many bits."""
+    return _parity(own, 1 << (len(own) - 1).bit_length()).tobytes() if len(own) > SKETCH else None
 
 
 def part_keys(own: np.ndarray, band: int, parts: int, spare: int) -> np.ndarray:
@@ -128,12 +141,13 @@ def part_keys(own: np.ndarray, band: int, parts: int, spare: int) -> np.ndarray:
 def _facts(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, classes, sketches = [], [], []
+            size, classes, sketches, wide = [], [], [], []
             for _, _, words in text.word_slices(batch.column("text")):
                 for own in shingles(words, length):
                     size.append(len(own))
                     classes.append(set_class(own) if len(own) else None)
                     sketches.append(sketch(own))
+                    wide.append(wide_sketch(own))
             table = np.array(sketches, dtype=np.int64).reshape(-1, len(SKETCHES))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -141,8 +155,9 @@ def _facts(length: int):
                     pa.array(size, pa.int64()),
                     pa.array(classes, pa.int64()),
                     *(pa.array(np.ascontiguousarray(table[:, k])) for k in range(len(SKETCHES))),
+                    pa.array(wide, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "class", *SKETCHES],
+                names=["doc_id", "n_shingles", "class", *SKETCHES, "wide"],
             )
 
     return run
@@ -175,6 +190,32 @@ def _keys(length: int, percent: int):
     return run
 
 
+def _near(percent: int):
+    """Keep pairs whose wide sketches allow the similarity, and those with a set that has none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column("wide_a"), batch.column("wide_b")
+            n = sum(batch.column(x).fill_null(0).to_numpy() for x in ("n_a", "n_b"))
+            keep = np.ones(len(batch), dtype=bool)
+            sizes = [pc.binary_length(x).fill_null(0).to_numpy() for x in (a, b)]
+            for x, y in {*zip(*(s.tolist() for s in sizes), strict=True)}:
+                if not x or not y:
+                    continue
+                at = np.flatnonzero((sizes[0] == x) & (sizes[1] == y))
+                least = min(x, y)
+                # Sketches of more bits are folded to as many as the other one has.
+                sides = [
+                    np.bitwise_xor.reduce(np.frombuffer(b"".join(c.take(pa.array(at)).to_pylist()), dtype=np.uint8).reshape(len(at), -1, least), axis=1)
+                    for c in (a, b)
+                ]
+                distance = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1, dtype=np.int64)
+                keep[at] = distance * (100 + percent) <= n[at] * (100 - percent)
+            yield batch.select(["a", "b", "rep_a", "rep_b"]).filter(pa.array(keep))
+
+    return run
+
+
 def _verify(length: int, percent: int):
     """Keep pairs whose sets, made anew from their texts, are similar enough."""
 
@@ -220,9 +261,19 @@ def _side(classes: DataFrame, side: str) -> DataFrame:
     )
 
 
+def near(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``a, b, rep_a, rep_b`` that wide sketches don't rule out, so that few texts have to move."""
+    for x in "ab":
+        pairs = pairs.join(wide.toDF(x, f"n_{x}", f"wide_{x}"), x, "left")
+    return pairs.mapInArrow(_near(percent), "a long, b long, rep_a long, rep_b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
     """Those of the pairs ``a, b, rep_a, rep_b`` that are similar enough. Texts follow their pair to the centre ``b``."""
     texts = docs.filter("text IS NOT NULL").select("doc_id", "text")
+    wanted = pairs.select(F.col("rep_a").alias("doc_id")).union(pairs.select("rep_b")).distinct()
+    if wanted.count() <= WANTED:
+        texts = texts.join(F.broadcast(wanted), "doc_id", "left_semi")
     member = pairs.join(texts.select(F.col("doc_id").alias("rep_a"), F.col("text").alias("text_a")), "rep_a")
     both = member.join(texts.select(F.col("doc_id").alias("rep_b"), F.col("text").alias("text_b")), "rep_b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(length, percent), "a long, b long")
@@ -232,7 +283,7 @@ def classes_and_components(docs: DataFrame, length: int, percent: int) -> tuple[
     """Per document ``doc_id, n_shingles, class``; per linked class ``class, component``."""
     session = docs.sparkSession
     steps = Steps(session, "shingles")
-    facts = docs.mapInArrow(_facts(length), "doc_id long, n_shingles long, class long, " + ", ".join(f"{s} long" for s in SKETCHES))
+    facts = docs.mapInArrow(_facts(length), "doc_id long, n_shingles long, class long, " + ", ".join(f"{s} long" for s in SKETCHES) + ", wide binary")
     facts = steps.keep(facts, "facts")
     classes = (
         facts.filter("class IS NOT NULL AND doc_id IS NOT NULL")
@@ -240,12 +291,16 @@ def classes_and_components(docs: DataFrame, length: int, percent: int) -> tuple[
         .agg(F.min("doc_id").alias("rep"), *(F.min(c).alias(c) for c in ["n_shingles", *SKETCHES]))
     )
     classes = steps.keep(classes, "classes")
+    wide = facts.filter("wide IS NOT NULL AND doc_id IS NOT NULL").groupBy("class")
+    wide = steps.keep(wide.agg(F.min("n_shingles").alias("n"), F.min("wide").alias("wide")), "wide")
     key = Window.partitionBy("key")
     rows = docs.filter("doc_id IS NOT NULL").mapInArrow(_keys(length, percent), "key long, class long")
     shared = rows.select("key", "class", F.min("class").over(key).alias("low"), F.max("class").over(key).alias("high"))
     shared = steps.keep(shared.filter("low < high").select("key", "class").distinct(), "shared")
-    linked = session.createDataFrame([], "class long, component long")
-    tried = session.createDataFrame([], "a long, b long")
+    tidy(session)
+    # Tables that no Python worker has to make.
+    linked = session.range(0).select(F.col("id").alias("class"), F.col("id").alias("component"))
+    tried = session.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
     turn = 0
     while True:
         placed = shared.join(linked, "class", "left").select("key", "class", F.coalesce("component", "class").alias("component"))
@@ -258,7 +313,8 @@ def classes_and_components(docs: DataFrame, length: int, percent: int) -> tuple[
         pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = pairs.join(_side(classes, "a"), "a").join(_side(classes, "b"), "b").filter(_close(percent))
         pairs = steps.keep(pairs.select("a", "b", "rep_a", "rep_b"), "pairs")
-        more = steps.keep(verified(pairs, docs, length, percent), "links")
+        likely = steps.keep(near(pairs, wide, percent), "near")
+        more = steps.keep(verified(likely, docs, length, percent), "links")
         if not more.isEmpty():
             linked = steps.keep(_relabelled(linked, more), "linked")
         tried = steps.keep(tried.union(pairs.select("a", "b")), "tried")
@@ -267,7 +323,8 @@ def classes_and_components(docs: DataFrame, length: int, percent: int) -> tuple[
             # All classes of the key have been compared with its centres now.
             shared = shared.join(centres, ["key", "class"], "left_anti")
         turn += 1
-    steps.forget("classes", "shared", "pairs", "links", "tried")
+        tidy(session)
+    steps.forget("classes", "wide", "shared", "pairs", "near", "links", "tried")
     return facts.select("doc_id", "n_shingles", "class"), linked
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,16 @@ def remove(path: str, df: DataFrame) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let go of what finished queries leave behind.
+
+    Spark removes shuffle files, broadcasts and generated classes when the driver collects its garbage. Jobs of many
+    small queries would fill disks and the driver's memory before it does so by itself.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Steps:
     """Named tables of an iterative job in one shared folder. A newer table takes the place of the older one of its name."""
 

@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import lower
 from pyspark.sql import functions as F
@@ -116,6 +117,39 @@ def test_similar_sets_share_a_key(percent):
         assert distance <= different
 
 
+def test_wide_sketches_rule_out_no_similar_sets():
+    rnd = np.random.default_rng(7)
+    rows, similar = [], []
+    for _ in range(400):
+        size = int(rnd.integers(400, 5_000))
+        a = np.unique(rnd.integers(0, 2**64, size, dtype=np.uint64))
+        other = np.unique(rnd.integers(0, 2**64, int(size * rnd.choice([0, 0.1, 0.2, 0.3, 1])), dtype=np.uint64))
+        b = np.union1d(a[: max(1, len(a) - int(len(other) * rnd.random()))], other)
+        both = len(np.intersect1d(a, b))
+        similar.append(100 * both >= 80 * (len(a) + len(b) - both))
+        rows.append((len(a), len(b), shingle_join.wide_sketch(a), shingle_join.wide_sketch(b)))
+    n_a, n_b, wide_a, wide_b = zip(*rows, strict=True)
+    table = {x: range(len(rows)) for x in ("a", "b", "rep_a", "rep_b")} | {"n_a": n_a, "n_b": n_b, "wide_a": wide_a, "wide_b": wide_b}
+    (found,) = shingle_join._near(80)(iter([pa.record_batch(table)]))
+    kept = set(found["a"].to_pylist())
+    assert all(k in kept for k, y in enumerate(similar) if y) and 50 < sum(similar) < 350
+    assert all(k in kept for k, r in enumerate(rows) if r[2] is None or r[3] is None)
+    assert len(kept) < sum(similar) + 100
+
+
+def test_texts_of_unlike_documents_with_a_common_passage_stay(docs_of, monkeypatch):
+    """512 bits can't tell long texts apart; only pairs that may be similar are given their texts."""
+    rnd = random.Random(5)
+    common = ["w%d" % rnd.randrange(10**6) for _ in range(300)]
+    rows = [(i, " ".join(common + ["w%d" % rnd.randrange(10**6) for _ in range(2_500)])) for i in range(25)]
+    rows += [(100 + i, rows[i][1] + " one more") for i in range(5)]
+    seen = []
+    monkeypatch.setattr(shingle_join, "verified", lambda pairs, *rest, run=shingle_join.verified: seen.append(pairs.count()) or run(pairs, *rest))
+    found = {r["doc_id"]: r["component_id"] for r in shingle_join.join(docs_of(rows), 5, 80).collect()}
+    assert found == {i: i % 100 for i, _ in rows}
+    assert 5 <= sum(seen) <= 10
+
+
 def test_join_odd_rows(docs_of, odd_rows):
     found = shingle_join.join(docs_of(odd_rows), 3, 90).collect()
     assert len(found) == len(odd_rows)
