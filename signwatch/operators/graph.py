@@ -270,7 +270,8 @@ def _from_sources(sizes: DataFrame, between: DataFrame, sources: DataFrame, leve
 
 
 def _scaled(n: Column) -> Column:
-    pairs = (n - 1) * (n - 2)
+    # as doubles: 46,342 nodes have more pairs than an int counts
+    pairs = (n - 1).cast("double") * (n - 2).cast("double")
     return F.when(pairs > 0, F.col("_sum") / pairs).otherwise(F.col("_sum")).alias("betweenness")
 
 

@@ -114,6 +114,16 @@ def test_betweenness_estimate_is_within_its_bound(spark, wide_graph, pivots):
     assert {r.bound for r in rows} == {0.0} if pivots == 10_000 else all(0 < r.bound < 0.5 for r in rows)
 
 
+@pytest.mark.parametrize("pivots", [10, 60_001])
+def test_betweenness_estimate_of_more_pairs_than_an_int_counts(spark, pivots):
+    """A star of 60,000 leaves: every path between two leaves goes through the hub."""
+    ends = spark.range(60_000).select(F.lit("hub").alias("src"), F.concat(F.lit("leaf"), "id").alias("dst"))
+    rows = graph.betweenness_estimate(graph.both_ways(ends), pivots, miss=1e-6)
+    hub = rows.where("node = 'hub'").first()
+    assert abs(hub.betweenness - 1) <= hub.bound + 1e-9 and hub.betweenness > 0.5
+    assert rows.where("node <> 'hub' AND betweenness = 0").count() == 60_000
+
+
 def test_nodes_with_equal_neighbours_share_a_class(spark):
     directed = graph.both_ways(spark.createDataFrame(GRAPHS["star"], "src string, dst string"))
     _, sizes, _ = graph.classes(directed)
