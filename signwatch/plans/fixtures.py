@@ -36,16 +36,23 @@ LATE_DAYS, GATHERED_DAYS = 2, 5
 LATE_DELAY = f"{LATE_DAYS + GATHERED_DAYS} days"
 
 
+#: Rows of a file of arrivals; a larger period is several files.
+ARRIVAL_ROWS = 250_000
+
+
 def shuffled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events as a stream in order of arrival, each up to two days late; files hold five days of arrivals."""
+    """The same events as a stream in order of arrival, each up to two days late; a micro-batch holds five days of arrivals."""
     timed = auth_events(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     late = F.pmod(F.xxhash64("event_id"), F.lit(LATE_DAYS * DAY_US))
     timed = timed.withColumn("arrival", F.floor((F.unix_micros("timestamp") + late) / (GATHERED_DAYS * DAY_US)))
-    first, last = timed.agg(F.min("arrival"), F.max("arrival")).first()
+    first, last, rows = timed.agg(F.min("arrival"), F.max("arrival"), F.count("arrival")).first()
+    periods = range(first or 0, (last or 0) + 1)
+    # all periods have as many files, however many tasks read the table
+    files = max(1, -(-rows // (len(periods) * ARRIVAL_ROWS)))
     folder = scratch(spark, "arrivals")
-    for i in range(first or 0, (last or 0) + 1):
-        timed.where(F.col("arrival") == i).drop("arrival").write.parquet(f"{folder}/p{i}")
-    return spark.readStream.schema(timed.drop("arrival").schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/p*")
+    for i in periods:
+        timed.where(F.col("arrival") == i).drop("arrival").repartition(files).write.parquet(f"{folder}/p{i}")
+    return spark.readStream.schema(timed.drop("arrival").schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/p*")
 
 
 def auth_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,6 +115,56 @@ def test_streamed_sessions_wait_for_their_logout(spark, tmp_path):
     assert sorted((r.event_id, r.session_hours) for r in got.collect()) == [(0, 41 * 24.0), (1, 24.0)]
 
 
+def test_streamed_sessions_of_many_users_share_states(spark, tmp_path):
+    """3,000 users, ids as long as hashes: states are those of the shards, not of users, and ids keep all their digits."""
+    users, first = range(3000), (1 << 62) + 1
+    stream = minutes_stream(
+        spark,
+        tmp_path / "in",
+        [(first + i, f"u{i}", 10, "successful_login") for i in users] + [(i, f"u{i}", 90, "logout") for i in users if i % 3],
+        [(first + 5000 + i, f"u{i}", 70, "successful_login") for i in users] + [(5000, "u0", 75, "logout")],
+        [(9000, "zoe", 500, "logout")],
+    )
+    got = stateful.session_durations(stream)
+    query = stateful.start_sessions(got, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True)
+    query.awaitTermination(300)
+    hours = {first + i: 80 / 60 for i in users if i % 3} | {first + 5000 + i: 20 / 60 for i in users if i % 3}
+    hours |= {first: 65 / 60, first + 5000: 5 / 60}
+    assert told(spark.read.parquet(str(tmp_path / "out" / "sessions"))) == {i: round(h, 6) for i, h in hours.items()}
+    assert max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]) < 3000
+
+
+def test_streamed_sessions_keep_logins_without_an_id(spark, tmp_path):
+    stream = minutes_stream(
+        spark,
+        tmp_path / "in",
+        [(None, "ann", 10, "successful_login"), (None, "ann", 20, "logout"), (None, "bob", 10, "successful_login")],
+        [(None, "ann", 200, "successful_login"), (7, "bob", 200, "logout"), (8, "cy", 9000, "logout")],
+    )
+    got = stateful.session_durations(stream, longest_hours=80)
+    stateful.start_sessions(got, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True).awaitTermination(300)
+    rows = [(r.username, r.event_id, r.session_hours) for r in spark.read.parquet(str(tmp_path / "out" / "sessions")).collect()]
+    assert sorted(rows, key=str) == [("ann", None, 10 / 60), ("bob", None, 190 / 60)]
+    unpaired = spark.read.parquet(str(tmp_path / "out" / "unpaired")).collect()
+    assert [(r.username, r.event_id, r.session_hours) for r in unpaired] == [("ann", None, None)]
+
+
+def test_shuffled_stream_takes_a_period_at_a_time(spark, sf_dir, tmp_path, monkeypatch):
+    """However many files a table is read from or written to, a micro-batch holds the arrivals of five days."""
+    monkeypatch.setattr(fx, "ARRIVAL_ROWS", 50)
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(9).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    stream = fx.shuffled_stream(spark, str(tmp_path / "sf"))
+    query = windows.start(stream, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True)
+    query.awaitTermination(300)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1000
+    late = fx.LATE_DAYS * 86_400_000_000
+    arrival = F.unix_micros("timestamp") + F.pmod(F.xxhash64("event_id"), F.lit(late))
+    period = F.floor(arrival / (fx.GATHERED_DAYS * 86_400_000_000))
+    events = fx.auth_events(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    sizes = [r["count"] for r in events.groupBy(period.alias("p")).count().orderBy("p").collect()]
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == sizes
+
+
 def test_streamed_baselines(spark, sf_dir, tmp_path):
     events = fx.auth_events(spark, sf_dir).where("username is not null")
     got = finish(stateful.user_baselines(replay(spark, events, tmp_path / "in", 3), first=20), tmp_path, spark).collect()
